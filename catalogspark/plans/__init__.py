@@ -7,7 +7,7 @@ import importlib
 from catalogspark.plans.registry import ORACLES, QUERIES
 
 MODULES: list[str] = [
-    "reconcile",
+    "reconcile", "texts", "rulebook",
 ]
 
 
