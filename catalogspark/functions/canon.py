@@ -23,7 +23,7 @@ def plain_decimal(value: Column | str, scale: int = 8) -> Column:
 
 
 def canonical_field(df: DataFrame, name: str) -> Column:
-    """One column in the form that is compared and hashed: floats as plain decimals, maps key-sorted."""
+    """One column in the form that is hashed: floats as plain decimals, maps key-sorted."""
     kind = df.schema[name].dataType
     if isinstance(kind, (T.DoubleType, T.FloatType, T.DecimalType)):
         return plain_decimal(F.col(name))

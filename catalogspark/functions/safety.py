@@ -31,10 +31,15 @@ UNSAFE_TEXT: dict[str, str] = {
 }
 
 
+#: A cheap condition without which the pattern cannot match; tested first.
+NEEDS: dict[str, str] = {"email": "@", "messenger": "[:：]", "handle_label": "[:：]", "phone": r"\d[ .-]\d{4}"}
+
+
 def contact_flags(value: Column | str, opaque_identifier: bool = False) -> dict[str, Column]:
     """One boolean per contact pattern; numeric ones are left out for opaque identifiers."""
+    col = as_col(value)
     rules = dict(CONTACT_PATTERNS) if opaque_identifier else {**CONTACT_PATTERNS, **NUMERIC_PATTERNS}
-    return {name: as_col(value).rlike(pattern) for name, pattern in rules.items()}
+    return {n: (col.rlike(NEEDS[n]) & col.rlike(p)) if n in NEEDS else col.rlike(p) for n, p in rules.items()}
 
 
 def has_contact(value: Column | str, opaque_identifier: bool = False) -> Column:

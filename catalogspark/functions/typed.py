@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from catalogspark.functions.canon import as_col
 
@@ -73,7 +74,7 @@ def divide_half_up(amount: Column | str, divisor: Column | str, scale: int = 8)
     return (quotient.cast("decimal(28,0)") * unit).cast(f"decimal(28,{scale})")
 
 
-@F.pandas_udf("bigint")
+@F.pandas_udf(T.LongType())
 def gcd(a: pd.Series, b: pd.Series) -> pd.Series:
     """Greatest common divisor, a batch at a time (Spark has none; a JVM-side Euclid needs a lambda per step)."""
     known = a.notna() & b.notna()

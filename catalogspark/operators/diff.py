@@ -135,17 +135,25 @@ def apply_plan(diff: DataFrame, desired: DataFrame, baseline: DataFrame, key: st
 def diff_children(
     desired: DataFrame, baseline: DataFrame, keys: Sequence[str], fields: Sequence[str]
 ) -> DataFrame:
-    """Keyed collection diff: added / removed / changed items. One union and one aggregate, map-side combined."""
-    def tagged(df: DataFrame, tag: str) -> DataFrame:
-        digest = row_digest(df, fields)
-        none = F.lit(None).cast("string")
-        return df.select(*keys, (digest if tag == "d" else none).alias("d"), (digest if tag == "b" else none).alias("b"))
-
-    both = tagged(desired, "d").unionByName(tagged(baseline, "b"))
-    merged = both.groupBy(*keys).agg(F.max("d").alias("d"), F.max("b").alias("b"))
-    change = (
-        F.when(F.col("b").isNull(), "added").when(F.col("d").isNull(), "removed").when(F.col("b") != F.col("d"), "changed")
+    """Keyed collection diff: added / removed / changed items. One union and one aggregate, map-side combined.
+
+    Keys are unique per side, so a maximum per field is the field; presence is counted apart from NULL.
+    """
+    fixed = {f: canonical_field(desired, f) for f in fields}
+
+    def tagged(df: DataFrame, side: int) -> DataFrame:
+        return df.select(*keys, F.lit(side).alias("_side"), *[c.alias(f"_v_{f}") for f, c in fixed.items()])
+
+    on = lambda side, c: F.max(F.when(F.col("_side") == side, c))
+    both = tagged(desired, 1).unionByName(tagged(baseline, 0))
+    merged = both.groupBy(*keys).agg(
+        on(1, F.lit(True)).alias("d"), on(0, F.lit(True)).alias("b"),
+        *[on(side, F.col(f"_v_{f}")).alias(f"{tag}_{f}") for f in fields for side, tag in ((1, "d"), (0, "b"))],
     )
+    differs = F.lit(False)
+    for f in fields:
+        differs = differs | ~F.col(f"d_{f}").eqNullSafe(F.col(f"b_{f}"))
+    change = F.when(F.col("b").isNull(), "added").when(F.col("d").isNull(), "removed").when(differs, "changed")
     return merged.select(*keys, change.alias("change")).where(F.col("change").isNotNull())
 
 

@@ -7,13 +7,13 @@ column expressions: one scan of the texts, no join, no pairs of texts and rules
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalogspark.functions.canon import as_col
-from catalogspark.functions.text import word
+from catalogspark.functions.text import bind, word
 from catalogspark.scale import literal_table
 
 MAX_RULES = 5000
@@ -21,12 +21,16 @@ MAX_RULES = 5000
 
 @dataclass(frozen=True)
 class Rule:
-    """``code`` applies when any pattern matches, and the gate rule (if any) matched too."""
+    """``code`` applies when any pattern matches or any word occurs, and the gate rule (if any) applies too.
+
+    ``words`` are single ASCII words. The words of a text are split once for all rules, so a long rule book of
+    words costs one pass over the text; patterns cost one pass each.
+    """
 
     code: str
-    patterns: tuple[str, ...]
+    patterns: tuple[str, ...] = ()
     requires: str | None = None
-    literals: tuple[str, ...] = field(default=())
+    words: tuple[str, ...] = ()
 
 
 def rules_from_table(df: DataFrame) -> list[Rule]:
@@ -40,28 +44,31 @@ def rules_from_table(df: DataFrame) -> list[Rule]:
     return [Rule(code, tuple(p), requires) for code, (requires, p) in book.items()]
 
 
-def matches(text: Column | str, rule: Rule) -> Column:
-    """Any pattern of the rule, as one alternation; literals are tested first because they are cheap."""
-    col = as_col(text)
-    hit = col.rlike("|".join(f"(?:{p})" for p in rule.patterns))
-    if rule.literals:
-        probe = F.lit(False)
-        for literal in rule.literals:
-            probe = probe | col.contains(literal)
-        hit = probe & hit
+def ascii_words(text: Column) -> Column:
+    """Distinct ASCII words of a text, case kept."""
+    return F.array_distinct(F.split(text, "[^A-Za-z0-9_]+"))
+
+
+def _hit(text: Column, words: Column, rule: Rule) -> Column:
+    hit = F.lit(False)
+    if rule.words:
+        hit = F.arrays_overlap(words, F.array(*[F.lit(w) for w in rule.words]))
+    if rule.patterns:
+        hit = hit | text.rlike("|".join(f"(?:{p})" for p in rule.patterns))
     return hit
 
 
 def labels(text: Column | str, book: Sequence[Rule]) -> Column:
-    """Array of the codes that apply, in rule order, each once."""
-    by_code = {r.code: matches(text, r) for r in book}
-    parts = []
-    for rule in book:
-        hit = by_code[rule.code]
-        if rule.requires is not None:
-            hit = by_code[rule.requires] & hit
-        parts.append(F.when(hit, rule.code))
-    return F.array_distinct(F.array_compact(F.array(*parts)))
+    """Array of the codes that apply, in rule order, each once. Every rule is evaluated once per text."""
+    at = {rule.code: i for i, rule in enumerate(book)}
+    text = as_col(text)
+
+    def applied(hits: Column) -> Column:
+        gate = lambda r: hits[at[r.code]] & hits[at[r.requires]] if r.requires else hits[at[r.code]]
+        return F.array_distinct(F.array_compact(F.array(*[F.when(gate(r), r.code) for r in book])))
+
+    words = ascii_words(text) if any(r.words for r in book) else F.array().cast("array<string>")
+    return bind(words, lambda w: bind(F.array(*[_hit(text, w, r) for r in book]), applied))
 
 
 def strip_contrast(text: Column | str, phrases: Sequence[str] = ("unlike", "as opposed to", "in contrast to", "rather than")) -> Column:
@@ -76,9 +83,16 @@ def first_sentence(text: Column | str) -> Column:
 
 def explicit_or_mention(text: Column | str, names: Sequence[str], marker: str) -> Column:
     """``struct(value, evidence, ambiguous)``: exactly one "name marker" wins, else exactly one bare name."""
-    head = first_sentence(text)
-    strong = F.array_compact(F.array(*[F.when(head.rlike(word(rf"{n}\s+{marker}")), n) for n in names]))
-    weak = F.array_compact(F.array(*[F.when(head.rlike(word(n)), n) for n in names]))
+    def judge(head: Column) -> Column:
+        strong = F.array_compact(F.array(*[F.when(head.rlike(word(rf"{n}\s+{marker}")), n) for n in names]))
+        weak = F.array_compact(F.array(*[F.when(head.rlike(word(n)), n) for n in names]))
+        return bind(F.struct(strong.alias("strong"), weak.alias("weak")), _evidence)
+
+    return bind(first_sentence(text), judge)
+
+
+def _evidence(found: Column) -> Column:
+    strong, weak = found["strong"], found["weak"]
     pool = F.when(F.size(strong) > 0, strong).otherwise(weak)
     return F.struct(
         F.when(F.size(pool) == 1, F.get(pool, F.lit(0))).alias("value"),

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from catalogspark.scale import spread
+
 MONEY = "decimal(20,2)"
 
 
@@ -16,6 +18,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents, spread over the cores when the file has fewer splits (text work is CPU-bound)."""
+    return spread(table(spark, sf_dir, "documents"))
+
+
 def money(name: str):
     return F.col(name).cast(MONEY)
 

@@ -248,7 +248,7 @@ def group_repair_plan(spark, sf):
 
 
 @query("V18", f"with {PART_SQL} " + """
-select d.code, 'changed' from desired d join baseline b using (code)
+select d.code, 'changed' as change from desired d join baseline b using (code)
 where d.id = b.id and d.brand = 'Brand#5'""")
 def stored_plan_drift(spark, sf):
     """A stored plan against the plan computed again after one brand has moved."""

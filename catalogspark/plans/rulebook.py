@@ -7,19 +7,21 @@ from pyspark.sql import functions as F
 from catalogspark.functions import safety as S
 from catalogspark.functions.text import code_part
 from catalogspark.operators import rules as R
-from catalogspark.plans.derived import table
+from catalogspark.plans.derived import table, texts
 from catalogspark.plans.registry import query
 
 #: Rules over the function words of the test texts; a gated rule needs its parent.
 WORDS = {
-    "fr": (r"(?:le|la|les)", r"que"),
-    "de": (r"(?:der|die|und)",),
-    "en": (r"(?:the|and)",),
-    "de-neg": (r"nicht",),
-    "fr-dans": (r"dans", r"avec"),
+    "fr": ("le", "la", "les", "que"),
+    "de": ("der", "die", "und"),
+    "en": ("the", "and"),
+    "de-neg": ("nicht", "ist nicht"),
+    "fr-dans": ("dans", "avec"),
 }
 GATES = {"de-neg": "de", "fr-dans": "fr"}
-BOOK = [R.Rule(c, tuple(R.word(p) for p in ps), GATES.get(c)) for c, ps in WORDS.items()]
+BOOK = [
+    R.Rule(c, tuple(R.word(w) for w in ws if " " in w), GATES.get(c), tuple(w for w in ws if " " not in w)) for c, ws in WORDS.items()
+]
 
 
 def _hit(code: str, text: str = "text") -> str:
@@ -33,13 +35,13 @@ def _labels_sql(text: str = "text", gated: bool = True) -> str:
 
 @query("R1 R2", f"select doc_id, {_labels_sql()} as labels from documents")
 def gated_rule_labels(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", F.array_join(R.labels("text", BOOK), ",").alias("labels"))
+    return texts(spark, sf).select("doc_id", F.array_join(R.labels("text", BOOK), ",").alias("labels"))
 
 
 @query("R1", f"""select label, count(*) as docs from (select unnest(string_split({_labels_sql(gated=False)}, ',')) as label from documents) where label <> '' group by 1""")
 def rule_labels(spark, sf):
-    open_book = [R.Rule(r.code, r.patterns) for r in BOOK]
-    d = table(spark, sf, "documents").select(F.explode(R.labels("text", open_book)).alias("label"))
+    open_book = [R.Rule(r.code, r.patterns, words=r.words) for r in BOOK]
+    d = texts(spark, sf).select(F.explode(R.labels("text", open_book)).alias("label"))
     return d.groupBy("label").agg(F.count(F.lit(1)).alias("docs"))
 
 
@@ -49,7 +51,7 @@ CONTRAST_SQL = r"trim(case when regexp_matches(text, '\b(mit|avec|with)\b') then
 @query("R3", f"select doc_id, length({CONTRAST_SQL})::int as kept, {_labels_sql(CONTRAST_SQL)} as labels from documents")
 def contrast_stripped_labels(spark, sf):
     head = R.strip_contrast("text", ["mit", "avec", "with"])
-    d = table(spark, sf, "documents").withColumn("head", head)
+    d = texts(spark, sf).withColumn("head", head)
     return d.select("doc_id", F.length("head").alias("kept"), F.array_join(R.labels("head", BOOK), ",").alias("labels"))
 
 
@@ -69,7 +71,7 @@ select doc_id, case when len(pool) = 1 then pool[1] end as value, case when ns >
 
 @query("R4", _evidence_sql())
 def explicit_beats_mention(spark, sf):
-    d = table(spark, sf, "documents")
+    d = texts(spark, sf)
     return d.select("doc_id", R.explicit_or_mention("text", NAMES, "(?:en|in|of)").alias("e")).select("doc_id", "e.*")
 
 
@@ -78,7 +80,7 @@ select doc_id, case when source = 'src1' then lang when regexp_matches(h, '\\bth
 def structured_beats_inferred(spark, sf):
     given = F.when(F.col("source") == "src1", F.col("lang")).otherwise(" ")
     guess = F.when(R.first_sentence("text").rlike(R.word("the")), "en")
-    return table(spark, sf, "documents").select("doc_id", R.structured_first(given, guess).alias("language"))
+    return texts(spark, sf).select("doc_id", R.structured_first(given, guess).alias("language"))
 
 
 @query("R6", """select p_partkey, unnest(case when p_type = 'ECONOMY' and p_size > 25 then ['FAM-1','BIG'] when p_type = 'PROMO' and p_size > 25 then ['FAM-2']
@@ -156,13 +158,13 @@ def _flags_sql(patterns) -> str:
 @query("P7", f"select doc_id, {_flags_sql({**S.CONTACT_PATTERNS, **S.NUMERIC_PATTERNS})} from documents")
 def sensitive_text_flags(spark, sf):
     flags = S.contact_flags("text")
-    return table(spark, sf, "documents").select("doc_id", *[c.alias(n) for n, c in flags.items()])
+    return texts(spark, sf).select("doc_id", *[c.alias(n) for n, c in flags.items()])
 
 
 @query("P9", f"select doc_id, {_flags_sql(S.UNSAFE_TEXT)}, length(text) > 4000 as too_long from documents")
 def boilerplate_flags(spark, sf):
     flags = S.unsafe_text_flags("text")
-    return table(spark, sf, "documents").select("doc_id", *[c.alias(n) for n, c in flags.items()])
+    return texts(spark, sf).select("doc_id", *[c.alias(n) for n, c in flags.items()])
 
 
 @query("P6", """select event_id, k as name from (select event_id, unnest(json_keys(props)) k from events) where k in ('k', 'phone')""")

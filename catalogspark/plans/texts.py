@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalogspark.functions import text as X
-from catalogspark.plans.derived import table
+from catalogspark.plans.derived import table, texts
 from catalogspark.plans.registry import query
 
 FOLD = "replace(strip_accents({0}), 'ß', 'SS')"
@@ -18,21 +18,21 @@ def _code_sql(expr: str) -> str:
 
 @query("F1 F4", f"select doc_id, sha256({_code_sql('text')}) as code_sha, {_code_sql('source')} as source_code from documents")
 def canonical_code(spark, sf):
-    d = table(spark, sf, "documents")
+    d = texts(spark, sf)
     return d.select("doc_id", F.sha2(X.code_part("text"), 256).alias("code_sha"), X.code_part("source").alias("source_code"))
 
 
 @query("F2", f"""with c as (select doc_id, 'DOC-' || {_code_sql('source')} || '-' || {_code_sql('text')} code from documents)
 select doc_id, case when length(code) <= 100 then code else substr(code,1,91) || '-' || upper(substr(sha1(code),1,8)) end as code from c""")
 def bounded_code(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", X.bounded_code(F.lit("doc"), F.col("source"), F.col("text")).alias("code"))
+    return texts(spark, sf).select("doc_id", X.bounded_code(F.lit("doc"), F.col("source"), F.col("text")).alias("code"))
 
 
 @query("F3 F4", """select doc_id,
  sha256(regexp_replace(regexp_replace(lower(strip_accents(trim(text))), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g')) as folded,
  sha256(regexp_replace(regexp_replace(lower(text), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g')) as plain from documents""")
 def slug(spark, sf):
-    d = table(spark, sf, "documents")
+    d = texts(spark, sf)
     return d.select("doc_id", F.sha2(X.slug("text"), 256).alias("folded"), F.sha2(X.slug("text", folded=False), 256).alias("plain"))
 
 
@@ -77,7 +77,7 @@ def name_unwrap(spark, sf):
 @query("F8", """select doc_id, lang || '-' || upper(lang) as locale, case lang when 'en' then 'en-US' when 'fr' then 'fr-FR' else lang end as alias,
  lang || '-Hans-' || upper(lang) || '-variant' as long_form from documents""")
 def locale_codes(spark, sf):
-    d = table(spark, sf, "documents")
+    d = texts(spark, sf)
     return d.select(
         "doc_id", X.canonical_locale(F.concat(F.upper("lang"), F.lit("_"), F.col("lang"))).alias("locale"),
         X.alias_locale(F.upper("lang"), {"en": "en-US", "FR": "fr-FR"}).alias("alias"),
@@ -90,7 +90,7 @@ select doc_id, sha256(case when length(text) <= 280 then text else rtrim(substr(
    else (case when length(text) <= 399 - length(facts) then text else rtrim(substr(text,1,398 - length(facts))) || '…' end) || ' ' || facts end) as composed_sha
 from t""")
 def text_budget(spark, sf):
-    d = table(spark, sf, "documents")
+    d = texts(spark, sf)
     facts = F.concat_ws(" ", "source", "lang")
     return d.select("doc_id", F.sha2(X.truncate("text", 280), 256).alias("short_sha"),
                     F.sha2(X.compose("text", facts, 400), 256).alias("composed_sha"))
@@ -129,7 +129,7 @@ select doc_id, sha256({STRIP_SQL.format('md')}) as plain_sha, source as heading,
 from (select m.*, d.source, d.lang, coalesce({STRIP_SQL.format('''list_filter(list_transform(regexp_split_to_array(m.text, chr(10) || '\\s*' || chr(10)), lambda b: trim(b)),
    lambda b: b <> '' and not regexp_matches(b, '^#|^[-*]\\s|^`'))[1]''')}, '') p from m join documents d using (doc_id))""")
 def markdown_columns(spark, sf):
-    d = table(spark, sf, "documents")
+    d = texts(spark, sf)
     md = F.concat(F.lit("# "), F.col("source"), F.lit("\n> ["), F.col("lang"), F.lit("](x) *quote*\n\n"), F.col("text"))
     return d.select(
         "doc_id", F.sha2(X.strip_markdown(md), 256).alias("plain_sha"), X.first_heading(md, F.lit("none")).alias("heading"),
@@ -147,7 +147,7 @@ def label_parse(spark, sf):
 @query("P11", """select doc_id, 'text' as field, length(text)::int as length, 2000 as "limit" from documents where length(text) > 2000
 union all select doc_id, 'source', length(source)::int, 4 from documents where length(source) > 4""")
 def length_limits(spark, sf):
-    return X.over_limit(table(spark, sf, "documents"), "doc_id", {"text": 2000, "source": 4})
+    return X.over_limit(texts(spark, sf), "doc_id", {"text": 2000, "source": 4})
 
 
 @query("P13 O3", """with g as (select o_custkey, list(distinct o_orderpriority) p, list(distinct o_orderstatus) s from orders group by 1)
@@ -167,5 +167,5 @@ def diagnostic_counts(spark, sf):
     raw = F.array_compact(F.array(
         F.when(F.length("text") > 4000, "SRC_TOO_LONG"), F.when(F.col("lang") != "en", "SRC_NOT_ENGLISH"),
         F.when(F.length("text") < 50, "SRC_TOO_SHORT"), F.when(F.col("lang") != "en", "not_english")))
-    d = table(spark, sf, "documents").select(F.explode(X.diagnostic_codes(raw, "SRC")).alias("code"))
+    d = texts(spark, sf).select(F.explode(X.diagnostic_codes(raw, "SRC")).alias("code"))
     return d.groupBy("code").agg(F.count(F.lit(1)).alias("uses"))

@@ -48,6 +48,15 @@ def literal_table(spark: SparkSession, columns: Sequence[str], rows: Sequence[tu
     return spark.range(1).select(F.inline(F.array(*structs)))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a scan with fewer splits than cores before expensive per-row text work.
+
+    A large input has more splits than cores and is returned as it is: no shuffle is added there.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     """Bounded count: reads at most ``max_rows + 1`` rows of the result."""
     return df.limit(max_rows + 1).count() <= max_rows

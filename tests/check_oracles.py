@@ -65,6 +65,7 @@ def main():
     args = sys.argv[1:]
     sf = args.pop(0) if args and args[0].startswith("0.") else "0.01"
     spark = local_session()
+    spark.sparkContext.setLogLevel("OFF")
     queries, oracles = load()
     bad = 0
     for name, fn in queries.items():
@@ -74,7 +75,7 @@ def main():
         try:
             diff, n = compare(spark, f"/root/testdata/sf{sf}", name, fn, oracles.get(name))
         except Exception as e:  # noqa: BLE001 - reported per query
-            diff, n = f"{type(e).__name__}: {str(e)[:1500]}", -1
+            diff, n = f"{type(e).__name__}: {str(e)[:400]}", -1
         bad += diff is not None
         mark = "ok " if diff is None else "BAD"
         twin = "" if name in oracles else " (no sql)"
