@@ -63,9 +63,13 @@ def set_digest(df: DataFrame, digest: Column | str, by: Sequence[str] = ()) -> D
     group of any size needs four numbers and no row is moved whole.
     """
     sums = df.groupBy(*by).agg(F.count(F.lit(1)).alias("row_count"), *limb_sums(digest))
+    return sums.select(*by, "row_count", limb_digest("row_count").alias("set_sha256"))
+
+
+def limb_digest(count: Column | str) -> Column:
+    """sha256 over the row count and the limb sums of :func:`limb_sums`."""
     parts = [F.coalesce(F.col(f"_limb{i}"), F.lit(0)).cast(T.DecimalType(38, 0)).cast("string") for i in range(4)]
-    text = F.concat_ws(":", F.col("row_count").cast("string"), *parts)
-    return sums.select(*by, "row_count", F.sha2(text, 256).alias("set_sha256"))
+    return F.sha2(F.concat_ws(":", as_col(count).cast("string"), *parts), 256)
 
 
 def reference_code(value: Column | str) -> Column:
