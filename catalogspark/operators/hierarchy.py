@@ -35,10 +35,10 @@ def ancestors(
 def missing_with_ancestors(desired: DataFrame, reference: DataFrame, code: str, parent: str, max_depth: int = 16) -> DataFrame:
     """Nodes absent from the reference, together with their absent ancestors."""
     have = reference.select(code).distinct()
-    absent = desired.join(have, code, "left_anti")
+    absent = pinned(desired.select(code).distinct().join(have, code, "left_anti"))
     parents = ancestors(desired, code, parent, max_depth, start=absent).select(F.col("ancestor").alias(code)).distinct()
     needed = parents.join(have, code, "left_anti")
-    keys = absent.select(code).unionByName(needed).distinct()
+    keys = absent.unionByName(needed).distinct()
     return desired.join(keys, code, "left_semi")
 
 

@@ -40,7 +40,7 @@ def text_spec(attribute: str, value: Column, order: int) -> Column:
 
 def option_spec(attribute: str, value: Column, order: int) -> Column:
     """An option gets a bounded code made of attribute and value."""
-    return _spec(attribute, "Option", order, option=bounded_code(F.lit("opt"), F.lit(attribute), value), present=value != "")
+    return _spec(attribute, "Option", order, option=bounded_code("opt", attribute, value), present=value != "")
 
 
 def range_spec(attribute: str, low: Column, high: Column, order: int, unit: str | None = None) -> Column:

@@ -25,7 +25,7 @@ def canonical_code(spark, sf):
 @query("F2", f"""with c as (select doc_id, 'DOC-' || {_code_sql('source')} || '-' || {_code_sql('text')} code from documents)
 select doc_id, case when length(code) <= 100 then code else substr(code,1,91) || '-' || upper(substr(sha1(code),1,8)) end as code from c""")
 def bounded_code(spark, sf):
-    return texts(spark, sf).select("doc_id", X.bounded_code(F.lit("doc"), F.col("source"), F.col("text")).alias("code"))
+    return texts(spark, sf).select("doc_id", X.bounded_code("doc", F.col("source"), F.col("text")).alias("code"))
 
 
 @query("F3 F4", """select doc_id,
