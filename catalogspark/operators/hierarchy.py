@@ -9,12 +9,12 @@ from catalogspark.scale import pinned
 
 
 def ancestors(
-    edges: DataFrame, code: str, parent: str, max_depth: int = 16, pin_every: int = 4, start: DataFrame | None = None
+    edges: DataFrame, code: str, parent: str, max_depth: int = 16, start: DataFrame | None = None
 ) -> DataFrame:
     """(code, ancestor, distance) pairs of all nodes, or of the ``start`` codes only, level by level: each level is one equi-join on the parent.
 
-    Stops when a level is empty; a tree deeper than ``max_depth`` (or a cycle) is refused. Every few levels
-    the lineage is cut by a reliable checkpoint.
+    Stops when a level is empty; a tree deeper than ``max_depth`` (or a cycle) is refused. Every level is
+    pinned by a reliable checkpoint, so that the work grows with the number of levels, not with its square.
     """
     up = edges.where(F.col(parent).isNotNull()).select(F.col(code).alias("_c"), F.col(parent).alias("_p"))
     level = up.select(F.col("_c").alias(code), F.col("_p").alias("ancestor"), F.lit(1).alias("distance"))
@@ -24,8 +24,7 @@ def ancestors(
     for distance in range(2, max_depth + 1):
         level = level.join(up, level["ancestor"] == up["_c"], "inner").select(
             level[code], F.col("_p").alias("ancestor"), F.lit(distance).alias("distance"))
-        if distance % pin_every == 0:
-            level = pinned(level)
+        level = pinned(level)
         if level.isEmpty():
             return out
         out = out.unionByName(level)

@@ -105,3 +105,12 @@ def current_run(spark: SparkSession, pointer: str) -> str | None:
         return None
     best = rows.select("run", F.col("_metadata.file_path").alias("p")).agg(F.max_by("run", "p").alias("run")).collect()
     return best[0].run if best else None
+
+
+def write_console_artifact(parts: Mapping[str, DataFrame], root: str) -> DataFrame:
+    """Every part as its own data set, read back and counted: (part, rows, set_sha256) of what is stored."""
+    spark = next(iter(parts.values())).sparkSession
+    for name, df in parts.items():
+        df.write.mode("errorifexists").parquet(f"{root}/{name}")
+    stored = {name: spark.read.schema(df.schema).parquet(f"{root}/{name}") for name, df in parts.items()}
+    return bundle_identity(stored)

@@ -48,15 +48,13 @@ def row_count_check(tables: dict[str, DataFrame], manifest: DataFrame) -> DataFr
     return counts.join(manifest, "table_name", "full_outer").where(~F.col("rows").eqNullSafe(F.col("expected_rows")))
 
 
-def read_documents(spark: SparkSession, root: str, schema: str) -> DataFrame:
-    """Localized JSON documents in a tree ``<lang>/<slug>.json``; locale and slug come from the path."""
+def read_documents(
+    spark: SparkSession, root: str, schema: str, pattern: str = r"([^/]+)/([^/]+)\.json$", multiline: bool = True
+) -> DataFrame:
+    """Localized JSON documents in a tree; locale and slug are the two groups of ``pattern`` on the path."""
     path = F.col("_metadata.file_path")
-    docs = spark.read.schema(schema).option("multiLine", "true").option("recursiveFileLookup", "true").json(root)
-    return docs.select(
-        F.regexp_extract(path, r"([^/]+)/[^/]+\.json$", 1).alias("lang"),
-        F.regexp_extract(path, r"([^/]+)\.json$", 1).alias("slug"),
-        *docs.columns,
-    )
+    docs = spark.read.schema(schema).option("multiLine", multiline).option("recursiveFileLookup", "true").json(root)
+    return docs.select(F.regexp_extract(path, pattern, 1).alias("lang"), F.regexp_extract(path, pattern, 2).alias("slug"), *docs.columns)
 
 
 def read_texts(spark: SparkSession, root: str) -> DataFrame:
