@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from catalogspark.operators import bindings, quality, specs
 from catalogspark.operators.localize import missing_locales
+from catalogspark.scale import with_scalars
 
 
 def validate_artifact(
@@ -54,4 +55,4 @@ def run_report(counts: Mapping[str, DataFrame], found: DataFrame) -> DataFrame:
 def preflight(found: DataFrame, plan_gate: DataFrame) -> DataFrame:
     """One row: may this be imported? Blocking findings and the verdict of the plan."""
     blockers = found.agg(F.count(F.lit(1)).alias("findings"), F.count_if("blocking").alias("blockers"))
-    return plan_gate.join(F.broadcast(blockers), F.lit(True)).withColumn("importable", F.col("eligible") & (F.col("blockers") == 0))
+    return with_scalars(plan_gate, blockers).withColumn("importable", F.col("eligible") & (F.col("blockers") == 0))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalogspark.functions.canon import limb_digest, limb_sums
-from catalogspark.scale import neighbours
+from catalogspark.scale import neighbours, with_scalars
 
 
 def not_increasing(df: DataFrame, keys: Sequence[str], position: str, value: str) -> DataFrame:
@@ -48,7 +48,7 @@ def page_problems(facts: DataFrame, page: str, page_size: int) -> DataFrame:
     last = facts.agg(F.max(page).alias("_last"))
     following = facts.select((F.col(page) - 1).alias(page), F.lit(True).alias("_has_next"))
     same = facts.groupBy("page_sha256").agg(F.count(F.lit(1)).alias("_same"), F.min(page).alias("_first"))
-    joined = facts.join(following, page, "left").join(same, "page_sha256", "left").join(F.broadcast(last), F.lit(True))
+    joined = with_scalars(facts.join(following, page, "left").join(same, "page_sha256", "left"), last)
     inner = F.col(page) < F.col("_last")
     checks = [
         ("next-page-missing", inner & F.col("_has_next").isNull()), ("short-page", inner & (F.col("items") < page_size)),
@@ -67,4 +67,4 @@ def cross_page_duplicates(items: DataFrame, page: str, item: str) -> DataFrame:
 def terminal_probe(facts: DataFrame, page: str, probed: DataFrame) -> DataFrame:
     """The page after the last one must be empty: one row with the verdict."""
     last = facts.agg(F.max(page).alias("last_page"))
-    return last.join(F.broadcast(probed.agg(F.count(F.lit(1)).alias("probe_items"))), F.lit(True)).withColumn("complete", F.col("probe_items") == 0)
+    return with_scalars(last, probed.agg(F.count(F.lit(1)).alias("probe_items"))).withColumn("complete", F.col("probe_items") == 0)

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from catalogspark.scale import number_rows
+from catalogspark.scale import number_rows, with_scalars
 
 
 def bind_products(categories: DataFrame, assignments: DataFrame, category: str, product: str, order: Sequence[str]) -> DataFrame:
@@ -45,7 +45,7 @@ def coverage_summary(assignments: DataFrame, product: str, category: str, prefix
         F.coalesce(F.sum("n"), F.lit(0)).alias("assignments"), F.min("n").alias("fewest"), F.max("n").alias("most"),
         *[F.coalesce(F.sum(f"n_{i}"), F.lit(0)).alias(f"prefix_{p.strip('-').lower()}") for i, p in enumerate(prefixes)])
     distinct = pairs.agg(F.count_distinct(category).alias("categories"))
-    return totals.join(F.broadcast(distinct), F.lit(True))
+    return with_scalars(totals, distinct)
 
 
 def category_usage(assignments: DataFrame, category: str, product: str) -> DataFrame:

@@ -8,7 +8,7 @@ from catalogspark.functions.canon import canonical_json
 from catalogspark.operators import media as M
 from catalogspark.plans.derived import table, texts
 from catalogspark.plans.registry import query
-from catalogspark.scale import spread, work_dir
+from catalogspark.scale import spread, with_scalars, work_dir
 from catalogspark.sinks import handoff as H
 from catalogspark.sinks import manifest as K
 from catalogspark.sources import blobs as B
@@ -116,9 +116,8 @@ def sink_readback(spark, sf):
     K.write_records(p, path, "p_type")
     stored = spark.read.schema("p_partkey long, p_name string, p_type string, price string, category_folder string").json(path)
     lost = K.read_back_diff(p, stored).agg(F.coalesce(F.sum(F.col("added") + F.col("removed")), F.lit(0)).alias("lost_or_gained"))
-    counts = p.agg(F.count(F.lit(1)).alias("written")).join(F.broadcast(stored.agg(
-        F.count(F.lit(1)).alias("stored"), F.count_distinct("category_folder").alias("folders"))), F.lit(True))
-    return counts.join(F.broadcast(lost), F.lit(True))
+    found = stored.agg(F.count(F.lit(1)).alias("stored"), F.count_distinct("category_folder").alias("folders"))
+    return with_scalars(p.agg(F.count(F.lit(1)).alias("written")), found, lost)
 
 
 @query("K2 S19 V20", "select 0::bigint as problems_before, 1::bigint as problems_after, true as has_files from part limit 1")
@@ -135,8 +134,7 @@ def manifest_verify(spark, sf):
     before.write.parquet(before_at)
     table(spark, sf, "region").coalesce(1).write.parquet(f"{path}/late")
     after = K.manifest_problems(stored, K.file_manifest(spark, path)).where("file like '%.parquet'").agg(F.count(F.lit(1)).alias("problems_after"))
-    return spark.read.parquet(before_at).join(F.broadcast(after), F.lit(True)).join(
-        F.broadcast(stored.agg((F.count(F.lit(1)) > 0).alias("has_files"))), F.lit(True))
+    return with_scalars(spark.read.parquet(before_at), after, stored.agg((F.count(F.lit(1)) > 0).alias("has_files")))
 
 
 @query("K3 A12", "select count(*) as rows, true as same_folder from orders")
@@ -159,7 +157,7 @@ def snapshot_verify(spark, sf):
     K.write_snapshot(table(spark, sf, "customer").select("c_custkey", "c_mktsegment"), root, {"deletions": "false"})
     v = K.verify_snapshot(spark, root).select("stored_rows", "intact", "set_sha256")
     flags = spark.read.schema("deletions string").json(f"{root}/manifest")
-    return v.join(F.broadcast(flags), F.lit(True))
+    return with_scalars(v, flags)
 
 
 @query("K9 V20", f"""with n as (select sha256(cast(json_object('n_name', n_name, 'n_nationkey', n_nationkey) as varchar)) h from nation), c as (select sha256(cast(json_object('c_custkey', c_custkey, 'c_name', c_name) as varchar)) h from customer),

@@ -89,7 +89,7 @@ def _artifact(spark, sf):
     line = table(spark, sf, "lineitem").select(F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("code"), "l_suppkey", "l_returnflag", "l_linestatus", "l_orderkey", "l_linenumber")
     translations = part.select("code", F.explode(F.when(F.col("p_type") == "PROMO", F.array(F.lit("en"))).otherwise(F.array(F.lit("en"), F.lit("DE")))).alias("lang"))
     none = F.lit(None)
-    specs = part.select("code", F.lit("SIZE").alias("attribute"), F.when(F.col("p_brand") == "Brand#4", "Date").otherwise("Number").alias("type"),
+    specs = part.select("code", F.when(F.col("p_size") > 0, "SIZE").otherwise("NONE").alias("attribute"), F.when(F.col("p_brand") == "Brand#4", "Date").otherwise("Number").alias("type"),
                         F.col("p_size").cast("string").alias("value"), none.cast("string").alias("option"), none.cast("double").alias("value_min"), none.cast("double").alias("value_max"))
     definitions = specs.select("attribute", F.lit("Number").alias("type")).distinct().unionByName(
         table(spark, sf, "region").agg(F.max("r_regionkey")).select(F.lit("UNUSED").alias("attribute"), F.lit("List").alias("type")))

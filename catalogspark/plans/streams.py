@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from catalogspark.operators.quality import count_drift
 from catalogspark.plans.derived import table
 from catalogspark.plans.registry import query
-from catalogspark.scale import work_dir
+from catalogspark.scale import with_scalars, work_dir
 from catalogspark.streaming import ingest as I
 
 
@@ -28,7 +28,7 @@ def resumable_ingest(spark, sf):
     """Half of the files land, the job runs; the rest lands, the job resumes; nothing is read twice."""
     events = _events(spark, sf)
     cut = events.agg(F.expr("percentile_approx(event_id, 0.5)").alias("m"))
-    tagged = events.join(F.broadcast(cut), F.lit(True))
+    tagged = with_scalars(events, cut)
     source = _landed(spark, tagged.where("event_id <= m").drop("m"), 4)
     target = work_dir(spark, "ingested")
     checkpoint = I.checkpoint_path(work_dir(spark, "checkpoint"), "ingest", "1", {"source": "events"})

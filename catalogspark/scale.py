@@ -48,6 +48,15 @@ def literal_table(spark: SparkSession, columns: Sequence[str], rows: Sequence[tu
     return spark.range(1).select(F.inline(F.array(*structs)))
 
 
+def with_scalars(df: DataFrame, *one_row: DataFrame) -> DataFrame:
+    """Add the columns of one-row results (totals, digests, counts) as scalar subqueries: no join at all."""
+    out = df
+    for facts in one_row:
+        value = facts.select(F.struct(*facts.columns).alias("_s")).scalar()
+        out = out.select("*", value.alias("_s")).select(*out.columns, *[F.col(f"_s.{c}").alias(c) for c in facts.columns])
+    return out
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Spread a scan with fewer splits than cores before expensive per-row text work.
 

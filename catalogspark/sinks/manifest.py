@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from catalogspark.functions.canon import row_digest, set_digest
 from catalogspark.operators.diff import structural_diff
+from catalogspark.scale import with_scalars
 from catalogspark.sources.blobs import read_files
 
 
@@ -64,7 +65,7 @@ def bundle_identity(parts: Mapping[str, DataFrame]) -> DataFrame:
         one = data_digest(parts[name]).select(F.lit(name).alias("part"), "row_count", "set_sha256")
         out = one if out is None else out.unionByName(one)
     lines = F.array_sort(F.collect_list(F.concat_ws("=", "part", "set_sha256")))  # one short line per part
-    return out.join(F.broadcast(out.agg(F.sha2(F.array_join(lines, "\n"), 256).alias("identity"))), F.lit(True))
+    return with_scalars(out, out.agg(F.sha2(F.array_join(lines, "\n"), 256).alias("identity")))
 
 
 def write_snapshot(df: DataFrame, root: str, flags: Mapping[str, str]) -> None:
@@ -80,7 +81,7 @@ def verify_snapshot(spark: SparkSession, root: str) -> DataFrame:
     """Recorded against recomputed count and digest: one row with the verdict."""
     stored = spark.read.json(f"{root}/manifest").select(F.col("row_count").alias("stored_rows"), F.col("set_sha256").alias("stored_sha256"))
     found = data_digest(spark.read.parquet(f"{root}/data"))
-    return stored.join(F.broadcast(found), F.lit(True)).withColumn("intact", F.col("stored_sha256") == F.col("set_sha256"))
+    return with_scalars(stored, found).withColumn("intact", F.col("stored_sha256") == F.col("set_sha256"))
 
 
 def stage_disagreements(stages: DataFrame, facts: Sequence[str]) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from catalogspark.functions.canon import as_col, canonical_json, row_digest, set_digest
+from catalogspark.scale import literal_table, with_scalars
 
 
 def read_dump(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
@@ -158,7 +159,7 @@ def baseline_contract(df: DataFrame, code: str, collections: Sequence[str], expe
         complete = complete & (F.col(f"missing_{c}") == 0)
     if expected_rows is not None:
         complete = complete & (F.col("rows") == expected_rows)
-    return counts.withColumn("complete", complete).join(F.broadcast(digest), F.lit(True))
+    return with_scalars(counts.withColumn("complete", complete), digest)
 
 
 def dictionary_contract(dictionaries: dict[str, tuple[DataFrame, str]]) -> DataFrame:
@@ -181,7 +182,7 @@ def paired_references(left: DataFrame, right: DataFrame, code: str, columns: Seq
         d = set_digest(df.select(row_digest(df, [code, *columns]).alias("h")), "h")
         return d.select(F.col("row_count").alias(f"{tag}_rows"), F.col("set_sha256").alias(f"{tag}_sha256"))
 
-    return facts(left, "left").join(F.broadcast(facts(right, "right")), F.lit(True)).withColumn(
+    return with_scalars(facts(left, "left"), facts(right, "right")).withColumn(
         "agree", F.col("left_sha256") == F.col("right_sha256")
     )
 
@@ -193,8 +194,6 @@ def unavailable_keys(requested: DataFrame, available: DataFrame, key: str) -> Da
 
 def select_subset(df: DataFrame, code: str, only: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Rows of the asked codes, and the asked codes that do not exist."""
-    from catalogspark.scale import literal_table
-
     wanted = F.broadcast(literal_table(df.sparkSession, ["_want"], [(o.strip().upper(),) for o in only]).distinct())
     keyed = df.withColumn("_want", F.upper(F.trim(F.col(code))))
     return keyed.join(wanted, "_want", "left_semi").drop("_want"), wanted.join(
