@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from catalogspark.functions.canon import as_col
+from catalogspark.functions.text import bind
+from catalogspark.scale import explode_rows
 
 #: Patterns without look-around, so that any SQL engine can state the same rule.
 CONTACT_PATTERNS: dict[str, str] = {
@@ -85,14 +87,14 @@ def forbidden_fields(schema: T.StructType, pattern: str = FORBIDDEN_KEY, prefix:
 
 def forbidden_map_keys(df: DataFrame, key: str, payload: str, pattern: str = FORBIDDEN_KEY) -> DataFrame:
     """Sensitive keys inside an open map column, one row per (row key, map key)."""
-    return df.select(key, F.explode(F.map_keys(payload)).alias("name")).where(F.col("name").rlike(pattern))
+    return explode_rows(df, [key], F.map_keys(payload), "name").where(F.col("name").rlike(pattern))
 
 
 def url_parts(value: Column | str) -> Column:
-    """``struct(protocol, host, path, query, ref, userinfo)``; all NULL for an address that does not parse."""
+    """``struct(protocol, host, path, query, ref, userinfo, authority, size)``; NULL parts for an address that does not parse."""
     col = as_col(value)
     part = lambda p: F.try_parse_url(col, F.lit(p)).alias(p.lower())
-    return F.struct(*[part(p) for p in ("PROTOCOL", "HOST", "PATH", "QUERY", "REF", "USERINFO", "AUTHORITY")])
+    return F.struct(*[part(p) for p in ("PROTOCOL", "HOST", "PATH", "QUERY", "REF", "USERINFO", "AUTHORITY")], F.length(col).alias("size"))
 
 
 def url_policy(
@@ -104,28 +106,29 @@ def url_policy(
     A host is allowed by exact name or by suffix. Every query key must be known, occur once, and match
     its value pattern.
     """
-    col, u = as_col(value), url_parts(value)
     rules = query_rules or {}
-    host = F.lower(u["host"])
-    allowed = host.isin(*hosts) if hosts else F.lit(False)
-    for suffix in suffixes:
-        allowed = allowed | (host == suffix) | host.endswith("." + suffix)
-    pairs = F.split(F.coalesce(u["query"], F.lit("")), "&")
-    names = F.transform(pairs, lambda p: F.substring_index(p, "=", 1))
-    known = F.lit(False)
-    bad_pair = lambda p: ~_pair_known(p, rules)
-    has_query = F.coalesce(u["query"], F.lit("")) != ""
-    return (
-        F.when(u["host"].isNull(), "invalid")
-        .when(F.length(col) > max_length, "too-long")
-        .when(u["protocol"] != "https", "not-https")
-        .when(u["userinfo"].isNotNull() | (u["authority"] != u["host"]), "credentials-or-port")
-        .when(u["ref"].isNotNull(), "fragment")
-        .when(~(allowed | known), "host")
-        .when(~F.coalesce(u["path"], F.lit("")).startswith(prefix), "path")
-        .when(has_query & F.exists(pairs, bad_pair), "query-key")
-        .when(has_query & (F.size(F.array_distinct(names)) < F.size(names)), "query-repeat")
-    )
+
+    def judge(u: Column) -> Column:
+        host = F.lower(u["host"])
+        allowed = host.isin(*hosts) if hosts else F.lit(False)
+        for suffix in suffixes:
+            allowed = allowed | (host == suffix) | host.endswith("." + suffix)
+        pairs = F.split(F.coalesce(u["query"], F.lit("")), "&")
+        names = F.transform(pairs, lambda p: F.substring_index(p, "=", 1))
+        has_query = F.coalesce(u["query"], F.lit("")) != ""
+        return (
+            F.when(u["host"].isNull(), "invalid")
+            .when(u["size"] > max_length, "too-long")
+            .when(u["protocol"] != "https", "not-https")
+            .when(u["userinfo"].isNotNull() | (u["authority"] != u["host"]), "credentials-or-port")
+            .when(u["ref"].isNotNull(), "fragment")
+            .when(~allowed, "host")
+            .when(~F.coalesce(u["path"], F.lit("")).startswith(prefix), "path")
+            .when(has_query & F.exists(pairs, lambda p: ~_pair_known(p, rules)), "query-key")
+            .when(has_query & (F.size(F.array_distinct(names)) < F.size(names)), "query-repeat")
+        )
+
+    return bind(url_parts(value), judge)
 
 
 def _pair_known(pair: Column, rules: Mapping[str, str]) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalogspark.functions.canon import limb_digest, limb_sums
-from catalogspark.scale import neighbours, with_scalars
+from catalogspark.scale import explode_rows, neighbours, with_scalars
 
 
 def not_increasing(df: DataFrame, keys: Sequence[str], position: str, value: str) -> DataFrame:
@@ -56,7 +56,7 @@ def page_problems(facts: DataFrame, page: str, page_size: int) -> DataFrame:
         ("repeated-page", (F.col("_same") > 1) & (F.col(page) > F.col("_first"))),
     ]
     hits = F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in checks]))
-    return joined.select(page, F.explode(hits).alias("problem"))
+    return explode_rows(joined, [page], hits, "problem")
 
 
 def cross_page_duplicates(items: DataFrame, page: str, item: str) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalogspark.functions.canon import canonical_field, row_digest
+from catalogspark.scale import explode_rows
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -77,7 +78,7 @@ def diff_rows(
 
 def diff_fields(diff: DataFrame, key: str) -> DataFrame:
     """One row per changed field with its value before and after."""
-    return diff.select(key, F.explode("changes").alias("c")).select(key, "c.field", "c.before", "c.after")
+    return explode_rows(diff, [key], "changes", "c").select(key, "c.field", "c.before", "c.after")
 
 
 def diff_counts(diff: DataFrame) -> DataFrame:
@@ -85,7 +86,7 @@ def diff_counts(diff: DataFrame) -> DataFrame:
     names = F.concat(F.array(F.concat(F.lit("action:"), F.col("action"))),
                      F.transform("changed_fields", lambda f: F.concat(F.lit("field:"), f)))
     return (
-        diff.select(F.explode(names).alias("measure")).groupBy("measure").agg(F.count(F.lit(1)).alias("rows"))
+        explode_rows(diff, [], names, "measure").groupBy("measure").agg(F.count(F.lit(1)).alias("rows"))
     )
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from catalogspark.functions.canon import plain_decimal
+from catalogspark.scale import explode_rows
 
 
 def _kebab(name: str) -> str:
@@ -35,8 +36,8 @@ def flatten_paths(df: DataFrame, key: str, facts: str) -> DataFrame:
 
     A limit on the number of facts is a contract, not a cut: see :func:`too_many_paths`.
     """
-    rows = F.explode(_leaves(df.schema[facts].dataType, F.col(facts), F.lit(None).cast("string")))
-    flat = df.select(key, rows.alias("r")).select(key, "r.path", "r.value")
+    leaves = _leaves(df.schema[facts].dataType, F.col(facts), F.lit(None).cast("string"))
+    flat = explode_rows(df, [key], leaves, "r").select(key, "r.path", "r.value")
     return flat.where("value <> ''").withColumn("value_sha256", F.sha2("value", 256))
 
 

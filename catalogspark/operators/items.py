@@ -11,6 +11,7 @@ from catalogspark.functions.safety import safe_text, url_policy
 from catalogspark.functions.text import squeeze
 from catalogspark.functions.typed import plausible_year, timestamp_of, timestamp_problem
 from catalogspark.functions.units import UNIT_WORDS, parse_package, unit_code
+from catalogspark.scale import explode_rows
 from catalogspark.operators.prices import count_or_problem, market_range, previous_price, release_fact
 
 MONEY = "decimal(20,8)"
@@ -65,7 +66,7 @@ def normalize_items(raw: DataFrame, key: str, currency: str, units: Mapping[str,
 
 def diagnostic_report(items: DataFrame, diagnostics: str = "diagnostics") -> DataFrame:
     """Items per diagnostic."""
-    return items.select(F.explode(diagnostics).alias("code")).groupBy("code").agg(F.count(F.lit(1)).alias("items"))
+    return explode_rows(items, [], diagnostics, "code").groupBy("code").agg(F.count(F.lit(1)).alias("items"))
 
 
 def build_origins(cards: DataFrame, key: str, cities: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalogspark.functions.text import alias_locale, canonical_locale
-from catalogspark.scale import literal_table
+from catalogspark.scale import explode_rows, literal_table
 
 #: Fallback order after the locale itself and its aliases.
 FALLBACKS = ("en", "ru", "zh")
@@ -59,7 +59,7 @@ def missing_locales(df: DataFrame, key: str, lang: str, required: Sequence[str])
     """Required locales a key lacks, one row each. The set per key is bounded by the number of locales."""
     wanted = F.array(*[F.lit(r.lower()) for r in required])
     have = df.groupBy(key).agg(F.collect_set(F.lower(F.trim(F.col(lang)))).alias("_have"))
-    return have.select(key, F.explode(F.array_except(wanted, "_have")).alias("locale"))
+    return explode_rows(have, [key], F.array_except(wanted, "_have"), "locale")
 
 
 def duplicate_locales(df: DataFrame, key: str, lang: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from catalogspark.functions.canon import observation_key
 from catalogspark.functions.typed import divide_half_up, plain_number_text
 from catalogspark.functions.units import basis_in_package, price_steps
+from catalogspark.scale import explode_rows
 
 
 def price_observations(items: DataFrame, key: str) -> DataFrame:
@@ -22,7 +23,7 @@ def price_observations(items: DataFrame, key: str) -> DataFrame:
     exact = F.col("package.is_exact")
     steps = F.when(exact, price_steps(F.col("package.components"), F.col("basis")))
     source = F.struct(F.col("basis").alias("unit"), F.lit(1).cast("decimal(38,0)").alias("divisor"))
-    rows = priced.withColumn("_o", F.explode(F.concat(F.array(source), F.coalesce(steps, F.array()))))
+    rows = explode_rows(priced, ["*"], F.concat(F.array(source), F.coalesce(steps, F.array())), "_o")
     derived = F.col("_o.unit") != F.col("basis")
     amount = F.when(derived, divide_half_up(F.col("amount"), F.col("_o.divisor"))).otherwise(F.col("amount").cast("decimal(28,8)"))
     return rows.select(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from catalogspark.functions.text import IDEOGRAPHS, name_key
 from catalogspark.functions.typed import decimal_places
+from catalogspark.scale import explode_rows
 
 
 @dataclass
@@ -33,7 +34,8 @@ def findings(df: DataFrame, key: str, rules: Sequence[RowRule], blocking: Column
             (F.lit(r.message) if isinstance(r.message, str) else r.message).alias("message")))
 
     block = F.lit(False) if blocking is None else F.coalesce(blocking, F.lit(False))
-    hits = df.select(F.col(key).cast("string").alias("entity"), block.alias("blocking"), F.explode(F.array_compact(F.array(*[one(r) for r in rules]))).alias("f"))
+    broken = F.array_compact(F.array(*[one(r) for r in rules]))
+    hits = explode_rows(df, [F.col(key).cast("string").alias("entity"), block.alias("blocking")], broken, "f")
     return hits.select("entity", "f.rule", "f.field", "f.locale", "blocking", "f.message")
 
 

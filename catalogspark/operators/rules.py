@@ -17,14 +17,16 @@ from catalogspark.functions.text import bind, word
 from catalogspark.scale import literal_table
 
 MAX_RULES = 5000
+#: From this many word rules on, splitting a text into words once beats one pattern pass per rule (measured).
+WORD_SET_RULES = 12
 
 
 @dataclass(frozen=True)
 class Rule:
     """``code`` applies when any pattern matches or any word occurs, and the gate rule (if any) applies too.
 
-    ``words`` are single ASCII words. The words of a text are split once for all rules, so a long rule book of
-    words costs one pass over the text; patterns cost one pass each.
+    ``words`` are single ASCII words. In a short rule book they become one pattern per rule; in a long one the
+    words of a text are split once for all rules, so that the book costs one pass over the text.
     """
 
     code: str
@@ -49,13 +51,14 @@ def ascii_words(text: Column) -> Column:
     return F.array_distinct(F.split(text, "[^A-Za-z0-9_]+"))
 
 
-def _hit(text: Column, words: Column, rule: Rule) -> Column:
+def _hit(text: Column, words: Column | None, rule: Rule) -> Column:
+    patterns = [f"(?:{p})" for p in rule.patterns]
     hit = F.lit(False)
-    if rule.words:
+    if rule.words and words is not None:
         hit = F.arrays_overlap(words, F.array(*[F.lit(w) for w in rule.words]))
-    if rule.patterns:
-        hit = hit | text.rlike("|".join(f"(?:{p})" for p in rule.patterns))
-    return hit
+    elif rule.words:
+        patterns.append(word("|".join(rule.words)))
+    return hit | text.rlike("|".join(patterns)) if patterns else hit
 
 
 def labels(text: Column | str, book: Sequence[Rule]) -> Column:
@@ -67,8 +70,9 @@ def labels(text: Column | str, book: Sequence[Rule]) -> Column:
         gate = lambda r: hits[at[r.code]] & hits[at[r.requires]] if r.requires else hits[at[r.code]]
         return F.array_distinct(F.array_compact(F.array(*[F.when(gate(r), r.code) for r in book])))
 
-    words = ascii_words(text) if any(r.words for r in book) else F.array().cast("array<string>")
-    return bind(words, lambda w: bind(F.array(*[_hit(text, w, r) for r in book]), applied))
+    if sum(bool(r.words) for r in book) < WORD_SET_RULES:
+        return bind(F.array(*[_hit(text, None, r) for r in book]), applied)
+    return bind(ascii_words(text), lambda w: bind(F.array(*[_hit(text, w, r) for r in book]), applied))
 
 
 def strip_contrast(text: Column | str, phrases: Sequence[str] = ("unlike", "as opposed to", "in contrast to", "rather than")) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from catalogspark.functions.canon import as_col, row_digest
 from catalogspark.functions.text import bounded_code
 from catalogspark.functions.typed import duration_seconds, list_json, range_problem, safe_boolean, value_problem
+from catalogspark.scale import explode_rows
 
 #: Types whose attributes can be filtered and compared by default.
 FILTERABLE = ("Option", "Number", "Range", "Boolean", "List")
@@ -66,7 +67,7 @@ def boolean_spec(attribute: str, value: Column, order: int) -> Column:
 
 def build_specs(df: DataFrame, key: str, specs: Sequence[Column]) -> DataFrame:
     """All specifications of a row, one row each, in one pass over the table."""
-    return df.select(key, F.explode(F.array_compact(F.array(*specs))).alias("s")).select(key, "s.*")
+    return explode_rows(df, [key], F.array_compact(F.array(*specs)), "s").select(key, "s.*")
 
 
 def merge_definitions(observations: DataFrame, code: str, invariants: Sequence[str], order: str) -> DataFrame:

@@ -167,10 +167,10 @@ def bundle_identity(spark, sf):
     return K.bundle_identity({"nations": table(spark, sf, "nation").select("n_nationkey", "n_name"), "customers": table(spark, sf, "customer").select("c_custkey", "c_name")})
 
 
-@query("J19", """select 'items' as fact, 2::bigint as distinct_values, least(a, b)::varchar as lowest, greatest(a, b)::varchar as highest from (select (select count(*) from customer) a, (select count(distinct o_custkey) from orders) b) where a <> b""")
+@query("J19", """select 'items' as fact, 2::bigint as distinct_values, least(a, b)::varchar as lowest, greatest(a, b)::varchar as highest from (select (select count(*) from customer) a, (select count(distinct o_custkey) from orders where o_orderstatus = 'P') b) where a <> b""")
 def stage_disagreements(spark, sf):
     customers = table(spark, sf, "customer").agg(F.count(F.lit(1)).alias("items")).withColumn("snapshot", F.lit("run-1"))
-    buyers = table(spark, sf, "orders").agg(F.count_distinct("o_custkey").alias("items")).withColumn("snapshot", F.lit("run-1"))
+    buyers = table(spark, sf, "orders").where("o_orderstatus = 'P'").agg(F.count_distinct("o_custkey").alias("items")).withColumn("snapshot", F.lit("run-1"))
     return K.stage_disagreements(customers.unionByName(buyers), ["snapshot", "items"])
 
 

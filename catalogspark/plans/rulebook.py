@@ -41,7 +41,7 @@ def gated_rule_labels(spark, sf):
 @query("R1", f"""select label, count(*) as docs from (select unnest(string_split({_labels_sql(gated=False)}, ',')) as label from documents) where label <> '' group by 1""")
 def rule_labels(spark, sf):
     open_book = [R.Rule(r.code, r.patterns, words=r.words) for r in BOOK]
-    d = texts(spark, sf).select(F.explode(R.labels("text", open_book)).alias("label"))
+    d = texts(spark, sf).select(F.explode_outer(R.labels("text", open_book)).alias("label")).where("label is not null")
     return d.groupBy("label").agg(F.count(F.lit(1)).alias("docs"))
 
 
@@ -88,7 +88,7 @@ def structured_beats_inferred(spark, sf):
 def cross_facet_codes(spark, sf):
     size = F.when(F.col("p_size") > 25, "big").otherwise("small")
     pairs = {("ECONOMY", "big"): ["FAM-1", "BIG"], ("PROMO", "big"): ["FAM-2"], ("PROMO", "small"): ["FAM-3"]}
-    return table(spark, sf, "part").select("p_partkey", F.explode(R.cross_facets(F.col("p_type"), size, pairs)).alias("code"))
+    return table(spark, sf, "part").select("p_partkey", F.explode_outer(R.cross_facets(F.col("p_type"), size, pairs)).alias("code")).where("code is not null")
 
 
 TYPES = {"ECONOMY": "CAT-ECO", "STANDARD": "CAT-STD", "PROMO": "CAT-PROMO"}

@@ -167,5 +167,5 @@ def diagnostic_counts(spark, sf):
     raw = F.array_compact(F.array(
         F.when(F.length("text") > 4000, "SRC_TOO_LONG"), F.when(F.col("lang") != "en", "SRC_NOT_ENGLISH"),
         F.when(F.length("text") < 50, "SRC_TOO_SHORT"), F.when(F.col("lang") != "en", "not_english")))
-    d = texts(spark, sf).select(F.explode(X.diagnostic_codes(raw, "SRC")).alias("code"))
+    d = texts(spark, sf).select(F.explode_outer(X.diagnostic_codes(raw, "SRC")).alias("code")).where("code is not null")
     return d.groupBy("code").agg(F.count(F.lit(1)).alias("uses"))

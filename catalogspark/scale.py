@@ -48,6 +48,15 @@ def literal_table(spark: SparkSession, columns: Sequence[str], rows: Sequence[tu
     return spark.range(1).select(F.inline(F.array(*structs)))
 
 
+def explode_rows(df: DataFrame, keep: Sequence[Column | str], array: Column | str, name: str) -> DataFrame:
+    """One row per non-NULL element of a computed array, next to the kept columns.
+
+    A plain explode makes the optimizer add size and NULL filters that repeat the array expression below the
+    generator; the outer form evaluates it once, and the filter stays above.
+    """
+    return df.select(*keep, F.explode_outer(array).alias(name)).where(F.col(name).isNotNull())
+
+
 def with_scalars(df: DataFrame, *one_row: DataFrame) -> DataFrame:
     """Add the columns of one-row results (totals, digests, counts) as scalar subqueries: no join at all."""
     out = df

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from catalogspark.scale import explode_rows
+
 #: Leading bytes of image types.
 MAGIC = {"png": "89504E470D0A1A0A", "jpg": "FFD8FF", "gif": "47494638"}
 
@@ -45,5 +47,5 @@ def cross_check(records: DataFrame, files: DataFrame, path: str) -> DataFrame:
 
 def token_check(texts: DataFrame, text: str, pattern: str, known: DataFrame, name: str) -> DataFrame:
     """Inline tokens in texts that no record defines."""
-    used = texts.select(F.explode(F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(1))).alias(name))
+    used = explode_rows(texts, [], F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(1)), name)
     return used.groupBy(name).agg(F.count(F.lit(1)).alias("uses")).join(known.select(name).distinct(), name, "left_anti")

@@ -39,5 +39,6 @@ def visible_text(html: Column) -> Column:
 def list_items(pages: DataFrame, key: str, html: str, pattern: str, page_size: int) -> DataFrame:
     """Items of list pages: (page, slot, item), with a flag for pages that list more than they may."""
     items = F.regexp_extract_all(F.col(html), F.lit(pattern), F.lit(1))
-    rows = pages.select(key, F.posexplode(items).alias("slot", "item"), (F.size(items) > page_size).alias("over_full"))
-    return rows
+    listed = pages.select(key, items.alias("_items"))
+    rows = listed.select(key, F.posexplode_outer("_items").alias("slot", "item"), (F.size("_items") > page_size).alias("over_full"))
+    return rows.where("item is not null")

@@ -78,7 +78,7 @@ def field_refs(nested: DataFrame, sections: str) -> DataFrame:
     """Distinct (section, field) pairs in a ``map<section, map<field, …>>`` column."""
     return (
         nested.select(F.explode(sections).alias("section", "fields"))
-        .select("section", F.explode(F.map_keys("fields")).alias("field"))
+        .select("section", F.explode_outer(F.map_keys("fields")).alias("field")).where("field is not null")
         .distinct()
     )
 

@@ -57,6 +57,8 @@ def test_rule_order_gates_and_contrast(spark):
     book = [R.Rule("B", (R.word("bee"),)), R.Rule("A", words=("ant", "ants")), R.Rule("A2", (R.word("red ant"),), requires="A")]
     assert one(spark, lambda c: R.labels(c, book), "a red ant and a bee") == ["B", "A", "A2"]
     assert one(spark, lambda c: R.labels(c, book), "a red antler") == []
+    long_book = book + [R.Rule(f"W{i}", words=(f"w{i}",)) for i in range(R.WORD_SET_RULES)]
+    assert one(spark, lambda c: R.labels(c, long_book), "w3, a red ant and a bee w0") == ["B", "A", "A2", "W0", "W3"]
     assert one(spark, R.strip_contrast, "like this, unlike that") == "like this,"
 
 
