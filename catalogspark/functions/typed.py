@@ -21,6 +21,11 @@ def timestamp_of(value: Column | str) -> Column:
     return F.when(text.rlike(r"^\d{1,16}$"), F.timestamp_millis(text.try_cast("bigint"))).otherwise(F.try_to_timestamp(text))
 
 
+def utc_text(value: Column | str) -> Column:
+    """Instant as UTC text, whatever the session time zone is."""
+    return F.date_format(F.to_utc_timestamp(as_col(value), F.current_timezone()), "yyyy-MM-dd HH:mm:ss")
+
+
 def timestamp_problem(value: Column | str) -> Column:
     """Diagnostic for a value that is present but is no timestamp."""
     return F.when(as_col(value).isNotNull() & timestamp_of(value).isNull(), "timestamp-invalid")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from catalogspark.scale import number_rows
+from catalogspark.scale import number_rows, pinned
 
 
 def canonical_path(url: Column) -> Column:
@@ -31,7 +31,7 @@ def ordered_media(images: DataFrame, owner: str, sha: str, order: Sequence[str],
     """One row per (owner, content) in order, numbered; the chosen cover leads, its copy in the gallery is dropped."""
     lead = F.lit(0) if cover is None else F.when(F.coalesce(cover, F.lit(False)), 0).otherwise(1)
     best = images.groupBy(owner, sha).agg(F.min(F.struct(lead.alias("_lead"), *order)).alias("_b"), F.count(F.lit(1)).alias("copies"))
-    flat = best.select(owner, sha, "copies", "_b.*")
+    flat = pinned(best.select(owner, sha, "copies", "_b.*"))  # counted for hot owners, then numbered
     numbered = number_rows(flat, [owner], ["_lead", *order, sha], "media_order")
     return numbered.select(owner, sha, *order, "copies", "media_order", (F.col("media_order") == 1).alias("is_cover"))
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalogspark.operators.diff import missing_keys
-from catalogspark.scale import number_rows
+from catalogspark.scale import number_rows, pinned
 
 
 def dedupe_keep_last(df: DataFrame, keys: Sequence[str], position: str, values: Sequence[str]) -> DataFrame:
@@ -53,7 +53,11 @@ def _struct_of(df: DataFrame, values: Sequence[str]):
 
 
 def append_positions(merged: DataFrame, parent: str, keys: Sequence[str], position: str) -> DataFrame:
-    """Rows with a baseline position ``bp`` keep it; the others get max(bp) + 1, 2, … in order of ``gp``."""
+    """Rows with a baseline position ``bp`` keep it; the others get max(bp) + 1, 2, … in order of ``gp``.
+
+    The merged rows are used three times, so they are pinned once instead of being merged again.
+    """
+    merged = pinned(merged)
     last = merged.groupBy(F.col(parent).alias("_p")).agg(F.coalesce(F.max("bp"), F.lit(0)).alias("_last"))
     fresh = number_rows(merged.where("bp is null"), [parent], ["gp", *keys], "_n")
     placed = fresh.join(last, F.col(parent) == F.col("_p"), "left").withColumn(position, F.col("_last") + F.col("_n"))

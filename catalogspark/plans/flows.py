@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalogspark.functions.text import excerpt, first_heading
+from catalogspark.functions.typed import utc_text
 from catalogspark.operators import artifact as A
 from catalogspark.operators import audit as U
 from catalogspark.operators import diff as D
 from catalogspark.operators import items as I
 from catalogspark.plans.derived import PART_SQL, part_baseline, part_desired, table, texts
 from catalogspark.plans.registry import query
-from catalogspark.scale import number_rows, work_dir
+from catalogspark.scale import number_rows, pinned, work_dir
 from catalogspark.sinks import manifest as K
 from catalogspark.sources import readers as R
 
@@ -51,7 +52,7 @@ ITEM_SQL = """i as (select *, p_size s, p_type k, cast(p_retailprice as decimal(
 def item_observations(spark, sf):
     items = I.normalize_items(_raw(spark, sf), "p_partkey", "CNY", UNITS, hosts=("img.example.com",))
     return items.select(
-        "p_partkey", "name", "brand", "description", "year", "image", "basis", F.date_format("updated_at", "yyyy-MM-dd HH:mm:ss").alias("updated_at"),
+        "p_partkey", "name", "brand", "description", "year", "image", "basis", utc_text("updated_at").alias("updated_at"),
         F.col("amount").cast("string").alias("amount"), F.col("previous_amount").cast("decimal(20,8)").cast("string").alias("previous_amount"),
         F.col("range_high").cast("decimal(20,8)").cast("string").alias("range_high"), "release_amount", "demand", "supply",
         F.array_join("diagnostics", ",").alias("diagnostics"))
@@ -152,7 +153,7 @@ def faq_entries(spark, sf):
     """Question and answer pairs of a conversation, numbered 1..n."""
     pairs, _ = U.pair_adjacent(table(spark, sf, "conversations"), "conv_id", "turn", "role", "text", "user", "assistant")
     hashed = pairs.select("conv_id", "turn", F.sha2("question", 256).alias("question_sha"), F.sha2("answer", 256).alias("answer_sha"))
-    return number_rows(hashed, ["conv_id"], ["turn"], "position").drop("turn")
+    return number_rows(pinned(hashed), ["conv_id"], ["turn"], "position").drop("turn")
 
 
 @query("K12 M18", """with t as (select doc_id, lang, source, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(coalesce(list_filter(regexp_split_to_array(text, chr(10) || '\\s*' || chr(10)), lambda b: trim(b) <> '' and not regexp_matches(trim(b), '^#|^[-*]\\s|^`'))[1], ''),

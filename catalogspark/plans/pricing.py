@@ -184,10 +184,10 @@ def number_forms(spark, sf):
 @query("F22 F23", """select o_orderkey, case o_orderstatus when 'P' then null else strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') end as at,
  case o_orderstatus when 'P' then 'timestamp-invalid' end as problem, case when o_orderpriority = '5-LOW' then null else year(o_orderdate)::int end as year from orders""")
 def dates_from_text(spark, sf):
-    ts = F.col("o_orderdate").cast("timestamp")
-    raw = (F.when(F.col("o_orderstatus") == "F", F.unix_millis(ts).cast("string"))
-           .when(F.col("o_orderstatus") == "O", F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'")).otherwise("soon"))
+    iso = F.concat(F.regexp_replace(F.col("o_orderdate").cast("string"), " ", "T"), F.lit("Z"))
+    raw = (F.when(F.col("o_orderstatus") == "F", F.unix_millis(F.to_timestamp(iso)).cast("string"))
+           .when(F.col("o_orderstatus") == "O", iso).otherwise("soon"))
     label = F.concat(F.lit("vintage "), F.when(F.col("o_orderpriority") == "5-LOW", "1234").otherwise(F.year("o_orderdate").cast("string")), F.lit("年"))
     return table(spark, sf, "orders").select(
-        "o_orderkey", F.date_format(T.timestamp_of(raw), "yyyy-MM-dd HH:mm:ss").alias("at"), T.timestamp_problem(raw).alias("problem"),
+        "o_orderkey", T.utc_text(T.timestamp_of(raw)).alias("at"), T.timestamp_problem(raw).alias("problem"),
         T.plausible_year(label).alias("year"))

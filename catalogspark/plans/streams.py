@@ -20,7 +20,7 @@ def _landed(spark, df, files: int, times: int = 1):
 
 
 def _events(spark, sf):
-    return table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    return table(spark, sf, "events")
 
 
 @query("T1 T2", "select event_type, count(*) as n, count(distinct user_id) as users, max(event_id) as last_id from events where value is not null group by 1")
@@ -67,11 +67,12 @@ def batched_apply(spark, sf):
 select c.day, c.n, p.n as previous, coalesce(p.n - c.n > p.n * 0.05 or c.n > p.n * 1.05, false) as drifted from c left join c p on p.day = c.day - 1""")
 def windowed_count_drift(spark, sf):
     """Daily windows that the watermark has closed, each against the day before (the last day is still open)."""
-    events = _events(spark, sf).select("event_id", "ts")
+    instant = F.from_utc_timestamp(F.col("ts").cast("timestamp"), F.current_timezone())  # wall clock read as UTC
+    events = _events(spark, sf).select("event_id", instant.alias("ts"))
     source = work_dir(spark, "landed")
     events.coalesce(1).write.parquet(source)
     target = work_dir(spark, "windows")
     I.windowed_counts(spark, source, events.schema, target, work_dir(spark, "checkpoint"), "ts", [], "1 day", "1 minute")
     days = spark.read.schema("window_start timestamp, n long").parquet(target).select(
-        F.date_diff(F.to_date("window_start"), F.lit("2024-01-01").cast("date")).alias("day"), "n")
+        F.date_diff(F.to_date(F.to_utc_timestamp("window_start", F.current_timezone())), F.lit("2024-01-01").cast("date")).alias("day"), "n")
     return count_drift(days, "day", "n", max_drop=0.05, max_growth=1.05)

@@ -13,7 +13,7 @@ from catalogspark.scale import with_scalars
 from catalogspark.sources.blobs import read_files
 
 
-def write_records(df: DataFrame, path: str, category: str, per_file: int = 1_000_000) -> None:
+def write_records(df: DataFrame, path: str, category: str, per_file: int = 250_000) -> None:
     """Records as JSON lines under one folder per category; the category also stays in the record.
 
     Rows are range-partitioned by category and a hash of the row, so a category that holds most rows is

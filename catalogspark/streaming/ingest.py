@@ -56,13 +56,16 @@ def idempotent_import(
     def handle(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         fresh = batch.groupBy(key).agg(F.min_by(F.struct(*rest), order).alias("_r")).select(key, "_r.*")
-        fresh = fresh.withColumn("bucket", key_bucket(key, buckets).cast("int"))
+        fresh = fresh.withColumn("bucket", key_bucket(key, buckets).cast("int")).persist()
         if batch_id > 0:
             present = [r.bucket for r in fresh.select("bucket").distinct().collect()]  # at most `buckets` numbers
             known = session.read.schema(f"`{key}` string, bucket int, batch long").option("basePath", keys_dir).parquet(keys_dir)
             known = known.where(F.col("bucket").isin(present) & (F.col("batch") < batch_id)).select(key)
-            fresh = fresh.join(known, key, "left_anti")
-        fresh.drop("bucket").write.mode("overwrite").parquet(f"{target}/rows/batch={batch_id}")
+            new = fresh.join(known, key, "left_anti")
+        else:
+            new = fresh
+        new.drop("bucket").write.mode("overwrite").parquet(f"{target}/rows/batch={batch_id}")
+        fresh.unpersist()
         stored = session.read.parquet(f"{target}/rows/batch={batch_id}")
         stored.select(key, key_bucket(key, buckets).cast("int").alias("bucket")).write.mode("overwrite").partitionBy("bucket").parquet(f"{keys_dir}/batch={batch_id}")
 
