@@ -245,7 +245,7 @@ def fact_sheet_lines(spark, sf):
         "prices": [("retail", F.col("p_retailprice").cast("decimal(20,2)"))]})
 
 
-@query("J27", """with m as (select p_partkey code, case when p_size > 10 then p_size end obs from part), o as (select s_suppkey obs, s_name observed from supplier), f as (select l_suppkey obs, count(*) media_files from lineitem where l_quantity > 40 group by 1)
+@query("J27", """with m as (select p_partkey code, case when p_size > 10 then p_size::bigint end obs from part), o as (select s_suppkey obs, s_name observed from supplier), f as (select l_suppkey obs, count(*) media_files from lineitem where l_quantity > 40 group by 1)
 select m.code, m.obs, o.observed, coalesce(f.media_files, 0) as media_files, p_name as name from part join m on code = p_partkey left join o using (obs) left join f using (obs)""")
 def context_join(spark, sf):
     p = table(spark, sf, "part")

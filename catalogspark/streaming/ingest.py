@@ -67,7 +67,9 @@ def idempotent_import(
         new.drop("bucket").write.mode("overwrite").parquet(f"{target}/rows/batch={batch_id}")
         fresh.unpersist()
         stored = session.read.parquet(f"{target}/rows/batch={batch_id}")
-        stored.select(key, key_bucket(key, buckets).cast("int").alias("bucket")).write.mode("overwrite").partitionBy("bucket").parquet(f"{keys_dir}/batch={batch_id}")
+        slim = stored.select(key, key_bucket(key, buckets).cast("int").alias("bucket"))
+        # keys are unique and hashed, so buckets are even: one file per bucket instead of one per task and bucket
+        slim.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{keys_dir}/batch={batch_id}")
 
     _run(_read(spark, source, schema, files_per_batch), handle, checkpoint)
 
