@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalogspark.llm import bin_completion, label_shards, length_histogram, temperature_mix
+from catalogspark.llm import (
+    bin_completion, bottomk_dedup, katz_lm, label_shards, length_histogram, licence_scan, norm_topk, ordinal_toxicity, subspace_join, temperature_mix,
+)
 from catalogspark.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +28,44 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+@query("""
+with recursive n as (select vec_id, [x::double for x in embedding] v from embeddings
+  where embedding is not null and vec_id is not null and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
+u as (select vec_id, v, sqrt(list_sum([x * x for x in v])) l from n where list_sum([x * x for x in v]) > 0),
+p as (select a.vec_id a, b.vec_id b from u a join u b on a.vec_id <> b.vec_id and len(a.v) = len(b.v)
+  where list_dot_product(a.v, b.v) / (a.l * b.l) >= 0.95),
+r as (select a node, b other from p union select r.node, p.b from r join p on r.other = p.a),
+c as (select node, least(node, min(other)) component from r group by node),
+d as (select a, count(*) n from p group by a)
+select e.vec_id, coalesce(d.n, 0)::bigint n_links, coalesce(c.component, e.vec_id) component_id, coalesce(c.component, e.vec_id) = e.vec_id kept
+from embeddings e left join d on d.a = e.vec_id left join c on c.node = e.vec_id
+""")
+def op1_subspace_vector_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subspace_join.link_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op2_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = ordinal_toxicity.score(docs, ordinal_toxicity.train(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", "toxicity.probability", F.col("toxicity.severity").alias("expected_severity"), "toxicity.grade", "toxicity.toxic")
+
+
+@query("""
+with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ \t-\r]+') w from documents),
+g as (select distinct doc_id, unnest(case when len(w) = 0 then [] when len(w) = 1 then [w[1]] else [w[i] || ' ' || w[i + 1] for i in range(1, len(w))] end) s from w),
+n as (select doc_id, count(*) n from g group by doc_id),
+i as (select a.doc_id a, b.doc_id b, count(*) k from g a join g b on a.s = b.s and a.doc_id <> b.doc_id group by all),
+p as (select a, b from i join n x on x.doc_id = a join n y on y.doc_id = b where 100 * k >= 80 * (x.n + y.n - k)),
+r as (select a node, b other from p union select r.node, p.b from r join p on r.other = p.a),
+c as (select node, least(node, min(other)) component from r group by node)
+select d.doc_id, coalesce(n.n, 0)::bigint n_shingles, coalesce(c.component, d.doc_id) component_id, coalesce(c.component, d.doc_id) = d.doc_id kept
+from documents d left join n on n.doc_id = d.doc_id left join c on c.node = d.doc_id
+""")
+def op3_bottomk_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bottomk_dedup.deduplicate(table(spark, sf_dir, "documents"), width=2)
+
+
 @query()
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bin_completion.pack(table(spark, sf_dir, "documents"))
@@ -37,6 +77,24 @@ def op5_label_propagation_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "group_size")
 
 
+@query()
+def op6_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 1
+    return katz_lm.score_documents(table(spark, sf_dir, "documents"), held_out)
+
+
+@query("""
+with n as (select vec_id, [floor(1024 * x::double)::bigint for x in embedding] v from embeddings
+  where vec_id is not null and embedding is not null and len(embedding) > 0 and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
+p as (select q.vec_id query_id, c.vec_id, list_dot_product(q.v::double[], c.v::double[])::bigint score
+  from n q join n c on q.vec_id % 100 = 0 and c.vec_id <> q.vec_id and len(q.v) = len(c.v)),
+r as (select query_id, row_number() over (partition by query_id order by score desc, vec_id)::int "rank", vec_id, score from p)
+select query_id, "rank", vec_id, score from r where "rank" <= 10
+""")
+def op7_norm_sorted_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return norm_topk.top_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 @query("""
 with d as (select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^ \\t-\\r]+'))::bigint n_tokens from documents),
 s as (select source, sum(n_tokens)::bigint n, sum(n_tokens)::double / (select sum(n_tokens) from d) share from d group by source),
@@ -55,6 +113,14 @@ def op8_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "source", "mix.n_tokens", F.round("mix.weight", 9).alias("weight"), "mix.epoch", "mix.block", "mix.place")
 
 
+@query()
+def op9_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licence_scan.scan_licences(table(spark, sf_dir, "documents"))
+    families = F.array_join(F.array_sort(F.array_distinct(F.col("licences.family"))), ",")
+    return found.select("doc_id", F.size("licences").alias("n_notices"), families.alias("families"), F.array_max(F.col("licences.probability")).alias("probability"),
+                        F.array_max(F.col("licences.template_share")).alias("template_share"), F.col("licences"))
+
+
 @query()
 def op10_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return length_histogram.length_report(table(spark, sf_dir, "documents"), limits=[2**k for k in range(7, 18)])

@@ -59,6 +59,25 @@ def numbered(df: DataFrame, keys: Sequence[str], first: Sequence[Column], then:
     )
 
 
-def plain_columns(df: DataFrame, keep: Sequence[str]) -> DataFrame:
-    """Only the named columns; a missing one is an error at once, extra ones are ignored."""
-    return df.select(*[df[c] for c in keep])
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until no column of ``df`` has it (whatever its case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def renamed(df: DataFrame) -> DataFrame:
+    """The columns as c0, c1, ...: operators that carry whole rows can then use any names beside them."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+
+
+def named_back(like: DataFrame) -> list[Column]:
+    """c0, c1, ... under the names they have in ``like``."""
+    return [F.col(f"c{i}").alias(c) for i, c in enumerate(like.columns)]
+
+
+def place_of(df: DataFrame, name: str) -> str:
+    """The name ``renamed`` gives to a column."""
+    lower = [c.lower() for c in df.columns]
+    return f"c{df.columns.index(name) if name in df.columns else lower.index(name.lower())}"

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from catalogspark.llm.shared import stored
+from catalogspark.llm.shared import named_back, place_of, renamed, stored
 
 #: Blocks of a permutation: the leading hex digits of the row's hash, 16 ** 3 blocks.
 BLOCK_DIGITS = 3
@@ -86,25 +86,26 @@ def source_plan(shares: DataFrame, alpha: float, budget_tokens: int | None = Non
 
 def mix(
     docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text", repetition_limit: float | None = 2.0,
-    target_entropy: float | None = None, budget_tokens: int | None = None,
+    target_entropy: float | None = None, budget_tokens: int | None = None, into: str = "mix",
 ) -> DataFrame:
-    """The mixed corpus: every column of ``docs`` once per reading, and a struct ``mix`` that tells the reading.
+    """The mixed corpus: every column of ``docs`` once per reading, and a struct ``into`` that tells the reading.
 
-    ``mix`` holds n_tokens, weight, epoch, and the place in the epoch's permutation: block, then the row's hash.
+    It holds n_tokens, weight, epoch, and the place in the epoch's permutation: block, then the row's hash.
     """
-    sized = docs.select("*", text_tokens(docs[text]).alias("_tokens"))
-    facts = stored(sized.select(docs[source].alias("_source"), "_tokens"), "source-tokens")
+    row_id, body, origin = (place_of(docs, c) for c in (doc_id, text, source))
+    sized = renamed(docs).select("*", text_tokens(F.col(body).cast("string")).alias("_tokens"), F.xxhash64(F.col(body).cast("string")).alias("_tie"))
+    facts = stored(sized.select(F.col(origin).alias("_source"), "_tokens"), "source-tokens")
     shares = stored(source_shares(facts, "_tokens", "_source"), "source-shares")
     plan = stored(source_plan(shares, fit_exponent(shares, repetition_limit, target_entropy), budget_tokens), "source-plan")
     plan = plan.select(F.struct("source").alias("_key"), F.struct("weight", "whole_epochs", "rest_tokens").alias("_plan"))
-    joined = sized.select("*", F.struct(docs[source].alias("source")).alias("_of")).join(plan, F.col("_of").eqNullSafe(F.col("_key")))
-    epoch = lambda df, e: df.select("*", e.alias("_epoch")).select("*", _order(doc_id).alias("_hash")).select("*", F.substring("_hash", 1, BLOCK_DIGITS).alias("_block"))
+    joined = sized.select("*", F.struct(F.col(origin).alias("source")).alias("_of")).join(plan, F.col("_of").eqNullSafe(F.col("_key")))
+    epoch = lambda df, e: df.select("*", e.alias("_epoch")).select("*", _order(row_id).alias("_hash")).select("*", F.substring("_hash", 1, BLOCK_DIGITS).alias("_block"))
     whole = epoch(joined.where("_plan.whole_epochs > 0"), F.explode(F.sequence(F.lit(0), F.col("_plan.whole_epochs") - 1)))
     part = epoch(joined.where("_plan.rest_tokens > 0"), F.col("_plan.whole_epochs"))
     sizes = part.groupBy("_of", "_block").agg(F.sum("_tokens").alias("_n"), F.first("_plan.rest_tokens").alias("_rest"))
     before = Window.partitionBy("_of").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)  # at most 16 ** 3 rows a source
     offsets = sizes.select("_of", "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")).where(F.col("_before") < F.col("_rest"))
-    inside = Window.partitionBy("_of", "_block").orderBy("_hash", doc_id, "_tokens", F.xxhash64(text)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = Window.partitionBy("_of", "_block").orderBy("_hash", row_id, "_tokens", "_tie").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     part = (
         part.join(offsets.select(F.col("_of").alias("_o"), F.col("_block").alias("_b"), "_before"), F.col("_of").eqNullSafe(F.col("_o")) & (F.col("_block") == F.col("_b")))
         .select("*", (F.col("_before") + F.sum("_tokens").over(inside)).alias("_to"))
@@ -112,7 +113,7 @@ def mix(
         .select(whole.columns)
     )
     told = F.struct(F.col("_tokens").alias("n_tokens"), "_plan.weight", F.col("_epoch").alias("epoch"), F.col("_block").alias("block"), F.col("_hash").alias("place"))
-    return whole.unionByName(part).select(*[F.col(f"`{c}`") for c in docs.columns], told.alias("mix"))
+    return whole.unionByName(part).select(*named_back(docs), told.alias(into))
 
 
 def _order(doc_id: str) -> Column:

@@ -31,6 +31,9 @@ class _Codes:
         self.low[65:91] = self.low[97:123]
         self.sep = np.zeros(256, bool)
         self.sep[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+        # letters, digits and everything outside ASCII make plain words
+        self.mark = np.ones(256, bool)
+        self.mark[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
         self.pow = self.inv = np.ones(0, np.uint64)
 
     def __reduce__(self) -> tuple:
@@ -112,13 +115,19 @@ def hash_runs(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, table: np.n
 
 def word_codes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Word codes of consecutive rows and the number of words of each row."""
+    found, at, _ = placed_words(data, bounds, codes().sep)
+    return found, np.diff(np.searchsorted(at, np.asarray(bounds) - int(bounds[0])))
+
+
+def placed_words(data: np.ndarray, bounds: np.ndarray, sep: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Codes, starts and ends (from the first row's start) of the runs of bytes that are no separators."""
     c = codes()
     first, last = int(bounds[0]), int(bounds[-1])
     buf, row_starts = data[first:last], np.asarray(bounds[:-1]) - first
-    found, places = [], []
-    for a, b in _slices(buf, row_starts, c.sep, SLICE_BYTES):
+    found, places, stops = [], [], []
+    for a, b in _slices(buf, row_starts, sep, SLICE_BYTES):
         part = buf[a:b]
-        word = ~c.sep[part]
+        word = ~sep[part]
         cut = np.zeros(len(part) + 1, bool)
         cut[0] = cut[-1] = True
         lo, hi = np.searchsorted(row_starts, [a, b])
@@ -131,11 +140,25 @@ def word_codes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nda
         if len(s):
             found.append(hash_runs(part, s, e, c.low))
             places.append(s + a)
+            stops.append(e + a)
     if not found:
-        return np.zeros(0, np.uint64), np.zeros(len(bounds) - 1, np.int64)
-    at = np.concatenate(places)
-    edges = np.searchsorted(at, np.append(row_starts, len(buf)))
-    return np.concatenate(found), np.diff(edges)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate(found), np.concatenate(places), np.concatenate(stops)
+
+
+def prefix_codes(data: np.ndarray, first: int, starts: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of the first ``length`` (at most 7) bytes of the words that are longer, A-Z lower-cased, and those words' indexes.
+
+    ``starts`` and ``ends`` count from byte ``first`` of ``data``.
+    """
+    index = np.flatnonzero(ends - starts > length)
+    at = starts[index] + first
+    value = np.full(len(index), length, np.uint64)
+    for j in range(length):
+        byte = data[at + j]
+        byte = np.where((byte >= 65) & (byte <= 90), byte + 32, byte)
+        value |= byte.astype(np.uint64) << np.uint64(8 * (j + 1))
+    return mix64(value), index
 
 
 def shingle_codes(words: np.ndarray, counts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
