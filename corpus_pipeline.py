@@ -5,16 +5,31 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from catalogspark.llm import bin_completion, temperature_mix
+from catalogspark.llm import bin_completion, bottomk_dedup, ordinal_toxicity, temperature_mix
+from catalogspark.llm.shared import free_name, table
 from catalogspark.scale import work_dir
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the ordinal model, trained on ``labels``, does not reject."""
+    told = free_name(docs, "toxicity")
+    scored = ordinal_toxicity.score(docs, ordinal_toxicity.train(docs, table(spark, sf_dir, "labels")), into=told)
+    return scored.where(~F.col(f"{told}.toxic")).drop(told)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document per component of near duplicates (five-word shingles, Jaccard 0.8): the smallest id."""
+    return bottomk_dedup.keep_one(docs, width=5)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources at their tempered weights: every document once at least, documents of small sources again."""
-    return temperature_mix.mix(docs).select(*[f"`{c}`" for c in docs.columns])
+    told = free_name(docs, "mix")
+    return temperature_mix.mix(docs, into=told).drop(told)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,7 +37,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return bin_completion.pack(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("mixing", mix_sources), ("packing", pack_sequences)]
+STAGES: list[tuple[str, Stage]] = [("toxicity", drop_toxic), ("near_duplicates", drop_near_duplicates), ("mixing", mix_sources), ("packing", pack_sequences)]
 
 #: A trained classifier and a search have no SQL twin; the stages are tested against brute force.
 ORACLE_SQL: str | None = None
