@@ -38,7 +38,7 @@ from catalogspark.llm.words import groups, mix64, text_bytes, word_codes
 #: Counts up to this are discounted.
 KATZ_K = 5
 #: Tokens per chunk, and order of the model.
-CHUNK_TOKENS = 2_000_000
+CHUNK_TOKENS = 1_000_000
 ORDER = 2
 END = np.uint64(0x656E64656E64656E)
 
@@ -73,14 +73,20 @@ def _part_of(codes: np.ndarray, parts: int) -> np.ndarray:
 
 
 def _chunks(docs: DataFrame, parts: int) -> DataFrame:
-    """Kind 0: a chunk (ids, ids that are there, held out, tokens per document; words; tokens). Kind 1: words for a part."""
+    """Kind 0: a chunk (facts per document; its words by frequency, as places among the sorted ones; tokens; place of the end).
+    Kind 1: sorted words and their training counts, for a part."""
 
     def build(ids, there, held, counts, tokens) -> Iterator[pa.RecordBatch]:
         chunk = uuid.uuid4().int & ((1 << 62) - 1)
         words, index = np.unique(tokens, return_inverse=True)
         train = np.bincount(index, weights=np.repeat(~held, counts), minlength=len(words)).astype(np.uint32)
         meta = np.concatenate([ids, there, held, counts])
-        rows = [(chunk, -1, 0, packed(meta), packed(words), packed(index.astype(np.uint32)), None, None)]
+        # tokens are kept as ranks by frequency: small numbers pack well
+        order = np.argsort(-np.bincount(index, minlength=len(words)), kind="stable").astype(np.uint32)
+        rank = np.empty(len(words), np.uint32)
+        rank[order] = np.arange(len(words), dtype=np.uint32)
+        end = np.searchsorted(words, END)
+        rows = [(chunk, -1, 0, packed(meta), packed(order), packed(rank[index]), packed(np.array([end])), None)]
         part = _part_of(words, parts)
         edge = np.searchsorted(part, np.arange(parts + 1))
         for p in np.flatnonzero(np.diff(edge)).tolist():
@@ -143,7 +149,7 @@ def _count_ngrams(key: tuple, table: pa.Table) -> pa.Table:
     chunk: n-gram counts, and per history c(h), the sum of counts over k, n_1..n_k, the sum of lower-order seen.
     """
     part = key[0].as_py()
-    sent = [[unpacked(x) for x in row] for row in zip(*[table[c].to_pylist() for c in "abcde"])]
+    sent = [[*(unpacked(x) for x in row[:4]), _lower(row[4])] for row in zip(*[table[c].to_pylist() for c in "abcde"])]
     lens = [len(s[2]) for s in sent]
     history = np.concatenate([np.repeat(s[0], s[1]) for s in sent])
     word = np.concatenate([s[2] for s in sent])
@@ -173,6 +179,12 @@ def _count_ngrams(key: tuple, table: pa.Table) -> pa.Table:
     return pa.Table.from_batches([_batch(rows)])
 
 
+def _lower(data: bytes) -> np.ndarray:
+    """Lower-order probabilities from their different values and each n-gram's place among them."""
+    n, both = int.from_bytes(data[:8], "little"), unpacked(data[8:])
+    return both[:n].view(np.float64)[both[n:]]
+
+
 def _gram(history: np.ndarray, word: np.ndarray) -> np.ndarray:
     return mix64(history.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + word.astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
 
@@ -206,9 +218,10 @@ class Chunk:
     """A chunk with the answers of the levels so far: word numbers and probabilities of its tokens."""
 
     def __init__(self, table: pa.Table, levels: list[Level], parts: int) -> None:
-        cols = {c: table[c].to_pylist() for c in ("level", "part", "kind", *"abc")}
+        cols = {c: table[c].to_pylist() for c in ("level", "part", "kind", *"abcd")}
         base = cols["kind"].index(0)
-        meta, self.words, self.index = (unpacked(cols[c][base]) for c in "abc")
+        meta, order, rank, end = (unpacked(cols[c][base]) for c in "abcd")
+        self.index = order[rank].astype(np.int32)
         self.ids, self.there, held, self.counts = meta.reshape(4, -1)
         self.held, self.parts = held.astype(bool), parts
         self.ends = np.cumsum(self.counts)
@@ -220,12 +233,11 @@ class Chunk:
         number, count = (np.concatenate([x[i] for x in one]) for i in (1, 2))
         self.count = count[self.index]
         self.number = number[self.index]
-        end = np.searchsorted(self.words, END)
-        self.end_number = int(number[end])
+        self.end_number = int(number[end[0]])
         self.p = _word_probability(count, levels[0])[self.index]
         history_count = self.count  # of the token itself: it is the next token's history
         for n in range(2, len(levels) + 1):
-            history_count = self._climb(n, levels[n - 1], levels, sorted(answers[n], key=lambda x: x[0]), history_count)
+            history_count = self._climb(n, levels[n - 1], levels, sorted(answers.get(n, []), key=lambda x: x[0]), history_count)
         self.history_count = history_count
 
     def histories(self, n: int) -> np.ndarray:
@@ -270,7 +282,10 @@ class Chunk:
         for p in np.flatnonzero(np.diff(edge)).tolist():
             cut = slice(edge[p], edge[p + 1])
             own, runs = _runs(h[cut])
-            rows.append((p, packed(own), packed(runs.astype(np.uint32)), packed(w[cut]), packed(train[cut] * np.uint32(2) + hot[cut]), packed(lower[cut])))
+            # few different probabilities stand behind many n-grams: they are sent once each
+            values, place = np.unique(lower[cut], return_inverse=True)
+            kinds = packed(np.concatenate([values.view(np.int64), place]))
+            rows.append((p, packed(own), packed(runs.astype(np.uint32)), packed(w[cut]), packed(train[cut] * np.uint32(2) + hot[cut]), len(values).to_bytes(8, "little") + kinds))
         return rows
 
     def _climb(self, n: int, level: Level, levels: list[Level], answers: list, prior_count: np.ndarray) -> np.ndarray:
@@ -345,7 +360,7 @@ def score_documents(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str
     frame = docs.select(docs[doc_id].cast("long").alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held"), docs[text].cast("string").alias("text"))
     parts = max(shuffle_width(spark), 2 * frame.rdd.getNumPartitions())
     first = stored(_chunks(frame, parts), "katz-chunks")
-    chunks = first.where("kind = 0").select(F.lit(0).alias("level"), *_NAMES[:6])
+    chunks = first.where("kind = 0").select(F.lit(0).alias("level"), *_NAMES[:7])
     answers = [stored(first.where("kind = 1").groupBy("part").applyInArrow(_count_words, _ROWS), "katz-1")]
     levels = [_level(answers[0])]
     for n in range(2, order + 1):
@@ -363,7 +378,7 @@ def _gathered(chunks: DataFrame, answers: list[DataFrame]) -> DataFrame:
     """Every chunk with its answers of all levels so far."""
     out = chunks
     for n, a in enumerate(answers, 1):
-        out = out.unionByName(a.where("kind = 10").select(F.lit(n).alias("level"), *_NAMES[:6]))
+        out = out.unionByName(a.where("kind = 10").select(F.lit(n).alias("level"), *_NAMES[:7]))
     return out
 
 
