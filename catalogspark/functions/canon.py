@@ -16,17 +16,31 @@ def as_col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
-def plain_decimal(value: Column | str, scale: int = 8) -> Column:
-    """Number as plain-notation text without trailing zeros (never an exponent)."""
-    text = as_col(value).cast(T.DecimalType(38, scale)).cast("string")
+def _without_zeros(text: Column) -> Column:
+    """Decimal text without trailing zeros after the point."""
     return F.regexp_replace(F.regexp_replace(text, r"(\.\d*?)0+$", "$1"), r"\.$", "")
 
 
+def number_text(value: Column | str, kind: T.DataType) -> Column:
+    """Number as text that tells different numbers apart: nothing is rounded.
+
+    Decimals keep their own scale and lose trailing zeros only. Floats that eight places hold exactly are written
+    plainly; all others as the shortest text that reads back as the same number.
+    """
+    col = as_col(value)
+    if isinstance(kind, T.DecimalType):
+        return _without_zeros(col.cast("string"))
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        eight = col.try_cast("decimal(38,8)")
+        return F.when(eight.cast(kind) == col, _without_zeros(eight.cast("string"))).otherwise(col.cast("string"))
+    return col.cast("string")
+
+
 def canonical_field(df: DataFrame, name: str) -> Column:
-    """One column in the form that is hashed: floats as plain decimals, maps key-sorted."""
+    """One column in the form that is hashed: numbers as lossless text, maps key-sorted."""
     kind = df.schema[name].dataType
     if isinstance(kind, (T.DoubleType, T.FloatType, T.DecimalType)):
-        return plain_decimal(F.col(name))
+        return number_text(F.col(name), kind)
     if isinstance(kind, T.MapType):
         return sorted_map(name)
     return F.col(name)
@@ -83,10 +97,20 @@ def reference_code_of(df: DataFrame, name: str) -> Column:
     return reference_code(F.col(f"{name}.code") if isinstance(kind, T.StructType) else F.col(name))
 
 
+def plain_number(value: Column | str) -> Column:
+    """Decimal text of any length in one spelling: no plus, no outer zeros, a digit before the point, no minus zero."""
+    text = F.trim(as_col(value))
+    whole = F.regexp_replace(F.regexp_extract(text, r"^[+-]?(\d*)", 1), r"^0+(?=\d)", "")
+    whole = F.when(whole == "", "0").otherwise(whole)
+    part = F.regexp_replace(F.regexp_extract(text, r"\.(\d*)$", 1), r"0+$", "")
+    size = F.when(part == "", whole).otherwise(F.concat(whole, F.lit("."), part))
+    return F.when(text.startswith("-") & (size != "0"), F.concat(F.lit("-"), size)).otherwise(size)
+
+
 def typed_value(kind: Column | str, value: Column | str) -> Column:
     """Value text in comparable form for its declared type; text that does not parse stays as it is."""
     kind, value = F.lower(as_col(kind)), as_col(value)
-    number = F.when(value.rlike(r"^\s*[+-]?(\d+\.?\d*|\.\d+)\s*$"), plain_decimal(F.trim(value).try_cast("decimal(38,8)")))
+    number = F.when(value.rlike(r"^\s*[+-]?(\d+\.?\d*|\.\d+)\s*$"), plain_number(value))
     flag = F.when(F.lower(value).isin("true", "1"), "true").when(F.lower(value).isin("false", "0"), "false")
     items = F.to_json(F.from_json(value, "array<string>"))
     return (

@@ -15,26 +15,33 @@ from catalogspark.scale import explode_rows
 #: Patterns without look-around, so that any SQL engine can state the same rule.
 CONTACT_PATTERNS: dict[str, str] = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}",
-    "messenger": r"(?i)(?:telegram|whatsapp|wechat)\s*[:：]\s*[A-Za-z0-9][A-Za-z0-9_.+-]{4,}",
-    "handle_label": r"(?i)(?:contact|phone|mobile|tel)\s*[:：]\s*[+0-9A-Za-z]",
+    "messenger": r"(?i)(?:signal|skype|telegram|viber|wechat|whatsapp|qq|line id)\s*(?:[:：@]|is|id)\s*[:：@]?\s*[a-z0-9+][\w.+-]{3,}",
+    "handle_label": r"(?i)(?:call|cell|contact|fax|mobile|phone|tel|text)(?: us| me| no\.?| number)?\s*[:：]\s*[+(\w]",
 }
 #: Numeric patterns, waived for identifiers that may be long numbers.
 NUMERIC_PATTERNS: dict[str, str] = {
     "phone": r"(?:^|[^0-9])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?:[^0-9]|$)",
     "long_number": r"\d{10,}",
 }
-FORBIDDEN_KEY = r"(?i)(?:phone|mobile|customer|avatar|contact)|(?:user_?id)$"
+#: Kinds of personal data by the words that name them in keys (general privacy categories; callers pass their own).
+PERSONAL_KEY_WORDS: dict[str, tuple[str, ...]] = {
+    "identity": ("birth", "passport", "first_?name", "last_?name", "surname", "user_?id", "user_?name"),
+    "contact": ("e_?mail", "fax", "phone", "postal", "street"),
+    "money": ("account_?number", "card_?number", "iban", "tax_?id"),
+    "access": ("password", "secret", "session", "token"),
+}
+FORBIDDEN_KEY = "(?i)" + "|".join(w for words in PERSONAL_KEY_WORDS.values() for w in words)
 
 UNSAFE_TEXT: dict[str, str] = {
     "control": r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]",
     "markup": r"<[/!?A-Za-z][^>]*>",
-    "address": r"(?i)(?:https?://|www\.)",
+    "address": r"(?i)(?:https?://|www\.|(?:^|[^A-Za-z0-9@._-])[a-z0-9](?:[a-z0-9-]*[a-z0-9])?\.(?:com|net|org|info|shop|cn|ru|de|io)(?:[^A-Za-z0-9._-]|$))",
     "boilerplate": r"(?i)(?:all rights reserved|copyright|licensed under|terms of use|licen[cs]e)",
 }
 
 
 #: A cheap condition without which the pattern cannot match; tested first.
-NEEDS: dict[str, str] = {"email": "@", "messenger": "[:：]", "handle_label": "[:：]", "phone": r"\d[ .-]\d{4}"}
+NEEDS: dict[str, str] = {"email": "@", "handle_label": "[:：]", "phone": r"\d[ .-]\d{4}"}
 
 
 def contact_flags(value: Column | str, opaque_identifier: bool = False) -> dict[str, Column]:
@@ -52,18 +59,19 @@ def has_contact(value: Column | str, opaque_identifier: bool = False) -> Column:
     return found
 
 
-def unsafe_text_flags(value: Column | str, max_length: int = 4000) -> dict[str, Column]:
-    """One boolean per reason a description is not taken over."""
+def unsafe_text_flags(value: Column | str, max_length: int | None = None) -> dict[str, Column]:
+    """One boolean per reason a description is not taken over; length is one only where the caller sets a limit."""
     col = as_col(value)
     flags = {name: col.rlike(pattern) for name, pattern in UNSAFE_TEXT.items()}
-    flags["too_long"] = F.length(col) > max_length
+    if max_length is not None:
+        flags["too_long"] = F.length(col) > max_length
     return flags
 
 
-def safe_text(value: Column | str, max_length: int = 4000) -> Column:
-    """The text, or NULL when any unsafe-text rule applies."""
+def safe_text(value: Column | str) -> Column:
+    """The text, of any length, or NULL when any unsafe-text rule applies."""
     bad = F.lit(False)
-    for flag in unsafe_text_flags(value, max_length).values():
+    for flag in unsafe_text_flags(value).values():
         bad = bad | flag
     return F.when(~bad & (F.trim(as_col(value)) != ""), F.trim(as_col(value)))
 

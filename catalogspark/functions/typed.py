@@ -80,12 +80,17 @@ def divide_half_up(amount: Column | str, divisor: Column | str, scale: int = 8)
 
 
 @F.pandas_udf(T.LongType())
-def gcd(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Greatest common divisor, a batch at a time (Spark has none; a JVM-side Euclid needs a lambda per step)."""
-    known = a.notna() & b.notna()
-    out = pd.Series([pd.NA] * len(a), dtype="Int64")
-    out[known] = np.gcd(a[known].astype("int64").to_numpy(), b[known].astype("int64").to_numpy())
-    return out
+def _gcd(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series(np.gcd(a.to_numpy(np.int64), b.to_numpy(np.int64)))
+
+
+def gcd(a: Column, b: Column) -> Column:
+    """Greatest common divisor, a batch at a time (Spark has none; a JVM-side Euclid needs a lambda per step).
+
+    NULLs never reach the batch: one of them would turn all its numbers into floats.
+    """
+    zero = F.lit(0).cast("bigint")
+    return F.when(a.isNotNull() & b.isNotNull(), _gcd(F.coalesce(a, zero), F.coalesce(b, zero)))
 
 
 def reduced_fraction(amount: Column | str, divisor: Column | str, scale: int = 4) -> Column:
@@ -101,23 +106,24 @@ def fixed_six(value: Column | str) -> Column:
     return as_col(value).cast("decimal(38,6)").cast("string")
 
 
-def thousands_repair(low: Column, high: Column, narrative: Column) -> Column:
-    """``struct(low, high, scaled)``: ranges given in thousands (0.1–0.8) become units (100–800).
+def thousands_repair(low: Column, high: Column, narrative: Column, factor: int = 1000, below: float = 10) -> Column:
+    """``struct(low, high, scaled)``: ends of a range that were given in units of ``factor`` (0.1-0.8 for 100-800) are repaired.
 
-    Both below ten scale together; a high below the low scales alone; a single value scales only when the
-    narrative names the number with its thousands separator.
+    An end may be repaired if it lies strictly between 0 and ``below`` in size. What speaks for it is one of: the other
+    end may be repaired as well; for the high end, that the range is in the wrong order as it stands; for an end that
+    stands alone, that the narrative names the repaired number with its thousands separator.
     """
-    small = lambda v: (F.abs(v) > 0) & (F.abs(v) < 10)
-    named = lambda v: F.contains(narrative, F.format_number(F.round(v * 1000), 0))
-    both = small(low) & small(high)
-    crossed = low.isNotNull() & (low > high) & small(high)
-    only_high, only_low = low.isNull() & small(high) & named(high), high.isNull() & small(low) & named(low)
-    yes = lambda c: F.coalesce(c, F.lit(False))
-    return F.struct(
-        F.when(yes(both) | yes(only_low), low * 1000).otherwise(low).alias("low"),
-        F.when(yes(both) | yes(crossed) | yes(only_high), high * 1000).otherwise(high).alias("high"),
-        (yes(both) | yes(crossed) | yes(only_high) | yes(only_low)).alias("scaled"),
-    )
+    size = {"low": F.abs(low), "high": F.abs(high)}
+    may = {n: F.coalesce(v.between(0, below) & (v > 0) & (v < below), F.lit(False)) for n, v in size.items()}
+    named = lambda v: F.coalesce(F.contains(narrative, F.format_number(F.round(v * factor), 0)), F.lit(False))
+    pair = may["low"] & may["high"]
+    wrong_order = F.coalesce(low > high, F.lit(False))
+    repair = {
+        "low": may["low"] & (pair | (high.isNull() & named(low))),
+        "high": may["high"] & (pair | wrong_order | (low.isNull() & named(high))),
+    }
+    ends = {"low": low, "high": high}
+    return F.struct(*[F.when(repair[n], ends[n] * factor).otherwise(ends[n]).alias(n) for n in ends], (repair["low"] | repair["high"]).alias("scaled"))
 
 
 def scalar_list(values: Column | str) -> Column:
@@ -143,7 +149,7 @@ def duration_seconds(value: Column | str) -> Column:
     return F.when(text.rlike(r"^\d+$"), text.try_cast("bigint"))
 
 
-#: The value types a specification can have.
+# The value types of the specification contract.
 VALUE_TYPES = ("Option", "CustomText", "CustomHtmlText", "CustomMarkdownText", "Hyperlink", "Number", "Range", "List", "Boolean", "Date", "Duration")
 
 

@@ -98,6 +98,19 @@ def relation_candidates(sources: Sequence[tuple[str, DataFrame]], key: str, othe
         one = df.select(F.col(key), F.lower(F.trim(F.col(other))).alias(other), F.lit(rank).alias("source_rank"),
                         F.lit(name).alias("source"), F.col(order).cast("long").alias("source_order"))
         stacked = one if stacked is None else stacked.unionByName(one)
+    return _first_candidates(stacked, key, other)
+
+
+def split_candidates(df: DataFrame, key: str, other: str, order: str, sources: Sequence[tuple[str, Column]]) -> DataFrame:
+    """The same from one table that is read once: ``sources`` are (name, condition), a row goes to the first that holds."""
+    rank = name = F.lit(None)
+    for i, (label, holds) in reversed(list(enumerate(sources))):
+        rank, name = F.when(holds, i).otherwise(rank), F.when(holds, label).otherwise(name)
+    stacked = df.select(F.col(key), F.lower(F.trim(F.col(other))).alias(other), rank.cast("int").alias("source_rank"), name.cast("string").alias("source"), F.col(order).cast("long").alias("source_order"))
+    return _first_candidates(stacked.where("source_rank is not null"), key, other)
+
+
+def _first_candidates(stacked: DataFrame, key: str, other: str) -> DataFrame:
     first = stacked.where(F.col(other) != "").groupBy(key, other).agg(
         F.min(F.struct("source_rank", "source_order", "source")).alias("_f"))
     return first.select(
@@ -124,10 +137,18 @@ def unresolved_relations(candidates: DataFrame, codes: DataFrame, key: str, othe
     return dangling.unionByName(candidates.where("is_self").select(key, other, F.lit("self").alias("warning")))
 
 
-def route_fields(fields: DataFrame, section: str, field: str, value: str, owned: Sequence[str] = (), long_text: int = 300) -> DataFrame:
-    """Per (section, field): does it go to content? Long, synthetic or owned elsewhere in any row sends it there."""
+def route_fields(
+    fields: DataFrame, section: str, field: str, value: str, long_text: int, owned: Sequence[str] = (),
+    synthetic_section: str | None = None, synthetic_field: str | None = None,
+) -> DataFrame:
+    """Per (section, field): does it go to content? Long, synthetic or owned elsewhere in any row sends it there.
+
+    The length and the patterns of synthetic names belong to a source, so the caller gives them.
+    """
     name = F.concat_ws(".", section, field)
-    synthetic = F.col(section).rlike(r"(?i)^ext_\d+$") | F.col(field).rlike(r"(?i)(?:^|_)x\d+$")
+    synthetic = F.lit(False)
+    for column, pattern in ((section, synthetic_section), (field, synthetic_field)):
+        synthetic = synthetic | F.col(column).rlike(pattern) if pattern else synthetic
     filled = F.trim(F.coalesce(F.col(value), F.lit(""))) != ""
     routed = synthetic | (filled & (name.isin(*owned) if owned else F.lit(False))) | (F.length(F.trim(F.col(value))) > long_text)
     return fields.groupBy(section, field).agg(

@@ -11,10 +11,14 @@ from catalogspark.functions.canon import limb_digest, limb_sums
 from catalogspark.scale import explode_rows, neighbours, with_scalars
 
 
-def not_increasing(df: DataFrame, keys: Sequence[str], position: str, value: str) -> DataFrame:
-    """Rows whose value is not greater than that of the row one position before."""
-    seen = neighbours(df.select(*keys, position, value), keys, position, [value])
-    return seen.where(F.col(value) <= F.col(f"_prev.{value}")).select(*keys, position, value, F.col(f"_prev.{value}").alias("previous"))
+def not_increasing(df: DataFrame, keys: Sequence[str], position: str, value: str, carry: Sequence[str] = ()) -> DataFrame:
+    """Rows whose value is not greater than that of the row before.
+
+    ``position`` counts the rows of a key without gaps (a file's row index, or a number from ``number_rows``); ids with
+    gaps are no positions.
+    """
+    seen = neighbours(df.select(*keys, position, value, *carry), keys, position, [value])
+    return seen.where(F.col(value) <= F.col(f"_prev.{value}")).select(*keys, position, value, *carry, F.col(f"_prev.{value}").alias("previous"))
 
 
 def file_positions(df: DataFrame) -> DataFrame:

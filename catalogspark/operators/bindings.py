@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from catalogspark.scale import number_rows, pinned, with_scalars
+from catalogspark.scale import number_rows, with_scalars
 
 
 def bind_products(categories: DataFrame, assignments: DataFrame, category: str, product: str, order: Sequence[str]) -> DataFrame:
@@ -16,7 +16,7 @@ def bind_products(categories: DataFrame, assignments: DataFrame, category: str,
     The list of a category stays rows (numbered skew-safely), never one array: a category may be very large.
     """
     extra = [o for o in order if o not in (category, product)]
-    distinct = pinned(assignments.select(category, product, *extra).distinct())  # counted for hot categories, then numbered
+    distinct = assignments.select(category, product, *extra).distinct()
     placed = number_rows(distinct, [category], [*order, product], "position")
     return categories.select(category).distinct().join(placed.select(category, product, "position"), category, "left")
 

@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from catalogspark.functions.canon import plain_decimal
-from catalogspark.scale import explode_rows
+from catalogspark.functions.canon import number_text
+from catalogspark.scale import explode_rows, pinned
 
 
 def _kebab(name: str) -> str:
@@ -27,7 +27,7 @@ def _leaves(kind: T.DataType, value: Column, path: Column) -> Column:
     if isinstance(kind, T.ArrayType):
         inner = F.transform(value, lambda v, i: _leaves(kind.elementType, v, F.concat_ws(".", path, i.cast("string"))))
         return F.coalesce(F.flatten(inner), F.array().cast("array<struct<path:string,value:string>>"))
-    text = plain_decimal(value) if isinstance(kind, (T.DoubleType, T.FloatType, T.DecimalType)) else value.cast("string")
+    text = number_text(value, kind)
     return F.array(F.struct(path.alias("path"), F.trim(text).alias("value")))
 
 
@@ -46,11 +46,14 @@ def too_many_paths(paths: DataFrame, key: str, limit: int = 128) -> DataFrame:
     return paths.groupBy(key).agg(F.count(F.lit(1)).alias("paths")).where(F.col("paths") > limit)
 
 
-def open_paths(df: DataFrame, key: str, json: str, depth: int = 4) -> DataFrame:
-    """Open JSON text as rows (path, value): one ``variant_explode`` per level, down to ``depth`` levels."""
+def open_paths(df: DataFrame, key: str, json: str) -> DataFrame:
+    """Open JSON text as rows (path, value), however deep: one ``variant_explode`` per level until no nested value is left.
+
+    Every level is pinned, so that the work grows with the number of levels, not with its square.
+    """
     level = df.select(F.col(key).alias("_id"), F.lit("$").alias("path"), F.try_parse_json(F.col(json)).alias("v")).where("v is not null")
     out = None
-    for _ in range(depth):
+    while True:
         exploded = level.lateralJoin(df.sparkSession.tvf.variant_explode(F.col("v").outer())).select(
             "_id", "path", "pos", "key", "value")
         step = F.when(F.col("key").isNotNull(), F.concat(F.lit("."), F.col("key"))).otherwise(F.concat(F.lit("["), F.col("pos").cast("string"), F.lit("]")))
@@ -58,5 +61,7 @@ def open_paths(df: DataFrame, key: str, json: str, depth: int = 4) -> DataFrame:
         nested = F.schema_of_variant("v").rlike("^(OBJECT|ARRAY)")
         leaves = rows.where(~nested).select(F.col("_id").alias(key), "path", F.expr("try_variant_get(v, '$', 'string')").alias("value"))
         out = leaves if out is None else out.unionByName(leaves)
-        level = rows.where(nested)
-    return out
+        level = pinned(rows.where(nested).select("_id", "path", F.to_json("v").alias("v")))
+        if level.isEmpty():
+            return out
+        level = level.select("_id", "path", F.parse_json("v").alias("v"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,33 +11,37 @@ from catalogspark.scale import pinned
 
 
 def ancestors(
-    edges: DataFrame, code: str, parent: str, max_depth: int = 16, start: DataFrame | None = None
+    edges: DataFrame, code: str, parent: str, start: DataFrame | None = None
 ) -> DataFrame:
     """(code, ancestor, distance) pairs of all nodes, or of the ``start`` codes only, level by level: each level is one equi-join on the parent.
 
-    Stops when a level is empty; a tree deeper than ``max_depth`` (or a cycle) is refused. Every level is
-    pinned by a reliable checkpoint, so that the work grows with the number of levels, not with its square.
+    Stops when a level is empty, at any depth. A cycle is refused: its pairs come again after its length, so a level
+    is compared with the one at the last power of two. Every level is pinned by a reliable checkpoint, so that the
+    work grows with the number of levels, not with its square.
     """
     up = edges.where(F.col(parent).isNotNull()).select(F.col(code).alias("_c"), F.col(parent).alias("_p"))
     level = up.select(F.col("_c").alias(code), F.col("_p").alias("ancestor"), F.lit(1).alias("distance"))
     if start is not None:
         level = level.join(start.select(code), code, "left_semi")
-    out = level
-    for distance in range(2, max_depth + 1):
+    out = mark = level
+    for distance in itertools.count(2):
         level = level.join(up, level["ancestor"] == up["_c"], "inner").select(
             level[code], F.col("_p").alias("ancestor"), F.lit(distance).alias("distance"))
         level = pinned(level)
         if level.isEmpty():
             return out
+        if not level.join(mark, [code, "ancestor"], "left_semi").isEmpty():
+            raise ValueError("the tree has a cycle")
+        if distance & (distance - 1) == 0:
+            mark = level
         out = out.unionByName(level)
-    raise ValueError(f"tree deeper than {max_depth} levels, or a cycle")
 
 
-def missing_with_ancestors(desired: DataFrame, reference: DataFrame, code: str, parent: str, max_depth: int = 16) -> DataFrame:
+def missing_with_ancestors(desired: DataFrame, reference: DataFrame, code: str, parent: str) -> DataFrame:
     """Nodes absent from the reference, together with their absent ancestors."""
     have = reference.select(code).distinct()
     absent = pinned(desired.select(code).distinct().join(have, code, "left_anti"))
-    parents = ancestors(desired, code, parent, max_depth, start=absent).select(F.col("ancestor").alias(code)).distinct()
+    parents = ancestors(desired, code, parent, start=absent).select(F.col("ancestor").alias(code)).distinct()
     needed = parents.join(have, code, "left_anti")
     keys = absent.unionByName(needed).distinct()
     return desired.join(keys, code, "left_semi")

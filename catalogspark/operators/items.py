@@ -72,15 +72,19 @@ def diagnostic_report(items: DataFrame, diagnostics: str = "diagnostics") -> Dat
 def build_origins(cards: DataFrame, key: str, cities: DataFrame) -> DataFrame:
     """Origin per card: country, state, city only if it is unique in its state, repaired altitude, place text.
 
-    ``cards`` has ``country, state, city, altitude_min, altitude_max, narrative``; ``cities`` has ``state, city_name``.
+    Names are compared folded, without punctuation and case. The state is found first: a city of an unknown state is not
+    looked for. ``cards`` has ``country, state, city, altitude_min, altitude_max, narrative``; ``cities`` has ``state, city_name``.
     """
-    from catalogspark.functions.text import place_text
+    from catalogspark.functions.text import fold, name_key, place_text
     from catalogspark.functions.typed import thousands_repair
     from catalogspark.operators.rules import unique_lookup
 
-    lookup = cities.select(F.lower(F.trim("state")).alias("_state"), F.lower(F.trim("city_name")).alias("_city"), F.col("city_name").alias("matched_city"))
-    keyed = cards.withColumn("_state", F.lower(F.trim("state"))).withColumn("_city", F.lower(F.trim("city")))
+    place = lambda c: name_key(fold(c))
+    lookup = cities.select(place("state").alias("_state"), place("city_name").alias("_city"), F.col("city_name").alias("matched_city"))
+    states = lookup.select("_state").distinct().withColumn("_known", F.lit(True))
+    keyed = cards.withColumn("_state", place("state")).withColumn("_city", place("city")).join(states, "_state", "left")
     found = unique_lookup(keyed, ["_state", "_city"], lookup, "matched_city")
+    found = found.withColumn("warning", F.when(F.col("_known").isNull(), "state-not-found").otherwise(F.col("warning")))
     altitude = thousands_repair(F.col("altitude_min"), F.col("altitude_max"), F.col("narrative"))
     return found.withColumn("_a", altitude).select(
         key, F.upper(F.coalesce("country", F.lit("CN"))).alias("country"), "state", F.col("matched_city").alias("city"),

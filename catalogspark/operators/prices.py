@@ -49,12 +49,15 @@ def price_diagnostics(items: DataFrame, key: str) -> DataFrame:
 def lineage_violations(observations: DataFrame, key: str) -> DataFrame:
     """Derived prices without their source, with another source amount, or not equal to source ÷ divisor.
 
-    Sources are unique per (item, currency, basis); the self-join is an equi-join on that key.
+    Sources are unique per (item, currency, basis), and a source has a handful of derived prices (the units of a package),
+    so both are brought together by one aggregate: the observations are read once.
     """
-    source = observations.where("kind = 'source'").select(
-        F.col(key).alias("_k"), F.col("currency").alias("_c"), F.col("basis").alias("_b"), F.col("amount").alias("_amount"))
-    derived = observations.where("kind = 'derived'")
-    joined = derived.join(source, (F.col(key) == F.col("_k")) & (F.col("currency") == F.col("_c")) & (F.col("source_basis") == F.col("_b")), "left")
+    is_source = F.col("kind") == "source"
+    told = observations.where("kind in ('source', 'derived')").select(
+        key, "currency", F.when(is_source, F.col("basis")).otherwise(F.col("source_basis")).alias("_from"), F.when(is_source, F.col("amount")).alias("_amount"),
+        F.when(~is_source, F.struct("basis", "amount", "source_amount", "divisor")).alias("_d"))
+    both = told.groupBy(key, "currency", "_from").agg(F.max("_amount").alias("_amount"), F.collect_list("_d").alias("_d"))
+    joined = both.select(key, F.when(F.col("_from").isNotNull() & F.col("currency").isNotNull(), F.col("_amount")).alias("_amount"), F.explode("_d").alias("_d")).select(key, "_amount", "_d.*")
     problem = (
         F.when(F.col("_amount").isNull(), "source-missing").when(F.col("_amount") != F.col("source_amount"), "source-amount")
         .when(F.col("amount") != divide_half_up(F.col("source_amount"), F.col("divisor")), "quotient")

@@ -165,15 +165,23 @@ def seed_readiness(df: DataFrame, published: Column, thresholds: dict[str, int],
 
 
 def count_drift(counts: DataFrame, order: str, count: str, max_drop: float = 0.25, max_growth: float = 2.0) -> DataFrame:
-    """Each period against the one before: refused when it drops or grows too much.
+    """Each period against the last accepted one: refused when it drops or grows too much; the first is accepted.
 
-    ``counts`` is already aggregated to one row per period; the neighbour is found by an equi-join on the
-    dense period number, not by a global window.
+    Empty periods and refused ones are passed over, so neither hides a drop. Whether a period is accepted depends on
+    the one before, so the counts, already aggregated to one short row per period, are folded in order.
     """
-    before = counts.select((F.col(order) + 1).alias(order), F.col(count).alias("previous"))
-    joined = counts.join(before, order, "left")
-    drift = (F.col("previous") - F.col(count) > F.col("previous") * max_drop) | (F.col(count) > F.col("previous") * max_growth)
-    return joined.select(order, count, "previous", F.coalesce(drift, F.lit(False)).alias("drifted"))
+    kind, number = counts.schema[order].dataType.simpleString(), counts.schema[count].dataType.simpleString()
+    row = F.struct(F.col(order).alias("o"), F.col(count).alias("n"))
+    series = counts.agg(F.array_sort(F.collect_list(row)).alias("s"))
+    start = F.struct(F.lit(None).cast(number).alias("last"), F.array().cast(f"array<struct<o:{kind},n:{number},p:{number},d:boolean>>").alias("out"))
+
+    def step(acc: Column, x: Column) -> Column:
+        drift = F.coalesce((acc["last"] - x["n"] > acc["last"] * max_drop) | (x["n"] > acc["last"] * max_growth), F.lit(False))
+        judged = F.struct(x["o"].alias("o"), x["n"].alias("n"), acc["last"].alias("p"), drift.alias("d"))
+        return F.struct(F.when(drift, acc["last"]).otherwise(x["n"]).alias("last"), F.concat(acc["out"], F.array(judged)).alias("out"))
+
+    folded = series.select(F.explode(F.aggregate("s", start, step)["out"]).alias("r"))
+    return folded.select(F.col("r.o").alias(order), F.col("r.n").alias(count), F.col("r.p").alias("previous"), F.col("r.d").alias("drifted"))
 
 
 def reference_contract(df: DataFrame, id_col: str, code: str, collections: Sequence[str]) -> DataFrame:

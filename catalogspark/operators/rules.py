@@ -6,6 +6,7 @@ column expressions: one scan of the texts, no join, no pairs of texts and rules
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -16,17 +17,13 @@ from catalogspark.functions.canon import as_col
 from catalogspark.functions.text import bind, word
 from catalogspark.scale import literal_table
 
-MAX_RULES = 5000
-#: From this many word rules on, splitting a text into words once beats one pattern pass per rule (measured).
-WORD_SET_RULES = 12
-
 
 @dataclass(frozen=True)
 class Rule:
     """``code`` applies when any pattern matches or any word occurs, and the gate rule (if any) applies too.
 
-    ``words`` are single ASCII words. In a short rule book they become one pattern per rule; in a long one the
-    words of a text are split once for all rules, so that the book costs one pass over the text.
+    ``words`` are single ASCII words (anything else is refused). The words of a text are split once for all rules, so
+    that a book of any length costs one pass over the text; everything else is a pattern.
     """
 
     code: str
@@ -34,12 +31,20 @@ class Rule:
     requires: str | None = None
     words: tuple[str, ...] = ()
 
+    def __post_init__(self) -> None:
+        odd = [w for w in self.words if not re.fullmatch("[A-Za-z0-9_]+", w)]
+        if odd:
+            raise ValueError(f"rule {self.code}: not single ASCII words: {odd}")
+
 
-def rules_from_table(df: DataFrame) -> list[Rule]:
-    """A rule table ``(rule_order, code, pattern, requires)`` as a rule book; refused beyond MAX_RULES rows."""
-    rows = df.orderBy("rule_order").limit(MAX_RULES + 1).collect()
-    if len(rows) > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} rules: join them by a literal instead")
+def rules_from_table(df: DataFrame, max_rules: int) -> list[Rule]:
+    """A rule table ``(rule_order, code, pattern, requires)`` as a rule book of at most ``max_rules`` rows.
+
+    The caller states how many rules its program can hold; a larger table is an error, never cut.
+    """
+    rows = df.orderBy("rule_order").limit(max_rules + 1).collect()
+    if len(rows) > max_rules:
+        raise ValueError(f"more than {max_rules} rules")
     book: dict[str, list] = {}
     for r in rows:
         book.setdefault(r.code, [r.requires, []])[1].append(r.pattern)
@@ -51,14 +56,9 @@ def ascii_words(text: Column) -> Column:
     return F.array_distinct(F.split(text, "[^A-Za-z0-9_]+"))
 
 
-def _hit(text: Column, words: Column | None, rule: Rule) -> Column:
-    patterns = [f"(?:{p})" for p in rule.patterns]
-    hit = F.lit(False)
-    if rule.words and words is not None:
-        hit = F.arrays_overlap(words, F.array(*[F.lit(w) for w in rule.words]))
-    elif rule.words:
-        patterns.append(word("|".join(rule.words)))
-    return hit | text.rlike("|".join(patterns)) if patterns else hit
+def _hit(text: Column, words: Column, rule: Rule) -> Column:
+    hit = F.arrays_overlap(words, F.array(*[F.lit(w) for w in rule.words])) if rule.words else F.lit(False)
+    return hit | text.rlike("|".join(f"(?:{p})" for p in rule.patterns)) if rule.patterns else hit
 
 
 def labels(text: Column | str, book: Sequence[Rule]) -> Column:
@@ -70,12 +70,10 @@ def labels(text: Column | str, book: Sequence[Rule]) -> Column:
         gate = lambda r: hits[at[r.code]] & hits[at[r.requires]] if r.requires else hits[at[r.code]]
         return F.array_distinct(F.array_compact(F.array(*[F.when(gate(r), r.code) for r in book])))
 
-    if sum(bool(r.words) for r in book) < WORD_SET_RULES:
-        return bind(F.array(*[_hit(text, None, r) for r in book]), applied)
     return bind(ascii_words(text), lambda w: bind(F.array(*[_hit(text, w, r) for r in book]), applied))
 
 
-def strip_contrast(text: Column | str, phrases: Sequence[str] = ("unlike", "as opposed to", "in contrast to", "rather than")) -> Column:
+def strip_contrast(text: Column | str, phrases: Sequence[str]) -> Column:
     """Text before the first contrast phrase, so that what a thing is *not* does not label it."""
     return F.trim(F.get(F.split(as_col(text), word("|".join(phrases)), 2), F.lit(0)))
 

@@ -197,7 +197,7 @@ def _related(spark, sf):
     li = table(spark, sf, "lineitem").select(
         F.col("l_partkey").alias("k"), F.concat(F.lit(" S"), F.col("l_suppkey").cast("string")).alias("o"), "l_returnflag",
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("ord"))
-    cand = A.relation_candidates([("returned", li.where("l_returnflag = 'R'")), ("other", li.where("l_returnflag <> 'R'"))], "k", "o", "ord")
+    cand = A.split_candidates(li, "k", "o", "ord", [("returned", F.col("l_returnflag") == "R"), ("other", F.col("l_returnflag") != "R")])
     codes = table(spark, sf, "supplier").where("s_acctbal > 0").select(
         F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("o"), F.col("s_name").alias("code"))
     return cand, codes
@@ -226,7 +226,7 @@ def first_by_priority(spark, sf):
 @query("P15", """select source as section, lang as field, bool_or(length(trim(text)) > 300 or (source = 'src3' and trim(text) <> '')) as routed, bool_or(trim(text) <> '') as has_content from documents group by 1, 2""")
 def field_routing(spark, sf):
     d = table(spark, sf, "documents").select(F.col("source").alias("section"), F.col("lang").alias("field"), "text")
-    return A.route_fields(d, "section", "field", "text", owned=[f"src3.{x}" for x in ("en", "fr", "de", "es")])
+    return A.route_fields(d, "section", "field", "text", long_text=300, owned=[f"src3.{x}" for x in ("en", "fr", "de", "es")])
 
 
 @query("W1", """select o_custkey, o_orderpriority, min(o_orderkey) as position, arg_max(o_orderstatus, o_orderkey) as status_last, arg_min(o_orderstatus, o_orderkey) as status_first from orders group by 1, 2""")

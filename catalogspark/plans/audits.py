@@ -8,6 +8,7 @@ from catalogspark.operators import audit as U
 from catalogspark.operators import quality as Q
 from catalogspark.plans.derived import table, texts
 from catalogspark.plans.registry import query
+from catalogspark.scale import number_rows
 
 FALLBACKS = {"placeholder": "(?:lorem|todo|n/a)", "markup": "<[a-zA-Z]"}
 DOC_SQL = f"""docs as (select d.doc_id::varchar entity, case when d.lang = 'es' then '' else d.source end title, d.text body, d.lang, coalesce(l.quality = 1, false) pub from documents d left join labels l using (doc_id)),
@@ -108,11 +109,20 @@ def seed_readiness(spark, sf):
                             {"products": 100, "published": 10, "categories": 6, "locales": 5}, "o_orderpriority", "o_custkey")
 
 
-@query("A20 T6", """with d as (select datediff('day', date '2024-01-01', ts::date)::int as day, count(*) filter (where event_type <> 'view') n from events group by 1)
-select a.day, a.n, b.n as previous, coalesce(b.n - a.n > b.n * 0.1 or a.n > b.n * 1.1, false) as drifted from d a left join d b on b.day = a.day - 1""")
+#: The fold over periods, as recursive SQL: each one against the last that was accepted.
+DRIFT_SQL = """k as (select day, n, row_number() over (order by day) i from {days}),
+w as (select i, day, n, null::bigint as previous, false as drifted, n as last from k where i = 1 union all
+ select k.i, k.day, k.n, w.last, w.last - k.n > w.last * {drop} or k.n > w.last * {grow},
+ case when w.last - k.n > w.last * {drop} or k.n > w.last * {grow} then w.last else k.n end from w join k on k.i = w.i + 1)
+select day, n, previous, drifted from w"""
+
+
+@query("A20 T6", """with recursive d as (select datediff('day', date '2024-01-01', ts::date)::int as day, count(*) filter (where event_type <> 'view' or user_id % 5 = 0) n
+ from events where datediff('day', date '2024-01-01', ts::date) % 7 <> 3 group by 1), """ + DRIFT_SQL.format(days="d", drop="0.1", grow="1.1"))
 def count_drift(spark, sf):
-    days = table(spark, sf, "events").groupBy(F.date_diff(F.to_date("ts"), F.lit("2024-01-01").cast("date")).alias("day")).agg(
-        F.count_if(F.col("event_type") != "view").alias("n"))
+    """Daily counts with a day missing every week."""
+    days = table(spark, sf, "events").withColumn("day", F.date_diff(F.to_date("ts"), F.lit("2024-01-01").cast("date"))).where("day % 7 <> 3")
+    days = days.groupBy("day").agg(F.count_if((F.col("event_type") != "view") | (F.col("user_id") % 5 == 0)).alias("n"))
     return Q.count_drift(days, "day", "n", max_drop=0.1, max_growth=1.1)
 
 
@@ -152,9 +162,11 @@ def price_row_contract(spark, sf):
     return Q.findings(r, "id", Q.price_row_rules("pos", "idx", "label", "qty", "price", "sized"))
 
 
-@query("W4 A16", """with e as (select event_id, value, lag(value) over (order by event_id) p from events) select event_id, value, p as previous from e where value <= p""")
+@query("W4 A16", """with e as (select event_id, value, lag(value) over (order by event_id) p from events where event_id % 11 <> 4) select event_id, value, p as previous from e where value <= p""")
 def row_id_monotone(spark, sf):
-    return U.not_increasing(table(spark, sf, "events"), [], "event_id", "value")
+    """Rows whose ids have gaps, each against the row before it: positions are counted, not taken from the ids."""
+    rows = number_rows(table(spark, sf, "events").where("event_id % 11 <> 4").select("event_id", "value"), [], ["event_id"], "position")
+    return U.not_increasing(rows, [], "position", "value", ["event_id"]).select("event_id", "value", "previous")
 
 
 PAGE_SQL = """items as (select event_id // 36 as page, event_id % 36 slot, case when event_type = 'error' then 'x' else user_id::varchar end item from events where not (event_type = 'view' and value > 60)),
@@ -187,6 +199,12 @@ def terminal_probe(spark, sf):
     return U.terminal_probe(facts, "page", table(spark, sf, "events").where("event_id < 0"))
 
 
+@query("W5", f"with {PAGE_SQL} select max(page) as last_page, (select count(*) from events where event_id < 5) as probe_items, false as complete from f")
+def terminal_probe_finds_more(spark, sf):
+    facts = U.page_facts(_pages(spark, sf), "page", "slot", "item")
+    return U.terminal_probe(facts, "page", table(spark, sf, "events").where("event_id < 5"))
+
+
 PAIR_SQL = """c as (select conv_id, turn, role, text, lead(role) over w nr, lead(turn) over w nt, lead(text) over w nx, lag(role) over w pr, lag(turn) over w pt from conversations window w as (partition by conv_id order by turn))"""
 
 

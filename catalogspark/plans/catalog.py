@@ -65,11 +65,26 @@ def flatten_json_paths(spark, sf):
     return flatten_paths(e, "event_id", "facts")
 
 
-@query("F13", """with x as (select event_id, unnest(json_keys(props)) k, props from events) select event_id, '$.' || k as path, json_extract_string(props, '$.' || k) as value from x""")
+@query("F13", """with x as (select event_id, unnest(json_keys(props)) k, props, event_type, user_id from events) select event_id, '$.facts.open.' || k as path, json_extract_string(props, '$.' || k) as value from x
+union all select event_id, '$.facts.ids[0].user', user_id::varchar from x union all select event_id, '$.type', event_type from x""")
 def open_json_paths(spark, sf):
+    """Open facts three levels down, next to shallow ones."""
     from catalogspark.operators.flatten import open_paths
 
-    return open_paths(table(spark, sf, "events"), "event_id", "props", depth=1)
+    nested = F.format_string('{"type": "%s", "facts": {"open": %s, "ids": [{"user": %d}]}}', "event_type", "props", "user_id")
+    return open_paths(table(spark, sf, "events").withColumn("facts", nested), "event_id", "facts")
+
+
+@query("A12 F15 J8", """select p_partkey, case when p_partkey % 3 = 0 then 'update' else 'noop' end as action from part""")
+def lossless_diff(spark, sf):
+    """A price that changes at its twelfth place is a change; the same number at another scale is none."""
+    from catalogspark.operators.diff import diff_rows
+
+    price = F.col("p_partkey").cast("decimal(20,12)") / F.lit(7).cast("decimal(2,0)")
+    p = table(spark, sf, "part").select("p_partkey", price.cast("decimal(26,12)").alias("price"))
+    step = F.when(F.col("p_partkey") % 3 == 0, F.lit("0.000000000001")).otherwise(F.lit("0")).cast("decimal(26,12)")
+    desired = p.select("p_partkey", (F.col("price") + step).cast("decimal(30,14)").alias("price"))
+    return diff_rows(desired, p, key="p_partkey", fields=["price"]).select("p_partkey", "action")
 
 
 SPEC_SQL = """spec as (
@@ -361,6 +376,13 @@ def baseline_contract(spark, sf):
     return R.baseline_contract(p, "code", ["p_name", "tags"])
 
 
+@query("S6 K14 V16", f"""with t as (select sha256(upper('part-' || p_partkey)) h from part) select count(*) as rows, count(*) as codes, 0::bigint as blank_codes, 0::bigint as missing_p_name,
+ true as complete, (select {SET_SQL} from t) as set_sha256 from part""")
+def baseline_contract_holds(spark, sf):
+    p = table(spark, sf, "part").select(F.concat(F.lit("part-"), F.col("p_partkey").cast("string")).alias("code"), "p_name")
+    return R.baseline_contract(p, "code", ["p_name"])
+
+
 @query("S7 S17", """select 'nations' as dictionary, count(*) as rows, count(distinct n_name) as codes, 0::bigint as bad_codes, true as usable from nation
 union all select 'segments', (select count(*) from customer), count(*), count(*) filter (where n > 1), max(n) = 1 from (select c_mktsegment, count(*) n from customer group by 1)""")
 def dictionary_contract(spark, sf):

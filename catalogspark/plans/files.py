@@ -15,6 +15,10 @@ from catalogspark.sources import blobs as B
 from catalogspark.sources import pages as P
 from catalogspark.sources import readers as R
 
+LIMBS = ", ".join(f"sum(('0x' || substr(h,{a},15))::bigint)::varchar" for a in (1, 16, 31, 46))
+#: Order-free digest of rows hashed as ``h``, worked out apart from the library.
+DIGEST_SQL = f"sha256(concat_ws(':', count(*)::varchar, {LIMBS}))"
+
 
 def _pages(spark, sf):
     return spread(table(spark, sf, "pages"))
@@ -109,7 +113,8 @@ def media_left_to_fetch(spark, sf):
     return M.reuse_split(table(spark, sf, "lineitem").where("l_quantity > 30"), prior, "l_suppkey")[1]
 
 
-@query("K1 S18 U2", "select count(*) as written, count(*) as stored, 0::bigint as lost_or_gained, count(distinct p_type) as folders from part")
+@query("K1 S18 U2", f"""with t as (select sha256(cast(json_object('p_name', p_name, 'p_partkey', p_partkey, 'p_type', p_type, 'price', cast(p_retailprice as decimal(20,2))::varchar) as varchar)) h from part)
+select count(*) as written, count(*) as stored, 0::bigint as lost_or_gained, (select count(distinct p_type) from part) as folders, {DIGEST_SQL} as stored_sha256 from t""")
 def sink_readback(spark, sf):
     p = table(spark, sf, "part").select("p_partkey", "p_name", "p_type", F.col("p_retailprice").cast("decimal(20,2)").cast("string").alias("price"))
     path = work_dir(spark, "records")
@@ -117,15 +122,16 @@ def sink_readback(spark, sf):
     stored = spark.read.schema("p_partkey long, p_name string, p_type string, price string, category_folder string").json(path)
     lost = K.read_back_diff(p, stored).agg(F.coalesce(F.sum(F.col("added") + F.col("removed")), F.lit(0)).alias("lost_or_gained"))
     found = stored.agg(F.count(F.lit(1)).alias("stored"), F.count_distinct("category_folder").alias("folders"))
-    return with_scalars(p.agg(F.count(F.lit(1)).alias("written")), found, lost)
+    digest = K.data_digest(stored, p.columns).select(F.col("set_sha256").alias("stored_sha256"))
+    return with_scalars(p.agg(F.count(F.lit(1)).alias("written")), found, lost, digest)
 
 
-@query("K2 S19 V20", "select 0::bigint as problems_before, 1::bigint as problems_after, true as has_files from part limit 1")
+@query("K2 S19 V20", f"""with t as (select sha256(cast(json_object('c_custkey', c_custkey, 'c_mktsegment', c_mktsegment) as varchar)) h from customer)
+select 0::bigint as problems_before, 2::bigint as problems_after, true as has_files, {DIGEST_SQL} as stored_sha256 from t""")
 def manifest_verify(spark, sf):
-    """A manifest holds for what was written, and one later file is found."""
+    """A manifest holds for what was written; a file that comes later and one that is gone are found."""
     path = work_dir(spark, "bundle")
-    nations = table(spark, sf, "customer")
-    nations.write.parquet(f"{path}/data")
+    table(spark, sf, "customer").write.option("maxRecordsPerFile", 1_000_000).parquet(f"{path}/data")
     stored_at = work_dir(spark, "manifest")
     K.file_manifest(spark, path).write.parquet(stored_at)
     stored = spark.read.parquet(stored_at)
@@ -133,21 +139,24 @@ def manifest_verify(spark, sf):
     before_at = work_dir(spark, "before")
     before.write.parquet(before_at)
     table(spark, sf, "region").coalesce(1).write.parquet(f"{path}/late")
-    after = K.manifest_problems(stored, K.file_manifest(spark, path)).where("file like '%.parquet'").agg(F.count(F.lit(1)).alias("problems_after"))
-    return with_scalars(spark.read.parquet(before_at), after, stored.agg((F.count(F.lit(1)) > 0).alias("has_files")))
+    gone = stored.limit(1).withColumn("file", F.lit("/data/gone.parquet"))
+    after = K.manifest_problems(stored.unionByName(gone), K.file_manifest(spark, path)).where("file like '%.parquet'").agg(F.count(F.lit(1)).alias("problems_after"))
+    digest = K.data_digest(spark.read.parquet(f"{path}/data"), ["c_custkey", "c_mktsegment"]).select(F.col("set_sha256").alias("stored_sha256"))
+    return with_scalars(spark.read.parquet(before_at), after, stored.agg((F.count(F.lit(1)) > 0).alias("has_files")), digest)
 
 
-@query("K3 A12", "select count(*) as rows, true as same_folder from orders")
+@query("K3 A12", f"""with t as (select sha256(cast(json_object('o_custkey', o_custkey, 'o_orderkey', o_orderkey, 'o_orderstatus', o_orderstatus) as varchar)) h from orders)
+select count(*) as rows, true as same_folder, {DIGEST_SQL} as folder_sha256 from t""")
 def addressed_write(spark, sf):
     """The same rows in another order and partitioning land in the same folder and are stored once."""
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     root = work_dir(spark, "addressed")
     first = K.write_addressed(o, root, "orders")
     second = K.write_addressed(o.repartition(7, "o_custkey"), root, "orders")
-    return spark.read.parquet(first).agg(F.count(F.lit(1)).alias("rows")).withColumn("same_folder", F.lit(first == second))
+    stored = K.data_digest(spark.read.parquet(first)).select(F.col("row_count").alias("rows"), F.col("set_sha256").alias("folder_sha256"))
+    return stored.withColumn("same_folder", F.lit(first == second and first.endswith(stored.first()["folder_sha256"])))
 
 
-LIMBS = ", ".join(f"sum(('0x' || substr(h,{a},15))::bigint)::varchar" for a in (1, 16, 31, 46))
 
 
 @query("K13 K14 S14", f"""with t as (select sha256(cast(json_object('c_custkey', c_custkey, 'c_mktsegment', c_mktsegment) as varchar)) h from customer)
@@ -179,10 +188,11 @@ def _wide_sql(width: int) -> str:
     return f"select l_orderkey, {cells} from lineitem group by 1"
 
 
-@query("K5", _wide_sql(5))
+@query("K5", _wide_sql(7))
 def wide_rows(spark, sf):
+    """Every position that occurs gets its columns."""
     li = table(spark, sf, "lineitem").select("l_orderkey", (F.col("l_linenumber") - 1).alias("pos"), "l_partkey", "l_returnflag")
-    return H.wide_rows(li, "l_orderkey", "pos", "lines", ["l_partkey", "l_returnflag"], 5)
+    return H.wide_rows(li, "l_orderkey", "pos", "lines", ["l_partkey", "l_returnflag"])
 
 
 @query("K5", "select l_orderkey, (max(l_linenumber) - 1)::int as highest_position from lineitem where l_linenumber - 1 >= 5 group by 1")

@@ -10,9 +10,12 @@ from catalogspark.operators import artifact as A
 from catalogspark.operators import audit as U
 from catalogspark.operators import diff as D
 from catalogspark.operators import items as I
+from catalogspark.operators.bindings import bind_products
+from catalogspark.operators.media import ordered_media
 from catalogspark.plans.derived import PART_SQL, part_baseline, part_desired, table, texts
 from catalogspark.plans.registry import query
-from catalogspark.scale import number_rows, pinned, work_dir
+from catalogspark.scale import number_rows, work_dir
+from catalogspark.sinks import handoff as H
 from catalogspark.sinks import manifest as K
 from catalogspark.sources import readers as R
 
@@ -63,16 +66,17 @@ def projection_report(spark, sf):
     return I.diagnostic_report(I.normalize_items(_raw(spark, sf), "p_partkey", "CNY", UNITS, hosts=("img.example.com",)))
 
 
-@query("F37 J16 F17", """with c as (select c_custkey, 'N' || c_nationkey state, case when c_acctbal > 3000 then 'Supplier#' || lpad((c_custkey)::varchar, 9, '0') when c_acctbal > 0 then 'twin' else '' end city, c_acctbal from customer),
+@query("F37 J16 F17", """with c as (select c_custkey, 'N' || c_nationkey state, case when c_acctbal > 3000 then 'Sùpplier – ' || lpad((c_custkey)::varchar, 9, '0') when c_acctbal > 0 then 'twin' else '' end city,
+ case when c_acctbal > 3000 then 'supplier#' || lpad((c_custkey)::varchar, 9, '0') when c_acctbal > 0 then 'twin' else '' end ckey, c_acctbal from customer),
 g as (select 'N' || s_nationkey state, lower(s_name) city, count(*) n, min(s_name) nm from supplier group by 1, 2 union all select 'N' || n_nationkey, 'twin', 2, 'Twin' from nation where n_regionkey < 3)
-select c_custkey, 'CN' as country, c.state, case when n = 1 then nm end as city, case when c.city <> '' then case when n is null then 'not-found' when n > 1 then 'ambiguous' end end as warning,
+select c_custkey, 'CN' as country, c.state, case when n = 1 then nm end as city, case when c.city <> '' then case when c.state not in (select state from g) then 'state-not-found' when n is null then 'not-found' when n > 1 then 'ambiguous' end end as warning,
  (case when c_acctbal > 5000 then 800 else 2 end)::int as altitude_min, (case when c_acctbal > 5000 then 1200 else 3000 end)::int as altitude_max, c_acctbal > 5000 as altitude_scaled,
  case when c_acctbal > 7000 then 'High slopes' else case when c.city <> '' then c.city || ', ' else '' end || c.state || ', cn' end as place
-from c left join g on c.state = g.state and lower(c.city) = g.city""")
+from c left join g on c.state = g.state and c.ckey = g.city""")
 def origin_rows(spark, sf):
     bal = F.col("c_acctbal")
     state = F.concat(F.lit("N"), F.col("c_nationkey").cast("string"))
-    city = F.when(bal > 3000, F.concat(F.lit("Supplier#"), F.lpad(F.col("c_custkey").cast("string"), 9, "0"))).when(bal > 0, "twin").otherwise("")
+    city = F.when(bal > 3000, F.concat(F.lit("Sùpplier – "), F.lpad(F.col("c_custkey").cast("string"), 9, "0"))).when(bal > 0, "twin").otherwise("")
     cards = table(spark, sf, "customer").select(
         "c_custkey", F.lit("cn").alias("country"), state.alias("state"), city.alias("city"),
         F.when(bal > 5000, 0.8).otherwise(2.0).alias("altitude_min"), F.when(bal > 5000, 1.2).otherwise(3000.0).alias("altitude_max"),
@@ -137,14 +141,44 @@ def preflight(spark, sf):
 LIMBS = ", ".join(f"sum(('0x' || substr(h,{a},15))::bigint)::varchar" for a in (1, 16, 31, 46))
 
 
-@query("K10 V20 S18", f"""with a as (select distinct 'P' || l_partkey code, l_returnflag "catalog", l_linestatus category from lineitem where l_returnflag <> 'N'),
-h as (select 'assignments' part, sha256(cast(json_object('catalog', "catalog", 'category', category, 'code', code) as varchar)) h from a
+@query("K10 V20 S18", f"""with {PART_SQL}, a as (select distinct 'P' || l_partkey code, l_returnflag "catalog", l_linestatus category from lineitem where l_returnflag <> 'N'),
+m as (select 'P' || l_partkey code, md5(l_suppkey::varchar) sha, min(l_orderkey) o from lineitem group by 1, 2),
+h as (select 'definitions' part, sha256(cast(json_object('attribute', attribute, 'type', 'Number') as varchar)) h from (select distinct case when p_size > 0 then 'SIZE' else 'NONE' end attribute from part)
+ union all select 'bindings', sha256(cast(json_object('category', category, 'code', code, 'position', row_number() over (partition by category order by code)) as varchar)) from (select distinct category, code from a)
+ union all select 'media', sha256(cast(json_object('code', code, 'media_order', row_number() over (partition by code order by o, sha), 'sha', sha) as varchar)) from m
+ union all select 'patches', sha256(cast(json_object('action', action, 'code', code) as varchar)) from (select d.code, case when b.code is null then 'create' when b.id <> d.id then 'conflict' when d.name <> b.name or d.price <> b.price then 'update' else 'noop' end action from desired d left join baseline b using (code)) where action <> 'noop'
+ union all select 'assignments', sha256(cast(json_object('catalog', "catalog", 'category', category, 'code', code) as varchar)) h from a
  union all select 'products', sha256(cast(json_object('code', 'P' || p_partkey, 'p_name', p_name) as varchar)) from part),
 b as (select part, count(*) row_count, sha256(concat_ws(':', count(*)::varchar, {LIMBS})) set_sha256 from h group by 1)
 select *, (select sha256(string_agg(part || '=' || set_sha256, chr(10) order by part)) from b) as identity from b""")
 def console_artifact(spark, sf):
+    """Products with everything an import needs beside them: patches, the definitions in use, bindings and ordered media."""
     part, parts = _artifact(spark, sf)
-    return K.write_console_artifact({"products": part.select("code", "p_name"), "assignments": parts["assignments"]}, work_dir(spark, "console"))
+    plan = D.diff_rows(part_desired(spark, sf), part_baseline(spark, sf), "code", ["name", "brand", "price", "size"], identity="id")
+    used = parts["definitions"].join(parts["specifications"].select("attribute").distinct(), "attribute", "left_semi")
+    bound = bind_products(parts["assignments"], parts["assignments"], "category", "code", [])
+    images = table(spark, sf, "lineitem").select(F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("code"), F.md5(F.col("l_suppkey").cast("string")).alias("sha"), "l_orderkey")
+    return K.write_console_artifact({
+        "products": part.select("code", "p_name"), "assignments": parts["assignments"], "patches": plan.where("action <> 'noop'").select("code", "action"),
+        "definitions": used, "bindings": bound, "media": ordered_media(images, "code", "sha", ["l_orderkey"]).select("code", "sha", "media_order"),
+    }, work_dir(spark, "console"))
+
+
+@query("K15 K5", """with d as (select 'P' || p_partkey code, p_name, p_brand, p_size, p_type from part),
+s as (select 'P' || l_partkey code, count(*) n, max(l_orderkey) last from lineitem group by 1)
+select d.code, sha256('## Facts' || chr(10) || '- name: ' || p_name || chr(10) || '- brand: ' || p_brand || case when p_size > 25 then chr(10) || '- size: ' || p_size else '' end || chr(10) || '## Kind' || chr(10) || '- type: ' || p_type) as content_sha256,
+ (4 + case when p_size > 25 then 2 else 1 end)::bigint as lines,
+ sha256(case when s.code is null then '{}' else cast(json_object('last_order', last, 'orders', n) as varchar) end) as context_sha256, (select count(*) from d) as package_sheets, true as intact
+from d left join s using (code)""")
+def fact_sheet_package(spark, sf):
+    """A stored package of fact sheets, each with digests of its text and of the context it was made from, and a manifest."""
+    d = table(spark, sf, "part").select(F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("code"), "p_name", "p_brand", "p_size", "p_type")
+    sold = table(spark, sf, "lineitem").groupBy(F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("code")).agg(F.count(F.lit(1)).alias("orders"), F.max("l_orderkey").alias("last_order"))
+    lines = H.fact_lines(d, "code", {
+        "Facts": [("name", F.col("p_name")), ("brand", F.col("p_brand")), ("size", F.when(F.col("p_size") > 25, F.col("p_size")))], "Kind": [("type", F.col("p_type"))]})
+    root = work_dir(spark, "sheets")
+    H.write_sheets(lines, d.select("code").join(sold, "code", "left"), "code", root)
+    return H.read_sheets(spark, root, "code").select("code", "content_sha256", "lines", "context_sha256", "package_sheets", "intact")
 
 
 @query("M18 W2 K12 W6", """with c as (select conv_id, turn, role, text, lead(role) over w nr, lead(turn) over w nt, lead(text) over w nx from conversations window w as (partition by conv_id order by turn))
@@ -153,7 +187,7 @@ def faq_entries(spark, sf):
     """Question and answer pairs of a conversation, numbered 1..n."""
     pairs, _ = U.pair_adjacent(table(spark, sf, "conversations"), "conv_id", "turn", "role", "text", "user", "assistant")
     hashed = pairs.select("conv_id", "turn", F.sha2("question", 256).alias("question_sha"), F.sha2("answer", 256).alias("answer_sha"))
-    return number_rows(pinned(hashed), ["conv_id"], ["turn"], "position").drop("turn")
+    return number_rows(hashed, ["conv_id"], ["turn"], "position").drop("turn")
 
 
 @query("K12 M18", """with t as (select doc_id, lang, source, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(coalesce(list_filter(regexp_split_to_array(text, chr(10) || '\\s*' || chr(10)), lambda b: trim(b) <> '' and not regexp_matches(trim(b), '^#|^[-*]\\s|^`'))[1], ''),

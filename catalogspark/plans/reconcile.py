@@ -49,6 +49,15 @@ def diff_gate(spark, sf):
     return D.diff_gate(part_diff(spark, sf), scope=["price"])
 
 
+@query("J8 P17 V19", """select count(*) filter (where p_size = 7) as create_rows, count(*) filter (where p_size % 2 = 0) as update_rows, count(*) filter (where p_size % 2 = 1 and p_size <> 7) as noop_rows,
+ 0::bigint as conflict_rows, count(*) filter (where p_size = 7) as scope_errors, count(*) filter (where p_size = 7) = 0 as eligible from part where p_size <> 7 or p_brand = 'none'""")
+def diff_gate_passes(spark, sf):
+    """A plan that only changes what it may change is eligible."""
+    p = table(spark, sf, "part").where("p_size <> 7").select(F.col("p_partkey").cast("string").alias("code"), F.col("p_size").alias("price"))
+    desired = p.select("code", F.when(F.col("price") % 2 == 0, F.col("price") + 1).otherwise(F.col("price")).alias("price"))
+    return D.diff_gate(D.diff_rows(desired, p, "code", ["price"]), scope=["price"])
+
+
 @query("P17", DIFF_SQL + """
 select code, action, case when c_name then 'name' else '' end as unexpected_fields
 from diff where action in ('create','conflict') or c_name""")

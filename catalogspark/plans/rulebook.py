@@ -163,7 +163,7 @@ def sensitive_text_flags(spark, sf):
 
 @query("P9", f"select doc_id, {_flags_sql(S.UNSAFE_TEXT)}, length(text) > 4000 as too_long from documents")
 def boilerplate_flags(spark, sf):
-    flags = S.unsafe_text_flags("text")
+    flags = S.unsafe_text_flags("text", max_length=4000)
     return texts(spark, sf).select("doc_id", *[c.alias(n) for n, c in flags.items()])
 
 

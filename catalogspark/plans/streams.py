@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalogspark.operators.quality import count_drift
+from catalogspark.plans.audits import DRIFT_SQL
 from catalogspark.plans.derived import table
 from catalogspark.plans.registry import query
 from catalogspark.scale import with_scalars, work_dir
+from catalogspark.sinks import manifest as M
 from catalogspark.streaming import ingest as I
 
 
@@ -58,21 +60,44 @@ def batched_apply(spark, sf):
     plan = orders.where("status = 'P'").withColumn("status", F.lit("F"))
     source, target = work_dir(spark, "plan"), work_dir(spark, "applied")
     plan.withColumn("folder", F.col("priority")).repartitionByRange("folder", "o_orderkey").write.partitionBy("folder").parquet(source)
-    I.batched_apply(spark, source, orders.schema, target, work_dir(spark, "checkpoint"), lambda rows: rows.where("priority = '5-LOW'"))
+    I.batched_apply(spark, source, orders.schema, target, work_dir(spark, "checkpoint"), lambda rows: rows.where("priority = '5-LOW'"), files_per_batch=1)
     live = I.live_table(spark, orders, target, orders.schema, "o_orderkey")
     return live.groupBy("priority", "status").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("T6 A20", """with d as (select datediff('day', date '2024-01-01', ts::date)::int as day, count(*) n from events group by 1), c as (select day, n from d where day < (select max(day) from d))
-select c.day, c.n, p.n as previous, coalesce(p.n - c.n > p.n * 0.05 or c.n > p.n * 1.05, false) as drifted from c left join c p on p.day = c.day - 1""")
+@query("T1 T2", "select event_type, count(*) as n, true as refused from events group by 1")
+def resume_refused(spark, sf):
+    """A job of another version is refused by the target of the first one, which keeps its rows as they are."""
+    events = _events(spark, sf).select("event_id", "event_type")
+    source, target, base = _landed(spark, events, 4), work_dir(spark, "ingested"), work_dir(spark, "checkpoint")
+    run = lambda version: I.resumable_ingest(spark, source, events.schema, target, I.checkpoint_path(base, "ingest", version, {}), files_per_batch=2)
+    run("1")
+    try:
+        run("2")
+        refused = False
+    except ValueError:
+        refused = True
+    return spark.read.parquet(target).groupBy("event_type").agg(F.count(F.lit(1)).alias("n")).select("event_type", "n", F.lit(refused).alias("refused"))
+
+
+@query("T5 T6", """select 'run-1' as run, event_type, count(*) as n from events where event_id % 2 = 0 group by event_type""")
+def promotion_after_gate(spark, sf):
+    """Three runs: a good one is promoted, one that lost most rows is gated and not promoted, a replay promotes nothing."""
+    events = _events(spark, sf).where("event_id % 2 = 0").select("event_id", "event_type")
+    root = work_dir(spark, "runs")
+    for n, (run, rows) in enumerate([("run-1", events), ("run-2", events.where("event_id % 8 = 0")), ("run-1", events)]):
+        M.promote_run(spark, root, run, n, rows, "event_type")
+    run = M.current_run(spark, f"{root}/current")
+    return spark.read.parquet(f"{root}/{run}").groupBy("event_type").agg(F.count(F.lit(1)).alias("n")).select(F.lit(run).alias("run"), "event_type", "n")
+
+
+@query("T6 A20", """with recursive d as (select datediff('day', date '2024-01-01', ts::date)::int as day, count(*) n from events group by 1), """ + DRIFT_SQL.format(days="d", drop="0.05", grow="1.05"))
 def windowed_count_drift(spark, sf):
-    """Daily windows that the watermark has closed, each against the day before (the last day is still open)."""
+    """Daily windows of all rows, landed in many files in any order, each against the last accepted day."""
     instant = F.from_utc_timestamp(F.col("ts").cast("timestamp"), F.current_timezone())  # wall clock read as UTC
     events = _events(spark, sf).select("event_id", instant.alias("ts"))
-    source = work_dir(spark, "landed")
-    events.coalesce(1).write.parquet(source)
-    target = work_dir(spark, "windows")
-    I.windowed_counts(spark, source, events.schema, target, work_dir(spark, "checkpoint"), "ts", [], "1 day", "1 minute")
-    days = spark.read.schema("window_start timestamp, n long").parquet(target).select(
+    source, target = _landed(spark, events, 6), work_dir(spark, "windows")
+    I.windowed_counts(spark, source, events.schema, target, work_dir(spark, "checkpoint"), "ts", [], "1 day", "1 minute", files_per_batch=2)
+    days = I.window_totals(spark, target).select(
         F.date_diff(F.to_date(F.to_utc_timestamp("window_start", F.current_timezone())), F.lit("2024-01-01").cast("date")).alias("day"), "n")
     return count_drift(days, "day", "n", max_drop=0.05, max_growth=1.05)

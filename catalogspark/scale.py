@@ -1,5 +1,4 @@
-"""Helpers that keep jobs safe at size: checked broadcasts, pinned results, work folders,
-numbering and neighbour look-ups that never put one large key into one task."""
+"""Helpers that keep jobs safe at size: pinned results, work folders, numbering and neighbour look-ups that never put one large key into one task."""
 
 from __future__ import annotations
 
@@ -10,20 +9,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: A side is broadcast only when it has at most this many rows (checked by a bounded count).
-BROADCAST_ROWS = 200_000
-#: A key with more rows than this is split over several tasks by the ordered operators.
-HOT_KEY_ROWS = 2_000_000
 #: Rows per window task in neighbour look-ups over dense positions.
 BLOCK_ROWS = 1 << 16
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach: ``spark.checkpoint.dir``; a fresh local one only if unset."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = spark.sparkContext.getCheckpointDir()
+    """The folder every executor can reach: ``spark.checkpoint.dir``. Only a local master may do without it."""
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not configured:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
         configured = tempfile.mkdtemp(prefix="catalogspark-")
         spark.sparkContext.setCheckpointDir(configured)
     return configured
@@ -75,16 +70,6 @@ def spread(df: DataFrame) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
-def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Bounded count: reads at most ``max_rows + 1`` rows of the result."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only for a side proven small; otherwise the join stays a shuffle join under AQE."""
-    return F.broadcast(df) if is_small(df, max_rows) else df
-
-
 def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     """Null-safe equality on all keys."""
     cond = F.lit(True)
@@ -93,45 +78,19 @@ def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     return cond
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], limit: int) -> DataFrame:
-    """Keys with more than ``limit`` rows: at most rows/limit of them. Counts combine map-side."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit).drop("_n")
-
-
-def number_rows(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[Column | str],
-    out: str,
-    hot_limit: int = HOT_KEY_ROWS,
-) -> DataFrame:
+def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], out: str) -> DataFrame:
     """1..n per key in ``order`` (which must be unique within a key).
 
-    Ordinary keys use one window. Keys above ``hot_limit`` are range-split by the full order, numbered
-    inside each slice, and shifted by the sizes of the slices before.
+    Rows are range-split by key and full order, numbered inside each slice, and shifted by the sizes of the key's
+    slices before, so that a key of any size is spread over tasks. Slices are stored, because a range split that is
+    computed again after a loss need not fall in the same places.
     """
     order = [F.col(o) if isinstance(o, str) else o for o in order]
-    if not keys:
-        return _number_by_slices(df, [], order, out)
-    hot = hot_keys(df, keys, hot_limit)
-    window = Window.partitionBy(*keys).orderBy(*order)
-    if hot.isEmpty():
-        return df.withColumn(out, F.row_number().over(window).cast("long"))
-    renamed = hot.select([F.col(k).alias(f"_hot_{k}") for k in keys])
-    renamed = broadcast_if_small(renamed)
-    cond = F.lit(True)
-    for key in keys:
-        cond = cond & df[key].eqNullSafe(renamed[f"_hot_{key}"])
-    cold = df.join(renamed, cond, "left_anti").withColumn(out, F.row_number().over(window).cast("long"))
-    heavy = _number_by_slices(df.join(renamed, cond, "left_semi"), keys, order, out)
-    return cold.unionByName(heavy)
-
-
-def _number_by_slices(df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str) -> DataFrame:
     slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    by_range = [F.col(k) for k in keys] + list(order)
-    sliced = df.repartitionByRange(slices, *by_range).withColumn("_slice", F.spark_partition_id())
-    sliced = pinned(sliced)  # slice ids must survive the loss of an executor
+    sliced = df.repartitionByRange(slices, *[F.col(k) for k in keys], *order).withColumn("_slice", F.spark_partition_id())
+    path = work_dir(df.sparkSession, "slices")
+    sliced.write.parquet(path)
+    sliced = df.sparkSession.read.schema(sliced.schema).parquet(path)
     sizes = sliced.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_size"))
     # one row per (key, slice): a key spans at most `slices` rows here
     before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -145,12 +104,18 @@ def _number_by_slices(df: DataFrame, keys: Sequence[str], order: Sequence[Column
         cond = cond & sliced[key].eqNullSafe(offsets[f"_o_{key}"])
     window = Window.partitionBy(*keys, "_slice").orderBy(*order)
     return (
-        sliced.join(broadcast_if_small(offsets), cond, "left")
+        sliced.join(offsets, cond, "left")
         .withColumn(out, (F.row_number().over(window) + F.col("_before")).cast("long"))
         .select(*df.columns, out)
     )
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, on any file system; other errors (rights, network) are raised."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
 def neighbours(
     df: DataFrame,
     keys: Sequence[str],

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
@@ -17,6 +19,7 @@ def local_session(cores: int | str = 8, app: str = "catalogspark", **extra: str)
         "spark.ui.enabled": "false",
         "spark.driver.memory": "12g",
         "spark.ui.showConsoleProgress": "false",
+        "spark.checkpoint.dir": extra.get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="catalogspark-"),
         **extra,
     }
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalogspark.functions.canon import as_col
+from catalogspark.functions.canon import as_col, canonical_json, row_digest, set_digest
+from catalogspark.scale import with_scalars
 
 #: Markers around the parts a translator edits.
 OPEN, CLOSE = "<!-- edit:{0} -->", "<!-- end:{0} -->"
@@ -77,6 +78,40 @@ def fact_lines(df: DataFrame, key: str, sections: Mapping[str, Sequence[tuple[st
     return df.select(key, F.explode(F.array(*rows)).alias("r")).select(key, "r.*").where("text is not null")
 
 
+def write_sheets(lines: DataFrame, context: DataFrame, key: str, root: str) -> None:
+    """A package of fact sheets: their lines, one record per sheet with its digests, and one manifest row, written last.
+
+    A sheet has a line per section and fact that the caller names, so its text fits in a row; the context is the row of
+    ``context`` for the key, as canonical JSON.
+    """
+    spark = lines.sparkSession
+    lines.write.mode("errorifexists").parquet(f"{root}/lines")
+    stored = spark.read.schema(lines.schema).parquet(f"{root}/lines")
+    facts = [c for c in context.columns if c != key]
+    known = context.select(key, F.sha2(canonical_json(context, facts), 256).alias("context_sha256"))
+    _sheets(stored, key).join(known, key, "left").write.mode("errorifexists").parquet(f"{root}/sheets")
+    sheets = spark.read.parquet(f"{root}/sheets")
+    manifest = set_digest(sheets.select(row_digest(sheets).alias("h")), "h")
+    manifest.write.mode("errorifexists").json(f"{root}/manifest")
+
+
+def _sheets(lines: DataFrame, key: str) -> DataFrame:
+    ordered = F.array_sort(F.collect_list(F.struct("line", "text")))
+    return lines.groupBy(key).agg(ordered.alias("l")).select(
+        key, F.sha2(F.array_join(F.col("l.text"), "\n"), 256).alias("content_sha256"), F.size("l").cast("long").alias("lines"))
+
+
+def read_sheets(spark: SparkSession, root: str, key: str) -> DataFrame:
+    """The sheets of a package; ``intact`` where text still has its digest and the records are those of the manifest."""
+    sheets = spark.read.parquet(f"{root}/sheets")
+    manifest = spark.read.schema("row_count long, set_sha256 string").json(f"{root}/manifest").select(F.col("row_count").alias("package_sheets"), F.col("set_sha256").alias("_stored"))
+    found = set_digest(sheets.select(row_digest(sheets).alias("h")), "h").select(F.col("set_sha256").alias("_found"))
+    now = _sheets(spark.read.parquet(f"{root}/lines"), key).select(key, F.col("content_sha256").alias("_now"))
+    told = with_scalars(sheets.join(now, key, "left"), manifest, found)
+    same = F.coalesce(F.col("_now") == F.col("content_sha256"), F.lit(False)) & (F.col("_stored") == F.col("_found"))
+    return told.withColumn("intact", same).drop("_now", "_stored", "_found")
+
+
 def context_join(products: DataFrame, mapping: DataFrame, observations: DataFrame, media: DataFrame, key: str, observed: str) -> DataFrame:
     """Product ⟕ mapping ⟕ observation ⟕ number of local media: unique right sides, so rows are never multiplied."""
     counts = media.groupBy(observed).agg(F.count(F.lit(1)).alias("media_files"))
@@ -86,11 +121,14 @@ def context_join(products: DataFrame, mapping: DataFrame, observations: DataFram
     )
 
 
-def wide_rows(df: DataFrame, key: str, position: str, collection: str, fields: Sequence[str], width: int) -> DataFrame:
-    """Nested rows as ``collection/0/field`` columns, blanks filled. ``width`` is checked by :func:`too_wide`.
+def wide_rows(df: DataFrame, key: str, position: str, collection: str, fields: Sequence[str], width: int | None = None) -> DataFrame:
+    """Nested rows as ``collection/0/field`` columns, blanks filled, for all positions that occur.
+
+    A caller that fixes ``width`` exports the rows of :func:`too_wide` long.
 
     Each cell is a conditional maximum: constant state per key, combined map-side, no array is built.
     """
+    width = widest(df, position) if width is None else width
     cells = [
         F.coalesce(F.max(F.when(F.col(position) == i, F.col(f).cast("string"))), F.lit("")).alias(f"{collection}/{i}/{f}")
         for i in range(width) for f in fields

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from catalogspark.functions.canon import row_digest, set_digest
 from catalogspark.operators.diff import structural_diff
-from catalogspark.scale import with_scalars
+from catalogspark.scale import path_exists, with_scalars
 from catalogspark.sources.blobs import read_files
 
 
@@ -24,9 +24,12 @@ def write_records(df: DataFrame, path: str, category: str, per_file: int = 250_0
 
 
 def file_manifest(spark: SparkSession, root: str) -> DataFrame:
-    """(path relative to the root, bytes, sha256) of every data file. Files are bounded by the writer."""
-    base = F.regexp_replace("path", "^file:/*", "/")
-    relative = F.regexp_replace(base, "^" + root.rstrip("/").replace(".", r"\."), "")
+    """(path relative to the root, bytes, sha256) of every data file, on any file system. Files are bounded by the writer.
+
+    A file's path is cut behind the root by length, so the root may hold any characters.
+    """
+    inside = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root).toUri().getPath()
+    relative = F.substring("path", F.instr("path", inside) + len(inside), F.lit(1 << 30))
     return read_files(spark, root).select(relative.alias("file"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
 
 
@@ -99,15 +102,34 @@ def promote(spark: SparkSession, pointer: str, run: str, sequence: int) -> None:
 
 
 def current_run(spark: SparkSession, pointer: str) -> str | None:
-    """The run of the highest pointer, or None before the first promotion."""
-    try:
-        rows = spark.read.schema("run string").json(pointer + "/*")
-    except Exception:  # noqa: BLE001 - no pointer folder yet
+    """The run of the highest pointer, or None before the first promotion. Errors other than that are raised."""
+    if not path_exists(spark, pointer):
         return None
+    rows = spark.read.schema("run string").json(pointer + "/*")
     best = rows.select("run", F.col("_metadata.file_path").alias("p")).agg(F.max_by("run", "p").alias("run")).collect()
     return best[0].run if best else None
 
 
+def promote_run(spark: SparkSession, root: str, run: str, sequence: int, rows: DataFrame, by: str, max_drop: float = 0.25, max_growth: float = 2.0) -> bool:
+    """Write a run, judge it against the current one, and promote it as the very last step; returns whether it was.
+
+    The gate compares the rows per value of ``by`` and refuses a drop or growth beyond the limits. A run that is
+    already stored is a replay: it is neither written nor promoted again.
+    """
+    path, pointer = f"{root}/{run}", f"{root}/current"
+    if path_exists(spark, f"{path}/_SUCCESS"):
+        return False
+    rows.write.mode("errorifexists").parquet(path)
+    last = current_run(spark, pointer)
+    if last is not None:
+        count = lambda r, name: spark.read.parquet(f"{root}/{r}").groupBy(by).agg(F.count(F.lit(1)).alias(name))
+        both = count(last, "old").join(count(run, "new"), by, "full_outer").na.fill(0, ["old", "new"])
+        if not both.where((F.col("old") - F.col("new") > F.col("old") * max_drop) | ((F.col("old") > 0) & (F.col("new") > F.col("old") * max_growth))).isEmpty():
+            return False
+    promote(spark, pointer, run, sequence)
+    return True
+
+
 def write_console_artifact(parts: Mapping[str, DataFrame], root: str) -> DataFrame:
     """Every part as its own data set, read back and counted: (part, rows, set_sha256) of what is stored."""
     spark = next(iter(parts.values())).sparkSession

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from catalogspark.functions.canon import key_bucket
 from catalogspark.operators.diff import structural_diff
+from catalogspark.scale import path_exists
 
 
 def checkpoint_path(base: str, name: str, version: str, parameters: Mapping[str, object]) -> str:
@@ -20,9 +21,24 @@ def checkpoint_path(base: str, name: str, version: str, parameters: Mapping[str,
     return f"{base}/{name}-{digest[:16]}"
 
 
-def _read(spark: SparkSession, source: str, schema: T.StructType, files_per_batch: int) -> DataFrame:
-    options = {"maxFilesPerTrigger": files_per_batch, "recursiveFileLookup": "true"}
-    return spark.readStream.schema(schema).options(**options).parquet(source)
+def claim(spark: SparkSession, target: str, checkpoint: str) -> None:
+    """Bind a target to the checkpoint that fills it; another checkpoint is refused and nothing is written.
+
+    A new checkpoint counts its batches from 0 and would overwrite the batches of the old one. The guard is a file of
+    its own below the target, written once before the first batch.
+    """
+    guard = f"{target}/_claimed"
+    if not path_exists(spark, guard):
+        spark.range(1).select(F.lit(checkpoint).alias("checkpoint")).coalesce(1).write.mode("errorifexists").json(guard)
+    owner = spark.read.schema("checkpoint string").json(guard).first()["checkpoint"]
+    if owner != checkpoint:
+        raise ValueError(f"{target} belongs to the job of {owner}: another version or other parameters need another target")
+
+
+def _read(spark: SparkSession, source: str, schema: T.StructType, files_per_batch: int | None, bytes_per_batch: int = 10 << 30) -> DataFrame:
+    """Files as a stream; a batch is bounded by bytes, or by files where the caller says so."""
+    bound = {"maxFilesPerTrigger": files_per_batch} if files_per_batch else {"maxBytesPerTrigger": bytes_per_batch}
+    return spark.readStream.schema(schema).options(recursiveFileLookup="true", **bound).parquet(source)
 
 
 def _run(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str) -> None:
@@ -32,9 +48,11 @@ def _run(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint
 
 def resumable_ingest(
     spark: SparkSession, source: str, schema: T.StructType, target: str, checkpoint: str,
-    transform: Callable[[DataFrame], DataFrame] = lambda df: df, files_per_batch: int = 1000,
+    transform: Callable[[DataFrame], DataFrame] = lambda df: df, files_per_batch: int | None = None,
 ) -> None:
     """Everything that has landed since the last run, then stop. A repeated batch overwrites its own folder only."""
+    claim(spark, target, checkpoint)
+
     def handle(batch: DataFrame, batch_id: int) -> None:
         transform(batch).write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
 
@@ -43,13 +61,14 @@ def resumable_ingest(
 
 def idempotent_import(
     spark: SparkSession, source: str, schema: T.StructType, target: str, checkpoint: str, key: str,
-    order: str, buckets: int = 64, files_per_batch: int = 1000,
+    order: str, buckets: int = 64, files_per_batch: int | None = None,
 ) -> None:
     """Import rows keyed by a semantic digest: a key that is already stored, or comes again, changes nothing.
 
     Within a batch the first row by ``order`` is kept (an aggregate). Stored keys are read from a slim key
     table, only from the hash buckets that occur in the batch.
     """
+    claim(spark, target, checkpoint)
     rest = [f.name for f in schema.fields if f.name != key]
     keys_dir = f"{target}/keys"
 
@@ -76,7 +95,7 @@ def idempotent_import(
 
 def batched_apply(
     spark: SparkSession, plan: str, schema: T.StructType, target: str, checkpoint: str,
-    valid: Callable[[DataFrame], DataFrame], files_per_batch: int = 1,
+    valid: Callable[[DataFrame], DataFrame], files_per_batch: int | None = None,
 ) -> None:
     """Apply a plan batch by batch: write, read back, compare; a batch with a bad or lost row is not taken.
 
@@ -84,6 +103,8 @@ def batched_apply(
     baseline overlaid with the accepted batches, so refusing a batch restores the rows before it.
     ``valid`` returns the rows of a batch that may *not* be applied.
     """
+    claim(spark, target, checkpoint)
+
     def handle(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         path = f"{target}/rows/batch={batch_id}"
@@ -115,16 +136,36 @@ def live_table(spark: SparkSession, baseline: DataFrame, target: str, schema: T.
 
 def windowed_counts(
     spark: SparkSession, source: str, schema: T.StructType, target: str, checkpoint: str, ts: str,
-    by: Sequence[str], width: str, lateness: str, files_per_batch: int = 1000,
+    by: Sequence[str], width: str, lateness: str, files_per_batch: int | None = None,
 ) -> None:
-    """Counts per tumbling window as windows close under the watermark; late rows beyond it are not counted."""
-    stream = _read(spark, source, schema, files_per_batch).withWatermark(ts, lateness)
-    counts = stream.groupBy(F.window(ts, width).alias("w"), *by).agg(F.count(F.lit(1)).alias("n"))
-    flat = counts.select(F.col("w.start").alias("window_start"), *by, "n")
-    query = (
-        flat.writeStream.outputMode("append").format("parquet").option("path", target).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start())
-    query.awaitTermination()
+    """Counts per tumbling window, batch by batch; no row is dropped, however late.
+
+    A batch adds one partial count per window it touches, marked late if the window had been closed before (its end
+    lies more than ``lateness`` behind the newest row of earlier batches). :func:`window_totals` adds the parts up.
+    """
+    claim(spark, target, checkpoint)
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        newest = None
+        if batch_id > 0:
+            before = session.read.schema(_PARTS).option("basePath", f"{target}/parts").parquet(f"{target}/parts")
+            newest = before.where(F.col("batch") < batch_id).agg(F.max("newest").alias("m")).first()["m"]
+        window = F.window(ts, width)
+        parts = batch.groupBy(window.alias("w"), *by).agg(F.count(F.lit(1)).alias("n"), F.max(ts).alias("newest"))
+        closed = F.lit(False) if newest is None else F.col("w.end") < F.lit(newest) - F.expr(f"interval {lateness}")
+        parts.select(F.col("w.start").alias("window_start"), *by, "n", "newest", closed.alias("late")).write.mode("overwrite").parquet(f"{target}/parts/batch={batch_id}")
+
+    _run(_read(spark, source, schema, files_per_batch), handle, checkpoint)
+
+
+_PARTS = "window_start timestamp, n long, newest timestamp, late boolean, batch long"
+
+
+def window_totals(spark: SparkSession, target: str, by: Sequence[str] = ()) -> DataFrame:
+    """``window_start, by…, n, n_late``: all rows of a window, and how many of them came after it was closed."""
+    rows = spark.read.option("basePath", f"{target}/parts").parquet(f"{target}/parts")
+    return rows.groupBy("window_start", *by).agg(F.sum("n").alias("n"), F.sum(F.when(F.col("late"), F.col("n")).otherwise(0)).alias("n_late"))
 
 
 def deduplicated_stream(stream: DataFrame, ts: str, key: str, lateness: str) -> DataFrame:

@@ -96,7 +96,7 @@ def test_refused_batches_leave_the_baseline(spark, tmp_path):
     base = spark.createDataFrame([(i, "old") for i in range(10)], "k long, v string")
     spark.createDataFrame([(1, "new"), (2, "new")], base.schema).coalesce(1).write.mode("append").parquet(src)
     spark.createDataFrame([(3, "new"), (4, "bad")], base.schema).coalesce(1).write.mode("append").parquet(src)
-    I.batched_apply(spark, src, base.schema, out, chk, lambda b: b.where("v = 'bad'"))
+    I.batched_apply(spark, src, base.schema, out, chk, lambda b: b.where("v = 'bad'"), files_per_batch=1)
     live = {r.k: r.v for r in I.live_table(spark, base, out, base.schema, "k").collect()}
     assert live == {i: ("new" if i in (1, 2) else "old") for i in range(10)}
     assert sorted(r.status for r in I.apply_log(spark, out).collect()) == ["applied", "restored"]

@@ -86,7 +86,12 @@ def test_trees(spark):
     assert rows(hierarchy.missing_with_ancestors(edges, edges.where("code = 'a'"), "code", "parent").select("code")) == [("b",), ("c",)]
     loop = spark.createDataFrame([("a", "b"), ("b", "a")], "code string, parent string")
     with pytest.raises(ValueError):
-        hierarchy.ancestors(loop, "code", "parent", max_depth=5)
+        hierarchy.ancestors(loop, "code", "parent")
+    into = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "d"), ("d", "b")], "code string, parent string")
+    with pytest.raises(ValueError):
+        hierarchy.ancestors(into, "code", "parent", start=into.where("code = 'a'"))
+    chain = spark.createDataFrame([(f"n{i:02d}", f"n{i - 1:02d}" if i else None) for i in range(20)], "code string, parent string")
+    assert hierarchy.ancestors(chain, "code", "parent").count() == 190
 
 
 @pytest.mark.parametrize("change,rule", [

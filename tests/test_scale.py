@@ -27,9 +27,8 @@ def brute_numbers(data, key):
     return out
 
 
-@pytest.mark.parametrize("limit", [10, 100_000])
-def test_number_rows(skewed, limit):
-    got = {r.i: r.n for r in S.number_rows(skewed, ["k"], ["v", "i"], "n", hot_limit=limit).collect()}
+def test_number_rows(skewed):
+    got = {r.i: r.n for r in S.number_rows(skewed, ["k"], ["v", "i"], "n").collect()}
     assert got == brute_numbers(skewed.collect(), lambda r: r.k)
 
 
@@ -40,7 +39,7 @@ def test_number_rows_without_key(skewed):
 
 def test_number_rows_keeps_null_keys(spark):
     df = spark.createDataFrame([(None, i, i) for i in range(20)] + [("a", 1, 99)], "k string, v long, i long")
-    assert S.number_rows(df, ["k"], ["v", "i"], "n", hot_limit=5).count() == 21
+    assert S.number_rows(df, ["k"], ["v", "i"], "n").count() == 21
 
 
 @pytest.mark.parametrize("block", [2, 5, 1 << 16])
@@ -55,12 +54,6 @@ def test_neighbours(spark, block):
         assert (r._next.t if r._next else None) == have.get((r.k, r.p + 1))
 
 
-def test_broadcast_only_when_small(spark):
-    big = spark.range(50)
-    assert "ResolvedHint" not in S.broadcast_if_small(big, 10)._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" in S.broadcast_if_small(big, 100)._jdf.queryExecution().analyzed().toString()
-
-
 def test_set_digest_is_free_of_order_and_partitioning(skewed):
     digest = lambda df: rows(set_digest(df.select("k", row_digest(df, ["v", "i"]).alias("h")), "h", by=["k"]))
     assert digest(skewed) == digest(skewed.orderBy(F.desc("v")).repartition(3)) == digest(skewed.coalesce(1))

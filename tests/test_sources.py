@@ -23,7 +23,7 @@ def test_prune_drops_row_ids(spark):
 
 def test_routing_splits_every_row_once(spark):
     df = spark.createDataFrame([("s", "short", "x"), ("s", "long", "y" * 301), ("ext_1", "a", "x"), ("s", "a_x2", "x"), ("s", "long", "z")], "section string, field string, value string")
-    routing = assemble.route_fields(df, "section", "field", "value")
+    routing = assemble.route_fields(df, "section", "field", "value", long_text=300, synthetic_section=r"^ext_\d+$", synthetic_field=r"_x\d+$")
     content, specs = assemble.split_routed(df, routing, "section", "field")
     assert rows(specs) == [("s", "short", "x")] and content.count() == 4
 

@@ -57,9 +57,9 @@ def test_rule_order_gates_and_contrast(spark):
     book = [R.Rule("B", (R.word("bee"),)), R.Rule("A", words=("ant", "ants")), R.Rule("A2", (R.word("red ant"),), requires="A")]
     assert one(spark, lambda c: R.labels(c, book), "a red ant and a bee") == ["B", "A", "A2"]
     assert one(spark, lambda c: R.labels(c, book), "a red antler") == []
-    long_book = book + [R.Rule(f"W{i}", words=(f"w{i}",)) for i in range(R.WORD_SET_RULES)]
+    long_book = book + [R.Rule(f"W{i}", words=(f"w{i}",)) for i in range(14)]
     assert one(spark, lambda c: R.labels(c, long_book), "w3, a red ant and a bee w0") == ["B", "A", "A2", "W0", "W3"]
-    assert one(spark, R.strip_contrast, "like this, unlike that") == "like this,"
+    assert one(spark, lambda c: R.strip_contrast(c, ["unlike"]), "like this, unlike that") == "like this,"
 
 
 @pytest.mark.parametrize("value,answer", [
@@ -101,7 +101,7 @@ def test_forbidden_fields_walks_the_schema(spark):
 
 def test_rules_from_table(spark):
     df = spark.createDataFrame([(2, "B", "b", None), (1, "A", "a", None), (3, "B", "bb", None)], "rule_order int, code string, pattern string, requires string")
-    assert R.rules_from_table(df) == [R.Rule("A", ("a",)), R.Rule("B", ("b", "bb"))]
+    assert R.rules_from_table(df, 10) == [R.Rule("A", ("a",)), R.Rule("B", ("b", "bb"))]
 
 
 def test_labels_parse_and_unwrap(spark):
