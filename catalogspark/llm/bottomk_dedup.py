@@ -3,17 +3,19 @@
 A document's set are its distinct word shingles, as 64-bit codes. One hash function orders all codes, and a sketch keeps
 the ``k`` smallest of a set. Documents with equal sets form a class and are represented by the smallest id.
 
-Two sets with Jaccard 0.8 or more share at least ``MIN_SHARED`` of 64 retained values (all but about 2 pairs in 10**9 at
-exactly 0.8, fewer above; sets of at most 64 shingles are retained whole and lose none). So it is enough to invert
-the ``retained - MIN_SHARED + 1`` rarest retained values of each sketch, and values that no other sketch retains drop
-out before: common lines and phrases are looked at last, and most documents leave here.
+Two sets with Jaccard 0.8 or more share at least ``LIST_SHARED`` of their ``LISTED`` smallest values (all but about 4 pairs
+in 10**9 at exactly 0.8, fewer above; smaller sets are listed whole and lose none). Of these values the most frequent
+``LIST_SHARED - LIST_MET`` are left out, so that common lines and phrases are looked at last, and values that no other
+sketch lists drop out; most documents leave here. Similar sets still meet in at least ``LIST_MET`` lists.
 
 Links are found in two passes over the inverted lists, because only the components are asked for:
 
-1. every member of a list is paired with the list's smallest and largest member. Most groups of copies are joined here,
-   with two pairs per member however large the group.
-2. lists whose members still lie in different components give all pairs across components: short lists by a join,
-   long ones in tiles, where pairs are counted by one matrix product and only sufficient overlaps leave the task.
+1. every member of a list is paired with the list's centre, the member whose listed values are the most frequent ones:
+   in a group of edited copies this is the least edited one. Most groups are joined here, with a few pairs per member.
+2. lists whose members still lie in different components are compared across components. Short lists give pairs by a
+   join. Long ones go to a task per pair of tiles, with the members' full sets: clusters of overlapping lists as one
+   unit, or list by list where that is less work (a pair then in the first of its common lists only). Overlaps come
+   from matrix products, and what leaves the task is a spanning forest of the links found, not the pairs.
 
 Candidates are filtered by the union-sketch estimate and verified on the full sets, 100 * |A & B| >= 80 * |A | B|.
 
@@ -29,19 +31,28 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from catalogspark.llm.components import components
-from catalogspark.llm.shared import named_back, numbered, place_of, release, renamed, stored
+from catalogspark.llm.components import components, local_forest
+from catalogspark.llm.shared import named_back, place_of, release, renamed, stored
 from catalogspark.llm.words import groups, mix64, shingle_codes, text_bytes, word_codes
 
 #: Retained values per sketch, and how many of them two sketches of similar sets share at least.
 SKETCH = 64
 MIN_SHARED = 28
-#: Lists up to this length are paired by a join, longer ones tile by tile.
-SHORT_LIST = 64
-TILE = 256
+#: The same for the smallest values, which are inverted; and in how many lists similar sets meet at least.
+LISTED = 64
+LIST_SHARED = 31
+LIST_MET = 2
+#: Lists in which a member must meet their centre to be paired with it at once; the second pass finds all others.
+STAR_MET = 4
+#: Up to this many ids are broadcast (16 MB); more are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
+#: Lists up to this length are paired by a join; longer ones are compared in tiles of about so many members, block by block.
+SHORT_LIST = 8
+TILE = 4096
+BLOCK = 256
 SIMILARITY_PERCENT = 80
 
 _FACTS = "doc_id long, n_shingles long, code_a long, code_b long, sketch array<long>"
@@ -73,15 +84,42 @@ def shingle_sets(frame: DataFrame, width: int, keep: int | None) -> DataFrame:
     return frame.mapInArrow(per_batch, _FACTS)
 
 
+def _met(n: str) -> Column:
+    """In how many lists a set of ``n`` shingles meets a similar one at least."""
+    return F.least(F.lit(LIST_MET), F.ceil(F.col(n) * SIMILARITY_PERCENT / 100)).cast("int")
+
+
+def _like(a: str, b: str) -> Column:
+    """Whether sets of these sizes can be similar at all."""
+    return F.least(a, b) * 100 >= F.greatest(a, b) * SIMILARITY_PERCENT
+
+
 def rare_values(reps: DataFrame) -> DataFrame:
-    """``rep, n, value, low, high``: the rarest retained values of each sketch, with each list's ends."""
-    postings = reps.select("rep", "n", F.explode("sketch").alias("value"))
-    lists = postings.groupBy("value").agg(F.count(F.lit(1)).alias("df"), F.min("rep").alias("low"), F.max("rep").alias("high")).where("df > 1")
-    shared = postings.join(lists, "value").groupBy("rep", "n").agg(F.sort_array(F.collect_list(F.struct("df", "value", "low", "high"))).alias("v"))
-    size = F.least(F.col("n"), F.lit(SKETCH))
-    need = F.least(F.lit(MIN_SHARED), F.ceil(F.col("n") * SIMILARITY_PERCENT / 100))
-    prefix = size - need + 1 - (size - F.size("v"))  # values of no other sketch come first
-    return shared.where(prefix > 0).select("rep", "n", F.explode(F.slice("v", F.lit(1), prefix.cast("int"))).alias("v")).select("rep", "n", "v.*").drop("df")
+    """``rep, n, value, score``: the rarest listed values of each sketch; the score is higher the more others list its values."""
+    postings = reps.select("rep", "n", F.explode(F.slice("sketch", 1, LISTED)).alias("value"))
+    lists = postings.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    shared = postings.join(lists, "value").groupBy("rep", "n").agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("v"), F.sum(F.log2("df")).alias("score"))
+    size = F.least(F.col("n"), F.lit(LISTED))
+    need = F.least(F.lit(LIST_SHARED), F.ceil(F.col("n") * SIMILARITY_PERCENT / 100)).cast("int")
+    prefix = size - need + _met("n") - (size - F.size("v"))  # values of no other sketch come first
+    score = F.floor(F.col("score") / size * 1000).cast("long")
+    return shared.where(prefix > 0).select("rep", "n", score.alias("score"), F.explode(F.slice("v", F.lit(1), prefix.cast("int"))).alias("v")).select("rep", "n", "score", "v.value")
+
+
+def star_pairs(rare: DataFrame) -> DataFrame:
+    """Pairs of a member and the centre of its lists that meet often enough."""
+    centres = rare.groupBy("value").agg(F.max(F.struct(F.col("score"), (-F.col("rep")).alias("r"), F.col("n"))).alias("c"), F.count(F.lit(1)).alias("m")).where("m > 1")
+    mine = rare.select("rep", "value", "n", F.least(F.lit(STAR_MET), _met("n") + 2).alias("met"))
+    ends = mine.join(centres.select("value", (-F.col("c.r")).alias("end"), F.col("c.n").alias("n_end")), "value").where((F.col("rep") != F.col("end")) & _like("n", "n_end"))
+    counted = ends.groupBy("rep", "end").agg(F.count(F.lit(1)).alias("c"), F.first("met").alias("met")).where("c >= met")
+    return counted.select(F.least("rep", "end").alias("a"), F.greatest("rep", "end").alias("b")).distinct()
+
+
+def full_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
+    """Whole sets of the documents with the given ids, stored: ``doc_id, n_shingles, sketch`` (all values)."""
+    ids = stored(ids, "ids")
+    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    return stored(shingle_sets(docs.join(ids, "doc_id", "left_semi"), width, None).select("doc_id", "n_shingles", "sketch"), "sets")
 
 
 def similar_pairs(pairs: DataFrame, reps: DataFrame, docs: DataFrame, width: int) -> DataFrame:
@@ -89,13 +127,11 @@ def similar_pairs(pairs: DataFrame, reps: DataFrame, docs: DataFrame, width: int
     sketch = reps.select("rep", "n", "sketch")
     left, right = (sketch.select([F.col(c).alias(c + s) for c in sketch.columns]) for s in ("_a", "_b"))
     joined = pairs.join(right, F.col("b") == F.col("rep_b")).join(left, F.col("a") == F.col("rep_a"))
-    fits = (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * SIMILARITY_PERCENT)
     union = F.slice(F.array_sort(F.array_union("sketch_a", "sketch_b")), 1, SKETCH)
     both = F.size(F.array_intersect(union, F.array_intersect("sketch_a", "sketch_b")))
-    likely = stored(joined.where(fits).where(both >= F.least(F.lit(MIN_SHARED), F.ceil(F.size(union) * SIMILARITY_PERCENT / 100))).select("a", "b"), "likely")
+    likely = stored(joined.where(_like("n_a", "n_b")).where(both >= F.least(F.lit(MIN_SHARED), F.ceil(F.size(union) * SIMILARITY_PERCENT / 100))).select("a", "b"), "likely")
     ids = likely.select(F.col("a").alias("doc_id")).unionByName(likely.select(F.col("b").alias("doc_id"))).distinct()
-    sets = shingle_sets(docs.join(ids, "doc_id", "left_semi"), width, None)
-    sets = stored(sets.select("doc_id", "n_shingles", "sketch"), "sets")
+    sets = full_sets(docs, ids, width)
     release(docs.sparkSession)
     # an id that stands on rows with different texts has several sets; a link of any of them counts
     left, right = (sets.select([F.col(c).alias(c + s) for c in sets.columns]) for s in ("_a", "_b"))
@@ -104,51 +140,96 @@ def similar_pairs(pairs: DataFrame, reps: DataFrame, docs: DataFrame, width: int
     return joined.where(100 * inter >= SIMILARITY_PERCENT * (F.col("n_shingles_a") + F.col("n_shingles_b") - inter)).select("a", "b").distinct()
 
 
-def _tile_pairs(key: tuple, tile: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of two tiles of one list that lie in different components and share enough retained values."""
-    rep, comp, side = tile["rep"].to_numpy(), tile["comp"].to_numpy(), tile["tile"].to_numpy()
-    need = tile["need"].to_numpy()
-    lens = np.array([len(s) for s in tile["sketch"]])
-    value, place = np.unique(np.concatenate(tile["sketch"].to_list()), return_inverse=True)
-    seen = np.bincount(place)
-    col = np.cumsum(seen > 1) - 1
-    row = np.repeat(np.arange(len(rep)), lens)
-    shared = seen[place] > 1
-    held = np.zeros((len(rep), int((seen > 1).sum())), np.float32)
-    held[row[shared], col[place[shared]]] = 1
-    a, b = np.flatnonzero(side == key[1]), np.flatnonzero(side == key[2])
-    overlap = held[a] @ held[b].T
-    ok = (overlap >= np.minimum(need[a][:, None], need[b][None, :])) & (comp[a][:, None] != comp[b][None, :]) & (rep[a][:, None] != rep[b][None, :])
-    i, j = np.nonzero(ok)
-    x, y = rep[a[i]], rep[b[j]]
-    return pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y)})
-
-
-def cross_pairs(rare: DataFrame, reps: DataFrame, comps: DataFrame) -> DataFrame:
-    """All pairs of a list whose members lie in different components."""
+def _incidence(arrays: list[np.ndarray], at_least: int = 2) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row and column of every element that stands in at least so many of the arrays, and the number of columns."""
+    lens = np.array([len(x) for x in arrays])
+    flat = np.concatenate(arrays) if len(arrays) else np.zeros(0, np.int64)
+    value, place = np.unique(flat, return_inverse=True)
+    often = np.bincount(place, minlength=len(value)) >= at_least
+    keep = often[place]
+    column = np.cumsum(often) - 1
+    return np.repeat(np.arange(len(arrays)), lens)[keep], column[place[keep]], int(often.sum())
+
+
+def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all left and right arrays, by a matrix product over shared elements."""
+    row, col, n = _incidence([*left, *right])
+    held = np.zeros((len(left) + len(right), n), np.float32)
+    held[row, col] = 1
+    return held[: len(left)] @ held[len(left) :].T
+
+
+def _tile_links(key: tuple, tile: pd.DataFrame) -> pd.DataFrame:
+    """A spanning forest of the links between two tiles of a list, or of a cluster of lists, across components.
+
+    In a cluster pairs are compared that share a list; in a list, those that share no list with a smaller value.
+    """
+    value, whole, t1, t2 = int(key[0]), bool(key[1]), int(key[2]), int(key[3])
+    rep, comp, n, side = (tile[c].to_numpy() for c in ("rep", "comp", "n", "tile"))
+    listed = [np.asarray(x) for x in tile["listed"]]
+    shared = listed if whole else [x[x < value] for x in listed]
+    sets = [np.asarray(x) for x in tile["set"]]
+    order = np.argsort(n, kind="stable")  # blocks of like sizes: most pairs of blocks differ too much in size
+    one, two = (order[side[order] == t] for t in (t1, t2))
+    found_a, found_b = [], []
+    for i in range(0, len(one), BLOCK):
+        a = one[i : i + BLOCK]
+        for j in range(i if t1 == t2 else 0, len(two), BLOCK):
+            b = two[j : j + BLOCK]
+            if n[a].max() * 100 < SIMILARITY_PERCENT * n[b].min() or n[b].max() * 100 < SIMILARITY_PERCENT * n[a].min():
+                continue
+            na, nb = n[a][:, None], n[b][None, :]
+            ask = (comp[a][:, None] != comp[b][None, :]) & (100 * np.minimum(na, nb) >= SIMILARITY_PERCENT * np.maximum(na, nb))
+            if ask.any():
+                ask &= (_common([shared[k] for k in a], [shared[k] for k in b]) > 0) == whole
+            rows, cols = np.flatnonzero(ask.any(1)), np.flatnonzero(ask.any(0))
+            if not len(rows):
+                continue
+            both = _common([sets[k] for k in a[rows]], [sets[k] for k in b[cols]])
+            union = n[a[rows]][:, None] + n[b[cols]][None, :] - both
+            p, q = np.nonzero((100 * both >= SIMILARITY_PERCENT * union) & ask[np.ix_(rows, cols)])
+            found_a.append(rep[a[rows[p]]]), found_b.append(rep[b[cols[q]]])
+    child, parent = local_forest(np.concatenate(found_a), np.concatenate(found_b)) if found_a else (np.zeros(0, np.int64),) * 2
+    return pd.DataFrame({"a": parent, "b": child})
+
+
+def cross_links(rare: DataFrame, reps: DataFrame, comps: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """Links ``(a, b)`` between members of a list that lie in different components: enough to join all that are linked."""
     comp = comps.select(F.col("node").alias("rep"), "component")
     members = rare.select("value", "rep", "n").join(comp, "rep", "left").select("value", "rep", "n", F.coalesce("component", "rep").alias("comp"))
     members = stored(members, "members")
     mixed = members.groupBy("value").agg(F.count(F.lit(1)).alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("value", "size")
-    mixed = stored(mixed, "mixed")
-    short = members.join(mixed.where(F.col("size") <= SHORT_LIST), "value").select("value", "rep", "comp")
-    other = short.select("value", F.col("rep").alias("b"), F.col("comp").alias("comp_b"))
-    pairs = short.join(other, "value").where("rep < b and comp <> comp_b").select(F.col("rep").alias("a"), "b")
-    long = mixed.where(F.col("size") > SHORT_LIST)
+    members = stored(members.join(mixed, "value"), "mixed")
+    long = members.where(F.col("size") > SHORT_LIST)
+    held = long.groupBy("rep").agg(F.count(F.lit(1)).alias("held"))
+    short = members.where(F.col("size") <= SHORT_LIST).join(held, "rep", "left").select("value", "rep", "comp", "n", _met("n").alias("met"), F.coalesce("held", F.lit(0)).alias("held"))
+    other = short.select("value", *[F.col(c).alias(c + "_b") for c in ("rep", "comp", "n", "met", "held")])
+    both = short.join(other, "value").where(F.expr("rep < rep_b and comp <> comp_b") & _like("n", "n_b")).groupBy(F.col("rep").alias("a"), F.col("rep_b").alias("b"))
+    # long lists are not counted here: a pair may share as many of them as both are in
+    enough = F.col("c") + F.col("held") >= F.col("met")
+    pairs = both.agg(F.count(F.lit(1)).alias("c"), F.min(F.least("met", "met_b")).alias("met"), F.min(F.least("held", "held_b")).alias("held")).where(enough).select("a", "b")
+    links = similar_pairs(pairs, reps, docs, width)
     if long.isEmpty():
-        return pairs.distinct()
-    rows = numbered(members.join(long, "value"), ["value"], [F.xxhash64("comp")], [F.col("comp"), F.col("rep")], "at", 64)
-    tiles = F.floor((F.col("size") - 1) / TILE).cast("int")
-    mine = F.floor(F.col("at") / TILE).cast("int")
-    rows = rows.select("value", "rep", "comp", mine.alias("tile"), tiles.alias("last"), F.least(F.lit(MIN_SHARED), F.ceil(F.col("n") * SIMILARITY_PERCENT / 100)).cast("int").alias("need"))
-    spans = rows.groupBy("value", "tile").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-    rows = rows.join(spans, ["value", "tile"]).join(reps.select("rep", "sketch"), "rep")
-    # a tile meets every tile of its list, itself included, in one task each
-    met = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("last"))).alias("other")).select(
-        "value", F.least("tile", "other").alias("t1"), F.greatest("tile", "other").alias("t2"), "tile", "rep", "comp", "need", "sketch"
+        return links
+    # lists that overlap form a cluster; it is compared as one unit if that is less work than list by list
+    low = long.groupBy("value").agg(F.min("rep").alias("low"))
+    clusters = components(long.join(low, "value").where("rep <> low").select("rep", "low"), "rep", "low")
+    placed = long.join(clusters.select(F.col("node").alias("rep"), F.col("component").alias("cluster")), "rep")
+    work = placed.groupBy("cluster").agg(F.count_distinct("rep").alias("docs"), F.sum("size").alias("by_list"))
+    work = work.select("cluster", "docs", (F.col("docs") * F.col("docs") <= F.col("by_list")).alias("whole"))
+    placed = stored(placed.join(work, "cluster"), "clusters")
+    mine = ["rep", "comp", "n"]
+    listed = placed.groupBy(*mine, "cluster", "docs", "whole").agg(F.collect_list("value").alias("listed"))  # at most LISTED values
+    once = listed.where("whole").select(F.col("cluster").alias("unit"), F.lit(None).cast("long").alias("value"), *mine, "listed", F.col("docs").alias("members"))
+    each = placed.where("not whole").join(listed.select("rep", "listed"), "rep").select(F.col("value").alias("unit"), "value", *mine, "listed", F.col("size").alias("members"))
+    tiles = F.ceil(F.col("members") / TILE).cast("int")
+    rows = once.unionByName(each).select("*", F.pmod(F.xxhash64("rep"), tiles).cast("int").alias("tile"), (tiles - 1).alias("last"))
+    full = full_sets(docs, listed.select(F.col("rep").alias("doc_id")).distinct(), width).select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), F.col("sketch").alias("set"))
+    # a tile meets every tile of its unit, itself included, in one task each; most units are one tile
+    met = rows.join(full, ["rep", "n"]).select("*", F.explode(F.sequence(F.lit(0), F.col("last"))).alias("other")).select(
+        "unit", "value", F.least("tile", "other").alias("t1"), F.greatest("tile", "other").alias("t2"), "tile", "rep", "comp", "n", "listed", "set"
     )
-    tiled = met.groupBy("value", "t1", "t2").applyInPandas(_tile_pairs, "a long, b long")
-    return pairs.unionByName(tiled).distinct()
+    return links.unionByName(met.groupBy("unit", F.col("value").isNull().alias("whole"), "t1", "t2").applyInPandas(_tile_links, "a long, b long"))
 
 
 def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5) -> DataFrame:
@@ -162,13 +243,12 @@ def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wid
     reps = classes.select("rep", F.col("n_shingles").alias("n"), "sketch")
     rare = stored(rare_values(reps), "rare")
     release(spark)
-    ends = rare.select("rep", F.explode(F.array("low", "high")).alias("end")).where("rep <> end")
-    stars = ends.select(F.least("rep", "end").alias("a"), F.greatest("rep", "end").alias("b")).distinct()
+    stars = star_pairs(rare)
     whole = frame.where("doc_id is not null")
     first = stored(similar_pairs(stars, reps, whole, width), "similar")
     same = classes.select(*code, "rep")
     release(spark)
-    second = similar_pairs(cross_pairs(rare, reps, components(first, "a", "b")), reps, whole, width)
+    second = stored(cross_links(rare, reps, components(first, "a", "b"), whole, width), "cross-links")
     release(spark)
     # ids on rows of several classes link those classes
     members = named.select("doc_id", *code).join(same, code).select("doc_id", "rep").where("doc_id <> rep")
