@@ -108,10 +108,11 @@ def brute_dedup(rows, width):
     return sorted(((i, len(s), comp.get(i), i is None or comp[i] == i) for i, s in sets), key=repr)
 
 
-@pytest.mark.parametrize("width, short, tile, sketch", [(2, 64, 256, 64), (5, 64, 256, 64), (2, 1, 3, 64)])
-def test_bottomk_against_all_pairs(spark, docs, monkeypatch, width, short, tile, sketch):
+@pytest.mark.parametrize("width, short, tile, block", [(2, 64, 4096, 256), (5, 64, 4096, 256), (2, 1, 3, 2), (2, 1, 4096, 3)])
+def test_bottomk_against_all_pairs(spark, docs, monkeypatch, width, short, tile, block):
     monkeypatch.setattr(bottomk_dedup, "SHORT_LIST", short)
     monkeypatch.setattr(bottomk_dedup, "TILE", tile)
+    monkeypatch.setattr(bottomk_dedup, "BLOCK", block)
     got = sorted((tuple(r) for r in bottomk_dedup.deduplicate(docs, width=width).collect()), key=repr)
     want = brute_dedup([(r["doc_id"], r["text"]) for r in docs.collect()], width)
     assert got == want
@@ -128,6 +129,25 @@ def test_bottomk_tiles_find_chains(spark, monkeypatch):
     assert got == brute_dedup(rows, 1)
 
 
+def test_bottomk_group_around_a_centre(spark, monkeypatch):
+    """Copies edited so much that most pairs are not similar: links lead through the centre, or through shared edits."""
+    import random
+
+    monkeypatch.setattr(bottomk_dedup, "SHORT_LIST", 4)
+    monkeypatch.setattr(bottomk_dedup, "BLOCK", 7)
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(80)]
+    rows = []
+    for i in range(90):
+        text = list(base)
+        for k in rng.sample(range(80), rng.randint(0, 14)):
+            text[k] = f"e{i // 2}-{k}" if i % 2 else f"x{i}-{k}"
+        rows.append((i * 7 % 90, " ".join(text)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((tuple(r) for r in bottomk_dedup.deduplicate(frame, width=2).collect()), key=repr)
+    assert got == brute_dedup(rows, 2)
+
+
 def test_keep_one_row_per_component(spark, docs):
     got = bottomk_dedup.keep_one(docs, width=5)
     assert got.columns == docs.columns
