@@ -1,12 +1,16 @@
 """Licence scan: a trained paragraph classifier names licence families, templates confirm them.
 
-Paragraphs are the lines of a text; lines of more than ``BLOCK`` words are seen in windows of two neighbouring blocks of
-``BLOCK`` words, so a notice inside a long line is found as well, and every word of every text is looked at. Features are
-words and word pairs (letters and digits, A-Z lower-cased). The classifier is a softmax regression over the families and
+Paragraphs end at lines of white space alone or with the row, so a notice wrapped over several lines is one paragraph.
+They are cut into blocks of ``BLOCK`` words, and every word of every text is looked at. A template is looked for in
+windows of a block and as many following blocks of its paragraph as its words, and half as many foreign ones between
+them, can reach into; each shortest run of words that holds at least ``CONFIRM`` of its word pairs is a candidate. Features are words and
+word pairs (letters and digits, A-Z lower-cased). The classifier is a softmax regression over the families and
 an unknown class. It is trained on variants of the templates (words dropped, ordinary text before and after) against
 windows drawn from at most ``SAMPLE_DOCS`` documents and some lines that only sound like licences; a temperature fitted
-on held-out variants calibrates the probabilities. A prediction counts if the calibrated probability reaches ``ACCEPT``
-and the window contains at least ``CONFIRM`` of the word pairs of one of the family's templates.
+on held-out variants calibrates the probabilities. A candidate, with ``CONTEXT`` words around it as in training, counts
+if its family's calibrated probability against the unknown class reaches ``ACCEPT``; so one paragraph can name several
+families. Of candidates in the same place the one with the larger share of its template is kept; another family's beside
+it only if it has pairs of its own there and is either whole or no near copy of the kept one's template.
 
 Families and templates are parameters; the default set quotes the opening or naming phrases of common public licences.
 
@@ -27,6 +31,8 @@ from pyspark.sql import functions as F
 from catalogspark.llm.words import codes, groups, mix64, placed_words, text_bytes
 
 BLOCK = 20
+#: Words before and after a candidate that the classifier sees.
+CONTEXT = 12
 ACCEPT = 0.5
 CONFIRM = 0.8
 #: Documents and windows per document that ordinary training paragraphs are drawn from.
@@ -89,7 +95,7 @@ class LicenceModel:
 
 
 def _grams(word: np.ndarray, line: np.ndarray) -> np.ndarray:
-    """Codes of the pair of each word with the next one of its line; 0 for the last word of a line."""
+    """Codes of the pair of each word with the next one of its paragraph; 0 for the last word of a paragraph."""
     pair = mix64(word[:-1] * np.uint64(0x9FB21C651E98DF25) + word[1:])
     return np.append(np.where(line[:-1] == line[1:], pair, np.uint64(0)), np.uint64(0)) if len(word) else np.zeros(0, np.uint64)
 
@@ -186,55 +192,125 @@ def sample_paragraphs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     return [r["p"] for r in rows]
 
 
+def _paragraphs(buf: np.ndarray, at: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """A number per word that grows at every line of white space alone and at every row."""
+    feeds = np.flatnonzero(buf == 0x0A)
+    if not len(feeds):
+        return row
+    filled = np.maximum.reduceat(((buf != 0x20) & ((buf < 0x09) | (buf > 0x0D))).view(np.uint8), feeds)
+    return np.searchsorted(feeds[1:][filled[:-1] == 0], at) + row
+
+
+def _runs(place: np.ndarray, pair: np.ndarray, need: int) -> Iterator[tuple[int, int, int]]:
+    """Disjoint runs ``first, last, pairs`` of the places: the shortest with the most different pairs, then what is left beside it."""
+    todo = [(0, len(place))]
+    while todo:
+        lo, hi = todo.pop()
+        want = len(set(pair[lo:hi].tolist()))
+        if want < need:
+            continue
+        held: dict[int, int] = {}
+        best, i = (lo, hi - 1), lo
+        for j in range(lo, hi):
+            held[int(pair[j])] = held.get(int(pair[j]), 0) + 1
+            while len(held) == want:
+                if place[j] - place[i] < place[best[1]] - place[best[0]]:
+                    best = i, j
+                g = int(pair[i])
+                held[g] -= 1
+                if not held[g]:
+                    del held[g]
+                i += 1
+        yield int(place[best[0]]), int(place[best[1]]), want
+        todo += [(lo, best[0]), (best[1] + 1, hi)]
+
+
+def _candidates(model: LicenceModel, gram: np.ndarray, line: np.ndarray) -> list[tuple[int, int, int, float]]:
+    """``template, first word, last pair's word, share`` of every run of words that confirms a template."""
+    first = np.concatenate([[True], line[1:] != line[:-1]])
+    line_start = np.flatnonzero(first)[np.cumsum(first) - 1]
+    block_first = first | ((np.arange(len(line)) - line_start) % BLOCK == 0)
+    block = np.cumsum(block_first) - 1
+    block_line = line[block_first]
+    every = np.unique(np.concatenate([t for _, t in model.templates])) if model.templates else np.zeros(0, np.uint64)
+    if not len(every):
+        return []
+    near = np.minimum(np.searchsorted(every, gram), len(every) - 1)
+    hits = np.flatnonzero((every[near] == gram) & (gram > 0))
+    near = near[hits]
+    found = {}
+    for t, (_, template) in enumerate(model.templates):
+        need = int(np.ceil(CONFIRM * len(template) - 1e-9))
+        if not need:
+            continue
+        reach = max(1, -(-(len(template) + 1) * 3 // (2 * BLOCK)))
+        mine = np.isin(every, template)[near]
+        at, pair = hits[mine], near[mine]
+        if len(at) < need:
+            continue
+        # windows by their first block: enough different pairs in it and the next blocks of its paragraph
+        start = np.concatenate([block[at] - d for d in range(reach + 1)])
+        hit = np.tile(np.arange(len(at)), reach + 1)
+        start, hit = start[ok := start >= 0], hit[ok]
+        start = start[ok := block_line[start] == line[at[hit]]]
+        hit = hit[ok]
+        seen, n = np.unique(np.unique(np.stack([start, pair[hit]]), axis=1)[0], return_counts=True)
+        for w in seen[n >= need]:
+            a, e = np.searchsorted(block[at], [w, w + reach + 1])
+            while e > a and line[at[e - 1]] != block_line[w]:
+                e -= 1
+            for i, j, got in _runs(at[a:e], pair[a:e], need):
+                found[(t, i, j)] = got / len(template)
+    return [(t, i, j, share) for (t, i, j), share in found.items()]
+
+
 def scan_batch(model: LicenceModel, data: np.ndarray, bounds: np.ndarray) -> list[tuple[int, int, float, float, int, int]]:
     """Confirmed licences of consecutive rows: row, family, probability, share of the template, start, end (bytes of the row)."""
     word, at, end = placed_words(data, bounds, codes().mark)
     if not len(word):
         return []
-    buf = data[int(bounds[0]) : int(bounds[-1])]
     starts = np.asarray(bounds[:-1]) - int(bounds[0])
     row = np.searchsorted(starts, at, side="right") - 1
-    line = np.searchsorted(np.flatnonzero(buf == 0x0A), at) + row  # grows at every line feed and every row
+    line = _paragraphs(data[int(bounds[0]) : int(bounds[-1])], at, row)
     gram = _grams(word, line)
-    first = np.concatenate([[True], line[1:] != line[:-1]])
-    line_start = np.flatnonzero(first)[np.cumsum(first) - 1]
-    block_first = first | ((np.arange(len(word)) - line_start) % BLOCK == 0)
-    block = np.cumsum(block_first) - 1
-    n_blocks = int(block[-1]) + 1
-    z = np.zeros((n_blocks, len(model.bias)))
-    for value in (word, gram):
+    sure = []
+    for t, i, j, share in _candidates(model, gram, line):
+        a, e = np.searchsorted(line, line[i]), np.searchsorted(line, line[i], side="right")
+        a, e = max(a, i - CONTEXT), min(e, j + 2 + CONTEXT)
+        value = np.concatenate([word[a:e], gram[a : e - 1]])
         place = np.minimum(np.searchsorted(model.features, value), len(model.features) - 1)
-        hit = np.flatnonzero(model.features[place] == value)
-        np.add.at(z, block[hit], model.weights[place[hit]])
-    head = np.flatnonzero(block_first)
-    tail = np.append(head[1:], len(word))
-    joined = np.append(line[head[1:]] == line[head[:-1]], False)
-    # a window is a block with the next block of its line
-    wide = z + np.where(joined[:, None], np.vstack([z[1:], z[:1]]), 0)
-    p = _softmax((wide + model.bias) / model.temperature)
-    best = p[:, :-1].argmax(1) if p.shape[1] > 1 else np.zeros(n_blocks, np.int64)
-    sure = p[np.arange(n_blocks), best]
-    found = []
-    for i in np.flatnonzero((sure >= ACCEPT) & (p.argmax(1) < len(model.families))):
-        a, e = head[i], tail[min(i + 1, n_blocks - 1)] if joined[i] else tail[i]
-        own = gram[a : e]
-        share, cover = 0.0, None
-        for family, template in model.templates:
-            if family == best[i]:
-                inside = np.isin(own, template)
-                got = len(np.unique(own[inside])) / max(1, len(template))
-                if got > share:
-                    share, cover = got, np.flatnonzero(inside)
-        if share >= CONFIRM:
-            r = int(row[a])
-            found.append((r, int(best[i]), float(sure[i]), share, int(at[a + cover[0]] - starts[r]), int(end[min(a + cover[-1] + 1, len(word) - 1)] - starts[r])))
-    # neighbouring windows see the same notice: keep the better one
-    kept: dict[tuple[int, int, int], tuple] = {}
-    for f in found:
-        key = (f[0], f[1], f[4])
-        if key not in kept or f[3] > kept[key][3]:
-            kept[key] = f
-    return list(kept.values())
+        z = (model.weights[place[model.features[place] == value]].sum(0) + model.bias) / model.temperature
+        family = model.templates[t][0]
+        p = float(1 / (1 + np.exp(min(700.0, z[-1] - z[family]))))
+        if p >= ACCEPT:
+            sure.append((share, p, t, i, j))
+    kept: list[tuple[float, float, int, int, int]] = []
+    width = max((j - i + 1 for *_, i, j in sure), default=1)
+    beside: dict[int, list[tuple[float, float, int, int, int]]] = {}  # kept ones by stretch of ``width`` words
+    # the larger share first, then the longer template, then the more probable one
+    for f in sorted(sure, key=lambda f: (-f[0], -len(model.templates[f[2]][1]), -f[1], f[2], f[3])):
+        stretches = {f[3] // width, f[4] // width}
+        if all(_apart(model, gram, f, k) for s in stretches for k in beside.get(s, [])):
+            kept.append(f)
+            for s in stretches:
+                beside.setdefault(s, []).append(f)
+    return [
+        (r := int(row[i]), model.templates[t][0], p, share, int(at[i] - starts[r]), int(end[j + 1] - starts[r]))
+        for share, p, t, i, j in sorted(kept, key=lambda f: f[3:])
+    ]
+
+
+def _apart(model: LicenceModel, gram: np.ndarray, new: tuple[float, float, int, int, int], old: tuple[float, float, int, int, int]) -> bool:
+    """Whether a candidate is a notice of its own beside a kept one."""
+    if new[3] > old[4] or new[4] < old[3]:
+        return True
+    (family, mine), (other, theirs) = model.templates[new[2]], model.templates[old[2]]
+    if family == other:
+        return False
+    pairs = gram[new[3] : new[4] + 1]
+    own = np.isin(pairs, mine) & ~np.isin(pairs, theirs)
+    alike = 2 * len(np.intersect1d(mine, theirs)) > max(len(mine), len(theirs))
+    return bool(own.any()) and (new[0] >= 1 or not alike)
 
 
 def scan(docs: DataFrame, model: LicenceModel, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

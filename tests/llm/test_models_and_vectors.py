@@ -163,3 +163,30 @@ def test_licence_scan_trains_on_the_corpus(spark):
     docs = spark.createDataFrame([(i, f"some text number {i} " * 30 + ("\nReleased under the MIT License." if i % 10 == 0 else "")) for i in range(60)] + [(None, None)], "doc_id long, text string")
     got = {r["doc_id"]: [x["family"] for x in r["licences"]] for r in licence_scan.scan_licences(docs).collect()}
     assert all(got[i] == (["MIT"] if i % 10 == 0 else []) for i in range(60)) and got[None] == []
+
+
+def test_licences_over_line_ends():
+    mit = ("Copyright (c) 2020 A. Person\n\nPermission is hereby granted, free of charge, to any person obtaining a copy\n"
+           'of this software and associated documentation files (the "Software"), to deal\nin the Software without restriction, including without limitation the rights\n')
+    gpl = ("# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by\n"
+           "# the Free Software Foundation, either version 3 of the License, or\n# (at your option) any later version.\n")
+    bsd = ("Copyright (c) 2020, A. Person\r\nAll rights reserved.\r\n\r\nRedistribution and use in source and binary forms, with or without\r\n"
+           "modification, are permitted provided that the following conditions are met:\r\n\r\n1. Redistributions of source code must retain the above copyright notice\r\n")
+    rng = np.random.default_rng(2)
+    plain = lambda n: " ".join(rng.choice(["river", "stone", "of", "the", "to", "green", "works", "and", "letter", "for"], n))
+    cases = [
+        (mit, ["MIT"]), (gpl, ["GPL-3.0"]), (bsd, ["BSD"]), (gpl.replace("General", "Lesser General"), ["LGPL"]), (gpl.replace("General", "Affero General"), ["AGPL-3.0"]),
+        (gpl.replace("version 3", "version 2").replace("Foundation,", "Foundation;"), ["GPL-2.0"]),
+        ("Licensed under the MIT License or the Apache License, Version 2.0.", ["Apache-2.0", "MIT"]), ("SPDX-License-Identifier: MIT OR Apache-2.0", ["Apache-2.0", "MIT"]),
+        ("Licensed under CC BY-SA 4.0.", ["CC-BY-SA"]), ("Released under the MIT License.\nReleased under the MIT License.", ["MIT", "MIT"]),
+        ("Permission is hereby granted, free of charge, to any person obtaining a copy\n\nof this software and associated documentation files", []),
+        *[(plain(n) + "\n" + mit.split("\n\n")[1] + plain(50), ["MIT"]) for n in range(0, 45, 3)], (plain(2000), []),
+    ]
+    model = licence_scan.train([plain(40) for _ in range(300)])
+    rows = [t.encode() for t, _ in cases]
+    data, bounds = np.frombuffer(b"".join(rows), np.uint8), np.cumsum([0, *map(len, rows)])
+    got = [[] for _ in cases]
+    for r, k, _, _, a, e in licence_scan.scan_batch(model, data, bounds):
+        got[r].append(model.families[k])
+        assert rows[r][a:e] == rows[r][a:e].strip()
+    assert [sorted(g) for g in got] == [w for _, w in cases]
