@@ -5,11 +5,14 @@ may be shorter. Lengths are whole numbers up to the capacity, so the packing pro
 ``capacity`` entries: the search for fillings runs on that bounded table, and Spark places the documents: it numbers
 the pieces of each length and looks up, by length and number, the sequence and offset the plan gives.
 
-The search is branch and bound. A node takes the largest length left and enumerates fillings of the rest of its bin,
-without those that a filling with larger items dominates; the tightest filling comes first, so the first dive is a
-best-fit solution and the first incumbent. A filling is used as often as the counts allow. A node is cut when its bins
-plus the lower bound of what is left reach the incumbent; the search ends when the incumbent meets the lower bound of
-the whole, or after ``max_nodes`` nodes with the best incumbent found.
+The search is branch and bound. A node takes the largest length left and enumerates fillings of the rest of its bin, of
+any number of pieces, the least waste first, from a table of the sums that the lengths left can reach. Fillings that
+another one with larger items dominates are left out: those where an unused length fits in place of some of the items
+(none, one or several) that are together not longer. A filling is used at once as often as the counts allow, or a share
+of that; all smaller numbers are tried after the other fillings. A node is cut when its bins plus the lower bound of
+what is left reach the incumbent, or when the same lengths were left before with no more bins. All alternatives stay on
+the stack, so the search is exact when it ends by itself; it also ends when the incumbent meets the lower bound of the
+whole, or after ``max_nodes`` nodes and tested fillings with the best incumbent found.
 
 Defined results: a NULL text is empty and has its end id alone; rows with equal or NULL ids are packed each on their
 own; an empty table gives no rows; other columns are ignored.
@@ -19,6 +22,8 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from hashlib import blake2b
+from itertools import chain, islice, product
 
 import numpy as np
 import pyarrow as pa
@@ -33,10 +38,14 @@ CAPACITY = 1024
 END_ID = 2
 #: Search nodes after which the best packing found so far is taken.
 MAX_NODES = 6_000
-#: Fillings that a node tries, the tightest first.
-FILLINGS = 3
-
-#: Shares of its greatest possible number that a filling is used at once, one search each until the bound is met.
+#: Pairs and triples that are looked for among so many of the largest lengths, before all fillings are enumerated.
+FIRST = 48
+#: Largest lengths that a greedy filling starts from.
+STARTS = 3
+#: Entries of the stack that keep their enumeration; earlier ones start it again when the search comes back.
+LIVE = 32
+
+#: Shares of its greatest possible number that a filling is used at once, one search each, without and with greedy fillings, until the bound is met.
 SHARES = (1.0, 0.5, 0.2)
 
 Plan = list[tuple[tuple[int, ...], int]]
@@ -56,54 +65,104 @@ def lower_bound(counts: np.ndarray, capacity: int) -> int:
     return int((above + mid_n + over).max()) if len(k) else 0
 
 
-def fillings(counts: np.ndarray, room: int, limit: int = FILLINGS) -> list[tuple[int, ...]]:
-    """Undominated fillings of ``room`` from the lengths that are left, least waste first, larger items before smaller.
+def fillings(counts: np.ndarray, room: int, greedy: bool = False) -> Iterator[tuple[int, ...] | None]:
+    """Undominated fillings of ``room`` from the lengths that are left, least waste first; None for each dominated one.
 
-    One item that fills the room exactly dominates every other filling. Otherwise pairs and triples that leave the
-    least waste are looked for, and the greedy filling (largest item that fits, again and again) is always among them.
+    One item that fills the room exactly dominates every other filling. Pairs and triples of large items that fill it
+    come next, then, with ``greedy``, those that take the largest item that fits again and again, then all fillings,
+    larger items before smaller.
     """
-    if room <= 0:
-        return [()]
-    if counts[room] > 0:
-        return [(room,)]
-    have = np.flatnonzero(counts[: room + 1] > 0)
-    have = have[have > 0]
-    if not len(have):
-        return [()]
-    found: dict[tuple[int, ...], int] = {}
-
-    def greedy(start: tuple[int, ...], left: int) -> tuple[tuple[int, ...], int]:
-        items = list(start)
+    have = [int(x) for x in np.flatnonzero(counts[: room + 1] > 0) if x]
+    if not have:
+        yield ()
+        return
+    if have[-1] == room:
+        yield (room,)
+        return
+    number = {x: int(counts[x]) for x in have}
+    given = set()
+    for fill in chain(_small_fillings(have, number, room), _greedy_fillings(have, number, room) if greedy else ()):
+        if fill not in given:
+            given.add(fill)
+            yield None if _dominated(fill, number, room) else fill
+    sums = [1]  # sums of the i smallest lengths, as bits
+    for x in have:
+        reach, left, step = sums[-1], min(number[x], room // x), 1
         while left > 0:
-            fit = have[: np.searchsorted(have, left, side="right")]
-            for x in fit[::-1]:
-                if counts[x] > items.count(int(x)):
-                    items.append(int(x))
-                    left -= int(x)
-                    break
-            else:
+            reach |= reach << (min(step, left) * x)
+            left, step = left - step, step * 2
+        sums.append(reach & ((2 << room) - 1))
+    for total in range(room, 0, -1):
+        if sums[-1] >> total & 1:
+            for fill in _exact_fillings(have, number, sums, len(have), total):
+                if fill not in given:
+                    yield None if _dominated(fill, number, room) else fill
+
+
+def _small_fillings(have: list[int], number: dict[int, int], room: int) -> Iterator[tuple[int, ...]]:
+    """Pairs, then triples, that fill the room exactly; each large item with its largest partner."""
+    large = have[::-1][:FIRST]
+    for x in large:
+        if number.get(room - x, 0) > (room - x == x):
+            yield tuple(sorted((x, room - x), reverse=True))
+    for x in large:
+        for y in [y for y in have if y < room - x][::-1][:FIRST]:
+            triple = tuple(sorted((x, y, room - x - y), reverse=True))
+            if all(number.get(v, 0) >= triple.count(v) for v in triple):
+                yield triple
                 break
-        return tuple(sorted(items, reverse=True)), left
-
-    present = counts > 0
-    for x in have[::-1][:48]:
-        x = int(x)
-        rest = room - x
-        if rest and present[rest] and (rest != x or counts[x] > 1):
-            found[(x, rest) if x >= rest else (rest, x)] = 0
-        elif rest:
-            for y in have[: np.searchsorted(have, rest, side="right")][::-1][:48]:
-                y, z = int(y), rest - int(y)
-                if z > 0 and present[z] and all(counts[v] >= (x, y, z).count(v) for v in (x, y, z)):
-                    found[tuple(sorted((x, y, z), reverse=True))] = 0
-                    break
-        if len(found) >= limit:
-            break
-    if len(found) < limit:
-        for x in have[::-1][:limit]:
-            items, waste = greedy((int(x),), room - int(x))
-            found.setdefault(items, waste)
-    return sorted(found, key=lambda f: (found[f], len(f), tuple(-x for x in f)))[:limit]
+
+
+def _greedy_fillings(have: list[int], number: dict[int, int], room: int) -> list[tuple[int, ...]]:
+    """From each of the largest lengths the largest item that fits, again and again; the least waste first."""
+    out = []
+    for first in have[::-1][:STARTS]:
+        items, left = [first], room - first
+        for x in reversed(have):
+            n = min(number[x] - (x == first), left // x)
+            items += [x] * n
+            left -= n * x
+        out.append(tuple(sorted(items, reverse=True)))
+    return sorted(out, key=lambda f: room - sum(f))
+
+
+def _exact_fillings(have: list[int], number: dict[int, int], sums: list[int], i: int, total: int) -> Iterator[tuple[int, ...]]:
+    """All fillings of exactly ``total`` from the ``i`` smallest lengths; every step can be completed."""
+    if not total:
+        yield ()
+        return
+    for j in range(i - 1, -1, -1):
+        if not sums[j + 1] >> total & 1:
+            return
+        x = have[j]
+        for n in range(min(number[x], total // x), 0, -1):
+            if sums[j] >> (total - n * x) & 1:
+                for rest in _exact_fillings(have, number, sums, j, total - n * x):
+                    yield (x,) * n + rest
+
+
+def _dominated(fill: tuple[int, ...], number: dict[int, int], room: int) -> bool:
+    """Whether an unused length fits in place of items that are together not longer: one shorter item, none, or several."""
+    unused = 0
+    for x, n in number.items():
+        if n > fill.count(x):
+            unused |= 1 << x
+    single, several = 1, 0
+    for x in fill:
+        several |= (several | (single & ~1)) << x
+        single |= 1 << x
+
+    def spread(bits: int, n: int) -> int:
+        """The bits moved up by 0 to ``n``."""
+        done = 0
+        while done < n:
+            step = min(done + 1, n - done)
+            bits |= bits << step
+            done += step
+        return bits
+
+    waste = room - sum(fill)
+    return bool(unused & (spread(several, waste) | (spread(single << 1, waste - 1) if waste else 0)))
 
 
 def plan_bins(histogram: dict[int, int], capacity: int = CAPACITY, max_nodes: int = MAX_NODES) -> Plan:
@@ -113,56 +172,78 @@ def plan_bins(histogram: dict[int, int], capacity: int = CAPACITY, max_nodes: in
         counts[length] += n
     least = lower_bound(counts, capacity)
     best: tuple[int, Plan] | None = None
-    for share in SHARES:
-        best = _search(counts, capacity, least, share, max_nodes, best)
-        if best[0] <= least:
+    for share, greedy in product(SHARES, (False, True)):
+        best, whole = _search(counts, capacity, least, share, greedy, max_nodes, best)
+        if whole:
             break
     return best[1]
 
 
-def _options(state: np.ndarray, capacity: int, share: float) -> list[tuple[tuple[int, ...], int]]:
-    """Bins around the largest length left, and how often each is used at once."""
+def _options(state: np.ndarray, capacity: int, share: float, greedy: bool) -> Iterator[tuple[tuple[int, ...], int] | None]:
+    """Bins around the largest length left, and how often each is used at once; None for each dominated one."""
     top = int(np.flatnonzero(state)[-1])
     left = state.copy()
     left[top] -= 1
-    out = []
-    for fill in fillings(left, capacity - top):
-        items = (top, *fill)
-        most = min(int(state[x]) // items.count(x) for x in set(items))
-        out.append((items, max(1, int(most * share))))
-    return out
+    for others in (False, True):
+        for fill in fillings(left, capacity - top, greedy):
+            if fill is None:
+                yield None
+                continue
+            items = (top, *fill)
+            most = min(int(state[x]) // items.count(x) for x in set(items))
+            often = max(1, int(most * share))
+            if others:
+                yield from ((items, n) for n in range(most, 0, -1) if n != often)
+            else:
+                yield items, often
 
 
-def _search(counts: np.ndarray, capacity: int, least: int, share: float, max_nodes: int, best: tuple[int, Plan] | None) -> tuple[int, Plan]:
-    """Depth-first from the whole histogram; the incumbent may come from an earlier search."""
-    stack: list[tuple[np.ndarray, list, int, Plan]] = []
-    state, plan, bins, nodes = counts, [], 0, 0
+def _search(counts: np.ndarray, capacity: int, least: int, share: float, greedy: bool, max_nodes: int, best: tuple[int, Plan] | None) -> tuple[tuple[int, Plan], bool]:
+    """Depth-first from the whole histogram; the incumbent may come from an earlier search. Also whether it is the best there is."""
+    stack: list[list] = []  # state, its options, how many are used, bins, plan as (earlier plan, bin)
+    seen: dict[bytes, int] = {}
+    state, plan, bins, nodes = counts, None, 0, 0
     while best is None or best[0] > least:
         nodes += 1
+        key = blake2b(state.tobytes(), digest_size=16).digest()
         if not state.any():
             if best is None or bins < best[0]:
-                best = bins, list(plan)
-            choice = []
-        elif best is not None and (nodes > max_nodes or bins + lower_bound(state, capacity) >= best[0]):
-            choice = []
-        else:
-            choice = _options(state, capacity, share)
-        if best is not None and nodes > max_nodes:
-            break
-        while not choice and stack:
-            state, choice, bins, plan = stack.pop()
-        if not choice:
-            break
-        (items, often), *rest = choice
-        if rest:
-            stack.append((state, rest, bins, list(plan)))
-            del stack[:-64]  # the alternatives near the end decide the last bins
-        state = state.copy()
+                best = bins, _unwound(plan)
+        elif (best is None or bins + lower_bound(state, capacity) < best[0]) and bins < seen.get(key, bins + 1):
+            seen[key] = bins
+            stack.append([state, None, 0, bins, plan])
+            if len(stack) > LIVE:
+                stack[-LIVE - 1][1] = None
+        choice = None
+        while stack and choice is None:
+            if best is not None and nodes > max_nodes:
+                return best, best[0] <= least
+            node = stack[-1]
+            if node[1] is None:
+                node[1] = islice(_options(node[0], capacity, share, greedy), node[2], None)
+            try:
+                choice = next(node[1])
+            except StopIteration:
+                stack.pop()
+                continue
+            node[2] += 1
+            nodes += choice is None
+        if choice is None:
+            return best, True
+        items, often = choice
+        state = node[0].copy()
         for x in items:
             state[x] -= often
-        plan.append((items, often))
-        bins += often
-    return best
+        plan, bins = (node[4], choice), node[3] + often
+    return best, True
+
+
+def _unwound(plan: tuple | None) -> Plan:
+    out = []
+    while plan is not None:
+        plan, choice = plan
+        out.append(choice)
+    return out[::-1]
 
 
 def encode_pieces(

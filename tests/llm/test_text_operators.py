@@ -349,3 +349,50 @@ def test_empty_tables(nothing):
     assert bin_completion.pack(nothing).count() == 0 and label_shards.shard(nothing).count() == 0
     assert katz_lm.score_documents(nothing, F.lit(False)).count() == 0
     assert length_histogram.length_report(nothing).count() == 0 and temperature_mix.mix(nothing).count() == 0
+
+
+def _fewest(sizes, capacity):
+    """Fewest bins, by all ways to fill a bin around the largest item."""
+    from functools import cache
+    from itertools import combinations
+
+    @cache
+    def least(left):
+        if not left:
+            return 0
+        best = len(left)
+        for n in range(len(left)):
+            for at in combinations(range(1, len(left)), n):
+                if left[0] + sum(left[i] for i in at) <= capacity:
+                    best = min(best, 1 + least(tuple(x for i, x in enumerate(left) if i and i not in at)))
+        return best
+
+    return least(tuple(sorted(sizes, reverse=True)))
+
+
+def test_packing_is_exact_when_the_nodes_allow():
+    import random
+
+    rng = random.Random(11)
+    for _ in range(60):
+        capacity = rng.choice([20, 30, 50])
+        low = rng.randint(1, capacity // 3)
+        sizes = [rng.randint(low, max(low, capacity // 2)) for _ in range(rng.randint(1, 10))]
+        plan = bin_completion.plan_bins(Counter(sizes), capacity, max_nodes=10**6)
+        assert sum(n for _, n in plan) == _fewest(sizes, capacity)
+        assert Counter(x for items, n in plan for x in items * n) == Counter(sizes)
+
+
+def test_fillings_of_any_number_of_pieces_are_undominated():
+    counts = np.zeros(1025, np.int64)
+    counts[160:241] = 1000
+    first = next(f for f in bin_completion.fillings(counts, 784) if f)
+    assert sum(first) == 784 and len(first) == 4
+    small = np.zeros(13, np.int64)
+    small[[2, 3, 5, 6, 7]] = [3, 1, 1, 1, 1]
+    number = {2: 3, 3: 1, 5: 1, 6: 1, 7: 1}
+    got = {f for f in bin_completion.fillings(small, 12) if f}
+    assert (7, 5) in got and (7, 3, 2) not in got  # 5 fits in place of 3 and 2
+    assert all(not bin_completion._dominated(f, number, 12) for f in got)
+    plan = bin_completion.plan_bins({x: 1000 for x in range(160, 241)})
+    assert sum(n for _, n in plan) <= 16_200  # five a bin; 16,967 with greedy fillings alone
