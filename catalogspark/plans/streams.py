@@ -91,6 +91,17 @@ def promotion_after_gate(spark, sf):
     return spark.read.parquet(f"{root}/{run}").groupBy("event_type").agg(F.count(F.lit(1)).alias("n")).select(F.lit(run).alias("run"), "event_type", "n")
 
 
+@query("T5 T6", """select 'run-1' as run, event_type, count(*) as n from events group by event_type""")
+def promotion_of_all_events(spark, sf):
+    """All events are promoted; a run that lost one event type is gated and not promoted, a replay promotes nothing."""
+    events = _events(spark, sf).select("event_id", "event_type")
+    root = work_dir(spark, "runs")
+    for n, (run, rows) in enumerate([("run-1", events), ("run-2", events.where("event_type <> 'error'")), ("run-1", events)]):
+        M.promote_run(spark, root, run, n, rows, "event_type")
+    run = M.current_run(spark, f"{root}/current")
+    return spark.read.parquet(f"{root}/{run}").groupBy("event_type").agg(F.count(F.lit(1)).alias("n")).select(F.lit(run).alias("run"), "event_type", "n")
+
+
 @query("T6 A20", """with recursive d as (select datediff('day', date '2024-01-01', ts::date)::int as day, count(*) n from events group by 1), """ + DRIFT_SQL.format(days="d", drop="0.05", grow="1.05"))
 def windowed_count_drift(spark, sf):
     """Daily windows of all rows, landed in many files in any order, each against the last accepted day."""

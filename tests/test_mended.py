@@ -143,3 +143,11 @@ def test_sheets_notice_changed_text(spark, tmp_path):
     assert [r.intact for r in handoff.read_sheets(spark, root, "code").collect()] == [True, True]
     lines.where("code = 'a'").withColumn("text", F.lit("other")).write.mode("append").parquet(f"{root}/lines")
     assert sorted((r.code, r.intact) for r in handoff.read_sheets(spark, root, "code").collect()) == [("a", False), ("b", True)]
+
+
+def test_every_event_is_promoted(spark):
+    from catalogspark.plans import load
+
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    got = load()[0]["promotion_of_all_events"](spark, "/root/testdata/sf0.001").collect()
+    assert {r.run for r in got} == {"run-1"} and sum(r.n for r in got) == events.count()
