@@ -169,6 +169,13 @@ def row_id_monotone(spark, sf):
     return U.not_increasing(rows, [], "position", "value", ["event_id"]).select("event_id", "value", "previous")
 
 
+@query("W4 A16", """with e as (select event_id, value, lag(value) over (order by event_id) p from events) select event_id, value, p as previous from e where value <= p""")
+def row_id_monotone_all(spark, sf):
+    """Every row against the row before it, at counted positions."""
+    rows = number_rows(table(spark, sf, "events").select("event_id", "value"), [], ["event_id"], "position")
+    return U.not_increasing(rows, [], "position", "value", ["event_id"]).select("event_id", "value", "previous")
+
+
 PAGE_SQL = """items as (select event_id // 36 as page, event_id % 36 slot, case when event_type = 'error' then 'x' else user_id::varchar end item from events where not (event_type = 'view' and value > 60)),
 h as (select *, sha256(slot || ':' || item) h from items),
 f as (select page, count(*) n, count(distinct item) d from h group by 1)"""

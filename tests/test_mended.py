@@ -151,3 +151,20 @@ def test_every_event_is_promoted(spark):
     events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     got = load()[0]["promotion_of_all_events"](spark, "/root/testdata/sf0.001").collect()
     assert {r.run for r in got} == {"run-1"} and sum(r.n for r in got) == events.count()
+
+
+def test_every_row_is_audited(spark):
+    from catalogspark.plans import load
+
+    values = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select("event_id", "value").orderBy("event_id").collect()
+    want = {b.event_id for a, b in zip(values, values[1:]) if a.value is not None and b.value is not None and b.value <= a.value}
+    assert any(i % 11 == 4 for i in want)
+    assert {r.event_id for r in load()[0]["row_id_monotone_all"](spark, "/root/testdata/sf0.001").collect()} == want
+
+
+def test_audit_over_gaps_in_the_ids(spark):
+    from catalogspark.operators import audit
+
+    df = spark.createDataFrame([(1, 1.0), (4, 3.0), (9, 2.0), (20, 2.0)], "id long, v double")
+    got = audit.not_increasing(S.number_rows(df, [], ["id"], "position"), [], "position", "v", ["id"])
+    assert set(rows(got.select("id", "previous"))) == {(9, 3.0), (20, 2.0)}
