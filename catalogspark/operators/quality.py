@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from catalogspark.functions.text import IDEOGRAPHS, name_key
 from catalogspark.functions.typed import decimal_places
@@ -164,24 +165,37 @@ def seed_readiness(df: DataFrame, published: Column, thresholds: dict[str, int],
     return counts.withColumn("too_few", F.array_join(short, ",")).withColumn("ready", F.col("too_few") == "")
 
 
-def count_drift(counts: DataFrame, order: str, count: str, max_drop: float = 0.25, max_growth: float = 2.0) -> DataFrame:
-    """Each period against the last accepted one: refused when it drops or grows too much; the first is accepted.
+def count_drift(counts: DataFrame, order: str, count: str, max_drop: float = 0.25, max_growth: float = 2.0, by: Sequence[str] = ()) -> DataFrame:
+    """Each period of a series (``by``) against the last accepted one: refused when it drops or grows too much; the first is accepted.
 
     Empty periods and refused ones are passed over, so neither hides a drop. Whether a period is accepted depends on
-    the one before, so the counts, already aggregated to one short row per period, are folded in order.
+    the one before, so the counts of a series, already aggregated to one short row per period, are read once in order;
+    only the last accepted count is held.
     """
-    kind, number = counts.schema[order].dataType.simpleString(), counts.schema[count].dataType.simpleString()
-    row = F.struct(F.col(order).alias("o"), F.col(count).alias("n"))
-    series = counts.agg(F.array_sort(F.collect_list(row)).alias("s"))
-    start = F.struct(F.lit(None).cast(number).alias("last"), F.array().cast(f"array<struct<o:{kind},n:{number},p:{number},d:boolean>>").alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        drift = F.coalesce((acc["last"] - x["n"] > acc["last"] * max_drop) | (x["n"] > acc["last"] * max_growth), F.lit(False))
-        judged = F.struct(x["o"].alias("o"), x["n"].alias("n"), acc["last"].alias("p"), drift.alias("d"))
-        return F.struct(F.when(drift, acc["last"]).otherwise(x["n"]).alias("last"), F.concat(acc["out"], F.array(judged)).alias("out"))
-
-    folded = series.select(F.explode(F.aggregate("s", start, step)["out"]).alias("r"))
-    return folded.select(F.col("r.o").alias(order), F.col("r.n").alias(count), F.col("r.p").alias("previous"), F.col("r.d").alias("drifted"))
+    frame = counts.select(*by, order, count)
+    dealt = frame.repartition(*by) if by else frame.repartition(1)
+    keys = len(by)
+
+    def judge(batches):
+        import pyarrow as pa
+
+        series, last = None, None
+        for batch in batches:
+            numbers = batch.column(keys + 1).to_pylist()
+            heads = list(zip(*[batch.column(i).to_pylist() for i in range(keys)])) if keys else [()] * len(numbers)
+            previous, drifted = [], []
+            for head, n in zip(heads, numbers):
+                if head != series:
+                    series, last = head, None
+                drift = n is not None and last is not None and (float(last - n) > float(last) * max_drop or float(n) > float(last) * max_growth)
+                previous.append(last)
+                drifted.append(drift)
+                last = last if drift else n
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(previous, batch.column(keys + 1).type), pa.array(drifted, pa.bool_())], [*batch.schema.names, "previous", "drifted"])
+
+    schema = T.StructType([*[T.StructField(f.name, f.dataType) for f in frame.schema], T.StructField("previous", frame.schema[count].dataType), T.StructField("drifted", T.BooleanType())])
+    return dealt.sortWithinPartitions(*by, order, count).mapInArrow(judge, schema)
 
 
 def reference_contract(df: DataFrame, id_col: str, code: str, collections: Sequence[str]) -> DataFrame:

@@ -126,6 +126,19 @@ def count_drift(spark, sf):
     return Q.count_drift(days, "day", "n", max_drop=0.1, max_growth=1.1)
 
 
+@query("A20 T6", """with recursive d as (select event_type, datediff('day', date '2024-01-01', ts::date)::int as day, count(*) n from events group by 1, 2),
+k as (select event_type, day, n, row_number() over (partition by event_type order by day) i from d),
+w as (select event_type, i, day, n, null::bigint as previous, false as drifted, n as last from k where i = 1 union all
+ select k.event_type, k.i, k.day, k.n, w.last, w.last - k.n > w.last * 0.1 or k.n > w.last * 1.1,
+ case when w.last - k.n > w.last * 0.1 or k.n > w.last * 1.1 then w.last else k.n end from w join k on k.event_type = w.event_type and k.i = w.i + 1)
+select event_type, day, n, previous, drifted from w""")
+def count_drift_all(spark, sf):
+    """All rows of all days, one series per event type."""
+    day = F.date_diff(F.to_date("ts"), F.lit("2024-01-01").cast("date")).alias("day")
+    days = table(spark, sf, "events").groupBy("event_type", day).agg(F.count(F.lit(1)).alias("n"))
+    return Q.count_drift(days, "day", "n", max_drop=0.1, max_growth=1.1, by=["event_type"])
+
+
 @query("V16 V15", """select c_name as entity, 'id-format' as rule, 'id' as field, null::varchar as locale, false as blocking, '' as message from customer where c_acctbal <= 0
 union all select c_name, 'collection-missing', 'segment', null, false, '' from customer where c_mktsegment = 'MACHINERY'""")
 def reference_contract(spark, sf):

@@ -168,3 +168,18 @@ def test_audit_over_gaps_in_the_ids(spark):
     df = spark.createDataFrame([(1, 1.0), (4, 3.0), (9, 2.0), (20, 2.0)], "id long, v double")
     got = audit.not_increasing(S.number_rows(df, [], ["id"], "position"), [], "position", "v", ["id"])
     assert set(rows(got.select("id", "previous"))) == {(9, 3.0), (20, 2.0)}
+
+
+def test_drift_per_series(spark):
+    df = spark.createDataFrame([("a", 1, 100), ("a", 2, 1), ("a", 3, 95), ("b", 1, 5), ("b", 3, 4), (None, 2, 7), (None, 3, 1)], "k string, day int, n long")
+    got = {(r.k, r.day): (r.previous, r.drifted) for r in quality.count_drift(df, "day", "n", by=["k"]).collect()}
+    assert got == {("a", 1): (None, False), ("a", 2): (100, True), ("a", 3): (100, False), ("b", 1): (None, False), ("b", 3): (5, False), (None, 2): (None, False), (None, 3): (7, True)}
+    long = quality.count_drift(spark.range(60_000).selectExpr("id as day", "100 + id % 2 as n"), "day", "n")
+    assert long.count() == 60_000 and long.where("drifted").isEmpty()
+
+
+def test_every_day_is_counted(spark):
+    from catalogspark.plans import load
+
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    assert sum(r.n for r in load()[0]["count_drift_all"](spark, "/root/testdata/sf0.001").collect()) == events.count()
