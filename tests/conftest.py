@@ -16,8 +16,3 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("OFF")
     yield session
     session.stop()
-
-
-def rows(df):
-    """Rows as sorted tuples, for comparing small results."""
-    return sorted((tuple(r) for r in df.collect()), key=repr)

@@ -4,7 +4,7 @@ import gzip
 import json
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from catalogspark import scale as S

@@ -1,7 +1,7 @@
 """Plans: idempotence, rollback, and one broken fact at a time."""
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from catalogspark.operators import bindings, diff as D, hierarchy, localize, match, overlay, quality, specs

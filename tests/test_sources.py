@@ -1,7 +1,7 @@
 """Projection guards, routing, contracts and the small pieces the queries do not name."""
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from catalogspark.functions import canon
