@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalogspark.llm import (
-    bin_completion, bottomk_dedup, katz_lm, label_shards, length_histogram, licence_scan, norm_topk, ordinal_toxicity, subspace_join, temperature_mix,
+    bin_completion, bottomk_dedup, bpe_stream, katz_lm, label_shards, length_histogram, licence_scan, norm_topk, ordinal_toxicity, subspace_join, temperature_mix,
 )
 from catalogspark.llm.shared import table
 
@@ -124,3 +124,8 @@ def op9_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return length_histogram.length_report(table(spark, sf_dir, "documents"), limits=[2**k for k in range(7, 18)])
+
+
+@query()
+def op12_streaming_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_stream.digests(table(spark, sf_dir, "documents"))
