@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalogspark.llm import (
-    bin_completion, bottomk_dedup, bpe_stream, katz_lm, label_shards, length_histogram, licence_scan, norm_topk, ordinal_toxicity, subspace_join, temperature_mix,
+    bin_completion, bottomk_dedup, bpe_stream, katz_lm, label_shards, length_histogram, licence_scan, norm_topk, ordinal_toxicity, subspace_join, temperature_mix, vector_codes,
 )
 from catalogspark.llm.shared import table
 
@@ -129,3 +129,31 @@ def op10_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op12_streaming_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_stream.digests(table(spark, sf_dir, "documents"))
+
+
+def _rounds_sql(rounds: int) -> str:
+    """Assignments and moves of the codebooks, one pair of views per round, and the last assignment."""
+    out = []
+    for i in range(rounds + 1):
+        out.append(f"""a{i} as (select vec_id, part, min(struct_pack(d := d, entry := entry)) best from (select p.vec_id, p.part, c.entry,
+  (list_dot_product(p.x, p.x) - 2 * list_dot_product(p.x, c.x) + list_dot_product(c.x, c.x))::bigint d from p join c{i} c using (part)) group by all)""")
+        if i < rounds:
+            out.append(f"""c{i + 1} as (select c.part, c.entry, coalesce(m.x, c.x) x from c{i} c left join (
+  select part, entry, list(y order by pos) x from (select part, best.entry entry, pos, floor(sum(y) / count(*)) y
+    from (select a.part, a.best, unnest(p.x) y, generate_subscripts(p.x, 1) pos from a{i} a join p using (vec_id, part)) group by all) group by all) m
+  on m.part = c.part and m.entry = c.entry)""")
+    return ",\n".join(out)
+
+
+@query(f"""
+with k as (select vec_id, label, [floor(1024 * x::double) for x in embedding] v from embeddings
+  where embedding is not null and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
+p as (select vec_id, part, v[part * (len(v) // 4) + 1 : (part + 1) * (len(v) // 4)] x from k, range(4) r(part)),
+c0 as (select part, row_number() over (partition by part order by vec_id) - 1 entry, x from p where vec_id in (select vec_id from k order by vec_id limit 256)),
+{_rounds_sql(4)},
+s as (select sha256(string_agg(y::bigint, ',' order by part, entry, pos)) digest from (select part, entry, unnest(x) y, generate_subscripts(x, 1) pos from c4)),
+e as (select vec_id, string_agg(printf('%02x', best.entry), '' order by part) code, sum(best.d)::bigint error from a4 group by vec_id)
+select k.vec_id, code, error, (sum(error) over (partition by label))::bigint label_error, digest codebooks_sha256 from k join e using (vec_id), s
+""")
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.code_report(table(spark, sf_dir, "embeddings"))
