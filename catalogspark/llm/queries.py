@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalogspark.llm import (
-    bin_completion, bottomk_dedup, bpe_stream, katz_lm, label_shards, length_histogram, licence_scan, norm_topk, ordinal_toxicity, subspace_join, temperature_mix, vector_codes,
+    bin_completion, bottomk_dedup, bpe_stream, katz_lm, label_shards, length_histogram, licence_scan, norm_topk, ordinal_toxicity, phrase_trees, subspace_join, temperature_mix, vector_codes,
 )
 from catalogspark.llm.shared import table
 
@@ -126,6 +126,29 @@ def op10_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return length_histogram.length_report(table(spark, sf_dir, "documents"), limits=[2**k for k in range(7, 18)])
 
 
+@query("""
+with t as (select coalesce(lang, 'und') lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') t from documents),
+p as (select lang, unnest(regexp_split_to_array(t, '[.,;:!?\\x0A-\\x0D]')) p from t),
+w as (select lang, regexp_extract_all(p, '[^\\x20\\x09]+') w from p),
+s as (select lang, w, unnest(range(1, len(w) + 1)) i from w),
+g as (select lang, w[i : i + m - 1] x from s, range(1, 5) r(m) where i + m - 1 <= len(w)),
+f as materialized (select lang, x, len(x) m, count(*) n from g group by all),
+u as (select lang, sum(n)::bigint n from f where m = 1 group by lang),
+c as materialized (select * from f where m > 1 and n >= 30),
+h as materialized (select lang, x, m, n a, k, x[1 : k] head, x[k + 1 : m] tail from (select *, unnest(range(1, m)) k from c)),
+k as (select h.*, l.n l, r.n r, ((2000000::hugeint * a) // (l.n + r.n))::bigint score
+  from h join f l on l.lang = h.lang and l.x = h.head join f r on r.lang = h.lang and r.x = h.tail),
+b as (select lang, x, any_value(m) m, any_value(a) a, min(struct_pack(score := score, k := k, l := l, r := r)) best from k group by lang, x),
+i as (select lang, x[o : o + e - 1] x, max(n) n from c, range(1, 4) j(o), range(2, 4) v(e) where e < m and o + e - 1 <= m group by all),
+d as (select b.* from b left join i on i.lang = b.lang and i.x = b.x where i.n is null or 100 * i.n < 80 * b.a),
+o as (select lang, array_to_string(x, ' ') phrase, a, best.l l, best.r r, best.score score from d),
+z as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) "rank" from o)
+select z.lang, "rank", phrase, a, l, r, u.n, score from z join u on u.lang = z.lang where "rank" <= 2000
+""")
+def op11_phrase_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_trees.collocations(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op12_streaming_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_stream.digests(table(spark, sf_dir, "documents"))
