@@ -2,10 +2,11 @@
 
 P(grade <= j) = sigmoid(t_j - w x): one weight vector is shared by all ordered thresholds. Features are words (runs of
 ASCII letters, digits and non-ASCII characters, A-Z lower-cased) and their first 3, 4 and 5 bytes, which stand for the
-inflected forms of a stem, with the value log(1 + count). Used are those whose document frequency differs between toxic
-and clean training texts; the frequencies are added up in Spark over all training texts. The fit itself works on a
-bounded sample: at most ``train_rows`` labelled documents, those with the smallest id hashes, and at most
-``max_features`` features. Every document is scored over its whole text.
+inflected forms of a stem, with the value log(1 + count). Document frequencies among toxic and clean texts are added up
+in Spark over all labelled texts; features are ranked by the log-likelihood ratio of the two, and those above the value
+that about one feature reaches by chance (2 ln of the number of features) are used, so the floor follows the table. The
+fit itself works on a bounded sample: at most ``train_rows`` labelled documents, those with the smallest id hashes, and
+at most ``max_features`` features. Every document is scored over its whole text.
 
 ``grades_by_amount`` makes grades from a binary label: 0 for clean texts; toxic texts are graded 1..``levels`` by the
 quantile of the number of features that mark toxic texts. A table with real grades is used as it is.
@@ -17,12 +18,13 @@ nothing is toxic (probability 0); repeated rows are scored each; an empty table
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalogspark.llm.shared import named_back, place_of, renamed, stored
@@ -30,9 +32,9 @@ from catalogspark.llm.words import codes, groups, placed_words, prefix_codes, te
 
 #: Labelled documents used for the fit at most.
 TRAIN_ROWS = 40_000
-#: Words used at most, and the least z-score of the difference in document frequency.
+#: Features used at most, and the least number of labelled texts one stands in.
 MAX_FEATURES = 2_048
-MIN_Z = 5.0
+MIN_TEXTS = 3
 PREFIXES = (3, 4, 5)
 LEVELS = 3
 #: A document is rejected at this probability of grade 1 or more.
@@ -95,11 +97,17 @@ def _frequencies(rows: DataFrame) -> DataFrame:
     return partial.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
-def _z(toxic, clean, n_toxic: int, n_clean: int):
-    """How far the toxic share of a word's texts lies from the share of all, in standard errors."""
-    share = n_toxic / (n_toxic + n_clean)
-    n = toxic + clean
-    return (toxic - n * share) / F.sqrt(n * share * (1 - share) + 1)
+def _evidence(n_toxic: int, n_clean: int) -> Column:
+    """Log-likelihood ratio of a feature's frequency in toxic against clean texts; negative if it marks clean ones."""
+    texts = n_toxic + n_clean
+    n = F.col("toxic") + F.col("clean")
+
+    def term(seen: Column, of: Column, share: int) -> Column:
+        return F.when(seen > 0, seen * F.ln(seen * F.lit(float(texts)) / (of * F.lit(float(share))))).otherwise(0.0)
+
+    with_it = term(F.col("toxic"), n, n_toxic) + term(F.col("clean"), n, n_clean)
+    without = term(n_toxic - F.col("toxic"), texts - n, n_toxic) + term(n_clean - F.col("clean"), texts - n, n_clean)
+    return F.when(F.col("toxic") * F.lit(float(n_clean)) >= F.col("clean") * F.lit(float(n_toxic)), 1).otherwise(-1) * 2 * (with_it + without)
 
 
 def _rows_of(rows: DataFrame, words: np.ndarray, marked: np.ndarray) -> DataFrame:
@@ -164,18 +172,19 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
           train_rows: int = TRAIN_ROWS, max_features: int = MAX_FEATURES) -> OrdinalModel:
     """Fit on the labelled documents. ``levels``: make so many grades from a binary label; None: labels are grades."""
     none = OrdinalModel(np.zeros(0, np.uint64), np.zeros(0), np.zeros(0))
-    sample = labels.where(F.col(grade).isNotNull() & labels[doc_id].isNotNull()).groupBy(labels[doc_id].cast("long").alias("_id")).agg(F.max(F.col(grade).cast("int")).alias("grade"))
-    sample = sample.orderBy(F.xxhash64("_id"), "_id").limit(train_rows)  # at most train_rows small rows: broadcast
+    known = labels.where(F.col(grade).isNotNull() & labels[doc_id].isNotNull()).groupBy(labels[doc_id].cast("long").alias("_id")).agg(F.max(F.col(grade).cast("int")).alias("grade"))
     frame = docs.select(docs[doc_id].cast("long").alias("_id"), docs[text].cast("string").alias("text"))
-    rows = frame.join(F.broadcast(sample), "_id").select("text", "grade", (F.col("grade") > 0).alias("bad"))
-    rows = stored(rows, "labelled")
-    n = {r["bad"]: r["n"] for r in rows.groupBy("bad").agg(F.count(F.lit(1)).alias("n")).collect()}
+    labelled = frame.join(known, "_id").select("text", "grade", (F.col("grade") > 0).alias("bad"))
+    n = {r["bad"]: r["n"] for r in labelled.groupBy("bad").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(n) < 2:
         return none
-    z = _z(F.col("toxic"), F.col("clean"), n[True], n[False])
-    best = _frequencies(rows).select("word", z.alias("z")).where(F.abs("z") >= MIN_Z).orderBy(F.desc(F.abs("z")), "word").limit(max_features).collect()
+    seen = stored(_frequencies(labelled).where(F.col("toxic") + F.col("clean") >= MIN_TEXTS), "features")
+    by_chance = 2 * math.log(max(2, seen.count()))
+    best = seen.select("word", _evidence(n[True], n[False]).alias("z")).where(F.abs("z") >= by_chance).orderBy(F.desc(F.abs("z")), "word").limit(max_features).collect()
     if not best:
         return none
+    sample = known.orderBy(F.xxhash64("_id"), "_id").limit(train_rows)  # at most train_rows small rows: broadcast
+    rows = stored(frame.join(F.broadcast(sample), "_id").select("text", "grade", (F.col("grade") > 0).alias("bad")), "labelled")
     words = np.array([r["word"] for r in best], np.int64).view(np.uint64)
     order = np.argsort(words)
     words, marked = words[order], np.array([r["z"] > 0 for r in best])[order]

@@ -190,3 +190,73 @@ def test_licences_over_line_ends():
         got[r].append(model.families[k])
         assert rows[r][a:e] == rows[r][a:e].strip()
     assert [sorted(g) for g in got] == [w for _, w in cases]
+
+
+def test_ordinal_fit_is_at_a_minimum_of_the_penalised_likelihood():
+    """The gradient by differences of the plainly written loss vanishes at the fitted weights."""
+    rng = np.random.default_rng(11)
+    x = (rng.random((400, 5)) < 0.4) * rng.integers(1, 4, (400, 5))
+    grade = np.searchsorted([0.4, 1.5], x @ [1.0, -0.7, 0.3, 0.0, 0.5] + rng.logistic(size=400))
+    rows, cols = np.nonzero(x)
+    l2 = 1e-2
+    w, t = ordinal_toxicity.fit_ordinal(rows, cols, x[rows, cols].astype(float), grade, 5, 2, l2=l2, steps=4000)
+
+    def loss(theta):
+        edge = np.concatenate([[-np.inf], theta[5:], [np.inf]])
+        s = x @ theta[:5]
+        at = lambda v: 1 / (1 + np.exp(-(v - s)))
+        return -np.log(at(edge[grade + 1]) - at(edge[grade])).mean() + l2 / 2 * (theta[:5] ** 2).sum()
+
+    theta, step = np.concatenate([w, t]), 1e-5
+    slope = [(loss(theta + step * e) - loss(theta - step * e)) / (2 * step) for e in np.eye(7)]
+    assert np.abs(slope).max() < 2e-3 and t[0] < t[1]
+
+
+def test_toxicity_scores_by_plain_python(spark):
+    """Features, evidence and scores again with dictionaries; a long text is read to its end."""
+    import math
+    import re
+    from collections import Counter
+
+    from catalogspark.llm.words import text_bytes
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    long = spark.createDataFrame([(-1, "zq " * 600_000 + "disgusting moron"), (-2, "zq " * 600_000)], docs.schema)
+    model = ordinal_toxicity.train(docs, labels)
+
+    def features(text):
+        words = re.findall(rb"[0-9a-z\x80-\xff]+", (text or "").encode().lower())
+        return Counter([*words, *((n, w[:n]) for w in words for n in (3, 4, 5) if len(w) > n)])
+
+    def code(feature):
+        text = feature if isinstance(feature, bytes) else feature[1] + b"q"
+        import pyarrow as pa
+
+        data, bounds = text_bytes(pa.array([text.decode("utf-8", "surrogateescape")])) if isinstance(feature, bytes) else (np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+        found, _ = ordinal_toxicity._features(data, bounds)
+        return found[0] if isinstance(feature, bytes) else found[1 + (3, 4, 5).index(feature[0])]
+
+    grade = {r["doc_id"]: r["toxic"] for r in labels.collect()}
+    known = [(features(r["text"]), grade[r["doc_id"]]) for r in docs.collect() if grade.get(r["doc_id"]) is not None]
+    seen = [Counter(f for c, g in known if g == kind for f in c) for kind in (0, 1)]
+    n = [sum(g == kind for _, g in known) for kind in (0, 1)]
+    every = {f for c in seen for f in c if seen[0][f] + seen[1][f] >= 3}
+
+    def evidence(f):
+        cells = [(seen[k][f], n[k] * (seen[0][f] + seen[1][f]) / sum(n)) for k in (0, 1)]
+        cells += [(n[k] - a, n[k] - e) for k, (a, e) in enumerate(cells)]
+        return 2 * sum(a * math.log(a / e) for a, e in cells if a)
+
+    chosen = {f for f in every if evidence(f) >= 2 * math.log(len(every))}
+    weight = dict(zip(model.words.tolist(), model.weights.tolist()))
+    codes = {f: int(code(f)) for f in chosen if isinstance(f, tuple) or b"\xc3" not in f}
+    assert chosen and set(codes.values()) <= set(weight) and len(chosen) == len(weight)
+    told = {r["doc_id"]: r["p"] for r in ordinal_toxicity.score(docs.union(long), model).selectExpr("doc_id", "toxicity.probability p").collect()}
+    if len(codes) == len(chosen):
+        for r in docs.collect():
+            s = sum(math.log1p(k) * weight[codes[f]] for f, k in features(r["text"]).items() if f in codes)
+            assert abs(told[r["doc_id"]] - (1 - 1 / (1 + math.exp(-(model.thresholds[0] - s))))) < 1e-6
+    caught = [i for i, g in grade.items() if g and told.get(i, 0) >= 0.5]
+    assert len(caught) >= 6 and not [i for i, g in grade.items() if g == 0 and told.get(i, 0) >= 0.5]
+    assert told[-1] > 0.5 > told[-2]
