@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -95,39 +96,71 @@ def stage_disagreements(stages: DataFrame, facts: Sequence[str]) -> DataFrame:
     return seen.where("distinct_values > 1")
 
 
-def promote(spark: SparkSession, pointer: str, run: str, sequence: int) -> None:
+def promote(spark: SparkSession, pointer: str, run: str, sequence: int, path: str | None = None) -> None:
     """Make a run the current one by adding a pointer row; older pointers stay as history."""
-    row = spark.range(1).select(F.lit(run).alias("run"), F.lit(sequence).cast("long").alias("sequence"))
+    row = spark.range(1).select(F.lit(run).alias("run"), F.lit(sequence).cast("long").alias("sequence"), F.lit(path).cast("string").alias("path"))
     row.coalesce(1).write.mode("errorifexists").json(f"{pointer}/sequence={sequence:012d}")
 
 
+def _pointers(spark: SparkSession, pointer: str) -> DataFrame:
+    return spark.read.schema("run string, path string").json(pointer + "/*").select("run", "path", F.col("_metadata.file_path").alias("p"))
+
+
 def current_run(spark: SparkSession, pointer: str) -> str | None:
     """The run of the highest pointer, or None before the first promotion. Errors other than that are raised."""
     if not path_exists(spark, pointer):
         return None
-    rows = spark.read.schema("run string").json(pointer + "/*")
-    best = rows.select("run", F.col("_metadata.file_path").alias("p")).agg(F.max_by("run", "p").alias("run")).collect()
+    best = _pointers(spark, pointer).agg(F.max_by("run", "p").alias("run")).collect()
     return best[0].run if best else None
 
 
+def current_data(spark: SparkSession, root: str) -> str | None:
+    """The folder of the current run's rows."""
+    if not path_exists(spark, f"{root}/current"):
+        return None
+    best = _pointers(spark, f"{root}/current").agg(F.max_by(F.struct("run", "path"), "p").alias("b")).select("b.*").first()
+    return best.path or f"{root}/{best.run}"
+
+
+def _attempt(spark: SparkSession, root: str, run: str) -> tuple[str, bool]:
+    """The folder of a run's finished attempt, or the next free one beside those that were broken off."""
+    for n in itertools.count(1):
+        path = f"{root}/{run}" if n == 1 else f"{root}/{run}~{n}"
+        if not path_exists(spark, path):
+            return path, False
+        if path_exists(spark, f"{path}/_SUCCESS"):
+            return path, True
+
+
 def promote_run(spark: SparkSession, root: str, run: str, sequence: int, rows: DataFrame, by: str, max_drop: float = 0.25, max_growth: float = 2.0) -> bool:
     """Write a run, judge it against the current one, and promote it as the very last step; returns whether it was.
 
-    The gate compares the rows per value of ``by`` and refuses a drop or growth beyond the limits. A run that is
-    already stored is a replay: it is neither written nor promoted again.
+    The gate compares the rows per value of ``by`` and refuses a drop or growth beyond the limits; its verdict is stored.
+    The step can be repeated after a stop anywhere: an attempt that was broken off while writing is left aside and
+    written anew, a finished one is judged, an accepted one is pointed at. A run that has its pointer, or was refused,
+    is a replay: nothing is written, judged or promoted again.
     """
-    path, pointer = f"{root}/{run}", f"{root}/current"
-    if path_exists(spark, f"{path}/_SUCCESS"):
-        return False
-    rows.write.mode("errorifexists").parquet(path)
-    last = current_run(spark, pointer)
-    if last is not None:
-        count = lambda r, name: spark.read.parquet(f"{root}/{r}").groupBy(by).agg(F.count(F.lit(1)).alias(name))
-        both = count(last, "old").join(count(run, "new"), by, "full_outer").na.fill(0, ["old", "new"])
-        if not both.where((F.col("old") - F.col("new") > F.col("old") * max_drop) | ((F.col("old") > 0) & (F.col("new") > F.col("old") * max_growth))).isEmpty():
+    pointer, told = f"{root}/current", f"{root}/verdicts/run={run}"
+    if path_exists(spark, f"{told}/_SUCCESS"):
+        verdict = spark.read.schema("path string, accepted boolean").json(told).first()
+        known = path_exists(spark, pointer) and not _pointers(spark, pointer).where(F.col("run") == run).isEmpty()
+        if known or not verdict.accepted:
             return False
-    promote(spark, pointer, run, sequence)
-    return True
+        promote(spark, pointer, run, sequence, verdict.path)
+        return True
+    path, written = _attempt(spark, root, run)
+    if not written:
+        rows.write.mode("errorifexists").parquet(path)
+    last, accepted = current_data(spark, root), True
+    if last is not None:
+        count = lambda where, name: spark.read.parquet(where).groupBy(by).agg(F.count(F.lit(1)).alias(name))
+        both = count(last, "old").join(count(path, "new"), by, "full_outer").na.fill(0, ["old", "new"])
+        accepted = both.where((F.col("old") - F.col("new") > F.col("old") * max_drop) | ((F.col("old") > 0) & (F.col("new") > F.col("old") * max_growth))).isEmpty()
+    verdict = spark.range(1).select(F.lit(path).alias("path"), F.lit(accepted).alias("accepted"))
+    verdict.coalesce(1).write.mode("overwrite").json(told)  # a verdict without its mark was broken off
+    if accepted:
+        promote(spark, pointer, run, sequence, path)
+    return accepted
 
 
 def write_console_artifact(parts: Mapping[str, DataFrame], root: str) -> DataFrame:

@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from catalogspark.functions.canon import key_bucket
 from catalogspark.operators.diff import structural_diff
 from catalogspark.scale import path_exists
+from catalogspark.streaming.keystore import KeyStore
 
 
 def checkpoint_path(base: str, name: str, version: str, parameters: Mapping[str, object]) -> str:
@@ -65,30 +65,20 @@ def idempotent_import(
 ) -> None:
     """Import rows keyed by a semantic digest: a key that is already stored, or comes again, changes nothing.
 
-    Within a batch the first row by ``order`` is kept (an aggregate). Stored keys are read from a slim key
-    table, only from the hash buckets that occur in the batch.
+    Within a batch the first row by ``order`` is kept (an aggregate). Known keys are looked up in a
+    :class:`~catalogspark.streaming.keystore.KeyStore` below the target: of its history a batch reads filters, and the
+    buckets in which they hold one of its keys.
     """
     claim(spark, target, checkpoint)
     rest = [f.name for f in schema.fields if f.name != key]
-    keys_dir = f"{target}/keys"
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        fresh = batch.groupBy(key).agg(F.min_by(F.struct(*rest), order).alias("_r")).select(key, "_r.*")
-        fresh = fresh.withColumn("bucket", key_bucket(key, buckets).cast("int")).persist()
-        if batch_id > 0:
-            present = [r.bucket for r in fresh.select("bucket").distinct().collect()]  # at most `buckets` numbers
-            known = session.read.schema(f"`{key}` string, bucket int, batch long").option("basePath", keys_dir).parquet(keys_dir)
-            known = known.where(F.col("bucket").isin(present) & (F.col("batch") < batch_id)).select(key)
-            new = fresh.join(known, key, "left_anti")
-        else:
-            new = fresh
-        new.drop("bucket").write.mode("overwrite").parquet(f"{target}/rows/batch={batch_id}")
+        store = KeyStore(batch.sparkSession, f"{target}/keys", key, buckets)
+        fresh = batch.groupBy(key).agg(F.min_by(F.struct(*rest), order).alias("_r")).select(key, "_r.*").persist()
+        new = fresh.join(store.known(fresh, batch_id - 1), key, "left_anti") if batch_id else fresh
+        new.write.mode("overwrite").parquet(f"{target}/rows/batch={batch_id}")
         fresh.unpersist()
-        stored = session.read.parquet(f"{target}/rows/batch={batch_id}")
-        slim = stored.select(key, key_bucket(key, buckets).cast("int").alias("bucket"))
-        # keys are unique and hashed, so buckets are even: one file per bucket instead of one per task and bucket
-        slim.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{keys_dir}/batch={batch_id}")
+        store.add(batch.sparkSession.read.schema(f"`{key}` string").parquet(f"{target}/rows/batch={batch_id}"), batch_id)
 
     _run(_read(spark, source, schema, files_per_batch), handle, checkpoint)
 

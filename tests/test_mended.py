@@ -125,6 +125,36 @@ def test_promotion_comes_after_the_gate(spark, tmp_path):
     assert told == [True, False, False, True] and manifest.current_run(spark, f"{root}/current") == "c"
 
 
+def test_a_promotion_that_stopped_can_be_repeated(spark, tmp_path, monkeypatch):
+    df = spark.range(100).withColumn("k", F.col("id") % 2)
+
+    def stopped(root, where, name, n=1, data=df):
+        def stop(*args, **kw):
+            raise RuntimeError(where)
+
+        with monkeypatch.context() as m:
+            m.setattr(manifest, where, stop)
+            with pytest.raises(RuntimeError, match=where):
+                manifest.promote_run(spark, root, name, n, data, "k")
+
+    root = str(tmp_path / "pointer")  # after the verdict, before the pointer
+    stopped(root, "promote", "a")
+    assert manifest.current_run(spark, f"{root}/current") is None
+    assert manifest.promote_run(spark, root, "a", 1, df, "k") and not manifest.promote_run(spark, root, "a", 2, df, "k")
+    assert manifest.current_data(spark, root) == f"{root}/a"
+    root = str(tmp_path / "gate")  # after the rows, before the verdict
+    stopped(root, "current_data", "a")
+    assert manifest.promote_run(spark, root, "a", 1, df, "k")
+    root = str(tmp_path / "rows")  # while the rows were written: a folder without its mark
+    df.limit(3).write.parquet(f"{root}/a")
+    (tmp_path / "rows" / "a" / "_SUCCESS").unlink()
+    assert manifest.promote_run(spark, root, "a", 1, df, "k")
+    assert manifest.current_data(spark, root) == f"{root}/a~2" and spark.read.parquet(f"{root}/a~2").count() == 100
+    # a refusal is remembered: the same run, even with good rows now, stays refused
+    assert not manifest.promote_run(spark, root, "b", 2, df.limit(5), "k") and not manifest.promote_run(spark, root, "b", 3, df, "k")
+    assert manifest.current_run(spark, f"{root}/current") == "a"
+
+
 def test_manifest_paths_of_an_odd_root(spark, tmp_path):
     root = str(tmp_path / "a+b (c).d")
     spark.range(5).coalesce(1).write.parquet(f"{root}/x")
