@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import itertools
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,30 +9,33 @@ from catalogspark.scale import pinned
 
 
 def ancestors(
-    edges: DataFrame, code: str, parent: str, start: DataFrame | None = None
+    edges: DataFrame, code: str, parent: str, start: DataFrame | None = None, rounds: list[int] | None = None
 ) -> DataFrame:
-    """(code, ancestor, distance) pairs of all nodes, or of the ``start`` codes only, level by level: each level is one equi-join on the parent.
+    """(code, ancestor, distance) pairs of all nodes, or of the ``start`` codes only, by pointer doubling.
 
-    Stops when a level is empty, at any depth. A cycle is refused: its pairs come again after its length, so a level
-    is compared with the one at the last power of two. Every level is pinned by a reliable checkpoint, so that the
-    work grows with the number of levels, not with its square.
+    A table of jumps leads from each node over 2^k parents; joined with itself it gives the jumps over 2^(k+1). A round
+    adds the pairs that lie one such jump further, so a tree of depth d takes about log2(d) rounds, each of two equi-joins
+    with unique keys on the jump side. Rounds end when no node has a jump left, at any depth. Without a cycle every round
+    leaves fewer nodes with a jump (one that stands just 2^k deep has no longer one), so a round that leaves as many is
+    refused. Every round is pinned by a reliable checkpoint. ``rounds`` receives the number of those nodes per round.
     """
-    up = edges.where(F.col(parent).isNotNull()).select(F.col(code).alias("_c"), F.col(parent).alias("_p"))
-    level = up.select(F.col("_c").alias(code), F.col("_p").alias("ancestor"), F.lit(1).alias("distance"))
-    if start is not None:
-        level = level.join(start.select(code), code, "left_semi")
-    out = mark = level
-    for distance in itertools.count(2):
-        level = level.join(up, level["ancestor"] == up["_c"], "inner").select(
-            level[code], F.col("_p").alias("ancestor"), F.lit(distance).alias("distance"))
-        level = pinned(level)
-        if level.isEmpty():
-            return out
-        if not level.join(mark, [code, "ancestor"], "left_semi").isEmpty():
+    jump = edges.where(F.col(parent).isNotNull()).select(F.col(code).alias("_c"), F.col(parent).alias("_p")).distinct()
+    jump = pinned(jump)
+    seeds = (jump.select(F.col("_c").alias(code)) if start is None else start.select(code)).distinct()
+    reached = seeds.select(code, F.col(code).alias("ancestor"), F.lit(0).alias("distance"))
+    span, before = 1, None
+    while left := jump.agg(F.count_distinct("_c").alias("n")).first()["n"]:
+        if left == before:
             raise ValueError("the tree has a cycle")
-        if distance & (distance - 1) == 0:
-            mark = level
-        out = out.unionByName(level)
+        if rounds is not None:
+            rounds.append(left)
+        further = reached.join(jump, reached["ancestor"] == jump["_c"]).select(
+            reached[code], F.col("_p").alias("ancestor"), (F.col("distance") + span).cast("int").alias("distance"))
+        reached = pinned(reached.unionByName(further))
+        after = jump.select(F.col("_c").alias("_m"), F.col("_p").alias("_q"))
+        jump = pinned(jump.join(after, jump["_p"] == after["_m"]).select("_c", F.col("_q").alias("_p")))
+        span, before = span * 2, left
+    return reached.where("distance > 0")
 
 
 def missing_with_ancestors(desired: DataFrame, reference: DataFrame, code: str, parent: str) -> DataFrame:

@@ -94,6 +94,20 @@ def test_trees(spark):
     assert hierarchy.ancestors(chain, "code", "parent").count() == 190
 
 
+def test_deep_trees_take_few_rounds(spark):
+    chain = spark.range(1000).selectExpr("concat('n', id) code", "case when id > 0 then concat('n', id - 1) end parent")
+    some = spark.createDataFrame([("n999",), ("n3",)], "code string")
+    rounds = []
+    got = hierarchy.ancestors(chain, "code", "parent", start=some, rounds=rounds).collect()
+    assert len(rounds) <= 11 and len(got) == 999 + 3
+    assert all(int(r.code[1:]) - int(r.ancestor[1:]) == r.distance for r in got)
+    two = spark.createDataFrame([("a", "b"), ("a", "c"), ("b", "d"), ("c", "d"), ("c", "d")], "code string, parent string")
+    assert rows(hierarchy.ancestors(two, "code", "parent")) == [("a", "b", 1), ("a", "c", 1), ("a", "d", 2), ("a", "d", 2), ("b", "d", 1), ("c", "d", 1)]
+    far = spark.range(300).selectExpr("concat('n', id) code", "concat('n', case when id = 0 then 6 else id - 1 end) parent")
+    with pytest.raises(ValueError, match="cycle"):  # a ring of seven below a long chain that leads into it
+        hierarchy.ancestors(far, "code", "parent", start=some.where("code = 'n3'"))
+
+
 @pytest.mark.parametrize("change,rule", [
     ({}, None), ({"country": "Cn"}, "origin-country"), ({"place": None, "lat": None}, "origin-place"), ({"low": 900}, "altitude-order"),
     ({"high": 20000}, "altitude-range"), ({"lng": 181.0}, "coordinate-range")])
