@@ -2,11 +2,11 @@
 
 P(grade <= j) = sigmoid(t_j - w x): one weight vector is shared by all ordered thresholds. Features are words (runs of
 ASCII letters, digits and non-ASCII characters, A-Z lower-cased) and their first 3, 4 and 5 bytes, which stand for the
-inflected forms of a stem, with the value log(1 + count). Document frequencies among toxic and clean texts are added up
-in Spark over all labelled texts; features are ranked by the log-likelihood ratio of the two, and those above the value
-that about one feature reaches by chance (2 ln of the number of features) are used, so the floor follows the table. The
-fit itself works on a bounded sample: at most ``train_rows`` labelled documents, those with the smallest id hashes, and
-at most ``max_features`` features. Every document is scored over its whole text.
+inflected forms of a stem, with the value log(1 + count). The fit, choice of features included, works on a bounded sample:
+at most ``train_rows`` labelled documents, those with the smallest id hashes. Document frequencies among its toxic and
+clean texts are added up in Spark; features are ranked by the log-likelihood ratio of the two, and those above the value
+that about one feature reaches by chance (2 ln of the number of features) are used, ``max_features`` at most: the floor
+follows the table, and small ones keep their strongest words. Every document is scored over its whole text.
 
 ``grades_by_amount`` makes grades from a binary label: 0 for clean texts; toxic texts are graded 1..``levels`` by the
 quantile of the number of features that mark toxic texts. A table with real grades is used as it is.
@@ -172,19 +172,18 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
           train_rows: int = TRAIN_ROWS, max_features: int = MAX_FEATURES) -> OrdinalModel:
     """Fit on the labelled documents. ``levels``: make so many grades from a binary label; None: labels are grades."""
     none = OrdinalModel(np.zeros(0, np.uint64), np.zeros(0), np.zeros(0))
-    known = labels.where(F.col(grade).isNotNull() & labels[doc_id].isNotNull()).groupBy(labels[doc_id].cast("long").alias("_id")).agg(F.max(F.col(grade).cast("int")).alias("grade"))
+    sample = labels.where(F.col(grade).isNotNull() & labels[doc_id].isNotNull()).groupBy(labels[doc_id].cast("long").alias("_id")).agg(F.max(F.col(grade).cast("int")).alias("grade"))
+    sample = sample.orderBy(F.xxhash64("_id"), "_id").limit(train_rows)  # at most train_rows small rows: broadcast
     frame = docs.select(docs[doc_id].cast("long").alias("_id"), docs[text].cast("string").alias("text"))
-    labelled = frame.join(known, "_id").select("text", "grade", (F.col("grade") > 0).alias("bad"))
-    n = {r["bad"]: r["n"] for r in labelled.groupBy("bad").agg(F.count(F.lit(1)).alias("n")).collect()}
+    rows = stored(frame.join(F.broadcast(sample), "_id").select("text", "grade", (F.col("grade") > 0).alias("bad")), "labelled")
+    n = {r["bad"]: r["n"] for r in rows.groupBy("bad").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(n) < 2:
         return none
-    seen = stored(_frequencies(labelled).where(F.col("toxic") + F.col("clean") >= MIN_TEXTS), "features")
+    seen = stored(_frequencies(rows).where(F.col("toxic") + F.col("clean") >= MIN_TEXTS), "features")
     by_chance = 2 * math.log(max(2, seen.count()))
     best = seen.select("word", _evidence(n[True], n[False]).alias("z")).where(F.abs("z") >= by_chance).orderBy(F.desc(F.abs("z")), "word").limit(max_features).collect()
     if not best:
         return none
-    sample = known.orderBy(F.xxhash64("_id"), "_id").limit(train_rows)  # at most train_rows small rows: broadcast
-    rows = stored(frame.join(F.broadcast(sample), "_id").select("text", "grade", (F.col("grade") > 0).alias("bad")), "labelled")
     words = np.array([r["word"] for r in best], np.int64).view(np.uint64)
     order = np.argsort(words)
     words, marked = words[order], np.array([r["z"] > 0 for r in best])[order]
