@@ -11,6 +11,7 @@ from catalogspark.plans.registry import query
 from catalogspark.scale import with_scalars, work_dir
 from catalogspark.sinks import manifest as M
 from catalogspark.streaming import ingest as I
+from catalogspark.streaming import stateful as St
 
 
 def _landed(spark, df, files: int, times: int = 1):
@@ -118,3 +119,46 @@ def windowed_count_drift(spark, sf):
     days = I.window_totals(spark, target).select(
         F.date_diff(F.to_date(F.to_utc_timestamp("window_start", F.current_timezone())), F.lit("2024-01-01").cast("date")).alias("day"), "n")
     return count_drift(days, "day", "n", max_drop=0.05, max_growth=1.05)
+
+
+def _instant():
+    """The wall clock of ``ts`` read as UTC."""
+    return F.from_utc_timestamp(F.col("ts").cast("timestamp"), F.current_timezone())
+
+
+DAY_SQL = "datediff('day', date '2024-01-01', ts::date)"
+
+
+@query("T6 T3 T1", f"""with e as (select *, {DAY_SQL}::int as day, event_type = 'error' and {DAY_SQL} < 3 late from events), m as (select max(ts) - interval 24 day w from e where not late)
+select day, event_type, count(*) filter (where not late) as n, count(*) filter (where late) as n_late from e, m where late or date '2024-01-01' + interval (day + 1) day <= w group by all""")
+def event_time_windows(spark, sf):
+    """Daily windows in operator state, over three runs: a third of the first half comes with the second, and twice; the
+    errors of the first days come last, when their windows are closed, and are kept aside."""
+    day = F.date_diff(F.to_date("ts"), F.lit("2024-01-01").cast("date"))
+    events = _events(spark, sf).select("event_id", "event_type", _instant().alias("ts"), day.alias("day"))
+    last = (F.col("event_type") == "error") & (F.col("day") < 3)
+    slow = (F.col("event_type") == "view") & F.col("day").between(8, 14)
+    first = ~last & ~slow & (F.col("day") < 15)
+    landings = [events.where(first), events.where(~last & (~first | (F.col("event_type") == "click"))), events.where(last)]
+    schema = events.drop("day").schema
+    source, target, checkpoint = work_dir(spark, "landed"), work_dir(spark, "windows"), work_dir(spark, "checkpoint")
+    count = St.closed_windows("ts", "1 day", ["event_type"], [F.count(F.lit(1)).alias("n")], unique="event_id")
+    for rows in landings:
+        rows.drop("day").repartition(3).write.mode("append").parquet(source)
+        St.stateful_job(spark, source, schema, target, checkpoint, "ts", "24 days", count)
+    on = lambda t: F.date_diff(F.to_date(F.to_utc_timestamp(t, F.current_timezone())), F.lit("2024-01-01").cast("date")).alias("day")
+    closed = St.results(spark, target).select(on("window_start"), "event_type", "n", F.lit(0).cast("long").alias("n_late"))
+    late = St.late_rows(spark, target, schema).groupBy(on("ts"), "event_type").agg(F.lit(0).cast("long").alias("n"), F.count(F.lit(1)).alias("n_late"))
+    return closed.unionByName(late).groupBy("day", "event_type").agg(F.sum("n").alias("n"), F.sum("n_late").alias("n_late"))
+
+
+@query("T3", "select event_type, count(*) as n, count(distinct user_id) as users from events group by 1")
+def deduplicated_events(spark, sf):
+    """Every event lands twice, in different runs; state remembers its id, so it is taken once."""
+    events = _events(spark, sf).select("event_id", "event_type", "user_id", _instant().alias("ts"))
+    source, target, checkpoint = work_dir(spark, "landed"), work_dir(spark, "taken"), work_dir(spark, "checkpoint")
+    early = F.col("event_type").isin("view", "click")
+    for rows in (events.where(early), events, events.where(~early)):
+        rows.repartition(3).write.mode("append").parquet(source)
+        St.stateful_job(spark, source, events.schema, target, checkpoint, "ts", "365 days", St.first_arrivals("event_id"))
+    return St.results(spark, target).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("user_id").alias("users"))

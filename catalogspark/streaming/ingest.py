@@ -9,6 +9,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from catalogspark.operators.diff import structural_diff
 from catalogspark.scale import path_exists
@@ -35,15 +36,17 @@ def claim(spark: SparkSession, target: str, checkpoint: str) -> None:
         raise ValueError(f"{target} belongs to the job of {owner}: another version or other parameters need another target")
 
 
-def _read(spark: SparkSession, source: str, schema: T.StructType, files_per_batch: int | None, bytes_per_batch: int = 10 << 30) -> DataFrame:
+def read_files(spark: SparkSession, source: str, schema: T.StructType, files_per_batch: int | None, bytes_per_batch: int = 10 << 30) -> DataFrame:
     """Files as a stream; a batch is bounded by bytes, or by files where the caller says so."""
     bound = {"maxFilesPerTrigger": files_per_batch} if files_per_batch else {"maxBytesPerTrigger": bytes_per_batch}
     return spark.readStream.schema(schema).options(recursiveFileLookup="true", **bound).parquet(source)
 
 
-def _run(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str) -> None:
+def run_available(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
+    """Run a stream over all that is there, then stop; returns the finished query."""
     query = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
+    return query
 
 
 def resumable_ingest(
@@ -56,7 +59,7 @@ def resumable_ingest(
     def handle(batch: DataFrame, batch_id: int) -> None:
         transform(batch).write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
 
-    _run(_read(spark, source, schema, files_per_batch), handle, checkpoint)
+    run_available(read_files(spark, source, schema, files_per_batch), handle, checkpoint)
 
 
 def idempotent_import(
@@ -80,7 +83,7 @@ def idempotent_import(
         fresh.unpersist()
         store.add(batch.sparkSession.read.schema(f"`{key}` string").parquet(f"{target}/rows/batch={batch_id}"), batch_id)
 
-    _run(_read(spark, source, schema, files_per_batch), handle, checkpoint)
+    run_available(read_files(spark, source, schema, files_per_batch), handle, checkpoint)
 
 
 def batched_apply(
@@ -106,7 +109,7 @@ def batched_apply(
         log = stored.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(batch_id).cast("long").alias("batch_id"), F.lit(status).alias("status"), "rows")
         log.coalesce(1).write.mode("overwrite").json(f"{target}/log/batch={batch_id}")
 
-    _run(_read(spark, plan, schema, files_per_batch), handle, checkpoint)
+    run_available(read_files(spark, plan, schema, files_per_batch), handle, checkpoint)
 
 
 def apply_log(spark: SparkSession, target: str) -> DataFrame:
@@ -146,7 +149,7 @@ def windowed_counts(
         closed = F.lit(False) if newest is None else F.col("w.end") < F.lit(newest) - F.expr(f"interval {lateness}")
         parts.select(F.col("w.start").alias("window_start"), *by, "n", "newest", closed.alias("late")).write.mode("overwrite").parquet(f"{target}/parts/batch={batch_id}")
 
-    _run(_read(spark, source, schema, files_per_batch), handle, checkpoint)
+    run_available(read_files(spark, source, schema, files_per_batch), handle, checkpoint)
 
 
 _PARTS = "window_start timestamp, n long, newest timestamp, late boolean, batch long"
