@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from catalogspark.functions import safety as S
 from catalogspark.functions.text import code_part
+from catalogspark.operators import rule_index as X
 from catalogspark.operators import rules as R
 from catalogspark.plans.derived import table, texts
 from catalogspark.plans.registry import query
@@ -201,3 +202,50 @@ def reference_codes(spark, sf):
         "p_partkey", F.struct(F.concat(F.lit("  "), F.col("p_name")).alias("code")).alias("ref"),
         F.when(F.col("p_type") == "PROMO", "field").otherwise("card").alias("endpoint"), F.when(F.col("p_size") > 30, 404).otherwise(500).alias("status"))
     return p.select("p_partkey", reference_code_of(p, "ref").alias("code"), issue_kind("endpoint", "status").alias("issue"))
+
+
+PLAIN_SQL = r"""' ' || trim(regexp_replace(translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-/:-@\[-`{{-\x7F]+', ' ', 'g'), ' ') || ' '"""
+
+
+@query("R1 R2 R9 P4", f"""with b as (select item_id, string_split(trim({PLAIN_SQL.format('text')}), ' ') w from benchmark),
+r as (select 'B' || item_id code, array_to_string(w[1:3], ' ') phrase, null needs from b union select 'W' || item_id, w[5], 'B' || item_id from b union select 'F' || (item_id // 10), w[2], null from b),
+d as (select doc_id, {PLAIN_SQL.format('text')} t from documents),
+h as (select doc_id, code, needs from d join r on contains(t, ' ' || phrase || ' ') where phrase <> '')
+select distinct doc_id, code from h where needs is null or exists (select 1 from h g where g.doc_id = h.doc_id and g.code = h.needs)""")
+def phrase_rules_from_table(spark, sf):
+    """A rule book read from ``benchmark``: first words, a gated word, families of words; over all documents."""
+    words = F.split(F.trim(X.plain_words("text")), " ")
+    b = table(spark, sf, "benchmark").select("item_id", words.alias("w"))
+    name = lambda letter, n: F.concat(F.lit(letter), n.cast("string")).alias("code")
+    item = F.col("item_id")
+    rules = b.select(name("B", item), F.array_join(F.slice("w", 1, 3), " ").alias("phrase"), F.lit(None).cast("string").alias("needs"))
+    rules = rules.unionByName(b.select(name("W", item), F.get("w", F.lit(4)).alias("phrase"), name("B", item).alias("needs")))
+    rules = rules.unionByName(b.select(name("F", F.floor(item / 10)), F.get("w", F.lit(1)).alias("phrase"), F.lit(None).cast("string").alias("needs")))
+    return X.phrase_labels(table(spark, sf, "documents"), "doc_id", "text", rules, requires="needs")
+
+
+PATH_SQL = "coalesce(nullif(regexp_extract(url, '^[a-z]+://[^/?#]+([^?#]*)', 1), ''), '/')"
+
+
+@query("P10", rf"""with u as (select page_id, {PATH_SQL} as path from pages),
+s as (select path, regexp_extract(path, '^/([a-z]+)/([0-9]+)', ['l', 'n']) x from u),
+r as (select '/' || x.l || '/' pattern, x.l <> 'de' allow from s where x.l <> '' union select '/' || x.l || '/' || x.n[1:1], x.n[1:1] in ('2', '4', '6') from s where x.l <> ''
+ union select '/*/' || x.n || '$', false from s where len(x.n) = 2 union select '*' || x.n[2:3] || '.html$', true from s where len(x.n) = 3 union select path || '$', x.n < '5' from s where x.l = 'es' union select '/', false),
+q as (select allow, len(replace(regexp_replace(pattern, '\$$', ''), '*', '')) n, '^' || replace(replace(pattern, '.', '\.'), '*', '.*') regex from r),
+m as (select path, max(struct_pack(n := n, allow := allow)) b from (select distinct path from u) join q on regexp_matches(path, regex) group by path)
+select page_id, path, coalesce(b.allow, false) as allowed, b.n::int as matched from u left join m using (path)""")
+def longest_match_from_table(spark, sf):
+    """Rules derived from the pages themselves: thousands of prefixes, wildcards and whole addresses at size."""
+    path = F.coalesce(F.nullif(F.try_parse_url("url", F.lit("PATH")), F.lit("")), F.lit("/"))
+    pages = table(spark, sf, "pages").select("page_id", path.alias("path"))
+    part = lambda i: F.regexp_extract("path", "^/([a-z]+)/([0-9]+)", i)
+    s = pages.select("path", part(1).alias("l"), part(2).alias("n"))
+    first = F.substring("n", 1, 1)
+    rule = lambda where, pattern, allow: s.where(where).select(pattern.alias("pattern"), allow.alias("allow"))
+    rules = rule("l <> ''", F.concat(F.lit("/"), "l", F.lit("/")), F.col("l") != "de")
+    rules = rules.unionByName(rule("l <> ''", F.concat(F.lit("/"), "l", F.lit("/"), first), first.isin("2", "4", "6")))
+    rules = rules.unionByName(rule("length(n) = 2", F.concat(F.lit("/*/"), "n", F.lit("$")), F.lit(False)))
+    rules = rules.unionByName(rule("length(n) = 3", F.concat(F.lit("*"), F.substring("n", 2, 2), F.lit(".html$")), F.lit(True)))
+    rules = rules.unionByName(rule("l = 'es'", F.concat("path", F.lit("$")), F.col("n") < "5"))
+    rules = rules.unionByName(spark.range(1).select(F.lit("/").alias("pattern"), F.lit(False).alias("allow")))
+    return X.longest_rule(pages, "path", rules.distinct())
