@@ -36,6 +36,8 @@ TRAIN_ROWS = 40_000
 MAX_FEATURES = 2_048
 MIN_TEXTS = 3
 PREFIXES = (3, 4, 5)
+#: Text bytes whose features are worked out together.
+TEXT_BYTES = 1 << 20
 LEVELS = 3
 #: A document is rejected at this probability of grade 1 or more.
 REJECT_AT = 0.5
@@ -69,15 +71,15 @@ def _features(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.concatenate(found), np.concatenate(rows)
 
 
-def _feature_counts(batch: pa.RecordBatch, text: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Row, its distinct features in order, and their counts."""
+def _feature_counts(batch: pa.RecordBatch, text: int) -> Iterator[list[tuple[int, np.ndarray, np.ndarray]]]:
+    """For runs of rows: each row, its distinct features in order, and their counts."""
     data, bounds = text_bytes(batch.column(text))
-    for i, j in groups(bounds):
+    for i, j in groups(bounds, TEXT_BYTES):
         found, row = _features(data, bounds[i : j + 1])
         order = np.argsort(row, kind="stable")
         edge = np.searchsorted(row[order], np.arange(j - i + 1))
-        for r in range(j - i):
-            yield i + r, *np.unique(found[order[edge[r] : edge[r + 1]]], return_counts=True)
+        found = found[order]
+        yield [(i + r, *np.unique(found[edge[r] : edge[r + 1]], return_counts=True)) for r in range(j - i)]
 
 
 def _frequencies(rows: DataFrame) -> DataFrame:
@@ -86,12 +88,12 @@ def _frequencies(rows: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bad = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
-            sets = [(bad[r], w) for r, w, _ in _feature_counts(batch, 0)]
-            word, index = np.unique(np.concatenate([w for _, w in sets] or [np.zeros(0, np.uint64)]), return_inverse=True)
-            mark = np.repeat([b for b, _ in sets], [len(w) for _, w in sets]).astype(np.float64)
-            toxic = np.bincount(index, weights=mark, minlength=len(word)).astype(np.int64)
-            n = np.bincount(index, minlength=len(word))
-            yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(toxic), pa.array(n - toxic)], ["word", "toxic", "clean"])
+            for run in _feature_counts(batch, 0):
+                word, index = np.unique(np.concatenate([w for _, w, _ in run]), return_inverse=True)
+                mark = np.repeat([bad[r] for r, _, _ in run], [len(w) for _, w, _ in run]).astype(np.float64)
+                toxic = np.bincount(index, weights=mark, minlength=len(word)).astype(np.int64)
+                n = np.bincount(index, minlength=len(word))
+                yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(toxic), pa.array(n - toxic)], ["word", "toxic", "clean"])
 
     partial = rows.select("text", "bad").mapInArrow(count, "word long, toxic long, clean long")
     return partial.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
@@ -116,7 +118,7 @@ def _rows_of(rows: DataFrame, words: np.ndarray, marked: np.ndarray) -> DataFram
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out_i, out_c, amount = [], [], []
-            for _, w, c in _feature_counts(batch, 0):
+            for _, w, c in (row for run in _feature_counts(batch, 0) for row in run):
                 place = np.minimum(np.searchsorted(words, w), len(words) - 1)
                 ok = words[place] == w
                 out_i.append(place[ok].astype(np.int32)), out_c.append(c[ok].astype(np.int32))
@@ -208,7 +210,7 @@ def score(docs: DataFrame, model: OrdinalModel, text: str = "text", reject_at: f
             x = np.zeros(batch.num_rows)
             if len(model.words):
                 data, bounds = text_bytes(batch.column(batch.num_columns - 1))
-                for i, j in groups(bounds):
+                for i, j in groups(bounds, TEXT_BYTES):
                     found, row = _features(data, bounds[i : j + 1])
                     place = np.minimum(np.searchsorted(model.words, found), len(model.words) - 1)
                     hit = np.flatnonzero(model.words[place] == found)
