@@ -1,20 +1,23 @@
-"""Licence scan: a trained paragraph classifier names licence families, templates confirm them.
+"""Licence scan: a trained paragraph classifier names licence families, template comparison confirms them.
 
 Paragraphs end at lines of white space alone or with the row, so a notice wrapped over several lines is one paragraph.
-They are cut into blocks of ``BLOCK`` words, and every word of every text is looked at. A template is looked for in
-windows of a block and as many following blocks of its paragraph as its words, and half as many foreign ones between
-them, can reach into; each shortest run of words that holds at least ``CONFIRM`` of its word pairs is a candidate. Features are words and
-word pairs (letters and digits, A-Z lower-cased). The classifier is a softmax regression over the families and
-an unknown class. It is trained on variants of the templates (words dropped, ordinary text before and after) against
-windows drawn from at most ``SAMPLE_DOCS`` documents and some lines that only sound like licences; a temperature fitted
-on held-out variants calibrates the probabilities. A candidate, with ``CONTEXT`` words around it as in training, counts
-if its family's calibrated probability against the unknown class reaches ``ACCEPT``; so one paragraph can name several
-families. Of candidates in the same place the one with the larger share of its template is kept; another family's beside
-it only if it has pairs of its own there and is either whole or no near copy of the kept one's template.
+They are cut into blocks of ``BLOCK`` words; every two neighbouring blocks of a paragraph are a window, so every word of
+every text is seen twice. Features are the different words and word pairs of a window (letters and digits, A-Z lower-cased;
+a pair belongs to the block of its first word). The classifier is a softmax regression over the families and an unknown class, trained on
+variants of the templates (words dropped, cropped, ordinary text around), on paraphrases of their names, and on windows
+of at most ``SAMPLE_DOCS`` documents, lines that only sound like licences and denials ("not licensed under ..") as
+unknown; a temperature fitted on held-out texts calibrates the probabilities. A window whose most probable class is a
+family, at ``ACCEPT`` or more, proposes that family, and the others that are more probable there than unknown.
+
+What is proposed is compared with the templates of the family: a shortest run of words that holds at least ``CONFIRM``
+of the word pairs of one of them, and touches a window that proposes the family, is a confirmed notice (``licences``).
+Of runs in the same place the one with the larger share of its template is kept; another family's beside it only if it
+has pairs of its own there and is either whole or no near copy of the kept one's template. Windows that name a family at
+``SUSPECT`` or more where none of its notices is confirmed stay visible as ``suspected``, neighbours together.
 
 Families and templates are parameters; the default set quotes the opening or naming phrases of common public licences.
 
-Defined results: NULL and empty texts have no licence (empty list); repeated rows are scanned each; rows without id are
+Defined results: NULL and empty texts have no licence (empty lists); repeated rows are scanned each; rows without id are
 scanned; an empty table gives no rows; other columns are ignored.
 """
 
@@ -31,14 +34,14 @@ from pyspark.sql import functions as F
 from catalogspark.llm.words import codes, groups, mix64, placed_words, text_bytes
 
 BLOCK = 20
-#: Words before and after a candidate that the classifier sees.
-CONTEXT = 12
-ACCEPT = 0.5
+#: Least probability of a proposal and of one that is told without confirmation; least share of a template's word pairs.
+ACCEPT, SUSPECT = 0.5, 0.8
 CONFIRM = 0.8
 #: Documents and windows per document that ordinary training paragraphs are drawn from.
 SAMPLE_DOCS = 1_000
 SAMPLE_WINDOWS = 4
-VARIANTS = 40
+#: Variants of a template, and of a sentence around a name.
+VARIANTS, REPEATS = 40, 4
 
 # Naming and opening phrases of public licences.
 TEMPLATES: dict[str, list[str]] = {
@@ -82,6 +85,31 @@ ORDINARY = [
 ]
 
 
+# Names by which the families are called, as they are written in sentences and after "SPDX-License-Identifier:".
+NAMES: dict[str, tuple[list[str], list[str]]] = {
+    "MIT": (["MIT License", "MIT licence"], ["MIT"]),
+    "Apache-2.0": (["Apache License 2.0", "Apache licence, version 2.0", "Apache 2 license"], ["Apache-2.0"]),
+    "GPL-3.0": (["GNU GPL version 3", "GPLv3", "version 3 of the GNU GPL", "GNU General Public License version 3"], ["GPL-3.0-only", "GPL-3.0-or-later", "GPL-3.0"]),
+    "GPL-2.0": (["GNU GPL version 2", "GPLv2", "version 2 of the GNU GPL", "GNU General Public License version 2"], ["GPL-2.0-only", "GPL-2.0-or-later", "GPL-2.0"]),
+    "LGPL": (["GNU LGPL", "Lesser GPL", "GNU Lesser General Public License"], ["LGPL-2.1-only", "LGPL-3.0-or-later"]),
+    "AGPL-3.0": (["GNU AGPL", "Affero GPL", "GNU Affero General Public License"], ["AGPL-3.0-only", "AGPL-3.0-or-later"]),
+    "BSD": (["BSD license", "BSD 3-Clause License", "2-clause BSD licence"], ["BSD-3-Clause", "BSD-2-Clause"]),
+    "MPL-2.0": (["Mozilla Public License 2.0", "MPL version 2.0"], ["MPL-2.0"]),
+    "CC-BY": (["CC BY 4.0", "Creative Commons Attribution license"], ["CC-BY-4.0"]),
+    "CC-BY-SA": (["CC BY-SA 4.0", "Creative Commons Attribution-ShareAlike license"], ["CC-BY-SA-4.0"]),
+    "CC-BY-NC": (["CC BY-NC 4.0", "Creative Commons Attribution-NonCommercial license"], ["CC-BY-NC-4.0"]),
+    "CC0": (["CC0 1.0", "CC0 public domain dedication"], ["CC0-1.0"]),
+    "ISC": (["ISC License", "ISC licence"], ["ISC"]),
+    "Unlicense": (["Unlicense"], ["Unlicense"]),
+}
+#: Sentences around a name that grant, and that deny.
+GRANTS = ["The {} applies.", "Distributed under the {}.", "All code is available under the terms of the {}.", "You may use this under the {}, as published.", "This package uses the {}.",
+          "License: {}", "Everything here is licensed under {}.", "{} licensed.", "All code is {} licensed.", "under the terms of {}, as the foundation published it"]
+DENIALS = ["This is not licensed under the {}.", "This is not licensed under {}.", "It is not released under the {}.", "No longer under the {}.", "This work is not under the {}.", "This is not covered by the {}.", "The {} does not apply."]
+#: Words that count as features in pairs only.
+PAIRED = ["not", "no", "does"]
+
+
 @dataclass
 class LicenceModel:
     """Sorted feature codes with a row of weights each, a bias per class (unknown last), and template word pairs."""
@@ -107,17 +135,33 @@ def _words_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return word, np.searchsorted(bounds - bounds[0], at, side="right") - 1
 
 
-def _variants(templates: dict[str, list[str]], ordinary: list[str], rng: np.random.Generator) -> tuple[list[str], list[int]]:
+def _variants(templates: dict[str, list[str]], names: dict[str, tuple[list[str], list[str]]], ordinary: list[str], rng: np.random.Generator) -> tuple[list[str], list[int]]:
     texts, kinds = [], []
+
+    def add(words: list[str], kind: int, n: int) -> None:
+        around = ordinary[rng.integers(len(ordinary))].split() if ordinary else []
+        cut = int(rng.integers(0, len(around) + 1)) if n % 2 and around else 0
+        texts.append(" ".join(around[:cut][-12:] + words + (around[cut:][:12] if n % 4 == 1 else [])))
+        kinds.append(kind)
+
     for k, family in enumerate(templates):
         for template in templates[family]:
             words = template.split()
             for n in range(VARIANTS):
                 kept = [w for w in words if n < 4 or rng.random() > 0.06]
-                around = ordinary[rng.integers(len(ordinary))].split() if ordinary else []
-                cut = int(rng.integers(0, len(around) + 1)) if n % 2 and around else 0
-                texts.append(" ".join(around[:cut][-12:] + kept + (around[cut:][:12] if n % 4 == 1 else [])))
-                kinds.append(k)
+                if n % 5 == 4 and len(kept) > 10:  # the part that a window may hold
+                    half = len(kept) * 2 // 3
+                    kept = kept[:half] if n % 2 else kept[-half:]
+                add(kept, k, n)
+        spoken, written = names.get(family, ([], []))
+        for n in range(REPEATS):
+            for name in spoken:
+                for grant in GRANTS:
+                    add(grant.format(name).split(), k, n)
+            for name in written:
+                add(["SPDX-License-Identifier:", name], k, n)
+            for denied in [*spoken, *written]:
+                add(DENIALS[n % len(DENIALS)].format(denied).split(), len(templates), n)
     return texts, kinds
 
 
@@ -126,8 +170,10 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(1, keepdims=True)
 
 
-def train(ordinary: list[str], templates: dict[str, list[str]] | None = None, seed: int = 7, steps: int = 160, l2: float = 1e-4) -> LicenceModel:
-    """Fit classifier and temperature; ``ordinary`` are paragraphs without a licence."""
+def train(ordinary: list[str], templates: dict[str, list[str]] | None = None, seed: int = 7, steps: int = 200, l2: float = 1e-5,
+          names: dict[str, tuple[list[str], list[str]]] | None = None) -> LicenceModel:
+    """Fit classifier and temperature; ``ordinary`` are paragraphs without a licence. ``names`` are for own templates."""
+    names = (NAMES if templates is None else {}) if names is None else names
     templates = TEMPLATES if templates is None else templates
     rng = np.random.default_rng(seed)
     families = list(templates)
@@ -143,27 +189,28 @@ def train(ordinary: list[str], templates: dict[str, list[str]] | None = None, se
         own = _grams(word, line)
         if all(np.isin(t, own).mean() < 0.5 for _, t in pairs):
             plain.append(text)
-    texts, kinds = _variants(templates, plain, rng)
-    extra = ORDINARY * (VARIANTS // 4)
+    texts, kinds = _variants(templates, names, plain, rng)
+    extra = [*ORDINARY * (VARIANTS // 4), ""]
     texts, kinds = [*texts, *plain, *extra], np.array(kinds + [len(families)] * (len(plain) + len(extra)))
     word, line = _words_of(texts)
     gram = _grams(word, line)
-    known = np.unique(np.concatenate([np.concatenate([w, _grams(w, n)]) for w, n in [_words_of([t for v in templates.values() for t in v] + ORDINARY)]]))
-    known = known[known > 0]
+    called = [text.format(name) for spoken, written in names.values() for name in [*spoken, *written] for text in [*GRANTS, *DENIALS, "SPDX-License-Identifier: {}"]]
+    known = np.unique(np.concatenate([np.concatenate([w, _grams(w, n)]) for w, n in [_words_of([t for v in templates.values() for t in v] + ORDINARY + called)]]))
+    known = np.setdiff1d(known[known > 0], _words_of(PAIRED)[0])
     value = np.concatenate([word, gram])
     row = np.concatenate([line, line])
     place = np.minimum(np.searchsorted(known, value), len(known) - 1)
     hit = known[place] == value
     row, col = row[hit], place[hit]
     n_class = len(families) + 1
-    w, b = np.zeros((len(known), n_class)), np.zeros(n_class)
+    w, b = np.zeros((len(known), n_class), np.float32), np.zeros(n_class, np.float32)
     held = rng.random(len(texts)) < 0.2
-    target = np.eye(n_class)[kinds]
+    target = np.eye(n_class, dtype=np.float32)[kinds]
     m = [np.zeros_like(w), np.zeros_like(b)]
     v = [np.zeros_like(w), np.zeros_like(b)]
 
     x = np.zeros((len(texts), len(known)), np.float32)
-    np.add.at(x, (row, col), 1)
+    x[row, col] = 1
     x_fit, fit_target = x[~held], target[~held]
 
     for t in range(1, steps + 1):
@@ -264,26 +311,52 @@ def _candidates(model: LicenceModel, gram: np.ndarray, line: np.ndarray) -> list
     return [(t, i, j, share) for (t, i, j), share in found.items()]
 
 
-def scan_batch(model: LicenceModel, data: np.ndarray, bounds: np.ndarray) -> list[tuple[int, int, float, float, int, int]]:
-    """Confirmed licences of consecutive rows: row, family, probability, share of the template, start, end (bytes of the row)."""
+def window_probabilities(model: LicenceModel, word: np.ndarray, gram: np.ndarray, block: np.ndarray, block_line: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First blocks of the windows that hold a feature, in order, and their calibrated class probabilities. The other windows have the bias alone."""
+    at, feature = [], []
+    for value in (word, gram):
+        place = np.minimum(np.searchsorted(model.features, value), len(model.features) - 1)
+        hit = np.flatnonzero(model.features[place] == value)
+        at.append(hit), feature.append(place[hit])
+    own, feature = block[np.concatenate(at)], np.concatenate(feature)
+    before = (own > 0) & (block_line[np.maximum(own - 1, 0)] == block_line[own])
+    window, feature = np.concatenate([own, own[before] - 1]), np.concatenate([feature, feature[before]])
+    both = np.unique(window * len(model.features) + feature)  # a feature counts once a window
+    window, feature = both // max(1, len(model.features)), both % max(1, len(model.features))
+    first = np.flatnonzero(np.append(True, window[1:] != window[:-1])) if len(window) else np.zeros(0, np.int64)
+    z = np.zeros((len(first), len(model.bias)))
+    edge = np.append(first, len(window))
+    for i in range(0, len(first), 20_000):  # rows of weights are looked up for some windows at a time
+        part = feature[edge[i] : edge[min(i + 20_000, len(first))]]
+        z[i : i + 20_000] = np.add.reduceat(model.weights[part], first[i : i + 20_000] - edge[i])
+    return window[first], _softmax((z + model.bias) / model.temperature)
+
+
+def find_batch(model: LicenceModel, data: np.ndarray, bounds: np.ndarray) -> tuple[list[tuple], list[tuple]]:
+    """Confirmed notices of consecutive rows (row, family, probability, share of the template, start, end: bytes of the
+    row), and suspected ones (the same without the share)."""
     word, at, end = placed_words(data, bounds, codes().mark)
-    if not len(word):
-        return []
+    if not len(word) or not len(model.features):
+        return [], []
     starts = np.asarray(bounds[:-1]) - int(bounds[0])
     row = np.searchsorted(starts, at, side="right") - 1
     line = _paragraphs(data[int(bounds[0]) : int(bounds[-1])], at, row)
     gram = _grams(word, line)
+    first = np.append(True, line[1:] != line[:-1])
+    block_first = first | ((np.arange(len(line)) - np.flatnonzero(first)[np.cumsum(first) - 1]) % BLOCK == 0)
+    block, block_at = np.cumsum(block_first) - 1, np.flatnonzero(block_first)
+    block_line = line[block_first]
+    window, p = window_probabilities(model, word, gram, block, block_line)
+    unknown, best = p[:, -1], p.argmax(1)
+    named = (best < p.shape[1] - 1) & (p.max(1) >= ACCEPT)
+    proposed = np.where(named[:, None] & (p > unknown[:, None]), p, 0.0)[:, :-1]
     sure = []
-    for t, i, j, share in _candidates(model, gram, line):
-        a, e = np.searchsorted(line, line[i]), np.searchsorted(line, line[i], side="right")
-        a, e = max(a, i - CONTEXT), min(e, j + 2 + CONTEXT)
-        value = np.concatenate([word[a:e], gram[a : e - 1]])
-        place = np.minimum(np.searchsorted(model.features, value), len(model.features) - 1)
-        z = (model.weights[place[model.features[place] == value]].sum(0) + model.bias) / model.temperature
-        family = model.templates[t][0]
-        p = float(1 / (1 + np.exp(min(700.0, z[-1] - z[family]))))
-        if p >= ACCEPT:
-            sure.append((share, p, t, i, j))
+    for t, i, j, share in _candidates(model, gram, line) if named.any() else ():
+        a, e = np.searchsorted(window, [block[i] - 1, block[min(j + 1, len(block) - 1)] + 1])
+        near = np.arange(a, e)[block_line[window[a:e]] == line[i]]
+        probability = proposed[near, model.templates[t][0]].max(initial=0.0)
+        if probability > 0:
+            sure.append((share, float(probability), t, i, j))
     kept: list[tuple[float, float, int, int, int]] = []
     width = max((j - i + 1 for *_, i, j in sure), default=1)
     beside: dict[int, list[tuple[float, float, int, int, int]]] = {}  # kept ones by stretch of ``width`` words
@@ -294,10 +367,30 @@ def scan_batch(model: LicenceModel, data: np.ndarray, bounds: np.ndarray) -> lis
             kept.append(f)
             for s in stretches:
                 beside.setdefault(s, []).append(f)
-    return [
-        (r := int(row[i]), model.templates[t][0], p, share, int(at[i] - starts[r]), int(end[j + 1] - starts[r]))
-        for share, p, t, i, j in sorted(kept, key=lambda f: f[3:])
+    confirmed = [
+        (r := int(row[i]), model.templates[t][0], probability, share, int(at[i] - starts[r]), int(end[j + 1] - starts[r]))
+        for share, probability, t, i, j in sorted(kept, key=lambda f: f[3:])
     ]
+    told = {(model.templates[t][0], b) for _, _, t, i, j in kept for b in range(int(block[i]) - 1, int(block[j + 1]) + 1)}
+    suspected: list[list] = []
+    block_end = np.append(block_at[1:], len(word)) - 1
+    for n in np.flatnonzero(named & (p.max(1) >= SUSPECT)).tolist():
+        w, family = int(window[n]), int(best[n])
+        if (family, w) in told:
+            continue
+        last = w + 1 if w + 1 < len(block_line) and block_line[w + 1] == block_line[w] else w
+        r = int(row[block_at[w]])
+        if suspected and suspected[-1][1] == family and suspected[-1][5] >= w and suspected[-1][6] == block_line[w]:
+            suspected[-1][2] = max(suspected[-1][2], float(p[n, family]))
+            suspected[-1][4], suspected[-1][5] = int(end[block_end[last]] - starts[r]), last
+        else:
+            suspected.append([r, family, float(p[n, family]), int(at[block_at[w]] - starts[r]), int(end[block_end[last]] - starts[r]), last, block_line[w]])
+    return confirmed, [tuple(x[:5]) for x in suspected]
+
+
+def scan_batch(model: LicenceModel, data: np.ndarray, bounds: np.ndarray) -> list[tuple[int, int, float, float, int, int]]:
+    """The confirmed notices of consecutive rows."""
+    return find_batch(model, data, bounds)[0]
 
 
 def _apart(model: LicenceModel, gram: np.ndarray, new: tuple[float, float, int, int, int], old: tuple[float, float, int, int, int]) -> bool:
@@ -314,21 +407,29 @@ def _apart(model: LicenceModel, gram: np.ndarray, new: tuple[float, float, int,
 
 
 def scan(docs: DataFrame, model: LicenceModel, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, licences``: per row the confirmed notices with family, probability, template share and byte span."""
+    """``doc_id, licences, suspected``: per row the confirmed notices with family, probability, template share and byte
+    span, and what the classifier names without a template that confirms it."""
     frame = docs.select(docs[doc_id].alias("doc_id"), docs[text].cast("string").alias("text"))
     kind = frame.schema["doc_id"].dataType.simpleString()
-    item = pa.struct([("family", pa.string()), ("probability", pa.float64()), ("template_share", pa.float64()), ("start", pa.int64()), ("end", pa.int64())])
+    place = [("start", pa.int64()), ("end", pa.int64())]
+    sure = pa.struct([("family", pa.string()), ("probability", pa.float64()), ("template_share", pa.float64()), *place])
+    open_ = pa.struct([("family", pa.string()), ("probability", pa.float64()), *place])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list[dict]] = [[] for _ in range(batch.num_rows)]
+            maybe: list[list[dict]] = [[] for _ in range(batch.num_rows)]
             data, bounds = text_bytes(batch.column(1))
             for i, j in groups(bounds):
-                for r, k, p, share, a, e in scan_batch(model, data, bounds[i : j + 1]):
+                confirmed, suspected = find_batch(model, data, bounds[i : j + 1])
+                for r, k, p, share, a, e in confirmed:
                     out[i + r].append({"family": model.families[k], "probability": p, "template_share": share, "start": a, "end": e})
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(item))], ["doc_id", "licences"])
+                for r, k, p, a, e in suspected:
+                    maybe[i + r].append({"family": model.families[k], "probability": p, "start": a, "end": e})
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(sure)), pa.array(maybe, pa.list_(open_))], ["doc_id", "licences", "suspected"])
 
-    return frame.mapInArrow(run, f"doc_id {kind}, licences array<struct<family:string,probability:double,template_share:double,start:bigint,end:bigint>>")
+    span = "start:bigint,end:bigint"
+    return frame.mapInArrow(run, f"doc_id {kind}, licences array<struct<family:string,probability:double,template_share:double,{span}>>, suspected array<struct<family:string,probability:double,{span}>>")
 
 
 def scan_licences(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", templates: dict[str, list[str]] | None = None) -> DataFrame:

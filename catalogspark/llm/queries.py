@@ -118,7 +118,8 @@ def op9_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licence_scan.scan_licences(table(spark, sf_dir, "documents"))
     families = F.array_join(F.array_sort(F.array_distinct(F.col("licences.family"))), ",")
     return found.select("doc_id", F.size("licences").alias("n_notices"), families.alias("families"), F.array_max(F.col("licences.probability")).alias("probability"),
-                        F.array_max(F.col("licences.template_share")).alias("template_share"), F.col("licences"))
+                        F.array_max(F.col("licences.template_share")).alias("template_share"), F.col("licences"),
+                        F.array_join(F.array_sort(F.array_distinct(F.col("suspected.family"))), ",").alias("suspected_families"), F.col("suspected"))
 
 
 @query()

@@ -260,3 +260,86 @@ def test_toxicity_scores_by_plain_python(spark):
     caught = [i for i, g in grade.items() if g and told.get(i, 0) >= 0.5]
     assert len(caught) >= 6 and not [i for i, g in grade.items() if g == 0 and told.get(i, 0) >= 0.5]
     assert told[-1] > 0.5 > told[-2]
+
+
+def _plain_paragraphs(n, words=40):
+    rng = np.random.default_rng(3)
+    return [" ".join(rng.choice("the of work was made in an old house by people who read public books version one and mit not two license".split(), words)) for _ in range(n)]
+
+
+def test_the_classifier_decides():
+    """Paraphrases and short identifiers are classed, denials are not, and without the classifier nothing is found."""
+    import dataclasses
+
+    model = licence_scan.train(_plain_paragraphs(300))
+    cases = {
+        "under the terms of version 3 of the GNU GPL, as the Free Software Foundation published it": {"GPL-3.0"}, "The Apache licence, version 2.0, applies": {"Apache-2.0"},
+        "All code is MIT licensed.": {"MIT"}, "SPDX-License-Identifier: GPL-3.0-only": {"GPL-3.0"}, "SPDX-License-Identifier: ISC": {"ISC"}, "SPDX-License-Identifier: BSD-3-Clause": {"BSD"},
+        "SPDX-License-Identifier: MPL-2.0": {"MPL-2.0"}, "Licensed under the MIT License.": {"MIT"}, "This is not licensed under the MIT License": set(), "It is no longer under the Apache License 2.0.": set(),
+        "mit der Hand": set(), "of of of of of of of of of of of of of of of of of of": set(),
+    }
+    rows = [t.encode() for t in cases]
+    data, bounds = np.frombuffer(b"".join(rows), np.uint8), np.cumsum([0, *map(len, rows)])
+
+    def families(model):
+        confirmed, suspected = licence_scan.find_batch(model, data, bounds)
+        got = [set() for _ in rows]
+        for r, k, *_ in [*confirmed, *suspected]:
+            got[r].add(model.families[k])
+        return got, len(confirmed)
+
+    assert families(model) == (list(cases.values()), 1)
+    off = dataclasses.replace(model, weights=np.zeros_like(model.weights))
+    assert families(off) == ([set()] * len(rows), 0)
+    swapped = dataclasses.replace(model, weights=np.roll(model.weights, 1, axis=1), bias=np.roll(model.bias, 1))
+    assert families(swapped)[0] != families(model)[0]
+
+
+def test_window_probabilities_by_a_dense_softmax():
+    """Every window of a small corpus: words and pairs by dictionaries, one softmax over all features."""
+    import re
+
+    from catalogspark.llm.words import codes, placed_words
+
+    model = licence_scan.train(_plain_paragraphs(200))
+    rng = random.Random(5)
+    templates = [t for v in licence_scan.TEMPLATES.values() for t in v]
+    texts = ["\n".join(rng.choice([rng.choice(templates), p, "", " \t "]) for p in _plain_paragraphs(6, rng.randint(1, 70))) for _ in range(40)] + ["", " ", "one"]
+    rows = [t.encode() for t in texts]
+    data, bounds = np.frombuffer(b"".join(rows), np.uint8), np.cumsum([0, *map(len, rows)])
+    word, at, _ = placed_words(data, bounds, codes().mark)
+    row = np.searchsorted(bounds[:-1], at, side="right") - 1
+    line = licence_scan._paragraphs(data, at, row)
+    gram = licence_scan._grams(word, line)
+    paragraphs = [re.findall(r"[0-9a-z]+", p.lower()) for t in texts for p in re.split(r"\n[ \t]*(?=\n)", t)]
+    paragraphs = [p for p in paragraphs if p]
+    code = lambda text: licence_scan._words_of([text])
+    place = {int(c): i for i, c in enumerate(model.features)}
+
+    def features(words, after):
+        out = {place.get(int(code(w)[0][0])) for w in words}
+        for a, b in zip(words, [*words[1:], *after]):
+            w, n = code(f"{a} {b}")
+            out.add(place.get(int(licence_scan._grams(w, n)[0])))
+        return out - {None}
+
+    want = []
+    for p in paragraphs:
+        blocks = range(0, len(p), licence_scan.BLOCK)
+        for i in blocks:
+            end = min(len(p), i + 2 * licence_scan.BLOCK)
+            x = np.zeros(len(model.features))
+            x[list(features(p[i:end], p[end : end + 1]))] = 1
+            want.append(x @ model.weights + model.bias)
+    z = np.array(want) / model.temperature
+    dense = np.exp(z - z.max(1, keepdims=True))
+    dense /= dense.sum(1, keepdims=True)
+    first = np.append(True, line[1:] != line[:-1])
+    inside = np.arange(len(line)) - np.flatnonzero(first)[np.cumsum(first) - 1]
+    starts = first | (inside % licence_scan.BLOCK == 0)
+    block, block_line = np.cumsum(starts) - 1, line[starts]
+    assert len(block_line) == len(dense)
+    window, p = licence_scan.window_probabilities(model, word, gram, block, block_line)
+    assert np.abs(p - dense[window]).max() < 1e-5
+    others = np.setdiff1d(np.arange(len(dense)), window)
+    assert (dense[others].argmax(1) == len(model.families)).all()  # windows without a feature are unknown
