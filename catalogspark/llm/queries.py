@@ -74,7 +74,7 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op5_label_propagation_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = label_shards.shard(table(spark, sf_dir, "documents"))
-    return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "group_size")
+    return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "group_size", "cut_before", "cut_after")
 
 
 @query()

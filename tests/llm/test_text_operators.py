@@ -221,6 +221,24 @@ def test_shards_spread_a_group_larger_than_a_shard(spark):
     assert sum(len(v) for v in homes.values()) <= 1.3 * len(homes)
 
 
+@pytest.mark.parametrize(("groups", "copies"), [(8, 8), (16, 4), (40, 7), (3, 30), (1, 100)])
+def test_shards_of_copies_alone(spark, groups, copies):
+    """Tables without a document that has no equal: groups still come together, and the cut never grows."""
+    frame = spark.range(groups * copies).select(F.col("id").alias("doc_id"), F.concat(F.lit("t"), F.col("id") % groups).alias("text"))
+    got = label_shards.shard(frame).collect()
+    per = Counter(r["shard"] for r in got)
+    assert max(per.values()) - min(per.get(s, 0) for s in range(8)) <= 1 and sum(per.values()) == groups * copies
+    members = defaultdict(Counter)
+    for r in got:
+        members[r["text_crc32"]][r["shard"]] += 1
+    cut = sum(sum(c.values()) - max(c.values()) for c in members.values())
+    assert {r["cut_after"] for r in got} == {cut} and all(r["cut_after"] <= r["cut_before"] for r in got)
+    if groups % 8 == 0 and copies <= 8:  # a perfect cut exists
+        assert cut == 0
+    torn = [c for c in members.values() if len(c) > -(-copies // (groups * copies // 8))]
+    assert len(torn) <= 8
+
+
 def brute_katz(train, texts, order):
     """Scores by the definition, on dictionaries."""
     k = katz_lm.KATZ_K
