@@ -7,7 +7,7 @@ import importlib
 from catalogspark.plans.registry import ORACLES, QUERIES
 
 MODULES: list[str] = [
-    "reconcile", "texts", "rulebook", "assembly", "pricing", "catalog", "audits", "files", "streams", "flows",
+    "reconcile", "texts", "rulebook", "assembly", "pricing", "catalog", "audits", "files", "streams", "flows", "compare",
 ]
 
 
