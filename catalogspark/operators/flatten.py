@@ -46,14 +46,32 @@ def too_many_paths(paths: DataFrame, key: str, limit: int = 128) -> DataFrame:
     return paths.groupBy(key).agg(F.count(F.lit(1)).alias("paths")).where(F.col("paths") > limit)
 
 
+#: Up to this depth the levels are one lazy chain; deeper ones are pinned level by level.
+LAZY_DEPTH = 6
+
+
+def json_depth(json: Column) -> Column:
+    """How deep objects and arrays are nested in a JSON text; brackets inside strings do not count."""
+    brackets = F.regexp_replace(F.regexp_replace(json, r'"(?:[^"\\]++|\\.)*+"', ""), r"[^\[\]{}]", "")
+    start = F.struct(F.lit(0).alias("d"), F.lit(0).alias("m"))
+
+    def step(a: Column, c: Column) -> Column:
+        d = a["d"] + F.when(c.isin("{", "["), 1).when(c == "", 0).otherwise(-1)
+        return F.struct(d.alias("d"), F.greatest(a["m"], d).alias("m"))
+
+    return F.reduce(F.split(brackets, ""), start, step, lambda a: a["m"])
+
+
 def open_paths(df: DataFrame, key: str, json: str) -> DataFrame:
     """Open JSON text as rows (path, value), however deep: one ``variant_explode`` per level until no nested value is left.
 
-    Every level is pinned, so that the work grows with the number of levels, not with its square.
+    One aggregate finds the depth. Usual depths are one lazy chain over the texts; of deeper ones every level is pinned,
+    so that the work grows with the number of levels, not with its square.
     """
     level = df.select(F.col(key).alias("_id"), F.lit("$").alias("path"), F.try_parse_json(F.col(json)).alias("v")).where("v is not null")
+    depth = max(1, df.agg(F.max(json_depth(F.col(json))).alias("d")).first()["d"] or 1)
     out = None
-    while True:
+    for n in range(depth):
         exploded = level.lateralJoin(df.sparkSession.tvf.variant_explode(F.col("v").outer())).select(
             "_id", "path", "pos", "key", "value")
         step = F.when(F.col("key").isNotNull(), F.concat(F.lit("."), F.col("key"))).otherwise(F.concat(F.lit("["), F.col("pos").cast("string"), F.lit("]")))
@@ -61,7 +79,7 @@ def open_paths(df: DataFrame, key: str, json: str) -> DataFrame:
         nested = F.schema_of_variant("v").rlike("^(OBJECT|ARRAY)")
         leaves = rows.where(~nested).select(F.col("_id").alias(key), "path", F.expr("try_variant_get(v, '$', 'string')").alias("value"))
         out = leaves if out is None else out.unionByName(leaves)
-        level = pinned(rows.where(nested).select("_id", "path", F.to_json("v").alias("v")))
-        if level.isEmpty():
-            return out
-        level = level.select("_id", "path", F.parse_json("v").alias("v"))
+        level = rows.where(nested)
+        if depth > LAZY_DEPTH:
+            level = pinned(level.select("_id", "path", F.to_json("v").alias("v"))).select("_id", "path", F.parse_json("v").alias("v"))
+    return out

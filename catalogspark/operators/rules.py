@@ -51,9 +51,12 @@ def rules_from_table(df: DataFrame, max_rules: int) -> list[Rule]:
     return [Rule(code, tuple(p), requires) for code, (requires, p) in book.items()]
 
 
-def ascii_words(text: Column) -> Column:
-    """Distinct ASCII words of a text, case kept."""
-    return F.array_distinct(F.split(text, "[^A-Za-z0-9_]+"))
+def book_words(text: Column, book: Sequence[Rule]) -> Column:
+    """The different words of the book that occur in a text: few, however long the text; case kept."""
+    words = sorted({w for rule in book for w in rule.words})
+    if not words:
+        return F.array().cast("array<string>")
+    return F.array_intersect(F.split(text, "[^A-Za-z0-9_]+"), F.array(*[F.lit(w) for w in words]))
 
 
 def _hit(text: Column, words: Column, rule: Rule) -> Column:
@@ -70,7 +73,7 @@ def labels(text: Column | str, book: Sequence[Rule]) -> Column:
         gate = lambda r: hits[at[r.code]] & hits[at[r.requires]] if r.requires else hits[at[r.code]]
         return F.array_distinct(F.array_compact(F.array(*[F.when(gate(r), r.code) for r in book])))
 
-    return bind(ascii_words(text), lambda w: bind(F.array(*[_hit(text, w, r) for r in book]), applied))
+    return bind(book_words(text, book), lambda w: bind(F.array(*[_hit(text, w, r) for r in book]), applied))
 
 
 def strip_contrast(text: Column | str, phrases: Sequence[str]) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -164,9 +165,10 @@ def promote_run(spark: SparkSession, root: str, run: str, sequence: int, rows: D
 
 
 def write_console_artifact(parts: Mapping[str, DataFrame], root: str) -> DataFrame:
-    """Every part as its own data set, read back and counted: (part, rows, set_sha256) of what is stored."""
+    """Every part as its own data set, written side by side, read back and counted: (part, rows, set_sha256) of what is stored."""
     spark = next(iter(parts.values())).sparkSession
-    for name, df in parts.items():
-        df.write.mode("errorifexists").parquet(f"{root}/{name}")
+    with ThreadPoolExecutor(len(parts)) as pool:  # the parts do not depend on each other
+        for done in [pool.submit(df.write.mode("errorifexists").parquet, f"{root}/{name}") for name, df in parts.items()]:
+            done.result()
     stored = {name: spark.read.schema(df.schema).parquet(f"{root}/{name}") for name, df in parts.items()}
     return bundle_identity(stored)
