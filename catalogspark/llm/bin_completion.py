@@ -5,6 +5,10 @@ may be shorter. Lengths are whole numbers up to the capacity, so the packing pro
 ``capacity`` entries: the search for fillings runs on that bounded table, and Spark places the documents: it numbers
 the pieces of each length and looks up, by length and number, the sequence and offset the plan gives.
 
+First incumbents are the best-fit-decreasing packing and a dive that takes the first choice throughout. Dives with one
+other decision, early ones first (another filling, or a smaller share of its greatest possible number), follow in limited
+discrepancy order; a better one becomes the base of the next, up to ``max_dive_nodes`` nodes.
+
 The search is branch and bound. A node takes the largest length left and enumerates fillings of the rest of its bin, of
 any number of pieces, the least waste first, from a table of the sums that the lengths left can reach. Fillings that
 another one with larger items dominates are left out: those where an unused length fits in place of some of the items
@@ -42,6 +46,9 @@ MAX_NODES = 6_000
 FIRST = 48
 #: Largest lengths that a greedy filling starts from.
 STARTS = 3
+#: Nodes of the dives with one other decision, and what is tried there: fillings, and shares of their greatest number.
+MAX_DIVE_NODES = 1_500
+OTHERS, PARTS = 3, (1.0, 0.75, 0.5, 0.3, 0.15, 0.05)
 #: Entries of the stack that keep their enumeration; earlier ones start it again when the search comes back.
 LIVE = 32
 
@@ -62,7 +69,16 @@ def lower_bound(counts: np.ndarray, capacity: int) -> int:
     mid_sum = total[capacity - k + 1] - total[half + 1]
     low_sum = total[half + 1] - total[k]
     over = np.maximum(0, -(-(low_sum - (mid_n * capacity - mid_sum)) // capacity))
-    return int((above + mid_n + over).max()) if len(k) else 0
+    by_waste = int((above + mid_n + over).max()) if len(k) else 0
+    return max(by_waste, *(_rounded_bound(counts, capacity, sizes, k) for k in range(2, 9)))
+
+
+def _rounded_bound(counts: np.ndarray, capacity: int, sizes: np.ndarray, k: int) -> int:
+    """Bins by a dual-feasible function: a length counts as its whole (k+1)-ths of a bin over k, or as it is if they are whole."""
+    whole, rest = np.divmod((k + 1) * sizes, capacity)
+    plain = int((counts * sizes)[rest == 0].sum())
+    rounded = int((counts * whole)[rest > 0].sum())
+    return -(-(plain * k + rounded * capacity) // (capacity * k))
 
 
 def fillings(counts: np.ndarray, room: int, greedy: bool = False) -> Iterator[tuple[int, ...] | None]:
@@ -165,20 +181,105 @@ def _dominated(fill: tuple[int, ...], number: dict[int, int], room: int) -> bool
     return bool(unused & (spread(several, waste) | (spread(single << 1, waste - 1) if waste else 0)))
 
 
-def plan_bins(histogram: dict[int, int], capacity: int = CAPACITY, max_nodes: int = MAX_NODES) -> Plan:
+def plan_bins(histogram: dict[int, int], capacity: int = CAPACITY, max_nodes: int = MAX_NODES, max_dive_nodes: int = MAX_DIVE_NODES) -> Plan:
     """Bins as ``(lengths, how often)`` for all items of the histogram (length to number, lengths 1..capacity)."""
     counts = np.zeros(capacity + 1, np.int64)
     for length, n in histogram.items():
         counts[length] += n
     least = lower_bound(counts, capacity)
-    best: tuple[int, Plan] | None = None
+    best: tuple[int, Plan] | None = _best_fit(counts, capacity)
+    best = _dives(counts, capacity, least, best, max_dive_nodes)
     for share, greedy in product(SHARES, (False, True)):
         best, whole = _search(counts, capacity, least, share, greedy, max_nodes, best)
-        if whole:
+        if whole or best[0] <= least:
             break
     return best[1]
 
 
+def _best_fit(counts: np.ndarray, capacity: int) -> tuple[int, Plan]:
+    """Best fit decreasing over the histogram: equal bins are filled together."""
+    by_room: dict[int, dict[tuple[int, ...], int]] = {}
+
+    def put(fill: tuple[int, ...], n: int) -> None:
+        place = by_room.setdefault(capacity - sum(fill), {})
+        place[fill] = place.get(fill, 0) + n
+
+    for x in np.flatnonzero(counts)[::-1].tolist():
+        left = int(counts[x])
+        while left:
+            rooms = [r for r in by_room if r >= x and by_room[r]]
+            if not rooms:
+                each = capacity // x
+                if left >= each:
+                    put((x,) * each, left // each)
+                if left % each:
+                    put((x,) * (left % each), 1)
+                break
+            fill, n = by_room[min(rooms)].popitem()
+            each = min(sum([capacity, *[-y for y in fill]]) // x, left)
+            used = min(n, left // each)
+            if used < n:
+                put(fill, n - used)
+            put(fill + (x,) * each, used)
+            left -= each * used
+    plan = [(fill, n) for place in by_room.values() for fill, n in place.items()]
+    return sum(n for _, n in plan), plan
+
+
+def _dives(counts: np.ndarray, capacity: int, least: int, best: tuple[int, Plan], max_nodes: int) -> tuple[int, Plan]:
+    """Dives from the whole histogram with one decision other than in the base, the first decisions first."""
+    nodes = 0
+
+    def dive(base: list[tuple[int, float]]) -> tuple[int, Plan]:
+        nonlocal nodes
+        state, plan, bins = counts.copy(), [], 0
+        while state.any():
+            nodes += 1
+            which, share = base[len(plan)] if len(plan) < len(base) else (0, 1.0)
+            top = int(np.flatnonzero(state)[-1])
+            state[top] -= 1
+            some = [f for f in islice(fillings(state, capacity - top, True), 4 * (which + 1)) if f is not None]
+            state[top] += 1
+            items = (top, *(some[min(which, len(some) - 1)] if some else _greedy_fill(state, top, capacity)))
+            most = min(int(state[x]) // items.count(x) for x in set(items))
+            often = max(1, int(most * share))
+            for x in items:
+                state[x] -= often
+            plan.append((items, often))
+            bins += often
+            if bins + lower_bound(state, capacity) >= best[0]:
+                return best[0] + 1, plan
+        return bins, plan
+
+    base: list[tuple[int, float]] = []
+    got = dive(base)
+    depth = len(got[1])
+    best = min(best, got, key=lambda b: b[0])
+    better = True
+    while better and best[0] > least and nodes < max_nodes:
+        better = False
+        for at, which, share in product(range(min(depth, 12)), range(OTHERS), PARTS):
+            if best[0] <= least or nodes >= max_nodes:
+                break
+            tried = [*base[:at], *[(0, 1.0)] * (at - len(base)), (which, share), *base[at + 1 :]]
+            if tried == base:
+                continue
+            got = dive(tried)
+            if got[0] < best[0]:
+                best, base, depth, better = got, tried, len(got[1]), True
+    return best
+
+
+def _greedy_fill(state: np.ndarray, top: int, capacity: int) -> tuple[int, ...]:
+    """The largest item that fits, again and again, beside ``top``."""
+    out, room = [], capacity - top
+    for x in np.flatnonzero(state[: room + 1])[::-1].tolist():
+        n = min(int(state[x]) - (x == top), room // x)
+        out += [x] * n
+        room -= n * x
+    return tuple(out)
+
+
 def _options(state: np.ndarray, capacity: int, share: float, greedy: bool) -> Iterator[tuple[tuple[int, ...], int] | None]:
     """Bins around the largest length left, and how often each is used at once; None for each dominated one."""
     top = int(np.flatnonzero(state)[-1])
