@@ -46,6 +46,10 @@ def titles(spark, sf):
         X.humanize(F.translate("p_name", " ", "-")).alias("human"), X.kebab(camel).alias("kebab"))
 
 
+#: A colon always ends the name; a dash parts where one side looks like a name.
+DIVIDERS = [X.Divider("：", lead=9), X.Divider(" — ", needs=2)]
+
+
 @query("F6", """select p_partkey,
  case when p_type = 'ECONOMY' then p_name when p_type = 'PROMO' then p_name when p_type = 'STANDARD' then p_name
       when p_type = 'SMALL' then upper(replace(p_name,' ','-')) else p_name end as display,
@@ -63,7 +67,7 @@ def name_decomposition(spark, sf):
         .otherwise(name)
     )
     shown = F.when(kind == "PROMO", F.concat(name, F.lit("："), F.col("p_brand"))).otherwise(shown)
-    return table(spark, sf, "part").select("p_partkey", X.decompose_name(shown).alias("n")).select("p_partkey", "n.*")
+    return table(spark, sf, "part").select("p_partkey", X.decompose_name(shown, DIVIDERS).alias("n")).select("p_partkey", "n.*")
 
 
 @query("F7", """select p_partkey, case when p_size > 40 then '红茶 (' || p_name when p_size = 40 then '红茶' else p_name end as name,

@@ -22,9 +22,14 @@ def one(spark, column, value):
     ("a classic——Oak", "Oak", None, None, True),
     ("A-1 — the classic", "A-1", None, None, True),
     ("the classic — Oak", "the classic — Oak", None, None, False),
+    ("the classic — oak (老橡)", "oak", "老橡", None, True),
+    ("Oak (one) wood (老橡, 木) end", "Oak (one) wood", "老橡 · 木", None, True),
+    ("Oak (老橡", "Oak (老橡", None, None, False),
+    ("老橡 (12)", "老橡 (12)", None, None, False),
 ])
 def test_decompose_name(spark, value, display, native, spoken, editorial):
-    n = one(spark, X.decompose_name, value)
+    dividers = [X.Divider("：", lead=9), X.Divider("——", needs=1, lead=-1), X.Divider(" — ", needs=2)]
+    n = one(spark, lambda c: X.decompose_name(c, dividers), value)
     assert (n.display, n.native, n.transcription, n.editorial is not None) == (display, native, spoken, editorial)
 
 
