@@ -134,7 +134,8 @@ def top_products(vectors: DataFrame, is_query: Column, vec_id: str = "vec_id", e
     mine = ["block", "band", "is_query", "vec_id", "key", "v", "floor"]
 
     def search(asked: DataFrame, numbers: Column) -> DataFrame:
-        given = bands.where(numbers).select("*", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
+        # a band goes to the blocks that ask for it, at most blocks * bands pairs
+        given = bands.where(numbers).join(asked.select("block", "band").distinct(), "band")
         given = given.select("block", "band", F.lit(False).alias("is_query"), "vec_id", F.lit(0).cast("long").alias("key"), "v", F.lit(None).cast("double").alias("floor"))
         return asked.select(*mine).unionByName(given.select(*mine)).groupBy("block", "band").applyInPandas(run, schema)
 
