@@ -10,6 +10,7 @@ from catalogspark.plans.registry import query
 from catalogspark.scale import work_dir
 from catalogspark.sinks import bucket_tree as B
 from catalogspark.sinks import maintained as M
+from catalogspark.sources import paged as P
 
 
 def _orders(spark, sf):
@@ -74,3 +75,22 @@ def snapshots_apart_by_tree(spark, sf):
     B.write_tree(_orders(spark, sf), old, "o_orderkey")
     B.write_tree(_changed(spark, sf), new, "o_orderkey")
     return B.compare_trees(spark, old, new, columns).rows
+
+
+@query("S11 A16", "select event_type, count(*) as n, max(event_id) as last_id, true as refused_first from events group by 1")
+def paged_snapshot(spark, sf):
+    """Events are copied page by page while errors still arrive: refused, then only the pages that changed are read again."""
+    events = table(spark, sf, "events").select("event_id", "event_type", "user_id")
+    path, target = work_dir(spark, "growing"), work_dir(spark, "paged")
+    events.where("event_type <> 'error'").write.parquet(path)
+    read = lambda: spark.read.schema(events.schema).parquet(path)
+
+    def arrive(page: int) -> None:
+        if page == 2:
+            events.where("event_type = 'error'").write.mode("append").parquet(path)
+
+    P.paged_copy(spark, read, "event_id", target, 4, arrive)
+    refused = not P.accepted(spark, target)
+    P.paged_copy(spark, read, "event_id", target, 4)
+    copy = P.copied(spark, target, events.schema)
+    return copy.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.max("event_id").alias("last_id")).withColumn("refused_first", F.lit(refused))
