@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from catalogspark.functions.canon import row_digest, set_digest
 from catalogspark.operators.diff import structural_diff
 from catalogspark.scale import path_exists
 from catalogspark.streaming.keystore import KeyStore
@@ -51,17 +52,43 @@ def run_available(stream: DataFrame, handle: Callable[[DataFrame, int], None], c
 
 def resumable_ingest(
     spark: SparkSession, source: str, schema: T.StructType, target: str, checkpoint: str,
-    transform: Callable[[DataFrame], DataFrame] = lambda df: df, files_per_batch: int | None = None,
+    transform: Callable[[DataFrame], DataFrame] = lambda df: df, files_per_batch: int | None = None, proven: bool = False,
 ) -> None:
-    """Everything that has landed since the last run, then stop. A repeated batch overwrites its own folder only."""
+    """Everything that has landed since the last run, then stop. A repeated batch overwrites its own folder only.
+
+    With ``proven``, the digest of every finished batch is stored, and a run first compares all finished batches with
+    theirs: one that was lost or changed since stops it, before anything is added.
+    """
     claim(spark, target, checkpoint)
+    if proven and (broken := broken_batches(spark, target).collect()):
+        raise ValueError(f"finished batches of {target} are not as they were: {sorted((r.batch, r.problem) for r in broken)}")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        transform(batch).write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+        path = f"{target}/batch={batch_id}"
+        transform(batch).write.mode("overwrite").parquet(path)
+        if proven:
+            stored = batch.sparkSession.read.parquet(path)
+            told = set_digest(stored.select(row_digest(stored).alias("h")), "h")
+            told.coalesce(1).write.mode("overwrite").json(f"{target}/_proofs/batch={batch_id}")
 
     run_available(read_files(spark, source, schema, files_per_batch), handle, checkpoint)
 
 
+def broken_batches(spark: SparkSession, target: str) -> DataFrame:
+    """``batch, problem`` of finished batches whose rows are missing or not those that were stored; one pass over them."""
+    proofs = f"{target}/_proofs"
+    if not path_exists(spark, proofs):
+        return spark.createDataFrame([], "batch long, problem string")
+    kept = spark.read.schema("row_count long, set_sha256 string, batch long").option("basePath", proofs).json(proofs)
+    rows = spark.read.option("basePath", target).parquet(f"{target}/batch=*")
+    columns = [c for c in rows.columns if c != "batch"]
+    found = set_digest(rows.select(F.col("batch").cast("long").alias("batch"), row_digest(rows, columns).alias("h")), "h", by=["batch"])
+    found = found.select(F.col("batch").alias("b"), F.col("row_count").alias("n"), F.col("set_sha256").alias("s"))
+    both = kept.join(found, F.col("batch") == F.col("b"), "left").where(F.coalesce(F.col("n"), F.lit(0)) + F.col("row_count") > 0)
+    problem = F.when(F.col("n").isNull(), "missing").when(F.col("s") != F.col("set_sha256"), "changed")
+    return both.select("batch", problem.alias("problem")).where("problem is not null")
+
+
 def idempotent_import(
     spark: SparkSession, source: str, schema: T.StructType, target: str, checkpoint: str, key: str,
     order: str, buckets: int = 64, files_per_batch: int | None = None,

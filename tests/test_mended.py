@@ -108,6 +108,23 @@ def test_another_version_is_refused(spark, tmp_path):
     assert sorted(r.id for r in spark.read.parquet(out).collect()) == list(range(10))
 
 
+def test_finished_batches_are_proven_before_a_run_goes_on(spark, tmp_path):
+    src, out, chk = (str(tmp_path / n) for n in ("src", "out", "chk"))
+    df = spark.range(30).withColumn("v", F.col("id") % 4)
+    df.where("id < 10").coalesce(1).write.mode("append").parquet(src)
+    run = lambda: I.resumable_ingest(spark, src, df.schema, out, chk, files_per_batch=1, proven=True)
+    run()
+    df.where("id between 10 and 19").coalesce(1).write.mode("append").parquet(src)
+    run()
+    assert I.broken_batches(spark, out).isEmpty()
+    df.where("id = 3").write.mode("append").parquet(f"{out}/batch=1")  # somebody else wrote there
+    df.where("id >= 20").coalesce(1).write.mode("append").parquet(src)
+    with pytest.raises(ValueError, match="changed"):
+        run()
+    assert rows(I.broken_batches(spark, out)) == [(1, "changed")]
+    assert not S.path_exists(spark, f"{out}/batch=2")
+
+
 def test_late_rows_are_counted_and_marked(spark, tmp_path):
     src, out, chk = (str(tmp_path / n) for n in ("src", "out", "chk"))
     at = lambda d, h: datetime.datetime(2024, 1, d, h)
