@@ -8,7 +8,7 @@ the live runs and is written last: a batch that is repeated starts from the mani
 folders anew.
 
 Filters are rows (bucket, piece, 4096 bytes), built and asked by Spark's bitmap functions; about ten bits a key and seven
-positions give one key in a hundred a needless look. Keys are text; the caller gives none that is NULL.
+positions, all in one row of the filter, give about one key in a hundred a needless look. Keys are text; the caller gives none that is NULL.
 """
 
 from __future__ import annotations
@@ -43,12 +43,11 @@ class Run:
 _RUN = "level int, name string, buckets int, pieces int, n long"
 
 
-def positions(key: str, pieces: Column) -> Column:
-    """The filter positions of a key, as an array of (piece, bit)."""
+def place(key: str, pieces: int) -> Column:
+    """Where a key stands in a filter: one piece, and its bits there."""
     first, step = (F.pmod(F.xxhash64(F.lit(i), F.col(key)), F.lit(1 << 48)) for i in (1, 2))
-    bits = pieces.cast("long") * PIECE
-    at = [F.pmod(first + F.lit(i) * step, bits) for i in range(POSITIONS)]
-    return F.array(*[F.struct(F.floor(p / PIECE).cast("int").alias("piece"), F.pmod(p, F.lit(PIECE)).alias("bit")) for p in at])
+    bits = F.array(*[F.pmod(first + F.lit(i) * step, F.lit(PIECE)) for i in range(POSITIONS)])
+    return F.struct(F.pmod(F.floor(first / PIECE), F.lit(pieces)).cast("int").alias("piece"), bits.alias("bits_of"))
 
 
 class KeyStore:
@@ -74,13 +73,12 @@ class KeyStore:
         if not live:
             return keys.select(self.key).where("1 = 0")
         bucket = key_bucket(self.key, self.buckets)
-        places = F.array(*[F.struct(F.lit(r.name).alias("run"), F.pmod(bucket, F.lit(r.buckets)).cast("int").alias("bucket"), positions(self.key, F.lit(r.pieces)).alias("at")) for r in live])
-        asked = keys.select(self.key, F.inline(places)).select(self.key, "run", "bucket", F.inline("at"))
+        places = F.array(*[F.struct(F.lit(r.name).alias("run"), F.pmod(bucket, F.lit(r.buckets)).cast("int").alias("bucket"), place(self.key, r.pieces).alias("at")) for r in live])
+        asked = keys.select(self.key, F.inline(places)).select(self.key, "run", "bucket", "at.*")
         filters = self.spark.read.schema("run string, bucket int, piece int, bits binary").parquet(*[f"{self.root}/filters/run={r.name}" for r in live])
-        byte = F.conv(F.hex(F.substring("bits", (F.col("bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-        is_set = F.expr("shiftleft(1, cast(bit % 8 as int))").bitwiseAND(byte) > 0
-        maybe = asked.join(filters, ["run", "bucket", "piece"]).where(is_set).groupBy(self.key, "run", "bucket").agg(F.count(F.lit(1)).alias("_hits"))
-        maybe = maybe.where(F.col("_hits") == POSITIONS).select(self.key, "run", "bucket").persist()
+        byte = lambda bit: F.conv(F.hex(F.substring("bits", (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+        is_set = F.forall("bits_of", lambda bit: byte(bit).bitwiseAND(F.element_at(F.array(*[F.lit(1 << i) for i in range(8)]), (bit % 8).cast("int") + 1)) > 0)
+        maybe = asked.join(filters, ["run", "bucket", "piece"]).where(is_set).select(self.key, "run", "bucket").persist()
         hit = maybe.select("run", "bucket").distinct().collect()  # at most live runs times buckets
         self.last_read = sorted(f"{self.root}/runs/run={p.run}/bucket={p.bucket}" for p in hit)
         if not hit:
@@ -114,7 +112,7 @@ class KeyStore:
         # keys are unique and hashed, so buckets are even; a large one is several files
         writer = placed.repartition(buckets, "bucket").write.mode("overwrite").option("maxRecordsPerFile", FILE_KEYS)
         writer.partitionBy("bucket").parquet(f"{self.root}/runs/run={run.name}")
-        bit = placed.select("bucket", F.inline(positions(self.key, F.lit(run.pieces))))
+        bit = placed.select("bucket", place(self.key, run.pieces).alias("at")).select("bucket", "at.piece", F.explode("at.bits_of").alias("bit"))
         filters = bit.groupBy(F.lit(run.name).alias("run"), "bucket", "piece").agg(F.expr("bitmap_construct_agg(bit)").alias("bits"))
         filters.write.mode("overwrite").parquet(f"{self.root}/filters/run={run.name}")
         return run
