@@ -63,11 +63,15 @@ def row_digest(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
 
 def limb_sums(digest: Column | str) -> list[Column]:
     """Commutative sums over row digests: constant state, combined map-side, any row order."""
-    col = as_col(digest)
-    return [
-        F.sum(F.conv(F.substring(col, at, 15), 16, 10).cast(T.DecimalType(20, 0))).alias(f"_limb{i}")
-        for i, at in enumerate(LIMBS)
-    ]
+    return [_wide_sum(F.conv(F.substring(as_col(digest), at, 15), 16, 10).cast("long")).alias(f"_limb{i}") for i, at in enumerate(LIMBS)]
+
+
+def _wide_sum(limb: Column) -> Column:
+    """The sum of 60-bit numbers, added up in three pieces of 20 bits: no decimal per row, and room for 2^43 rows."""
+    low = F.lit((1 << 20) - 1).cast("long")
+    pieces = [limb.bitwiseAND(low), F.shiftright(limb, 20).bitwiseAND(low), F.shiftright(limb, 40)]
+    wide = [F.sum(piece).cast("decimal(20,0)") * F.lit(1 << 20 * i).cast("decimal(13,0)") for i, piece in enumerate(pieces)]
+    return (wide[0] + wide[1] + wide[2]).cast("decimal(30,0)")
 
 
 def set_digest(df: DataFrame, digest: Column | str, by: Sequence[str] = ()) -> DataFrame:

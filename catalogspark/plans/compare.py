@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from catalogspark.operators import set_sketch as X
 from catalogspark.plans.derived import table
 from catalogspark.plans.registry import query
-from catalogspark.scale import work_dir
+from catalogspark.scale import quantiles, work_dir
 from catalogspark.sinks import bucket_tree as B
 from catalogspark.sinks import maintained as M
 from catalogspark.sources import paged as P
@@ -25,7 +25,7 @@ new as (select o_orderkey, case when priority = '1-URGENT' and o_totalprice >= h
 
 def _changed(spark, sf):
     orders = table(spark, sf, "orders")
-    hi, lo = orders.select(F.expr("percentile_disc(0.995) within group (order by o_totalprice)"), F.expr("percentile_disc(0.005) within group (order by o_totalprice)")).first()
+    hi, lo = quantiles(orders, "o_totalprice", ["0.995", "0.005"])
     status = F.when((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_totalprice") >= F.lit(hi)), "X").otherwise(F.col("o_orderstatus")).alias("status")
     kept = orders.where(~((F.col("o_orderpriority") == "5-LOW") & (F.col("o_totalprice") <= F.lit(lo))))
     return kept.select("o_orderkey", status, F.col("o_orderpriority").alias("priority"))

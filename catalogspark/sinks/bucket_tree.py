@@ -33,8 +33,8 @@ def write_tree(df: DataFrame, root: str, key: str, depth: int = 2) -> None:
     """Data in FAN^depth buckets, then the tree over what is stored; a snapshot without a tree does not count."""
     spark, buckets = df.sparkSession, FAN**depth
     placed = df.withColumn("bucket", key_bucket(F.col(key).cast("string"), buckets).cast("int"))
-    # hashed unique keys: even buckets, one task each
-    placed.repartition("bucket").write.mode("errorifexists").partitionBy("bucket").parquet(f"{root}/data")
+    # hashed unique keys: even buckets; the number is given, so that few tasks are never made to write them all
+    placed.repartition(buckets, "bucket").write.mode("errorifexists").partitionBy("bucket").parquet(f"{root}/data")
     stored = spark.read.parquet(f"{root}/data")
     digested = stored.withColumn("_h", row_digest(stored, df.columns))
     nodes = set_digest(digested, "_h", by=["bucket"]).select(F.lit(depth).alias("level"), F.col("bucket").cast("int").alias("node"), F.col("set_sha256").alias("sha256"))

@@ -80,6 +80,12 @@ def test_kept_digests_follow_batches(spark, tmp_path):
         M.update(spark, root, 4, table(spark, range(500), "b"), live.where("1 = 0"), columns, by)
 
 
+def test_trees_are_written_by_as_many_tasks_as_buckets_ask(spark, tmp_path):
+    B.write_tree(table(spark, range(3000)), str(tmp_path / "t"), "id", depth=1)
+    files = spark.read.parquet(str(tmp_path / "t" / "data")).select(F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)-", 1).alias("task")).distinct().count()
+    assert files > 4  # more than one task, or than the session's four partitions
+
+
 def test_trees_lead_to_the_buckets_that_differ(spark, tmp_path):
     old, new = table(spark, range(600)), table(spark, [i for i in range(600) if i != 17]).withColumn("v", F.when(F.col("id") == 300, 9.5).otherwise(F.col("v")))
     for name, df in (("old", old), ("new", new), ("same", old.repartition(7))):

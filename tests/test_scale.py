@@ -7,7 +7,7 @@ from helpers import rows
 from pyspark.sql import functions as F
 
 from catalogspark import scale as S
-from catalogspark.functions.canon import row_digest, set_digest
+from catalogspark.functions.canon import limb_sums, row_digest, set_digest
 
 
 @pytest.fixture(scope="module")
@@ -74,3 +74,19 @@ def test_with_scalars(spark):
 def test_checkpoint_dir_comes_from_the_session(spark):
     assert S.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert S.work_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+@pytest.mark.parametrize("bins", [2, 4096])
+def test_quantiles_are_exact(spark, bins):
+    rnd = random.Random(3)
+    values = [rnd.choice([7.25, rnd.random() * 1e9, -rnd.random()]) for _ in range(400)]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,), (float("nan"),), (float("inf"),)], "v double").repartition(5)
+    shares, ranked = ["0", "0.005", "0.5", "0.995", "1"], sorted(values)
+    assert S.quantiles(df, "v", shares, bins) == [ranked[0], ranked[1], ranked[199], ranked[397], ranked[399]]
+    assert S.quantiles(df.where("v is null"), "v", ["0.5"], bins) == [None]
+
+
+def test_sums_of_limbs_do_not_wrap(spark):
+    digests = ["f" * 64, "0" * 59 + "fffff", "8" * 64]
+    got = spark.createDataFrame([(d,) for d in digests * 500], "h string").agg(*limb_sums("h")).first()
+    assert [int(x) for x in got] == [sum(500 * int(d[at - 1:at + 14], 16) for d in digests) for at in (1, 16, 31, 46)]
