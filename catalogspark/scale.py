@@ -107,33 +107,32 @@ def quantiles(df: DataFrame, value: str, shares: Sequence[str], bins: int = 1 <<
 def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], out: str) -> DataFrame:
     """1..n per key in ``order`` (which must be unique within a key).
 
-    Rows are range-split by key and full order, numbered inside each slice, and shifted by the sizes of the key's
-    slices before, so that a key of any size is spread over tasks. Slices are stored, because a range split that is
-    computed again after a loss need not fall in the same places.
+    Rows are range-split by key and full order and sorted inside each slice; a row's number is its place there less that of
+    the key's first row, shifted by the sizes of the key's slices before, so that a key of any size is spread over tasks.
+    Slices are stored with the places, because a range split that is computed again after a loss need not fall in the
+    same places; rows are shuffled once for the split and once at most to meet their key's numbers.
     """
     order = [F.col(o) if isinstance(o, str) else o for o in order]
     slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    sliced = df.repartitionByRange(slices, *[F.col(k) for k in keys], *order).withColumn("_slice", F.spark_partition_id())
+    sliced = df.repartitionByRange(slices, *[F.col(k) for k in keys], *order).sortWithinPartitions(*keys, *order)
+    # the lower 33 bits count the rows of a partition in their order
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    sliced = sliced.select("*", F.spark_partition_id().alias("_slice"), place.alias("_place"))
     path = work_dir(df.sparkSession, "slices")
     sliced.write.parquet(path)
     sliced = df.sparkSession.read.schema(sliced.schema).parquet(path)
-    sizes = sliced.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_size"))
+    sizes = sliced.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_size"), F.min("_place").alias("_first"))
     # one row per (key, slice): a key spans at most `slices` rows here
     before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
         *[F.col(k).alias(f"_o_{k}") for k in keys],
         F.col("_slice").alias("_o_slice"),
-        F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"),
+        (F.coalesce(F.sum("_size").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
     )
     cond = sliced["_slice"] == offsets["_o_slice"]
     for key in keys:
         cond = cond & sliced[key].eqNullSafe(offsets[f"_o_{key}"])
-    window = Window.partitionBy(*keys, "_slice").orderBy(*order)
-    return (
-        sliced.join(offsets, cond, "left")
-        .withColumn(out, (F.row_number().over(window) + F.col("_before")).cast("long"))
-        .select(*df.columns, out)
-    )
+    return sliced.join(offsets, cond, "left").withColumn(out, (F.col("_place") + F.col("_shift")).cast("long")).select(*df.columns, out)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -32,6 +32,11 @@ def test_number_rows(skewed):
     assert got == brute_numbers(skewed.collect(), lambda r: r.k)
 
 
+def test_numbered_rows_are_not_shuffled_for_a_window(skewed):
+    plan = S.number_rows(skewed, ["k"], ["v", "i"], "n")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window") == 1 and "row_number" not in plan  # the sums over a key's slices only
+
+
 def test_number_rows_without_key(skewed):
     got = {r.i: r.n for r in S.number_rows(skewed, [], ["v", "i"], "n").collect()}
     assert got == brute_numbers(skewed.collect(), lambda r: 0)
