@@ -14,7 +14,7 @@ from catalogspark.operators.bindings import bind_products
 from catalogspark.operators.media import ordered_media
 from catalogspark.plans.derived import PART_SQL, part_baseline, part_desired, table, texts
 from catalogspark.plans.registry import query
-from catalogspark.scale import number_rows, work_dir
+from catalogspark.scale import number_rows, spread, work_dir
 from catalogspark.sinks import handoff as H
 from catalogspark.sinks import manifest as K
 from catalogspark.sources import readers as R
@@ -26,7 +26,7 @@ def _raw(spark, sf):
     """Raw observed products, all text, with the usual defects by type and size."""
     s, kind = F.col("p_size"), F.col("p_type")
     text = lambda c: c.cast("string")
-    return table(spark, sf, "part").select(
+    return spread(table(spark, sf, "part")).select(  # small rows, much work each
         "p_partkey", F.concat(F.lit("  "), F.translate("p_name", " ", "\t")).alias("name"),
         F.when(kind == "PROMO", "see https://shop").otherwise(F.concat(F.lit("a "), "p_name")).alias("description"),
         F.when(s > 45, "year 1234").otherwise(F.concat(text(s + 1980), F.lit("年"))).alias("year"), F.col("p_brand").alias("brand"),

@@ -64,12 +64,16 @@ def with_scalars(df: DataFrame, *one_row: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Spread a scan with fewer splits than cores before expensive per-row text work.
+    """Spread a scan whose rows lie in fewer splits than cores before expensive per-row work.
 
-    A large input has more splits than cores and is returned as it is: no shuffle is added there.
+    A split without the start of a row group is empty, so rows are counted, not splits (no column is read for that). An
+    input that is spread already is returned as it is: no shuffle is added there.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    sizes = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]  # one number per split
+    if max(sizes, default=0) * cores <= 2 * sum(sizes):
+        return df
+    return df.repartition(cores * min(4, max(1, sum(sizes) // (cores * 10_000))))
 
 
 def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:

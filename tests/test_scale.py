@@ -95,3 +95,15 @@ def test_sums_of_limbs_do_not_wrap(spark):
     digests = ["f" * 64, "0" * 59 + "fffff", "8" * 64]
     got = spark.createDataFrame([(d,) for d in digests * 500], "h string").agg(*limb_sums("h")).first()
     assert [int(x) for x in got] == [sum(500 * int(d[at - 1:at + 14], 16) for d in digests) for at in (1, 16, 31, 46)]
+
+
+def test_a_scan_of_one_row_group_is_spread(spark, tmp_path):
+    spark.range(60_000).coalesce(1).write.parquet(str(tmp_path / "t"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        df = spark.read.parquet(str(tmp_path / "t"))
+        assert df.rdd.getNumPartitions() > 4  # more splits than cores, and all rows in one of them
+        got = S.spread(df).groupBy(F.spark_partition_id()).count().collect()
+        assert len(got) >= 4 and max(r["count"] for r in got) < 30_000 and sum(r["count"] for r in got) == 60_000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
