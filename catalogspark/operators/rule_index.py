@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalogspark.functions.canon import as_col
-from catalogspark.scale import explode_rows, with_scalars
+from catalogspark.scale import explode_rows, pinned, with_scalars
 
 #: Everything in ASCII that is no letter and no digit separates words; case is folded in ASCII only.
 SEPARATORS = r"[\x00-/:-@\[-`{-\x7F]+"
@@ -20,7 +20,9 @@ GRAM = 4
 
 def plain_words(text: Column | str) -> Column:
     """The words of a text, lower-cased, with one blank before, between and after them; one blank if there are none."""
-    low = F.translate(F.coalesce(as_col(text), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    text = F.coalesce(as_col(text), F.lit(""))
+    # of ASCII alone, lower is the same and needs no look-up per character
+    low = F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
     return F.concat(F.lit(" "), F.trim(F.regexp_replace(low, SEPARATORS, " ")), F.lit(" "))
 
 
@@ -39,7 +41,8 @@ def phrase_labels(texts: DataFrame, key: str, text: str, rules: DataFrame, code:
     book = rules.select(F.col(code).alias("_code"), F.trim(plain_words(phrase)).alias("_phrase"), gate.cast("string").alias("_needs")).where("_phrase <> ''").distinct()
     spelled = explode_rows(book, ["_code", "_phrase", "_needs"], _words(F.col("_phrase")), "_word")
     held = explode_rows(texts, [F.col(key).alias("_key")], _words(plain_words(text)), "_word")
-    texts_with = held.join(spelled.select("_word").distinct(), "_word", "left_semi").groupBy("_word").agg(F.count(F.lit(1)).alias("_n"))
+    held = pinned(held.join(spelled.select("_word").distinct(), "_word", "left_semi"))  # used twice; words of the book only
+    texts_with = held.groupBy("_word").agg(F.count(F.lit(1)).alias("_n"))
     ranked = spelled.join(texts_with, "_word", "left").groupBy("_code", "_phrase", "_needs").agg(
         F.min(F.struct("_n", "_word")).alias("_rare"), F.bool_or(F.col("_n").isNull()).alias("_lost"))
     index = ranked.where(~F.col("_lost")).select(F.col("_rare._word").alias("_word"), "_code", "_phrase", "_needs")

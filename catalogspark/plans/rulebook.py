@@ -221,7 +221,7 @@ def phrase_rules_from_table(spark, sf):
     rules = b.select(name("B", item), F.array_join(F.slice("w", 1, 3), " ").alias("phrase"), F.lit(None).cast("string").alias("needs"))
     rules = rules.unionByName(b.select(name("W", item), F.get("w", F.lit(4)).alias("phrase"), name("B", item).alias("needs")))
     rules = rules.unionByName(b.select(name("F", F.floor(item / 10)), F.get("w", F.lit(1)).alias("phrase"), F.lit(None).cast("string").alias("needs")))
-    return X.phrase_labels(table(spark, sf, "documents"), "doc_id", "text", rules, requires="needs")
+    return X.phrase_labels(texts(spark, sf), "doc_id", "text", rules, requires="needs")
 
 
 PATH_SQL = "coalesce(nullif(regexp_extract(url, '^[a-z]+://[^/?#]+([^?#]*)', 1), ''), '/')"
