@@ -50,16 +50,18 @@ SCALE = 2_000_000
 #: Word positions of one chunk, and of all chunks that a task holds open.
 CHUNK_TOKENS, HELD_TOKENS = 1_000_000, 4_000_000
 #: Leaves of one group (the memory budget), and extended prefixes that the driver may have to know per level.
-BUDGET, PREFIXES = 2_000_000, 300_000
+BUDGET, PREFIXES = 1_000_000, 300_000
 #: Groups that one task writes to.
 FAN = 1_000
 #: Parts in which the first rows of a language are chosen.
 SALTS = 64
 #: Tails that are joined by broadcast have more than this part of all positions; there are fewer than 4 / HOT of them.
 HOT = 1e-5
-TEXT_BYTES = 8 << 20
+TEXT_BYTES = 2 << 20
 
 _BREAKS = [ord(c) for c in ".,;:!?\n\x0b\x0c\r"]
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
 
 
 def _tokens(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -76,33 +78,67 @@ def _tokens(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 class _Open:
-    """Words of one language that a task has read: codes with a zero before each piece, and the words' texts."""
+    """Words of one language that a task has read: codes with a zero before each piece, and the distinct words' bytes."""
 
     def __init__(self) -> None:
         self.parts: list[np.ndarray] = []
-        self.text: dict[int, str] = {}
+        self.seen = np.zeros(0, np.uint64)
+        self.codes: list[np.ndarray] = []  # of the distinct words, as they came
+        self.lengths: list[np.ndarray] = []
+        self.letters: list[np.ndarray] = []
         self.size = 0
 
-    def row(self, lang: str) -> tuple:
+    def add(self, found: np.ndarray, begins: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> None:
+        token = np.zeros(len(found) + int(begins.sum()), np.uint64)
+        token[np.arange(len(found)) + np.cumsum(begins)] = found
+        self.parts.append(token)
+        self.size += len(found)
+        word, first = np.unique(found, return_index=True)
+        new = ~np.isin(word, self.seen, assume_unique=True)
+        word, first = word[new], first[new]
+        length = (end - start)[first]
+        byte = np.arange(int(length.sum())) + np.repeat(start[first] - (np.cumsum(length) - length), length)
+        self.seen = np.sort(np.concatenate([self.seen, word]))
+        self.codes.append(word), self.lengths.append(length), self.letters.append(_LOWER[data[byte]])
+
+    def spelled(self) -> pa.Array:
+        """The distinct words in the order of their codes."""
+        code, length, letters = (np.concatenate(x) for x in (self.codes, self.lengths, self.letters))
+        offsets = np.append(0, np.cumsum(length)).astype(np.int64)
+        text = pa.LargeStringArray.from_buffers(len(code), pa.py_buffer(offsets), pa.py_buffer(letters)).take(pa.array(np.argsort(code)))
+        try:
+            text.validate(full=True)
+        except pa.ArrowInvalid:  # bytes that are no UTF-8
+            text = pa.array([x.decode("utf-8", "replace") for x in text.cast(pa.large_binary()).to_pylist()], pa.large_string())
+        return text.cast(pa.string())
+
+    def rows(self, lang: str) -> Iterator[pa.RecordBatch]:
+        """A row per distinct word, by falling count, and a row with all words as places among them (0 before a piece)."""
+        chunk, text = uuid.uuid4().int & ((1 << 62) - 1), self.spelled()
         token = np.concatenate(self.parts)
+        self.parts.clear()
         word, index, n = np.unique(token, return_inverse=True, return_counts=True)
         gap = int(len(word) and word[0] == 0)
         order = np.argsort(-n[gap:], kind="stable")
         place = np.zeros(len(word), np.uint32)
         place[gap + order] = np.arange(1, len(order) + 1)
-        return uuid.uuid4().int & ((1 << 62) - 1), lang, [self.text[c] for c in word[gap:][order].tolist()], n[gap:][order].astype(np.int32), packed(place[index]), self.size
+        kinds = [pa.int64(), pa.string(), pa.int32(), pa.string(), pa.int32(), pa.binary()]
 
+        def told(*columns: object) -> pa.RecordBatch:
+            rows = len(columns[1])
+            head = [pa.repeat(pa.scalar(chunk, kinds[0]), rows), pa.repeat(pa.scalar(lang, kinds[1]), rows)]
+            rest = [pa.nulls(rows, t) if c is None else pa.array(c, t) for c, t in zip(columns, kinds[2:])]
+            return pa.RecordBatch.from_arrays([*head, *rest], ["chunk", "lang", "pos", "word", "c", "tokens"])
 
-_CHUNK = "chunk long, lang string, words array<string>, counts array<int>, tokens binary, size long"
+        yield told(np.arange(len(order), dtype=np.int32), text.take(pa.array(order)), n[gap:][order].astype(np.int32), None)
+        yield told(None, [None], [self.size], [packed(place[index])])
 
 
-def _chunks(docs: DataFrame) -> DataFrame:
-    """Per task and language: distinct words by falling count, and all words as places among them (0 before a piece)."""
-    kinds = [pa.int64(), pa.string(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.binary(), pa.int64()]
-    names = ["chunk", "lang", "words", "counts", "tokens", "size"]
+_CHUNK = "chunk long, lang string, pos int, word string, c int, tokens binary"
+
 
-    def told(rows: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
+def _chunks(docs: DataFrame) -> DataFrame:
+    """Per task and language, chunks: a row per distinct word with its count, and one with all words (see ``_Open.rows``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, _Open] = {}
@@ -116,21 +152,14 @@ def _chunks(docs: DataFrame) -> DataFrame:
                 for code in np.unique(lang).tolist():
                     mine = np.flatnonzero(lang == code)
                     place = held.setdefault(name[code], _Open())
-                    token = np.zeros(len(mine) + int(begins[mine].sum()), np.uint64)
-                    token[np.arange(len(mine)) + np.cumsum(begins[mine])] = found[mine]
-                    word, first = np.unique(found[mine], return_index=True)
-                    for w, k in zip(word.tolist(), mine[first].tolist()):
-                        if w not in place.text:
-                            place.text[w] = data[base + at[k] : base + end[k]].tobytes().lower().decode("utf-8", "replace")
-                    place.parts.append(token)
-                    place.size += len(mine)
+                    place.add(found[mine], begins[mine], data, base + at[mine], base + end[mine])
                     if place.size >= CHUNK_TOKENS:
-                        yield told([held.pop(name[code]).row(name[code])])
+                        yield from held.pop(name[code]).rows(name[code])
                 if sum(x.size for x in held.values()) >= HELD_TOKENS:
                     for lang_name in list(held):
-                        yield told([held.pop(lang_name).row(lang_name)])
-        for lang_name, place in held.items():
-            yield told([place.row(lang_name)])
+                        yield from held.pop(lang_name).rows(lang_name)
+        for lang_name in list(held):
+            yield from held.pop(lang_name).rows(lang_name)
 
     return docs.mapInArrow(run, _CHUNK)
 
@@ -166,10 +195,9 @@ def _suffixes(token: np.ndarray) -> np.ndarray:
 
 
 def _order(w: np.ndarray) -> np.ndarray:
-    big = w.astype(np.uint64)
-    if len(w) and int(w.max()) < 1 << 16:
-        return np.argsort(big[:, 0] << np.uint64(48) | big[:, 1] << np.uint64(32) | big[:, 2] << np.uint64(16) | big[:, 3])
-    return np.lexsort((big[:, 2] << np.uint64(32) | big[:, 3], big[:, 0] << np.uint64(32) | big[:, 1]))
+    bits = np.uint64(16 if len(w) and int(w.max()) < 1 << 16 else 32)
+    high, low = (w[:, d].astype(np.uint64) << bits | w[:, d + 1] for d in (0, 2))
+    return np.lexsort((low, high)) if bits == 32 else np.argsort(high << np.uint64(32) | low)
 
 
 def _leaves(w: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -220,8 +248,8 @@ def _deal(coded: DataFrame, known: dict[str, Prefixes], n_groups: int, fan: int)
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lang, tokens in zip(batch.column("lang").to_pylist(), batch.column("tokens").to_pylist()):
-                w = _suffixes(unpacked(tokens))
+            for lang, tokens in zip(batch.column("lang").to_pylist(), batch.column("tokens")):
+                w = _suffixes(unpacked(tokens.as_py()))
                 yield _blobs(lang, *_leaves(w, np.ones(len(w), np.int64)), known.get(lang) or Prefixes(), n_groups, strides[0])
 
     def again(stride: int):
@@ -262,8 +290,9 @@ def _subtrees(known: dict[str, Prefixes], least: int):
         by_lang: dict[str, list] = {}
         for lang, data in zip(table["lang"].to_pylist(), table["data"].to_pylist()):
             by_lang.setdefault(lang, []).append(_unblob(data))
-        for lang, parts in by_lang.items():
-            w, n = _leaves(*(np.concatenate(x) for x in zip(*parts)))
+        for lang in list(by_lang):
+            w, n = (np.concatenate(x) for x in zip(*by_lang.pop(lang)))
+            w, n = _leaves(w, n)
             prefixes = known.get(lang) or Prefixes()
             place = prefixes.places(w)
             root = 1 + (place >= 0).sum(1)
@@ -368,34 +397,33 @@ def collocations(docs: DataFrame, lang: str = "lang", text: str = "text", least:
     spark = docs.sparkSession
     given = docs.select(F.coalesce(docs[lang].cast("string"), F.lit("und")).alias("lang"), docs[text].cast("string").alias("text"))
     chunks = stored(_chunks(given), "chunks")
-    totals = chunks.groupBy("lang").agg(F.sum("size").alias("total"))
-    positions = chunks.agg(F.sum("size").alias("n")).first()["n"] or 0
+    whole = chunks.where("tokens is not null")
+    totals = whole.groupBy("lang").agg(F.sum("c").alias("total"))
+    positions = whole.agg(F.sum("c").alias("n")).first()["n"] or 0
     budget = budget or max(BUDGET, positions // PREFIXES)
-    entry = chunks.select("chunk", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("pos", "e")).select("chunk", "lang", "pos", F.col("e.words").alias("word"), F.col("e.counts").alias("c"))
+    entry = chunks.where("word is not null").select("chunk", "lang", "pos", "word", "c")
     words = entry.groupBy("lang", "word").agg(F.sum("c").alias("n")).where(F.col("n") >= least)
     # by falling size class; the classes are dealt over 64 parts each
     size_class = F.lit(63) - F.floor(F.log2("n")).cast("int")
     words = words.select("*", (size_class * 64 + F.pmod(F.xxhash64("word"), F.lit(64)).cast("int")).alias("_c"))
     words = stored(numbered(words, ["lang"], [F.col("_c")], [F.col("word")], "id", 64 * 64).select("lang", "word", "n", (F.col("id") + 1).cast("int").alias("id")), "words")
-    mine = entry.select("chunk", "lang", "pos", "word").join(words.select("lang", "word", "id"), ["lang", "word"]).groupBy("chunk").agg(
-        F.collect_list(F.struct("pos", "id")).alias("ids"))  # the words of one chunk
+    mine = entry.select("chunk", "lang", "pos", "word").join(words.select("lang", "word", "id"), ["lang", "word"]).select(F.col("chunk").alias("of"), "pos", "id")
 
-    def renumber(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for tokens, ids, n in zip(batch.column(1).to_pylist(), batch.column(2), batch.column(3).to_pylist()):
-                number = np.zeros(n + 1, np.uint32)
-                pairs = ids.values
-                number[pairs.field(0).to_numpy() + 1] = pairs.field(1).to_numpy()
-                new = number[unpacked(tokens)]
-                # one zero is enough between two words
-                keep = (new > 0) | np.append(True, new[:-1] > 0)
-                new = new[keep]
-                out.append(packed(new.astype(np.uint16) if not len(new) or new.max() < 1 << 16 else new))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["lang", "tokens"])
-
-    joined = chunks.select("chunk", "lang", "tokens", F.size("words").alias("n_words")).join(mine, "chunk")
-    coded = stored(joined.select("lang", "tokens", "ids", "n_words").mapInArrow(renumber, "lang string, tokens binary"), "coded")
+    def renumber(chunk: pa.Table, ids: pa.Table) -> pa.Table:
+        """All words of one chunk under the numbers of its own words; words too rare for any phrase become 0."""
+        out = []
+        for tokens in chunk["tokens"] if ids.num_rows else ():
+            token = unpacked(tokens.as_py())
+            number = np.zeros(int(token.max()) + 1, np.uint32)
+            number[ids["pos"].to_numpy() + 1] = ids["id"].to_numpy()
+            new = number[token]
+            # one zero is enough between two words
+            new = new[(new > 0) | np.append(True, new[:-1] > 0)]
+            out.append(packed(new.astype(np.uint16) if new.max() < 1 << 16 else new))
+        return pa.table([chunk["lang"].slice(0, len(out)), pa.array(out, pa.binary())], ["lang", "tokens"])
+
+    of_chunk = whole.select("chunk", "lang", "tokens").groupBy("chunk").cogroup(mine.groupBy("of"))
+    coded = stored(of_chunk.applyInArrow(renumber, "lang string, tokens binary"), "coded")
     known = _known_prefixes(coded, words, budget)
     n_groups = max(1, -(-positions // budget))
     dealt = _deal(coded, known, n_groups, fan)

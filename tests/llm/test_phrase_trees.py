@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from catalogspark.llm import phrase_trees as P
@@ -106,6 +107,22 @@ def test_groups_hold_about_a_budget(rows):
         assert len(np.unique(group[w[:, 0] == x])) > 5
 
 
+def test_a_chunk_tells_its_words_in_flat_rows():
+    """No row holds all words of a chunk: long arrays of strings cost a task's JVM and Python many times their bytes."""
+    place, want = P._Open(), Counter()
+    for texts in (["The é the. D\x00e", "b the"], ["É NEW the", "", "new b b"]):
+        data, bounds = P.text_bytes(pa.array(texts))
+        found, _, begins, at, end = P._tokens(data, bounds)
+        place.add(found, begins, data, int(bounds[0]) + at, int(bounds[0]) + end)
+        want.update(w for t in texts for w in re.findall(r"[^ .]+", re.sub("[A-Z]", lambda m: m[0].lower(), t)))
+    words, whole = (b.to_pylist() for b in place.rows("en"))
+    assert {r["word"]: r["c"] for r in words} == want and [r["pos"] for r in words] == list(range(len(want)))
+    assert [r["c"] for r in words] == sorted(want.values(), reverse=True)
+    assert [(r["word"], r["c"]) for r in whole] == [(None, sum(want.values()))]
+    tokens = P.unpacked(whole[0]["tokens"])
+    assert Counter(words[t - 1]["word"] for t in tokens.tolist() if t) == want and (tokens == 0).sum() == 5
+
+
 def test_query_equals_sql(spark):
     from check_oracles import compare
 
