@@ -98,7 +98,9 @@ def rare_values(reps: DataFrame) -> DataFrame:
     """``rep, n, value, score``: the rarest listed values of each sketch; the score is higher the more others list its values."""
     postings = reps.select("rep", "n", F.explode(F.slice("sketch", 1, LISTED)).alias("value"))
     lists = postings.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    shared = postings.join(lists, "value").groupBy("rep", "n").agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("v"), F.sum(F.log2("df")).alias("score"))
+    # few values of a sketch meet in one task, so lists are collected behind the shuffle: plain rows take less room there
+    met = postings.join(lists, "value").select("rep", "n", "df", "value").repartition("rep")
+    shared = met.groupBy("rep", "n").agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("v"), F.sum(F.log2("df")).alias("score"))
     size = F.least(F.col("n"), F.lit(LISTED))
     need = F.least(F.lit(LIST_SHARED), F.ceil(F.col("n") * SIMILARITY_PERCENT / 100)).cast("int")
     prefix = size - need + _met("n") - (size - F.size("v"))  # values of no other sketch come first
@@ -240,6 +242,7 @@ def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wid
     named = facts.where("doc_id is not null and n_shingles > 0")
     code = ["n_shingles", "code_a", "code_b"]
     classes = stored(named.groupBy(*code).agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch")), "classes")
+    release(spark)
     reps = classes.select("rep", F.col("n_shingles").alias("n"), "sketch")
     rare = stored(rare_values(reps), "rare")
     release(spark)

@@ -118,6 +118,16 @@ def test_bottomk_against_all_pairs(spark, docs, monkeypatch, width, short, tile,
     assert got == want
 
 
+def test_rare_values_are_shuffled_as_plain_rows(spark):
+    reps = spark.createDataFrame([(i, 3, [i, i + 1, i + 2]) for i in range(9)], "rep long, n long, sketch array<long>")
+    rare = bottomk_dedup.rare_values(reps)
+    plan = rare._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" in plan and "collect_list" not in plan[plan.index("hashpartitioning(rep") :]
+    got = {(r["rep"], r["n"], r["value"]) for r in rare.collect()}
+    # all but the rarest values of a set that others share too; a set of 3 must share 3, and meet in 2 lists
+    assert {v for rep, _, v in got if rep == 4} <= {4, 5, 6} and len({v for rep, _, v in got if rep == 4}) == 2
+
+
 def test_bottomk_tiles_find_chains(spark, monkeypatch):
     """A chain whose ends are not similar, all of it in the same lists."""
     monkeypatch.setattr(bottomk_dedup, "SHORT_LIST", 1)
