@@ -13,9 +13,10 @@ Links are found in two passes over the inverted lists, because only the componen
 1. every member of a list is paired with the list's centre, the member whose listed values are the most frequent ones:
    in a group of edited copies this is the least edited one. Most groups are joined here, with a few pairs per member.
 2. lists whose members still lie in different components are compared across components. Short lists give pairs by a
-   join. Long ones go to a task per pair of tiles, with the members' full sets: clusters of overlapping lists as one
-   unit, or list by list where that is less work (a pair then in the first of its common lists only). Overlaps come
-   from matrix products, and what leaves the task is a spanning forest of the links found, not the pairs.
+   join. Long ones go to a task per pair of tiles: clusters of overlapping lists as one unit, or list by list where that
+   is less work (a pair then in the first of its common lists only). Tiles are met twice: first with 16 bits of each
+   sketched value, which tell the members that can have a link at all, then with the full sets of these members only.
+   Overlaps come from matrix products, and what leaves the task is a spanning forest of the links found, not the pairs.
 
 Candidates are filtered by the union-sketch estimate and verified on the full sets, 100 * |A & B| >= 80 * |A | B|.
 
@@ -27,11 +28,12 @@ come back as often as they came; an empty table gives no rows; other columns are
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
 
 from catalogspark.llm.components import components, local_forest
@@ -53,6 +55,8 @@ BROADCAST_IDS = 1_000_000
 SHORT_LIST = 8
 TILE = 4096
 BLOCK = 256
+#: Long lists per document, on average, whose members' sketches are sent at once; more are sent in turns.
+TURN_LISTS = 4
 SIMILARITY_PERCENT = 80
 
 _FACTS = "doc_id long, n_shingles long, code_a long, code_b long, sketch array<long>"
@@ -157,23 +161,21 @@ def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     """Sizes of the intersections of all left and right arrays, by a matrix product over shared elements."""
     row, col, n = _incidence([*left, *right])
     held = np.zeros((len(left) + len(right), n), np.float32)
-    held[row, col] = 1
+    np.add.at(held, (row, col), 1)  # an element that stands twice in an array counts twice
     return held[: len(left)] @ held[len(left) :].T
 
 
-def _tile_links(key: tuple, tile: pd.DataFrame) -> pd.DataFrame:
-    """A spanning forest of the links between two tiles of a list, or of a cluster of lists, across components.
+def _asked(value: int, whole: bool, t1: int, t2: int, tile: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Blocks of the pairs between two tiles of a list, or of a cluster of lists, that lie in different components.
 
-    In a cluster pairs are compared that share a list; in a list, those that share no list with a smaller value.
+    In a cluster pairs are asked for that share a list; in a list, those that share no list with a smaller value. A block
+    are the rows of its left and of its right members, and which of their pairs are asked for.
     """
-    value, whole, t1, t2 = int(key[0]), bool(key[1]), int(key[2]), int(key[3])
-    rep, comp, n, side = (tile[c].to_numpy() for c in ("rep", "comp", "n", "tile"))
+    comp, n, side = (tile[c].to_numpy() for c in ("comp", "n", "tile"))
     listed = [np.asarray(x) for x in tile["listed"]]
     shared = listed if whole else [x[x < value] for x in listed]
-    sets = [np.asarray(x) for x in tile["set"]]
     order = np.argsort(n, kind="stable")  # blocks of like sizes: most pairs of blocks differ too much in size
     one, two = (order[side[order] == t] for t in (t1, t2))
-    found_a, found_b = [], []
     for i in range(0, len(one), BLOCK):
         a = one[i : i + BLOCK]
         for j in range(i if t1 == t2 else 0, len(two), BLOCK):
@@ -182,19 +184,51 @@ def _tile_links(key: tuple, tile: pd.DataFrame) -> pd.DataFrame:
                 continue
             na, nb = n[a][:, None], n[b][None, :]
             ask = (comp[a][:, None] != comp[b][None, :]) & (100 * np.minimum(na, nb) >= SIMILARITY_PERCENT * np.maximum(na, nb))
-            if ask.any():
-                ask &= (_common([shared[k] for k in a], [shared[k] for k in b]) > 0) == whole
             rows, cols = np.flatnonzero(ask.any(1)), np.flatnonzero(ask.any(0))
             if not len(rows):
                 continue
-            both = _common([sets[k] for k in a[rows]], [sets[k] for k in b[cols]])
-            union = n[a[rows]][:, None] + n[b[cols]][None, :] - both
-            p, q = np.nonzero((100 * both >= SIMILARITY_PERCENT * union) & ask[np.ix_(rows, cols)])
-            found_a.append(rep[a[rows[p]]]), found_b.append(rep[b[cols[q]]])
+            a_asked, b_asked = a[rows], b[cols]
+            ask = ask[np.ix_(rows, cols)] & ((_common([shared[k] for k in a_asked], [shared[k] for k in b_asked]) > 0) == whole)
+            if ask.any():
+                yield a_asked, b_asked, ask
+
+
+def _tile_likely(key: tuple, tile: pd.DataFrame) -> pd.DataFrame:
+    """Members of two tiles with a partner that their sketches allow, by the low bits of the retained values.
+
+    Different values may have equal low bits, so no shared value is missed, and some pairs more than by the sketches pass.
+    """
+    unit, whole = int(key[0]), bool(key[1])
+    n, codes = tile["n"].to_numpy(), [np.asarray(x) for x in tile["codes"]]
+    near = np.zeros(len(tile), bool)
+    for a, b, ask in _asked(unit, whole, int(key[2]), int(key[3]), tile):
+        least = -(-SIMILARITY_PERCENT * np.minimum(n[a][:, None], n[b][None, :]) // 100)
+        ask &= _common([codes[k] for k in a], [codes[k] for k in b]) >= np.minimum(MIN_SHARED, least)
+        near[a[ask.any(1)]] = near[b[ask.any(0)]] = True
+    return pd.DataFrame({"unit": unit, "whole": whole, "rep": tile["rep"][near], "n": n[near]})
+
+
+def _tile_links(key: tuple, tile: pd.DataFrame) -> pd.DataFrame:
+    """A spanning forest of the links between two tiles of a list, or of a cluster of lists, across components."""
+    rep, n = tile["rep"].to_numpy(), tile["n"].to_numpy()
+    sets = [np.asarray(x) for x in tile["set"]]
+    found_a, found_b = [], []
+    for a, b, ask in _asked(int(key[0]), bool(key[1]), int(key[2]), int(key[3]), tile):
+        both = _common([sets[k] for k in a], [sets[k] for k in b])
+        union = n[a][:, None] + n[b][None, :] - both
+        p, q = np.nonzero((100 * both >= SIMILARITY_PERCENT * union) & ask)
+        found_a.append(rep[a[p]]), found_b.append(rep[b[q]])
     child, parent = local_forest(np.concatenate(found_a), np.concatenate(found_b)) if found_a else (np.zeros(0, np.int64),) * 2
     return pd.DataFrame({"a": parent, "b": child})
 
 
+def _tiles(rows: DataFrame, *columns: str) -> GroupedData:
+    """Members with these columns, a group for each pair of tiles of a unit; most units are one tile."""
+    met = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("last"))).alias("other"))
+    both = [F.least("tile", "other").alias("t1"), F.greatest("tile", "other").alias("t2")]
+    return met.select("unit", "whole", *both, "tile", "rep", "comp", "n", "listed", *columns).groupBy("unit", "whole", "t1", "t2")
+
+
 def cross_links(rare: DataFrame, reps: DataFrame, comps: DataFrame, docs: DataFrame, width: int) -> DataFrame:
     """Links ``(a, b)`` between members of a list that lie in different components: enough to join all that are linked."""
     comp = comps.select(F.col("node").alias("rep"), "component")
@@ -222,16 +256,25 @@ def cross_links(rare: DataFrame, reps: DataFrame, comps: DataFrame, docs: DataFr
     placed = stored(placed.join(work, "cluster"), "clusters")
     mine = ["rep", "comp", "n"]
     listed = placed.groupBy(*mine, "cluster", "docs", "whole").agg(F.collect_list("value").alias("listed"))  # at most LISTED values
-    once = listed.where("whole").select(F.col("cluster").alias("unit"), F.lit(None).cast("long").alias("value"), *mine, "listed", F.col("docs").alias("members"))
-    each = placed.where("not whole").join(listed.select("rep", "listed"), "rep").select(F.col("value").alias("unit"), "value", *mine, "listed", F.col("size").alias("members"))
+    once = listed.where("whole").select(F.col("cluster").alias("unit"), "whole", *mine, "listed", F.col("docs").alias("members"))
+    each = placed.where("not whole").join(listed.select("rep", "listed"), "rep").select(F.col("value").alias("unit"), "whole", *mine, "listed", F.col("size").alias("members"))
     tiles = F.ceil(F.col("members") / TILE).cast("int")
     rows = once.unionByName(each).select("*", F.pmod(F.xxhash64("rep"), tiles).cast("int").alias("tile"), (tiles - 1).alias("last"))
-    full = full_sets(docs, listed.select(F.col("rep").alias("doc_id")).distinct(), width).select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), F.col("sketch").alias("set"))
-    # a tile meets every tile of its unit, itself included, in one task each; most units are one tile
-    met = rows.join(full, ["rep", "n"]).select("*", F.explode(F.sequence(F.lit(0), F.col("last"))).alias("other")).select(
-        "unit", "value", F.least("tile", "other").alias("t1"), F.greatest("tile", "other").alias("t2"), "tile", "rep", "comp", "n", "listed", "set"
-    )
-    return links.unionByName(met.groupBy("unit", F.col("value").isNull().alias("whole"), "t1", "t2").applyInPandas(_tile_links, "a long, b long"))
+    # a member stands in many lists, so its whole set is sent only where the sketches allow a link
+    codes = reps.select("rep", "n", F.transform("sketch", lambda x: (x.bitwiseAND(F.lit(0xFFFF)) - 0x8000).cast("short")).alias("codes"))
+    turns = max(1, -(-placed.count() // max(1, TURN_LISTS * reps.count())))
+    likely = []
+    for turn in range(turns):
+        release(docs.sparkSession)
+        some = rows.where(F.pmod(F.xxhash64("unit"), F.lit(turns)) == turn).join(codes, ["rep", "n"])
+        likely.append(stored(_tiles(some, "codes").applyInPandas(_tile_likely, "unit long, whole boolean, rep long, n long"), "likely-members"))
+    near = reduce(DataFrame.unionByName, likely).distinct()
+    release(docs.sparkSession)
+    if near.isEmpty():
+        return links
+    full = full_sets(docs, near.select(F.col("rep").alias("doc_id")).distinct(), width).select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), F.col("sketch").alias("set"))
+    asked = rows.join(near, ["unit", "whole", "rep", "n"], "left_semi").join(full, ["rep", "n"])
+    return links.unionByName(_tiles(asked, "set").applyInPandas(_tile_links, "a long, b long"))
 
 
 def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5) -> DataFrame:

@@ -3,6 +3,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -139,6 +140,40 @@ def test_bottomk_tiles_find_chains(spark, monkeypatch):
     assert got == brute_dedup(rows, 1)
 
 
+@pytest.mark.parametrize("turn", [8, 100])
+def test_bottomk_sends_full_sets_only_where_sketches_allow_a_link(spark, monkeypatch, turn):
+    """Documents made of passages that many have stand in the same long lists; only two of them are similar."""
+    import random
+
+    asked, turns = [], []
+    kept, whole_sets = bottomk_dedup.stored, bottomk_dedup.full_sets
+    monkeypatch.setattr(bottomk_dedup, "SHORT_LIST", 2)
+    monkeypatch.setattr(bottomk_dedup, "STAR_MET", 10**6)  # no pair is found around a centre
+    monkeypatch.setattr(bottomk_dedup, "TURN_LISTS", turn)
+    monkeypatch.setattr(bottomk_dedup, "stored", lambda df, name: turns.append(name) or kept(df, name))
+    monkeypatch.setattr(bottomk_dedup, "full_sets", lambda docs, ids, width: asked.extend(r[0] for r in ids.collect()) or whole_sets(docs, ids, width))
+    rng, made = random.Random(5), []
+    while len(made) < 14:
+        passages = set(rng.sample(range(16), 6))
+        if all(len(passages & x) <= 3 for x in made):
+            made.append(passages)
+    rows = [(i, " ".join(f"p{p}-{k}" for p in sorted(x) for k in range(8))) for i, x in enumerate(made)]
+    rows.append((99, " ".join(["new", "words", "here", *rows[13][1].split()[3:]])))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((tuple(r) for r in bottomk_dedup.deduplicate(frame, width=1).collect()), key=repr)
+    assert got == brute_dedup(rows, 1) and [r[0] for r in got if not r[3]] == [99]
+    assert set(asked) == {13, 99}
+    assert turns.count("likely-members") == {8: 2, 100: 1}[turn]
+
+
+def test_bottomk_low_bits_lose_no_pair():
+    """Two shared values with equal low bits are still two shared values."""
+    sets = [[1, 2, 3, 4, 1 + (1 << 16)], [1, 2, 3, 1 + (1 << 16)], [1, 6, 7, 8, 9]]
+    tile = pd.DataFrame({"rep": [5, 6, 7], "comp": [5, 6, 7], "n": [len(x) for x in sets], "tile": 0, "listed": [[1]] * 3, "codes": [[v & 0xFFFF for v in x] for x in sets]})
+    for whole in (True, False):
+        assert bottomk_dedup._tile_likely((1, whole, 0, 0), tile)["rep"].tolist() == [5, 6]
+
+
 def test_bottomk_group_around_a_centre(spark, monkeypatch):
     """Copies edited so much that most pairs are not similar: links lead through the centre, or through shared edits."""
     import random
